@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histoweave.llm import language_id, minhash_dedup, packing, secret_ledger
+from histoweave.llm import language_id, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold, table
 
 
@@ -19,16 +19,30 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.text_media(table(spark, sf_dir, "documents"))
+
+
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return toxicity.score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))
     return language_id.identify(docs, language_id.fit(docs, ~F.col("held_out")), ("doc_id", "held_out"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op5_best_fit_packing, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op7_toxicity, op10_language_id)}
 
 OP1_SQL = """
 WITH RECURSIVE w AS (
