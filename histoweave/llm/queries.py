@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histoweave.llm import language_id, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
+from histoweave.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold, table
 
 
@@ -31,18 +31,30 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
     return toxicity.score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))
     return language_id.identify(docs, language_id.fit(docs, ~F.col("held_out")), ("doc_id", "held_out"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op7_toxicity, op10_language_id)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id)}
 
 OP1_SQL = """
 WITH RECURSIVE w AS (

@@ -133,3 +133,24 @@ def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     base = tuple(r.kind for r in BASE_RULES)
     counts = [_count(k).alias(f"n_{k}") for k in base]
     return every.select(F.col("path").alias("doc_id"), *counts, F.sha2(_spans(base), 256).alias("base_sha256"), _spans(None).alias("spans"))
+
+
+def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """docs with every secret of `text` replaced by its kind in angle brackets; overlapping secrets by that of the first.
+
+    All columns and rows stay; null texts stay null.
+    """
+    findings, _ = update(docs, None, rules, "doc_id", "text")
+    spans = findings.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "kind_order", "kind", "end"))).alias("spans"))
+    named = docs.select(F.struct(*docs.columns).alias("d"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("blob")).join(spans, "blob", "left")
+    text = F.col("d.text").cast("string")
+
+    def step(done, s):
+        # `end` is the place up to which the text has been dealt with
+        fresh = F.concat(done["out"], F.substring(text, (done["end"] + 1).cast("int"), (s["start"] - done["end"]).cast("int")), F.lit("<"), s["kind"], F.lit(">"))
+        return F.struct(F.greatest(done["end"], s["end"]).alias("end"), F.when(s["start"] >= done["end"], fresh).otherwise(done["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("out"))
+    clean = F.aggregate("spans", start, step, lambda done: F.concat(done["out"], F.substring(text, (done["end"] + 1).cast("int"), F.lit(2**31 - 1))))
+    shown = [F.when(F.col("spans").isNull() | text.isNull(), text).otherwise(clean).alias(c) if c == "text" else F.col(f"d.`{c}`").alias(c) for c in docs.columns]
+    return named.select(*shown)
