@@ -1,4 +1,6 @@
 """Registered queries over the given tables."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from histoweave.plans import fields
+from histoweave.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "fields"]
