@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from histoweave.plans import fields, relational
+from histoweave.plans import fields, relational, stats
 from histoweave.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "fields", "relational"]
+__all__ = ["ORACLE_SQL", "QUERIES", "fields", "relational", "stats"]
