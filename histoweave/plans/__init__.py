@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from histoweave.plans import fields, geometry, relational, stats
+from histoweave.plans import fields, geometry, relational, sources, stats, workflow
 from histoweave.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "fields", "geometry", "relational", "stats"]
+__all__ = ["ORACLE_SQL", "QUERIES", "fields", "geometry", "relational", "sources", "stats", "workflow"]
