@@ -1,0 +1,115 @@
+"""Dense image kernels on numpy arrays; Spark deals the images, a task sees one image or pair at a time."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def compute_shift(a: np.ndarray, b: np.ndarray) -> tuple[float, float, int]:
+    """Shift of b against a by FFT cross correlation, refined by a parabola through the peak: (dx, dy, exit).
+
+    Exit 0 is a clear peak, 1 a second one almost as high, 3 a shift beyond a
+    third of the image.
+    """
+    f = np.fft.fft2(a - a.mean()) * np.conj(np.fft.fft2(b - b.mean()))
+    c = np.real(np.fft.ifft2(f))
+    y, x = np.unravel_index(int(c.argmax()), c.shape)
+    h, w = c.shape
+
+    def fine(low: float, mid: float, high: float) -> float:
+        bend = low - 2 * mid + high
+        return 0.0 if bend == 0 else float(np.clip(0.5 * (low - high) / bend, -0.5, 0.5))
+
+    dy = y + fine(c[(y - 1) % h, x], c[y, x], c[(y + 1) % h, x])
+    dx = x + fine(c[y, (x - 1) % w], c[y, x], c[y, (x + 1) % w])
+    dy, dx = dy - h if dy > h / 2 else dy, dx - w if dx > w / 2 else dx
+    rest = c.copy()
+    for i in (-1, 0, 1):
+        for j in (-1, 0, 1):
+            rest[(y + i) % h, (x + j) % w] = -np.inf
+    leave = 3 if abs(dx) > w / 3 or abs(dy) > h / 3 else 1 if rest.max() > 0.95 * c[y, x] else 0
+    return dx, dy, leave
+
+
+def smooth(a: np.ndarray, sigma: float) -> np.ndarray:
+    """Separable Gaussian with reflected borders."""
+    r = max(1, int(4 * sigma + 0.5))
+    k = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
+    k /= k.sum()
+    out = a.astype(float)
+    for axis in (0, 1):
+        p = np.pad(out, [(r, r) if i == axis else (0, 0) for i in (0, 1)], mode="symmetric")
+        out = np.apply_along_axis(np.convolve, axis, p, k, mode="valid")
+    return out
+
+
+def label(mask: np.ndarray) -> np.ndarray:
+    """Numbers the 8-connected regions of a mask, from 1 in order of their first pixel."""
+    out = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
+    while True:
+        p = np.pad(out, 1)
+        p = np.where(p == 0, mask.size + 1, p)
+        low = np.min([p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1)], axis=0)
+        new = np.where(mask, low, 0)
+        if (new == out).all():
+            break
+        out = new
+    return np.searchsorted(np.unique(out[out > 0]), out) + (out > 0) if mask.any() else out
+
+
+def blur_score(a: np.ndarray) -> np.ndarray:
+    """Local variance of the Laplacian over the local mean."""
+    p = np.pad(a.astype(float), 1, mode="symmetric")
+    lap = p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * p[1:-1, 1:-1]
+    scale = np.abs(smooth(a.astype(float), 1.0)) + 1e-9
+    n = lap / scale
+    return np.maximum(smooth(n * n, 1.0) - smooth(n, 1.0) ** 2, 0)
+
+
+def trim_tails(mask: np.ndarray) -> np.ndarray:
+    """Removes pixels with fewer than two neighbours until none is left."""
+    out = mask.copy()
+    while True:
+        p = np.pad(out, 1).astype(int)
+        near = sum(p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1)) - out
+        new = out & (near >= 2)
+        if (new == out).all():
+            return out
+        out = new
+
+
+def otsu_by_skew(values: np.ndarray, most: int = 5) -> float:
+    """Otsu thresholds of what lies below the last one, the one after which the skew of the rest drops most."""
+    best, now, last = 0.0, values.astype(float), None
+    drop = -np.inf
+    for _ in range(most):
+        if len(now) < 3 or now.std() == 0:
+            break
+        cuts = np.unique(now)[1:]
+        cost = [len(lo) * lo.var() + len(hi) * hi.var() for lo, hi in ((now[now < c], now[now >= c]) for c in cuts)]
+        at = cuts[int(np.argmin(cost))]
+        skew = float((((now - now.mean()) / now.std()) ** 3).mean())
+        if last is not None and last - skew > drop:
+            drop, best = last - skew, at
+        if last is None:
+            best = at
+        last, now = skew, now[now < at]
+    return float(best)
+
+
+def per_image(pixels: DataFrame, kernel, schema: str, side: int = 4) -> DataFrame:
+    """Applies kernel(image) -> list of tuples to each (vec_id, layer) as a square array; schema names the tuples' columns."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        p = pdf.sort_values("layer")
+        rows = []
+        for layer, g in p.groupby("layer"):
+            image = g.sort_values("pixel")["v"].to_numpy().reshape(side, side)
+            rows += [(int(g["vec_id"].iloc[0]), int(layer), *r) for r in kernel(image)]
+        return pd.DataFrame(rows, columns=["vec_id", "layer", *names])
+
+    return pixels.select("vec_id", "layer", "pixel", "v").groupBy("vec_id").applyInPandas(run, f"vec_id long, layer int, {schema}")
+
