@@ -2,39 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from histoweave.sources.written import cut, shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in tests a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+__all__ = ["cut", "fold", "shared_dir", "table"]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fold(doc_id: Column | str, k: int) -> Column:
     """crc32 of the id as text, modulo k."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % k
-
-
-def hash_key(*columns: str) -> Column:
-    return F.xxhash64(*columns)
