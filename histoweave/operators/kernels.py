@@ -113,3 +113,119 @@ def per_image(pixels: DataFrame, kernel, schema: str, side: int = 4) -> DataFram
 
     return pixels.select("vec_id", "layer", "pixel", "v").groupBy("vec_id").applyInPandas(run, f"vec_id long, layer int, {schema}")
 
+
+
+def fourier_shift(a: np.ndarray, dx: float, dy: float) -> np.ndarray:
+    """The image moved by a part of a pixel, periodic at its borders."""
+    h, w = a.shape
+    turn = np.exp(-2j * np.pi * (np.fft.fftfreq(h)[:, None] * dy + np.fft.fftfreq(w)[None, :] * dx))
+    return np.real(np.fft.ifft2(np.fft.fft2(a) * turn))
+
+
+def remap(a: np.ndarray, mx: np.ndarray, my: np.ndarray) -> np.ndarray:
+    """Bilinear samples of an image at the given places, clamped to its borders."""
+    h, w = a.shape
+    mx, my = np.clip(mx, 0, w - 1), np.clip(my, 0, h - 1)
+    x, y = np.minimum(mx.astype(int), w - 2), np.minimum(my.astype(int), h - 2)
+    u, v = mx - x, my - y
+    return (1 - v) * ((1 - u) * a[y, x] + u * a[y, x + 1]) + v * ((1 - u) * a[y + 1, x] + u * a[y + 1, x + 1])
+
+
+def radial_warp(shape: tuple[int, int], k: float) -> tuple[np.ndarray, np.ndarray]:
+    """Where each pixel of a radially corrected image comes from."""
+    h, w = shape
+    y, x = np.mgrid[:h, :w].astype(float)
+    cx, cy, unit = (w - 1) / 2, (h - 1) / 2, max(h, w) / 2
+    r2 = ((x - cx) ** 2 + (y - cy) ** 2) / unit**2
+    return cx + (x - cx) * (1 + k * r2), cy + (y - cy) * (1 + k * r2)
+
+
+def close_mask(mask: np.ndarray, steps: int = 1) -> np.ndarray:
+    """Binary opening and then closing with a 3 x 3 square; outside counts as unset."""
+
+    def grow(m: np.ndarray) -> np.ndarray:
+        p = np.pad(m, 1)
+        return np.any([p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1)], axis=0)
+
+    shrink = lambda m: ~grow(~m)
+    out = mask.astype(bool)
+    for f in [shrink] * steps + [grow] * steps + [grow] * steps + [shrink] * steps:
+        out = f(out)
+    return out
+
+
+def outline(mask: np.ndarray) -> list[tuple[int, int]]:
+    """Corner points of the outer border of one 4-connected region, clockwise in image coordinates, on pixel edges."""
+    p = np.pad(mask.astype(bool), 1)
+    inside = lambda x, y: bool(p[y + 1, x + 1])
+    ys, xs = np.nonzero(mask)
+    if not len(xs):
+        return []
+    x, y = int(xs[ys == ys.min()].min()), int(ys.min())
+    start, d, out = (x, y), (1, 0), []
+    while True:
+        x, y = x + d[0], y + d[1]
+        # pixels ahead, left and right of the edge walked so far
+        left = {(1, 0): (x, y - 1), (0, 1): (x, y), (-1, 0): (x - 1, y), (0, -1): (x - 1, y - 1)}[d]
+        right = {(1, 0): (x, y), (0, 1): (x - 1, y), (-1, 0): (x - 1, y - 1), (0, -1): (x, y - 1)}[d]
+        if not inside(*right):
+            turn = (-d[1], d[0])
+        elif inside(*left):
+            turn = (d[1], -d[0])
+        else:
+            turn = d
+        if turn != d:
+            out.append((x, y))
+        d = turn
+        if (x, y) == start and d == (1, 0):
+            return out[-1:] + out[:-1]
+
+
+def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    """Ramer-Douglas-Peucker: the ends stay, and any point further than the tolerance from the chord."""
+    p = np.array(points, float)
+    keep, todo = {0, len(p) - 1}, [(0, len(p) - 1)]
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo < 2:
+            continue
+        d = p[hi] - p[lo]
+        n = np.hypot(*d)
+        q = p[lo + 1 : hi] - p[lo]
+        far = np.abs(d[0] * q[:, 1] - d[1] * q[:, 0]) / n if n else np.hypot(q[:, 0], q[:, 1])
+        at = lo + 1 + int(far.argmax())
+        if far.max() > tolerance:
+            keep.add(at)
+            todo += [(lo, at), (at, hi)]
+    return [tuple(x) for x in p[sorted(keep)].tolist()]
+
+
+def fit_circle(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Centre and radius of the algebraic least-squares circle."""
+    m = np.column_stack([2 * x, 2 * y, np.ones(len(x))])
+    (cx, cy, c), *_ = np.linalg.lstsq(m, x * x + y * y, rcond=None)
+    return float(cx), float(cy), float(np.sqrt(max(c + cx * cx + cy * cy, 0)))
+
+
+def robust_intercept(values: np.ndarray, sigmas: float = 100.0) -> float:
+    """Mean of the values before the first that lies over `sigmas` running deviations from the running mean."""
+    for i in range(3, len(values)):
+        head = values[:i]
+        if abs(values[i] - head.mean()) > sigmas * max(head.std(), 1e-6):
+            return float(head.mean())
+    return float(values.mean()) if len(values) else float("nan")
+
+
+def best_rotation(a: np.ndarray, b: np.ndarray, degrees: list[float]) -> tuple[float, float, float]:
+    """The rotation of b, of those given, and the shift at which it correlates best with a."""
+    h, w = a.shape
+    y, x = np.mgrid[:h, :w].astype(float)
+    cx, cy, best = (w - 1) / 2, (h - 1) / 2, (-np.inf, 0.0, 0.0, 0.0)
+    for deg in degrees:
+        t = np.deg2rad(deg)
+        turned = remap(b, cx + (x - cx) * np.cos(t) - (y - cy) * np.sin(t), cy + (x - cx) * np.sin(t) + (y - cy) * np.cos(t))
+        c = np.real(np.fft.ifft2(np.fft.fft2(a - a.mean()) * np.conj(np.fft.fft2(turned - turned.mean()))))
+        i, j = np.unravel_index(int(c.argmax()), c.shape)
+        if c[i, j] > best[0]:
+            best = (float(c[i, j]), deg, float(j - w if j > w / 2 else j), float(i - h if i > h / 2 else i))
+    return best[1:]

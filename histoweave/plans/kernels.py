@@ -81,3 +81,82 @@ def _(t: Tables) -> DataFrame:
         return [(k, int(x.min()), int(y.min()), int(np.ptp(x)) + 1, int(np.ptp(y)) + 1, len(x)) for k in range(1, int(found.max()) + 1) for y, x in [np.nonzero(found == k)]]
 
     return kernels.per_image(t.pixels, boxes, "region int, x int, y int, w int, h int, area int")
+
+
+@query("im-02")
+def _(t: Tables) -> DataFrame:
+    return kernels.per_image(t.pixels, lambda a: [(i, float(v)) for i, v in enumerate(kernels.fourier_shift(a, 0.5, -0.25).ravel())], "pixel int, v double")
+
+
+@query("im-17")
+def _(t: Tables) -> DataFrame:
+    return kernels.per_image(t.pixels, lambda a: [(i, float(v)) for i, v in enumerate(kernels.remap(a.astype(float), *kernels.radial_warp(a.shape, 0.05)).ravel())], "pixel int, v double")
+
+
+@query("im-18")
+def _(t: Tables) -> DataFrame:
+    turns = [-20.0, -10.0, 0.0, 10.0, 20.0]
+    return kernels.per_image(t.pixels, lambda a: [kernels.best_rotation(a.astype(float), np.roll(a.astype(float), 1, 0), turns)], "degrees double, dx double, dy double")
+
+
+@query("im-20")
+def _(t: Tables) -> DataFrame:
+    return kernels.per_image(t.pixels, lambda a: [(int(i),) for i in np.flatnonzero(kernels.close_mask(a > 0))], "pixel int")
+
+
+@query("im-14", "WITH m AS (SELECT layer, avg(CASE WHEN v>0 THEN v END) AS level FROM pixels GROUP BY layer) SELECT vec_id, p.layer, pixel, CAST(floor(least(255e0, greatest(0e0, v/level*100))) AS BIGINT) AS grey FROM pixels p JOIN m ON m.layer=p.layer")
+def _(t: Tables) -> DataFrame:
+    """Pixels over their layer's mean level in tissue, clipped to 8 bits; the levels are one row a layer."""
+    level = t.pixels.groupBy("layer").agg(F.avg(F.when(C("v") > 0, C("v"))).alias("level"))
+    grey = F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), C("v") / C("level") * 100)))
+    return t.pixels.join(F.broadcast(level), "layer").select("vec_id", "layer", "pixel", grey.alias("grey"))
+
+
+@query("sp-10")
+def _(t: Tables) -> DataFrame:
+    """Outline of the largest region of each image, as points in order."""
+
+    def largest(a: np.ndarray) -> list[tuple]:
+        found = kernels.label(a > 0)
+        if not found.any():
+            return []
+        k = int(np.bincount(found.ravel())[1:].argmax()) + 1
+        return [(i, int(x), int(y)) for i, (x, y) in enumerate(kernels.outline(found == k))]
+
+    return kernels.per_image(t.pixels, largest, "vid int, x int, y int")
+
+
+@query("sp-11")
+def _(t: Tables) -> DataFrame:
+    """Each image row by row as a line of its values, simplified."""
+    return kernels.per_image(t.pixels, lambda a: [(float(x), float(y)) for x, y in kernels.simplify(list(enumerate(a.ravel().tolist())), 100.0)], "x double, y double")
+
+
+@query("sp-16")
+def _(t: Tables) -> DataFrame:
+    def ring(a: np.ndarray) -> list[tuple]:
+        angle = 2 * np.pi * np.arange(a.size) / a.size
+        return [kernels.fit_circle((1000 + a.ravel()) * np.cos(angle), (1000 + a.ravel()) * np.sin(angle))]
+
+    return kernels.per_image(t.pixels, ring, "cx double, cy double, radius double")
+
+
+@query("wn-05")
+def _(t: Tables) -> DataFrame:
+    return kernels.per_image(t.pixels, lambda a: [(kernels.robust_intercept(a.ravel().astype(float), 3.0),)], "intercept double")
+
+
+@query("sp-15")
+def _(t: Tables) -> DataFrame:
+    """A warp with a step where the first field's column passes the middle, besides the linear terms."""
+    m = t.measured.where("exit = 0")
+    terms = {"one": F.lit(1.0), "x": (C("p1") % 10).cast("double"), "step": (C("p1") % 10 >= 5).cast("double")}
+    return fit.least_squares(m, "slide_id", "dx", terms, 1 / C("covxx"))
+
+
+@query("so-13", "SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY v DESC) AS place FROM (SELECT label, layer, CAST(sum(v*v) AS BIGINT) AS v FROM pixels GROUP BY label, layer) x")
+def _(t: Tables) -> DataFrame:
+    from pyspark.sql import Window
+
+    power = t.pixels.groupBy("label", "layer").agg(F.sum(C("v") * C("v")).alias("v"))
+    return power.select("label", "v", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("v"))).cast("long").alias("place"))

@@ -106,3 +106,35 @@ def test_csv_reader_refuses_bad_rows_and_order(spark, tmp_path):
     with pytest.raises(ValueError):
         S.check_order(spark, str(tmp_path / "a.csv"), spark.createDataFrame([], "y int, x int").schema)
     assert S.check_newlines(spark, str(tmp_path / "a.csv")) == 0
+
+
+def test_dense_kernels():
+    a = np.random.default_rng(3).normal(size=(12, 12))
+    assert np.allclose(kernels.fourier_shift(a, 2, 3), np.roll(a, (3, 2), (0, 1)))
+    y, x = np.mgrid[:12, :12].astype(float)
+    assert np.allclose(kernels.remap(a, x, y), a) and np.allclose(kernels.remap(3 * x + y, x * 0.5, y * 0.5), 1.5 * x + 0.5 * y)
+    assert kernels.simplify([(0, 0), (1, 0.1), (2, 0), (3, 5), (4, 0)], 0.5) == [(0, 0), (2, 0), (3, 5), (4, 0)]
+    t = np.linspace(0, 6, 40)
+    assert np.allclose(kernels.fit_circle(3 + 2 * np.cos(t), -1 + 2 * np.sin(t)), (3, -1, 2))
+    assert kernels.robust_intercept(np.array([1.0, 1.1, 0.9, 1.0, 50.0, 51.0]), 10) == 1.0
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_outlines_enclose_the_region_s_area(seed):
+    rng = np.random.default_rng(seed)
+    mask = np.zeros((9, 9), bool)
+    at = np.array([4, 4])
+    for _ in range(60):
+        mask[tuple(at)] = True
+        at = np.clip(at + [(0, 1), (0, -1), (1, 0), (-1, 0)][rng.integers(4)], 0, 8)
+    free, todo = np.pad(~mask, 1, constant_values=True), [(0, 0)]
+    outside = np.zeros_like(free)
+    while todo:
+        y, x = todo.pop()
+        if 0 <= y < 11 and 0 <= x < 11 and free[y, x] and not outside[y, x]:
+            outside[y, x] = True
+            todo += [(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1), (y + 1, x + 1), (y - 1, x - 1), (y + 1, x - 1), (y - 1, x + 1)]
+    filled = int((~outside).sum())
+    p = kernels.outline(mask)
+    area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(p, p[1:] + p[:1]))) / 2
+    assert area == filled
