@@ -1,17 +1,17 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on bounded samples of labelled rows, one
-on ordinary windows and one on the passages that set toxic texts apart. A window
-is compressed behind the ordinary content alone and behind both; the bytes that
-the toxic content saves are its distance. A logistic threshold on the savings of
-a text's windows is calibrated on labelled rows that the dictionaries haven't
-seen.
+Two zstandard dictionaries are made from bounded samples of labelled rows: one is
+trained on ordinary windows, the other holds the passages that set toxic texts
+apart, the commonest nearest to the window (the trainer, made for longer samples,
+leaves most of them out). A window is compressed behind the ordinary content alone
+and behind both; the bytes that the toxic content saves are its distance. A
+logistic threshold on the savings of a text's windows is calibrated on labelled
+rows that the dictionaries haven't seen.
 """
 
 from __future__ import annotations
 
 import functools
-import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,10 +26,11 @@ SAMPLE = 6000
 #: Ordinary windows, and distinctive words, that a dictionary is trained on at most.
 WINDOWS, WORDS = 40_000, 2_000
 WINDOW = 64
-ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, 4_096
 LEVEL = 5
+FEATURES = 9
 #: A distinctive word occurs in this share of toxic texts and this many times as often as in others.
-SUPPORT, RATIO = 0.01, 8.0
+SUPPORT, RATIO = 0.02, 8.0
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -78,9 +79,9 @@ class ToxicityModel:
     def features(self, text: str | None) -> list[float]:
         d = np.sort(self.savings(text))[::-1] if self.toxic else np.zeros(0)
         if not len(d):
-            return [0.0] * 6
-        up = np.maximum(d - 2, 0)
-        return [d[0], d[:3].mean(), d[:6].mean(), d.mean(), up.mean(), float(np.log1p(len(d)))]
+            return [0.0] * FEATURES
+        c = d - np.median(d)
+        return [c[0], c[:3].mean(), c[:6].mean(), np.maximum(c - 2, 0).mean(), (c >= 3).mean(), (c >= 5).mean(), float(np.log1p((c >= 4).sum())), float(np.log1p(len(c))), d.mean()]
 
     def score(self, text: str | None) -> float:
         if self.weights is None:
@@ -88,7 +89,7 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(self.weights @ [1.0, *self.features(text)], -30, 30))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
     w = np.zeros(z.shape[1])
@@ -136,20 +137,21 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE)
     apart = words.where((F.col("yes") >= few) & (F.col("yes") / max(seen.get(1, 0), 1) >= RATIO * (F.col("no") + 1) / max(seen.get(0, 0), 1)))
     apart = [(bytes(r["word"]), r["yes"]) for r in apart.orderBy(F.desc("yes"), "word").limit(WORDS).collect()]
     plain = [bytes(r["w"]) for r in rows.where("part < 7 and toxic = 0").select("text").mapInPandas(_windows, "w binary").distinct().orderBy(F.xxhash64("w"), "w").limit(WINDOWS).collect()]
-    samples = [b" " + w + b" " for w, n in apart for _ in range(min(n, 1000))]
-    random.Random(7).shuffle(samples)
-    model = ToxicityModel(_train(plain, ORDINARY_BYTES), _train(samples, TOXIC_BYTES) if samples else b"", None, totals[1] / sum(totals.values()))
+    toxic = b"".join(w + b" " for w, _ in reversed(apart))[-TOXIC_BYTES:]
+    model = ToxicityModel(_train(plain, ORDINARY_BYTES), toxic, None, totals[1] / sum(totals.values()))
+
+    names = [f"f{i}" for i in range(FEATURES)]
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([[t, *model.features(x)] for t, x in zip(pdf["toxic"], pdf["text"])], columns=["toxic", *"abcdef"])
+            yield pd.DataFrame([[t, *model.features(x)] for t, x in zip(pdf["toxic"], pdf["text"])], columns=["toxic", *names])
 
-    held = rows.where("part >= 7").select("toxic", "text").mapInPandas(featurise, "toxic int, a double, b double, c double, d double, e double, f double").toPandas()
+    held = rows.where("part >= 7").select("toxic", "text").mapInPandas(featurise, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas()
     rows.unpersist()
     y = held["toxic"].to_numpy(np.float64)
     if 0 < y.sum() < len(y):
         weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / (len(y) - y.sum()))
-        model.weights = _logistic(held[list("abcdef")].to_numpy(np.float64), y, weight / weight.mean())
+        model.weights = _logistic(held[names].to_numpy(np.float64), y, weight / weight.mean())
     return model
 
 
