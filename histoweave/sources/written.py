@@ -27,4 +27,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     path = new_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table from `cut` that nothing reads any more; of other tables nothing."""
+    path = getattr(df, "_written", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
