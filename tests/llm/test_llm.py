@@ -414,3 +414,21 @@ def test_pipeline_stages_keep_columns_and_whole_tables(spark):
     assert kept == sorted(kept, reverse=True) and kept[1] == kept[0] and kept[2] < kept[0]
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert pieces.where("piece = 0").count() == kept[-1]
+
+
+def test_pipeline_near_dedup_links_from_four_fifths(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    rows = []
+    for g in range(40):
+        base = [f"g{g}w{k}" for k in range(204)]
+        rows.append((2 * g, " ".join(base)))
+        for k in rng.sample(range(5, 199, 10), 2 + g % 5):  # 2 to 6 words changed, so similarities from 0.74 to 0.90
+            base[k] = f"x{g}.{k}"
+        rows.append((2 * g + 1, " ".join(base)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    share = {g: len(sets[2 * g] & sets[2 * g + 1]) / len(sets[2 * g] | sets[2 * g + 1]) for g in range(40)}
+    assert any(0.8 <= x < 0.85 for x in share.values()) and any(x < 0.8 for x in share.values())
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert got == {i for i, _ in rows if i % 2 == 0 or share[i // 2] < 0.8}
