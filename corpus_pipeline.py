@@ -21,18 +21,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 #: Share of common shingles, in hundredths, from which documents are near duplicates, and the coordinates of 48 that must agree; a link at exactly 0.80 is missed with probability 1.3e-5.
 SIMILAR, MATCHES = 80, 26
+#: Column that tells rows apart inside a stage, as ids can be null or repeated.
+ROW = "__row"
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group, the one with the smallest id."""
-    kept = minhash_dedup.near_duplicates(docs, matches=MATCHES, numerator=SIMILAR).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Keep one row of each near-duplicate group, one with the smallest id; a null id comes last, and texts without words have no group."""
+    rows = cut(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    found = minhash_dedup.near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), matches=MATCHES, numerator=SIMILAR)
+    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, F.col("doc_id").cast("long").alias("id")), ROW)
+    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", ROW))[ROW].alias(ROW)).select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark passage within the edit budget."""
-    leaked = decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """Drop documents that hold a benchmark passage within the edit budget; equal texts go together, so rows are known by their text's hash."""
+    texts = docs.withColumn(ROW, F.xxhash64(F.col("text").cast("string")))
+    leaked = decontamination.leaks(texts.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
+    return texts.join(leaked, ROW, "left_anti").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

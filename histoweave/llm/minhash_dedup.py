@@ -51,12 +51,17 @@ def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarra
     return (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return ids.withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text"))
+
+
 def signatures(docs: DataFrame, coordinates: int = COORDINATES, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, two halves of the set's 128-bit hash, and the signature (null for an empty set)."""
+    """doc_id, row (a hash of id and text), n_shingles, two halves of the set's 128-bit hash, and the signature (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, text = batch.column(0), batch.column(1)
+            ids, row, text = batch.column(0), batch.column(1), batch.column(2)
             n, first, second, sig = [], [], [], []
             for t in text:
                 s = shingle_set(t.as_py(), k)
@@ -65,9 +70,9 @@ def signatures(docs: DataFrame, coordinates: int = COORDINATES, k: int = SHINGLE
                 first.append((d >> 65))
                 second.append((d & (2**63 - 1)))
                 sig.append(signature(s, coordinates) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sig, pa.list_(pa.int32()))], names=["doc_id", "n_shingles", "k1", "k2", "sig"])
+            yield pa.RecordBatch.from_arrays([ids, row, pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sig, pa.list_(pa.int32()))], names=["doc_id", "row", "n_shingles", "k1", "k2", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>")
+    return _rows(docs).select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n_shingles long, k1 long, k2 long, sig array<int>")
 
 
 def prefixes(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -174,7 +179,7 @@ def verified_links(docs: DataFrame, clusters: DataFrame, coordinates: int, match
     nodes = clusters.select(F.col("node").alias("doc"))
     if nodes.count() <= BROADCAST_ROWS:
         nodes = F.broadcast(nodes)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).join(nodes, "doc", "left_semi")
+    texts = _rows(docs).select(F.col("row").alias("doc"), "text").join(nodes, "doc", "left_semi")
     sets = placed.join(texts, "doc").mapInArrow(_sets(k), "cluster long, i int, j int, doc long, own int, shingles binary")
     return sets.groupBy("cluster", "i", "j").applyInPandas(_links(coordinates, matches, numerator, denominator), "a long, b long")
 
@@ -186,20 +191,26 @@ def near_duplicates(docs: DataFrame, coordinates: int = COORDINATES, matches: in
     their sets of k-word shingles; component_id is the smallest doc_id reachable.
     Equal sets are one class and are linked without being paired. Null, empty and
     blank texts have an empty set and are linked with nothing. Rows that share a
-    doc_id count as one document with several texts; a row with a null doc_id
-    takes the component of its class, or null, and is kept if that is null too.
-    Other columns are ignored.
+    doc_id count as one document with several texts, so their classes are linked;
+    a row with a null doc_id takes the component of its class, null if all ids
+    reachable are, and is kept if it is null. Other columns are ignored.
 
     A link at exactly 0.85 is missed with the probability that fewer than 30 of
     48 coordinates agree, 3e-5; it falls steeply above that.
     """
     found = cut(signatures(docs, coordinates, k))
-    classes = cut(found.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig")))
-    lists = prefixes(classes.where("doc is not null"), coordinates, matches)
+    classes = cut(found.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("row").alias("doc"), F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
+    lists = prefixes(classes, coordinates, matches)
     clusters = components(candidate_edges(lists, classes, matches))
     links = cut(verified_links(docs, clusters, coordinates, matches, k, numerator, denominator))
-    linked = components(links)
-    named = classes.select("k1", "k2", "doc").join(linked.withColumnRenamed("node", "doc"), "doc", "left").select("k1", "k2", F.coalesce("component", "doc").alias("c"))
+    texts = found.where("n_shingles > 0 and doc_id is not null")
+    several = texts.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("low"), F.max(F.struct("k1", "k2")).alias("high")).where("low != high").select("doc_id")
+    owned = texts.join(several, "doc_id").select("doc_id", "k1", "k2").distinct().join(classes.select("k1", "k2", "doc"), ["k1", "k2"])
+    same_id = owned.join(owned.groupBy("doc_id").agg(F.min("doc").alias("a")), "doc_id").select("a", F.col("doc").alias("b")).where("a != b")
+    linked = components(links.unionByName(same_id))
+    grouped = classes.select("k1", "k2", "doc", "id").join(linked.withColumnRenamed("node", "doc"), "doc", "left").withColumn("group", F.coalesce("component", "doc"))
+    grouped = cut(grouped.select("k1", "k2", "id", "group"))
+    named = grouped.select("k1", "k2", "group").join(grouped.groupBy("group").agg(F.min("id").alias("c")), "group").select("k1", "k2", "c")
     out = found.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.least("c", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

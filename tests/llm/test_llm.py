@@ -432,3 +432,28 @@ def test_pipeline_near_dedup_links_from_four_fifths(spark):
     assert any(0.8 <= x < 0.85 for x in share.values()) and any(x < 0.8 for x in share.values())
     got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
     assert got == {i for i, _ in rows if i % 2 == 0 or share[i // 2] < 0.8}
+
+
+def test_op1_links_all_texts_of_an_id(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(100)) for c in "pq")
+    rows = [(3, one), (3, two), (5, one + " more"), (6, two + " more"), (None, two + " still more")]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 5 and {r.component_id for r in got} == {3}
+
+
+def test_pipeline_stages_tell_rows_apart_by_more_than_their_id(spark, edge, empty):
+    import corpus_pipeline
+
+    got = corpus_pipeline.near_dedup(spark, edge, SF)
+    texts = [r.text for r in got.select("text").collect()]
+    assert got.columns == edge.columns and texts.count("solo") == 1 and texts.count("nobody home") == 1
+    assert texts.count(EDGE[0][1]) == 1 and EDGE[9][1] not in texts and {None, "", EDGE[3][1], LONG, EDGE[8][1]} <= set(texts)
+    assert len(texts) == len(EDGE) - 2  # one copy of "solo", and the text of id 9, which is that of id 1
+    rows = [(None, "an unrelated text of eight words or so"), (None, "same words " * 9), (None, "same words " * 9), (4, "same words " * 9), (4, "an own text under an id that is not its own alone")]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in (rows[0], rows[3], rows[4]))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first().text
+    leaky = edge.unionByName(spark.createDataFrame([(i, f"before {item} after", "en", "x", 1, 0.5, "q") for i in (None, 20)], edge.schema))
+    clean = corpus_pipeline.decontaminate(spark, leaky, SF)
+    assert clean.columns == edge.columns and clean.count() == len(EDGE) and clean.where("doc_id is null").count() == 1
+    assert corpus_pipeline.near_dedup(spark, empty, SF).count() == corpus_pipeline.decontaminate(spark, empty, SF).count() == 0
