@@ -3,10 +3,11 @@
 A text has one of CLASSES classes, by a hash of its most frequent word, each as
 likely as the others, so that texts of one language share restaurants. A token is
 spelled by its characters and an end symbol; the end of a text is the empty token.
-A context is the class and then the `order - 2` symbols before in the token. It is
+A context is the class and then the `order - 2` symbols before in the text, those
+of earlier tokens among them, so the order of words counts. It is
 a restaurant, its parent is the context without the first symbol, and the root's
-parent is uniform over all code points. So frequent words are predicted as such,
-and unknown ones by how words are built.
+parent is uniform over all code points. So frequent words and what follows them
+are predicted as such, and unknown ones by how words are built.
 
 Counting, seating and scoring are Spark jobs. All n-grams that share their last
 two symbols lie on common paths to the root, so a Gibbs sweep is one grouped pass
@@ -31,14 +32,14 @@ from histoweave.llm.common import cut, fold
 from histoweave.llm.words import mix, spans, text_bytes
 from histoweave.sources.written import discard
 
-ORDER = 5
-CLASSES = 16
+ORDER = 7
+CLASSES = 32
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 0.5
 EXACT = 32
-#: Text bytes, words and n-grams that one task handles together.
-BATCH_BYTES, BATCH_WORDS, BUCKET_ROWS = 16_000_000, 150_000, 100_000
-#: Stands for the end of a word and for what precedes its start; in texts it is read as U+FFFD.
+#: Text bytes and n-grams that one task handles together.
+BATCH_BYTES, BUCKET_ROWS = 4_000_000, 100_000
+#: Stands for the end of a word and for what precedes a text; in texts it is read as U+FFFD.
 END = 0x10FFFF
 _SYMBOLS = 0x110000
 #: Hash of the empty token.
@@ -65,23 +66,24 @@ def classes(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def entry_keys(h: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    return mix(h + (kind.astype(np.uint64) + np.uint64(1)) * _STEP[-1])
+def spelled(b: bytes, start: np.ndarray, end: np.ndarray, begin: np.ndarray) -> list[str]:
+    """Each text as its words, every one closed by an end symbol."""
+    words = [b[i:j].decode("utf-8", "replace").replace(chr(END), "\ufffd") + chr(END) for i, j in zip(start.tolist(), end.tolist())]
+    return ["".join(words[lo:hi]) for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(words)])]
 
 
-def stream(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of several words, each after order - 1 ends and closed by one; and where each word starts."""
+def stream(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of several spelled texts, each after order - 1 ends and closed by one, the empty token; and where each starts."""
     pad = chr(END) * (order - 1)
-    clean = [t.replace(chr(END), "\ufffd") for t in words]
-    symbols = np.frombuffer((pad + (chr(END) + pad).join(clean) + chr(END)).encode("utf-32-le"), np.uint32)
-    sizes = np.array([len(t) for t in clean], np.int64) + order
+    symbols = np.frombuffer((pad + (chr(END) + pad).join(texts) + chr(END)).encode("utf-32-le"), np.uint32)
+    sizes = np.array([len(t) for t in texts], np.int64) + order
     return symbols, np.cumsum(sizes) - sizes + order - 1
 
 
-def classed_grams(words: list[str], kind: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, hashes of a class and the order - 1 symbols that end at each place, the classes, and where each word's predictions start."""
+def classed_grams(texts: list[str], kind: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, hashes of a class and the order - 1 symbols that end at each place, the classes, and where each text's predictions start."""
     inner = order - 1
-    symbols, starts = stream(words, inner)
+    symbols, starts = stream(texts, inner)
     n = max(len(symbols) - inner + 1, 0)
     size = np.diff(np.append(starts, len(symbols) + inner - 1))
     each = np.repeat(kind, size)[:n]
@@ -100,26 +102,23 @@ def _inside(starts: np.ndarray, total: int, order: int) -> np.ndarray:
 
 
 def count_words(texts: list[str | None], train: np.ndarray) -> pd.DataFrame:
-    """Distinct pairs of class and word of some texts, the empty word for their ends among them, with their counts in the training ones."""
+    """Distinct word hashes of some texts, the empty word for their ends among them, with their counts in the training ones."""
+    _, _, _, h, begin = joined(texts)
+    weight = np.repeat(train.astype(np.float64), np.diff(np.append(begin, len(h))))
+    key, at = np.unique(h, return_inverse=True)
+    out = pd.DataFrame({"key": key.view(np.int64), "c": np.bincount(at, weight, len(key)).astype(np.int64)})
+    return pd.concat([out, pd.DataFrame({"key": [-1], "c": [int(train.sum())]})], ignore_index=True)
+
+
+def count_grams(texts: list[str | None], train: np.ndarray, order: int) -> pd.DataFrame:
+    """Distinct n-grams of some texts with their counts in the training ones; a class is a symbol of its number."""
     b, start, end, h, begin = joined(texts)
-    kind, size = classes(h, begin), np.diff(np.append(begin, len(h)))
-    each, weight = np.repeat(kind, size), np.repeat(train.astype(np.float64), size)
-    key, first, at = np.unique(entry_keys(h, each), return_index=True, return_inverse=True)
-    words = [b[s:e].decode("utf-8", "replace") for s, e in zip(start[first].tolist(), end[first].tolist())]
-    out = pd.DataFrame({"key": key.view(np.int64), "token": h[first].view(np.int64), "kind": each[first], "word": words, "c": np.bincount(at, weight, len(key)).astype(np.int64)})
-    used = np.unique(kind)
-    ends = pd.DataFrame({"key": entry_keys(np.full(len(used), TEXT_END), used).view(np.int64), "token": -1, "kind": used, "word": "", "c": np.bincount(kind, train.astype(np.float64), CLASSES).astype(np.int64)[used]})
-    return pd.concat([out, ends], ignore_index=True)
-
-
-def count_grams(words: list[str], kind: np.ndarray, weight: np.ndarray, order: int) -> pd.DataFrame:
-    """Distinct n-grams of some words, counted by the words' weights; a class is a symbol of its number."""
-    symbols, keys, each, starts = classed_grams(words, kind, order)
+    symbols, keys, each, starts = classed_grams(spelled(b, start, end, begin), classes(h, begin), order)
     where = np.flatnonzero(_inside(starts, len(symbols), order - 1))
     key, first, at = np.unique(keys[where], return_index=True, return_inverse=True)
     rows = np.column_stack([each[where[first]], symbols[where[first][:, None] + np.arange(order - 1)[None, :]]])
     text = rows.astype("<u4").tobytes().decode("utf-32-le")
-    times = np.repeat(weight, np.diff(np.append(starts, len(symbols) + order - 2)) - order + 2)
+    times = np.repeat(train.astype(np.float64), np.diff(np.append(starts, len(symbols) + order - 2)) - order + 2)
     return pd.DataFrame({"key": key.view(np.int64), "gram": [text[i : i + order] for i in range(0, len(text), order)], "c": np.bincount(at, times, len(key)).astype(np.int64)})
 
 
@@ -248,60 +247,34 @@ def train(grams: DataFrame, order: int = ORDER, theta: float = STRENGTH, burn_in
     return rows.where(F.col("level") == order - 1).select("key", (F.col("p") / samples).alias("p"))
 
 
-def _spell(order: int):
-    """log10 of each word's spelling probability."""
-
-    def run(words: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        key = answers["key"].to_numpy(np.int64).view(np.uint64)
-        at = np.argsort(key)
-        key, p = key[at], np.log10(answers["p"].to_numpy(np.float64))[at]
-        symbols, keys, _, starts = classed_grams(words["word"].tolist(), words["kind"].to_numpy(np.int64), order)
-        inside = _inside(starts, len(symbols), order - 1)
-        value = np.zeros(len(keys))
-        value[inside] = p[np.searchsorted(key, keys[inside])]
-        return pd.DataFrame({"key": words["key"], "token": words["token"], "value": np.add.reduceat(value, starts - order + 2)})
-
-    return run
-
-
-def spell(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """(key, token, value) of words(key, token, kind, word, c): the averaged log10 probability of each word's symbols in its class."""
-    batches = max(8, -(-words.count() // BATCH_WORDS))
-    placed = words.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(batches)).cast("int"))
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = count_grams(pdf["word"].tolist(), pdf["kind"].to_numpy(np.int64), pdf["c"].to_numpy(), order)
-        out.insert(0, "part", pdf["part"].iloc[0])
-        return out
-
-    rows = cut(placed.groupBy("part").applyInPandas(count, "part int, key long, gram string, c long"))
-    grams = cut(rows.groupBy("key", "gram").agg(F.sum("c").alias("c")))
-    model = train(grams, order)
-    discard(grams)
-    answers = rows.select("part", "key").join(model, "key")
-    return placed.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_spell(order), "key long, token long, value double")
-
-
-def _score(total: int, distinct: int):
+def _score(total: int, distinct: int, order: int):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        key = answers["key"].to_numpy(np.int64).view(np.uint64)
-        at = np.argsort(key)
-        key, c, p = key[at], answers["c"].to_numpy(np.int64)[at], answers["value"].to_numpy(np.float64)[at]
+        def sorted_by_key(side: pd.DataFrame, column: str) -> tuple[np.ndarray, np.ndarray]:
+            key = side["key"].to_numpy(np.int64).view(np.uint64)
+            at = np.argsort(key)
+            return key[at], side[column].to_numpy(np.float64)[at]
+
+        of_words = answers["c"].notna()
+        key, c = sorted_by_key(answers[of_words], "c")
+        gram, p = sorted_by_key(answers[~of_words], "p")
         logs = np.log10(c + 1.0) - math.log10(total + distinct + 1)
-        _, _, _, h, begin = joined(docs["text"].tolist())
+        b, start, end, h, begin = joined(docs["text"].tolist())
         size = np.diff(np.append(begin, len(h)))
-        kind = classes(h, begin)
-        i = np.searchsorted(key, entry_keys(h, np.repeat(kind, size)))
-        end = np.searchsorted(key, entry_keys(np.full(len(kind), TEXT_END), kind))
+        i, last = np.searchsorted(key, h), np.searchsorted(key, TEXT_END)
 
         def sums(values: np.ndarray) -> np.ndarray:
             """Of each text's words and its end."""
             out, some = np.zeros(len(size)), size > 0
             if some.any():
                 out[some] = np.add.reduceat(values[i], begin[some])
-            return out + values[end]
+            return out + values[last]
 
-        return pd.DataFrame({"doc_id": docs["doc_id"].to_numpy(), "held_out": docs["held_out"].to_numpy(), "n_tokens": size + 1, "n_known": sums((c > 0).astype(np.float64)).astype(np.int64), "train_tokens": total, "base_score": sums(logs), "score": sums(p) - math.log10(CLASSES)})
+        symbols, keys, _, starts = classed_grams(spelled(b, start, end, begin), classes(h, begin), order)
+        inside = _inside(starts, len(symbols), order - 1)
+        value = np.zeros(len(keys))
+        value[inside] = np.log10(p)[np.searchsorted(gram, keys[inside])]
+        score = np.add.reduceat(value, starts - order + 2) - math.log10(CLASSES)
+        return pd.DataFrame({"doc_id": docs["doc_id"].to_numpy(), "held_out": docs["held_out"].to_numpy(), "n_tokens": size + 1, "n_known": sums((c > 0).astype(np.float64)).astype(np.int64), "train_tokens": total, "base_score": sums(logs), "score": score})
 
     return run
 
@@ -319,18 +292,24 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     batches = max(12, -(-size // BATCH_BYTES))
     ids = ids.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = count_words(pdf["text"].tolist(), ~pdf["held_out"].to_numpy(bool))
-        out.insert(0, "batch", pdf["batch"].iloc[0])
-        return out
+    def counting(f):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            out = f(pdf["text"].tolist(), ~pdf["held_out"].to_numpy(bool))
+            out.insert(0, "batch", pdf["batch"].iloc[0])
+            return out
+
+        return run
 
-    counted = cut(ids.groupBy("batch").applyInPandas(count, "batch int, key long, token long, kind int, word string, c long"))
-    words = cut(counted.groupBy("key", "token", "kind").agg(F.min("word").alias("word"), F.sum("c").alias("c")))
-    rows = cut(counted.select("batch", "key"))
-    discard(counted)
-    counts = cut(words.groupBy("token").agg(F.sum("c").alias("c")))
+    words = cut(ids.groupBy("batch").applyInPandas(counting(count_words), "batch int, key long, c long"))
+    counts = cut(words.groupBy("key").agg(F.sum("c").alias("c")))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    known = spell(words, order).join(counts, "token").select("key", "c", "value")
-    answers = rows.select("batch", "key").join(known, "key")
+    rows = cut(ids.groupBy("batch").applyInPandas(counting(functools.partial(count_grams, order=order)), "batch int, key long, gram string, c long"))
+    grams = cut(rows.groupBy("key", "gram").agg(F.sum("c").alias("c")))
+    places = cut(rows.select("batch", "key"))
+    discard(rows)
+    model = train(grams, order)
+    discard(grams)
+    of_words = words.select("batch", "key").join(counts, "key").select("batch", "key", F.col("c").cast("double").alias("c"), F.lit(None).cast("double").alias("p"))
+    answers = of_words.unionByName(places.join(model, "key").select("batch", "key", F.lit(None).cast("double").alias("c"), "p"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return ids.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_score(total, distinct), schema)
+    return ids.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(_score(total, distinct, order), schema)

@@ -457,3 +457,25 @@ def test_pipeline_stages_tell_rows_apart_by_more_than_their_id(spark, edge, empt
     clean = corpus_pipeline.decontaminate(spark, leaky, SF)
     assert clean.columns == edge.columns and clean.count() == len(EDGE) and clean.where("doc_id is null").count() == 1
     assert corpus_pipeline.near_dedup(spark, empty, SF).count() == corpus_pipeline.decontaminate(spark, empty, SF).count() == 0
+
+
+def test_op4_as_registered_beats_the_base_and_counts_the_order_of_words(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(30)]
+    after = {w: names[(i + 1) % 30] for i, w in enumerate(names)}
+    rows = []
+    for i in range(60):
+        w = [rng.choice(names)]
+        while len(w) < 60:
+            w.append(after[w[-1]])
+        rows.append((i, " ".join(["the", "the", "the", *w])))
+    held = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    other = next(i for i in range(held + 1, 2000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    w = rows[0][1].split()
+    rows += [(held, " ".join(w)), (other, " ".join(w[:3] + rng.sample(w[3:], len(w) - 3)))]
+    got = {r.doc_id: r for r in pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert abs(got[held].base_score - got[other].base_score) < 1e-6 and got[held].score > got[other].score + 20
+    assert got[held].score > got[held].base_score
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    trained = [r for r in pitman_yor.score_documents(docs).collect() if not r.held_out]
+    assert sum(r.score for r in trained) > sum(r.base_score for r in trained)
