@@ -33,6 +33,28 @@ def compute_shift(a: np.ndarray, b: np.ndarray) -> tuple[float, float, int]:
     return dx, dy, leave
 
 
+def shift_covariance(a: np.ndarray, b: np.ndarray, dx: float, dy: float, factor: float = 0.25) -> tuple[float, float, float]:
+    """(covxx, covxy, covyy) of a shift from `compute_shift`: 2 * error * factor^2 * the inverse of minus the Hessian at the correlation's peak.
+
+    The error is that of the correlation of a and b moved onto it, with their
+    difference as both images' errors. NaN where the peak has no positive definite one.
+    """
+    a, b = a - a.mean(), b - b.mean()
+    c = np.real(np.fft.ifft2(np.fft.fft2(a) * np.conj(np.fft.fft2(b))))
+    y, x = np.unravel_index(int(c.argmax()), c.shape)
+    h, w = c.shape
+    at = lambda i, j: float(c[(y + i) % h, (x + j) % w])
+    xx, yy = at(0, -1) - 2 * at(0, 0) + at(0, 1), at(-1, 0) - 2 * at(0, 0) + at(1, 0)
+    xy = (at(1, 1) - at(1, -1) - at(-1, 1) + at(-1, -1)) / 4
+    det = xx * yy - xy * xy
+    if not (xx < 0 and yy < 0 and det > 0):
+        return float("nan"), float("nan"), float("nan")
+    moved = fourier_shift(b, dx, dy)
+    error = float(np.sqrt((((a - moved) ** 2) * (a * a + moved * moved)).sum()))
+    scale = 2 * error * factor**2 / det
+    return -yy * scale, xy * scale, -xx * scale
+
+
 def smooth(a: np.ndarray, sigma: float) -> np.ndarray:
     """Separable Gaussian with reflected borders."""
     r = max(1, int(4 * sigma + 0.5))
@@ -45,13 +67,13 @@ def smooth(a: np.ndarray, sigma: float) -> np.ndarray:
     return out
 
 
-def label(mask: np.ndarray) -> np.ndarray:
-    """Numbers the 8-connected regions of a mask, from 1 in order of their first pixel."""
+def label(mask: np.ndarray, diagonal: bool = True) -> np.ndarray:
+    """Numbers the 8-connected regions of a mask, or the 4-connected ones, from 1 in order of their first pixel."""
     out = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
     while True:
         p = np.pad(out, 1)
         p = np.where(p == 0, mask.size + 1, p)
-        low = np.min([p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1)], axis=0)
+        low = np.min([p[1 + i : p.shape[0] - 1 + i, 1 + j : p.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1) if diagonal or not i or not j], axis=0)
         new = np.where(mask, low, 0)
         if (new == out).all():
             break
@@ -154,8 +176,8 @@ def close_mask(mask: np.ndarray, steps: int = 1) -> np.ndarray:
     return out
 
 
-def outline(mask: np.ndarray) -> list[tuple[int, int]]:
-    """Corner points of the outer border of one 4-connected region, clockwise in image coordinates, on pixel edges."""
+def outline(mask: np.ndarray, diagonal: bool = False) -> list[tuple[int, int]]:
+    """Corner points of the outer border of one 4-connected region, or 8-connected one if `diagonal`, clockwise in image coordinates, on pixel edges."""
     p = np.pad(mask.astype(bool), 1)
     inside = lambda x, y: bool(p[y + 1, x + 1])
     ys, xs = np.nonzero(mask)
@@ -168,7 +190,9 @@ def outline(mask: np.ndarray) -> list[tuple[int, int]]:
         # pixels ahead, left and right of the edge walked so far
         left = {(1, 0): (x, y - 1), (0, 1): (x, y), (-1, 0): (x - 1, y), (0, -1): (x - 1, y - 1)}[d]
         right = {(1, 0): (x, y), (0, 1): (x - 1, y), (-1, 0): (x - 1, y - 1), (0, -1): (x, y - 1)}[d]
-        if not inside(*right):
+        if diagonal and inside(*left):
+            turn = (d[1], -d[0])
+        elif not inside(*right):
             turn = (-d[1], d[0])
         elif inside(*left):
             turn = (d[1], -d[0])
@@ -181,6 +205,28 @@ def outline(mask: np.ndarray) -> list[tuple[int, int]]:
             return out[-1:] + out[:-1]
 
 
+def contours(mask: np.ndarray) -> list[tuple[int, int, int, list[tuple[int, int]]]]:
+    """(ring, depth, parent, outline) of every 8-connected region and every 4-connected hole of a mask.
+
+    Regions have the numbers of `label`, holes those after. Regions have even
+    depths, from 0, and the hole they lie in as parent; holes have odd depths and
+    the region around them. Parent 0 is none.
+    """
+    p = np.pad(mask.astype(bool), 1)
+    regions, gaps = label(p), label(~p, diagonal=False)  # the first gap is the outside, as it has the first pixel
+    n, holes = int(regions.max()), int(gaps.max()) - 1
+    number = np.where(p, regions, np.where(gaps > 1, gaps - 1 + n, 0))
+    parent = {0: -1}
+    for k in range(1, n + holes + 1):
+        y, x = np.argwhere(number == k)[0]
+        parent[k] = int(number[y - 1, x])  # above a topmost pixel is what surrounds it
+
+    def depth(k: int) -> int:
+        return -1 if k == 0 else depth(parent[k]) + 1
+
+    return [(k, depth(k), parent[k], [(x - 1, y - 1) for x, y in outline(number == k, diagonal=k <= n)]) for k in range(1, n + holes + 1)]
+
+
 def simplify(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
     """Ramer-Douglas-Peucker: the ends stay, and any point further than the tolerance from the chord."""
     p = np.array(points, float)

@@ -49,7 +49,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("im-01")
 def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [kernels.compute_shift(a.astype(float), np.roll(a.astype(float), 1, axis=1))], "dx double, dy double, exit int")
+    def shift(a: np.ndarray) -> list[tuple]:
+        a, b = a.astype(float), np.roll(a.astype(float), 1, axis=1)
+        dx, dy, leave = kernels.compute_shift(a, b)
+        return [(dx, dy, leave, *kernels.shift_covariance(a, b, dx, dy))]
+
+    return kernels.per_image(t.pixels, shift, "dx double, dy double, exit int, covxx double, covxy double, covyy double")
 
 
 @query("im-03")
@@ -114,16 +119,9 @@ def _(t: Tables) -> DataFrame:
 
 @query("sp-10")
 def _(t: Tables) -> DataFrame:
-    """Outline of the largest region of each image, as points in order."""
-
-    def largest(a: np.ndarray) -> list[tuple]:
-        found = kernels.label(a > 0)
-        if not found.any():
-            return []
-        k = int(np.bincount(found.ravel())[1:].argmax()) + 1
-        return [(i, int(x), int(y)) for i, (x, y) in enumerate(kernels.outline(found == k))]
-
-    return kernels.per_image(t.pixels, largest, "vid int, x int, y int")
+    """Outlines of all regions and holes of each image, as points in order, with depth and parent."""
+    rings = lambda a: [(k, depth, parent, i, int(x), int(y)) for k, depth, parent, points in kernels.contours(a > 0) for i, (x, y) in enumerate(points)]
+    return kernels.per_image(t.pixels, rings, "region int, depth int, parent int, vid int, x int, y int")
 
 
 @query("sp-11")

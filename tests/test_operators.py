@@ -138,3 +138,37 @@ def test_outlines_enclose_the_region_s_area(seed):
     p = kernels.outline(mask)
     area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(p, p[1:] + p[:1]))) / 2
     assert area == filled
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_contours_of_all_regions_and_holes_restore_the_mask(seed):
+    mask = np.random.default_rng(seed).random((9, 9)) < 0.55
+    if seed == 0:  # an island in a hole
+        mask = np.ones((9, 9), bool)
+        mask[1:8, 1:8], mask[3:6, 3:6], mask[4, 4] = False, True, False
+    found = kernels.contours(mask)
+    by = {k: (depth, parent) for k, depth, parent, _ in found}
+    area = sum((-1) ** depth * abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(p, p[1:] + p[:1]))) / 2 for _, depth, _, p in found)
+    assert area == mask.sum() and {k for k, (depth, _) in by.items() if depth % 2 == 0} == set(range(1, kernels.label(mask).max() + 1))
+    assert all(depth == (by[parent][0] + 1 if parent else 0) for depth, parent in by.values())
+    if seed == 0:
+        assert by == {1: (0, 0), 2: (2, 3), 3: (1, 1), 4: (3, 2)}
+
+
+def test_contour_query_has_every_region(spark):
+    from histoweave.plans import QUERIES
+
+    rings = QUERIES["sp-10"](spark, "/root/testdata/sf0.001").where("depth % 2 = 0").select("vec_id", "layer", "region").distinct()
+    boxes = QUERIES["im-12"](spark, "/root/testdata/sf0.001").select("vec_id", "layer", "region")
+    assert rings.count() == boxes.count() and rings.exceptAll(boxes).count() == 0
+
+
+def test_shift_covariance_grows_with_noise():
+    rng = np.random.default_rng(3)
+    a = kernels.smooth(rng.normal(size=(32, 32)), 1.5)
+    cov = []
+    for noise in (0.0, 0.02, 0.1):
+        b = np.roll(a, (2, -3), (0, 1)) + noise * rng.normal(size=a.shape)
+        dx, dy, _ = kernels.compute_shift(a, b)
+        cov.append(kernels.shift_covariance(a, b, dx, dy))
+    assert all(xx > 0 and yy > 0 and xx * yy > xy * xy for xx, xy, yy in cov) and cov[0][0] < cov[1][0] < cov[2][0]
