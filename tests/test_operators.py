@@ -172,3 +172,13 @@ def test_shift_covariance_grows_with_noise():
         dx, dy, _ = kernels.compute_shift(a, b)
         cov.append(kernels.shift_covariance(a, b, dx, dy))
     assert all(xx > 0 and yy > 0 and xx * yy > xy * xy for xx, xy, yy in cov) and cov[0][0] < cov[1][0] < cov[2][0]
+
+
+def test_every_polygon_is_rasterised(spark):
+    from histoweave.plans import QUERIES
+    from histoweave.plans.registry import Tables
+
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES["sp-09-all"](spark, sf).select("id")
+    want = Tables(spark, sf).poly.select("id")
+    assert got.count() == want.count() and want.where("id % 10 != 0").exceptAll(got).count() == 0
