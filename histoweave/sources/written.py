@@ -23,16 +23,16 @@ def new_path(spark: SparkSession, kind: str = "cut") -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """Write a table to the shared folder, partitioned by some columns, and read it back: lineage ends there and lost executors cost nothing."""
     path = new_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written = path
     return out
 
 
-def discard(df: DataFrame) -> None:
+def discard(df: DataFrame | None) -> None:
     """Delete the files of a table from `cut` that nothing reads any more; of other tables nothing."""
     path = getattr(df, "_written", None)
     if path:
