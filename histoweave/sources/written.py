@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,26 @@ def new_path(spark: SparkSession, kind: str = "cut") -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run in here remove their shuffle files when they end, as nothing reads them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame, *by: str) -> DataFrame:
     """Write a table to the shared folder, partitioned by some columns, and read it back: lineage ends there and lost executors cost nothing."""
     path = new_path(df.sparkSession)
-    df.write.partitionBy(*by).parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.partitionBy(*by).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written = path
     return out
