@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from histoweave.llm.common import cut
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+#: Fixed value: the tokenizer's added token, which is one id wherever it stands in a text.
+SPECIAL = {"<|endoftext|>": 50256}
 CAPACITY = 2048
 OPEN_BINS = 512
 #: A round of repacking gathers about so many partly filled bins in a task.
@@ -74,8 +76,8 @@ class BestFit:
 class Encoder:
     """Token ids of texts, as little-endian uint32 bytes; the last texts are kept, for runs of copies.
 
-    The vocabulary is that of `byte_bpe_50k.json`, read as ranks, which gives the
-    same ids several times faster.
+    The vocabulary and its special token are those of `byte_bpe_50k.json`, read as
+    ranks, which gives the same ids several times faster.
     """
 
     KEPT = 256
@@ -86,7 +88,8 @@ class Encoder:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
-        self.encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        coding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        self.encode = functools.partial(coding.encode, allowed_special=set(SPECIAL))
         self.known: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
@@ -168,7 +171,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
     alone. Documents longer than `capacity` are cut, all others stay whole.
     Rows with equal or null ids are packed each. Sequences are numbered without
     meaning; offsets in one start at 0 and leave no gap. Other columns are
-    ignored. The order within a sequence is the order of packing.
+    ignored. The order within a sequence is the order of packing. Both tables of
+    bins grow with the input, so they are joined by shuffles.
     """
     path = tokenizer or tokenizer_path()
     local = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(_pack(path, capacity, open_bins), PIECES))
@@ -182,9 +186,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
         items = items.repartition(n, F.xxhash64("part", "bin")).sortWithinPartitions(F.desc("fill"), "part", "bin")
         moved = items.mapInPandas(_repack(capacity, open_bins), "part int, bin long, fill long, to_part int, to_bin long, base long, total long")
         moved = moved.select(F.col("part").alias("to_part"), F.col("bin").alias("to_bin"), F.col("to_part").alias("new_part"), F.col("to_bin").alias("new_bin"), F.col("base").alias("add"))
-        now = left.alias("l").join(moved, ["to_part", "to_bin"], "left")
+        now = left.alias("l").join(moved.hint("shuffle_hash"), ["to_part", "to_bin"], "left")
         hit = F.col("new_bin").isNotNull() & (F.col("round") == r - 1)
         left = now.select("part", "bin", "fill", F.when(hit, r).otherwise(F.col("round")).alias("round"), F.when(hit, F.col("new_part")).otherwise(F.col("to_part")).alias("to_part"), F.when(hit, F.col("new_bin")).otherwise(F.col("to_bin")).alias("to_bin"), (F.col("base") + F.when(hit, F.col("add")).otherwise(0)).alias("base"))
-    placed = local.join(left.select("part", "bin", "round", "to_part", "to_bin", "base"), ["part", "bin"], "left")
+    placed = local.join(left.select("part", "bin", "round", "to_part", "to_bin", "base").hint("shuffle_hash"), ["part", "bin"], "left")
     number = F.shiftleft(F.coalesce("round", F.lit(0)).cast("long"), 60) + F.shiftleft(F.coalesce("to_part", "part").cast("long"), 34) + F.coalesce("to_bin", "bin")
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"))

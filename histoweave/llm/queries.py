@@ -38,7 +38,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    return toxicity.score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"))
     return language_id.identify(docs, language_id.fit(docs, ~F.col("held_out")), ("doc_id", "held_out"))
 
 

@@ -1,17 +1,22 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from bounded samples of labelled rows: one is
-trained on ordinary windows, the other holds the passages that set toxic texts
-apart, the commonest nearest to the window (the trainer, made for longer samples,
-leaves most of them out). A window is compressed behind the ordinary content alone
-and behind both; the bytes that the toxic content saves are its distance. A
-logistic threshold on the savings of a text's windows is calibrated on labelled
-rows that the dictionaries haven't seen.
+Two zstandard dictionaries are made from bounded samples of labelled rows: the
+ordinary one is trained on windows of ordinary texts, the toxic one has the same
+content and then the passages that set toxic texts apart, the commonest nearest to
+the window. A window's distance is the number of bytes by which the toxic
+dictionary compresses it shorter than the ordinary one. What exceeds a threshold is
+summed over a text's windows, against the square root of their number, and a second
+threshold on that sum decides. Both are calibrated on labelled rows that the
+dictionaries haven't seen; the score is logistic in the sum around the second one.
+
+The toxic content isn't trained by zstandard: its trainer fills a dictionary with
+what is frequent, which is ordinary words in toxic texts too (README has figures).
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,12 +28,13 @@ from pyspark.sql import functions as F
 
 #: Labelled documents of each class that are learned from at most, chosen by a hash.
 SAMPLE = 6000
-#: Ordinary windows, and distinctive words, that a dictionary is trained on at most.
+#: Sizes of the model: ordinary windows, and distinctive words, that its dictionaries are made from at most.
 WINDOWS, WORDS = 40_000, 2_000
 WINDOW = 64
 ORDINARY_BYTES, TOXIC_BYTES = 16_384, 4_096
-LEVEL = 5
-FEATURES = 9
+LEVEL = 9
+#: Bytes of a window's distance that may count as none; calibration chooses one.
+THRESHOLDS = (0, 1, 2, 3)
 #: A distinctive word occurs in this share of toxic texts and this many times as often as in others.
 SUPPORT, RATIO = 0.02, 8.0
 
@@ -69,40 +75,35 @@ def _compressor(content: bytes):
 class ToxicityModel:
     ordinary: bytes
     toxic: bytes
-    weights: np.ndarray | None = None
+    threshold: float = 0.0
+    intercept: float | None = None  # None: a constant score, the prior
+    slope: float = 0.0
     prior: float = 0.0
 
-    def savings(self, text: str | None) -> np.ndarray:
-        plain, both = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic)
-        return np.array([len(plain(w)) - len(both(w)) for w in windows(text)], np.float64)
-
-    def features(self, text: str | None) -> list[float]:
-        d = np.sort(self.savings(text))[::-1] if self.toxic else np.zeros(0)
-        if not len(d):
-            return [0.0] * FEATURES
-        c = d - np.median(d)
-        return [c[0], c[:3].mean(), c[:6].mean(), np.maximum(c - 2, 0).mean(), (c >= 3).mean(), (c >= 5).mean(), float(np.log1p((c >= 4).sum())), float(np.log1p(len(c))), d.mean()]
+    def distances(self, text: str | None) -> np.ndarray:
+        """Of each window: its length by the ordinary dictionary less that by the toxic one."""
+        plain, toxic = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic)
+        return np.array([len(plain(w)) - len(toxic(w)) for w in windows(text)], np.float64)
 
     def score(self, text: str | None) -> float:
-        if self.weights is None:
+        if self.intercept is None:
             return self.prior
-        return float(1 / (1 + np.exp(-np.clip(self.weights @ [1.0, *self.features(text)], -30, 30))))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3) -> np.ndarray:
-    mean, scale = x.mean(0), x.std(0) + 1e-9
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    w = np.zeros(z.shape[1])
-    penalty = ridge * np.eye(len(w))
-    penalty[0, 0] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + penalty, z.T @ (weight * (y - p)) - penalty @ w)
-        w += step
-        if abs(step).max() < 1e-8:
-            break
-    out = np.concatenate([[w[0] - (w[1:] * mean / scale).sum()], w[1:] / scale])
-    return out
+        return float(1 / (1 + np.exp(-np.clip(self.intercept + self.slope * excess(self.distances(text), self.threshold), -30, 30))))
+
+
+def excess(distances: np.ndarray, threshold: float) -> float:
+    return float(np.maximum(distances - threshold, 0).sum() / math.sqrt(max(len(distances), 1)))
+
+
+def calibrate(sums: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """(weighted errors, threshold, slope): the threshold on the sums with the fewest errors, midway between two values; the slope is the ordinary sums' inverse deviation."""
+    order = np.argsort(sums, kind="stable")
+    x, w = sums[order], np.where(y[order] > 0, weight[order], -weight[order])
+    errors = np.concatenate(([weight[y == 0].sum()], weight[y == 0].sum() + np.cumsum(w)))  # of calling the first i ordinary
+    ends = np.concatenate(([True], x[1:] != x[:-1], [True]))
+    best = int(np.where(ends, errors, np.inf).argmin())
+    cut = x[0] - 1 if best == 0 else x[-1] + 1 if best == len(x) else (x[best - 1] + x[best]) / 2
+    return float(errors[best]), float(cut), 1 / max(float(sums[y == 0].std()), 0.05)
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE)
     known = labels.where(train & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not all(totals.get(c) for c in (0, 1)):
-        return ToxicityModel(b"", b"", None, 1.0 if totals.get(1) else 0.0)
+        return ToxicityModel(b"", b"", prior=1.0 if totals.get(1) else 0.0)
     chosen = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * sample rows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(picked, "doc_id").dropDuplicates(["text"]).select("toxic", "text", F.pmod(F.xxhash64("text"), F.lit(10)).alias("part")).cache()
@@ -138,25 +139,30 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE)
     apart = [(bytes(r["word"]), r["yes"]) for r in apart.orderBy(F.desc("yes"), "word").limit(WORDS).collect()]
     plain = [bytes(r["w"]) for r in rows.where("part < 7 and toxic = 0").select("text").mapInPandas(_windows, "w binary").distinct().orderBy(F.xxhash64("w"), "w").limit(WINDOWS).collect()]
     toxic = b"".join(w + b" " for w, _ in reversed(apart))[-TOXIC_BYTES:]
-    model = ToxicityModel(_train(plain, ORDINARY_BYTES), toxic, None, totals[1] / sum(totals.values()))
-
-    names = [f"f{i}" for i in range(FEATURES)]
+    model = ToxicityModel(_train(plain, ORDINARY_BYTES), toxic, prior=totals[1] / sum(totals.values()))
 
-    def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([[t, *model.features(x)] for t, x in zip(pdf["toxic"], pdf["text"])], columns=["toxic", *names])
+            found = [model.distances(x) for x in pdf["text"]]
+            yield pd.DataFrame([[t, *(excess(d, c) for c in THRESHOLDS)] for t, d in zip(pdf["toxic"], found)], columns=["toxic", *[f"x{c}" for c in THRESHOLDS]])
 
-    held = rows.where("part >= 7").select("toxic", "text").mapInPandas(featurise, ", ".join(["toxic int", *[f"{n} double" for n in names]])).toPandas()
+    held = rows.where("part >= 7").select("toxic", "text").mapInPandas(measure, ", ".join(["toxic int", *[f"x{c} double" for c in THRESHOLDS]])).toPandas()
     rows.unpersist()
-    y = held["toxic"].to_numpy(np.float64)
-    if 0 < y.sum() < len(y):
-        weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / (len(y) - y.sum()))
-        model.weights = _logistic(held[names].to_numpy(np.float64), y, weight / weight.mean())
+    y = held["toxic"].to_numpy(np.int64)
+    if toxic and 0 < y.sum() < len(y):
+        weight = np.where(y > 0, totals[1] / y.sum(), totals[0] / (len(y) - y.sum())) / sum(totals.values())
+        (_, cut, slope), model.threshold = min((calibrate(held[f"x{c}"].to_numpy(np.float64), y, weight), c) for c in THRESHOLDS)
+        model.intercept, model.slope = -slope * cut, slope
     return model
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id, score and predicted for every row of docs(doc_id, text); null texts score as empty ones."""
+    """doc_id, score and predicted for every row of docs(doc_id, text).
+
+    Null texts score as empty ones, whose sum is 0. Rows with null or equal ids
+    are scored each, equal texts alike; predicted is 1 from a score of 0.5, ties
+    included. Other columns are ignored.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
