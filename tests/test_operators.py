@@ -41,6 +41,22 @@ def test_components_on_paths_stars_and_loops(spark):
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[k] == 500 for k in range(500, 540)) and got[7] == 7 and 3 not in got
 
 
+def test_components_look_hubs_up_apart(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(components, "DEGREE", 3)
+    monkeypatch.setattr(components, "SHARE", 0.0)
+    rng = random.Random(3)
+    for size, links in ((60, 30), (60, 80), (40, 39)):
+        edges = [(rng.randrange(size), rng.randrange(size)) for _ in range(links)] + [(0, k) for k in range(100, 120)] + [(200, k) for k in range(101, 120, 3)]
+        root = {n: n for e in edges for n in e}
+        for _ in root:
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        got = {r.node: r.component for r in components.components(spark.createDataFrame([*edges, (None, 5)], "a long, b long")).collect()}
+        assert got == root
+
+
 def test_stitch_recovers_planted_positions(spark):
     rng = np.random.default_rng(1)
     true = {n: (n % 4 * 100 + rng.normal(), n // 4 * 80 + rng.normal()) for n in range(12)}
