@@ -11,43 +11,56 @@ from histoweave.llm import decontamination, language_id, minhash_dedup, packing,
 from histoweave.llm.common import cut, fold, table
 
 
+def own_column(docs: DataFrame) -> str:
+    """A name that no column has, for what tells rows apart inside a stage, as ids can be null or repeated."""
+    name, taken = "row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a determined language and write that to `lang`; others are rejected."""
-    columns = docs.columns
-    model = language_id.fit(docs, fold("doc_id", 4) != 2)
-    found = language_id.identify(docs, model, tuple(columns)).where(F.col("lang_pred") != language_id.UNDETERMINED)
-    return found.withColumn("lang", F.col("lang_pred")).select(*columns)
+    """Keep documents with a determined language and write that to `lang`; others are rejected.
+
+    Null, empty and letterless texts have none; rows with null or repeated ids are
+    judged each, and other columns, whatever their names, stay as they are.
+    """
+    row = own_column(docs)
+    model = language_id.fit(docs, F.coalesce(fold("doc_id", 4) != 2, F.lit(True)))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), "text")
+    found = language_id.identify(rows, model, (row,)).where(F.col("lang_pred") != language_id.UNDETERMINED)
+    return found.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(f"{row}.`{c}`").alias(c) for c in docs.columns))
 
 
 #: Share of common shingles, in hundredths, from which documents are near duplicates, and the coordinates of 48 that must agree; a link at exactly 0.80 is missed with probability 1.3e-5.
 SIMILAR, MATCHES = 80, 26
-#: Column that tells rows apart inside a stage, as ids can be null or repeated.
-ROW = "__row"
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each near-duplicate group, one with the smallest id; a null id comes last, and texts without words have no group."""
-    rows = cut(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    found = minhash_dedup.near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"), matches=MATCHES, numerator=SIMILAR)
-    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, F.col("doc_id").cast("long").alias("id")), ROW)
-    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", ROW))[ROW].alias(ROW)).select(ROW)
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    row = own_column(docs)
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = minhash_dedup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), matches=MATCHES, numerator=SIMILAR)
+    groups = found.select(F.col("doc_id").alias(row), "component_id").join(rows.select(row, F.col("doc_id").cast("long").alias("id")), row)
+    kept = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", row))[row].alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage within the edit budget; equal texts go together, so rows are known by their text's hash."""
-    texts = docs.withColumn(ROW, F.xxhash64(F.col("text").cast("string")))
-    leaked = decontamination.leaks(texts.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
-    return texts.join(leaked, ROW, "left_anti").select(*docs.columns)
+    row = own_column(docs)
+    texts = docs.withColumn(row, F.xxhash64(F.col("text").cast("string")))
+    leaked = decontamination.leaks(texts.select(F.col(row).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(row)).distinct()
+    return texts.join(leaked, row, "left_anti").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every secret by its kind in angle brackets; no document goes."""
+    """Replace every secret by its kind in angle brackets; no document goes, null texts stay null."""
     return secret_ledger.redact_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences."""
+    """Pieces of all documents, placed in sequences; null and empty texts are one end token."""
     return packing.pack(docs)
 
 

@@ -8,12 +8,14 @@ over the automaton's states finds the cheapest repair.
 Turns are range-partitioned by conversation and order, so one conversation may lie
 in any number of parts. A part's piece of a conversation is a min-plus matrix from
 entry to exit states; only the first and the last piece of a part can continue
-elsewhere, and these are joined on the driver, two small rows a part. Each part
-then traces its own repair.
+elsewhere. These border pieces are multiplied in runs of FAN parts, and the
+products again, until a conversation has at most FAN of them; the states chosen
+there are handed down the same way. Each part then traces its own repair.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,11 @@ NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (
 RELABEL, MERGE, INSERT = 2, 1, 2
 #: Inserted roles that close a conversation in a state, and what that costs.
 CLOSING = {START: (), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,), ASSISTANT: ()}
+#: What begins a mark, and what stands for it inside a text.
+ESCAPE = ("<|", "<\\|")
 PART_ROWS = 50_000
+#: Pieces of one conversation that are joined in one task.
+FAN = 1_000
 _FAR = 10**15
 
 
@@ -90,10 +96,15 @@ def trace(roles: list[int | None], entry: int = START, leave: int | None = None)
 
 
 def render(text: str | None, move: tuple, last: bool, mark: str = "<|{}|>\n", end: str = "<|end|>\n") -> str:
-    """What a turn adds to the formatted conversation. A turn is closed by the next one that isn't merged, or by the last row."""
+    """What a turn adds to the formatted conversation. A turn is closed by the next one that isn't merged, or by the last row.
+
+    The start of a mark inside a text is escaped, so no text can end its turn or
+    begin another one.
+    """
     p, q, _, action, inserted = move
+    text = (text or "").replace(*ESCAPE)
     out = "\n" if action == "merge" else (end if p != START else "") + "".join(mark.format(NAMES[x]) + end for x in inserted) + mark.format(NAMES[q])
-    out += text or ""
+    out += text
     if last:
         out += end + "".join(mark.format(NAMES[x]) + end for x in CLOSING[q])
     return out
@@ -114,29 +125,62 @@ def _borders(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["part", "conv", "cost"])
 
 
-def resolve(borders: list[tuple[int, str, list[int]]]) -> dict[tuple[int, str], tuple[int, int, bool]]:
-    """(entry, exit, last) of each border piece, in order of parts."""
-    out: dict[tuple[int, str], tuple[int, int, bool]] = {}
-    runs: list[list[tuple]] = []
-    for b in sorted(borders, key=lambda b: (b[0], b[1])):
-        if runs and runs[-1][-1][1] == b[1] and runs[-1][-1][0] != b[0]:
-            runs[-1].append(b)
-        else:
-            runs.append([b])
-    for run in runs:
-        cost, back = [0, _FAR, _FAR, _FAR], []
-        for _, _, m in run:
-            new = [min((cost[p] + m[4 * p + q], p) for p in range(4)) for q in range(4)]
-            cost = [c for c, _ in new]
-            back.append([p for _, p in new])
-        state = best_end(cost)
-        for (part, conv, _), how in zip(reversed(run), reversed(back)):
-            out[part, conv] = (how[state], state, part == run[-1][0])
-            state = how[state]
-    return out
+def product(a: list[int], b: list[int]) -> list[int]:
+    """Of two min-plus matrices, row by row."""
+    return [min(_FAR, *(a[4 * p + x] + b[4 * x + q] for x in range(4))) for p in range(4) for q in range(4)]
+
+
+def walk(matrices: list[list[int]], entry: int = START, leave: int | None = None) -> list[tuple[int, int]]:
+    """Entry and exit state of each piece on the cheapest way through all of them, to `leave` or to a closed conversation."""
+    cost, back = [0 if s == entry else _FAR for s in range(4)], []
+    for m in matrices:
+        new = [min((cost[p] + m[4 * p + q], p) for p in range(4)) for q in range(4)]
+        cost = [c for c, _ in new]
+        back.append([p for _, p in new])
+    state, out = best_end(cost) if leave is None else leave, []
+    for how in reversed(back):
+        out.append((how[state], state))
+        state = how[state]
+    return out[::-1]
+
+
+BORDER = "part long, conv string, cost array<long>"
+STATES = "part long, conv string, entry int, leave int, ends boolean"
 
 
-OUT = "part int, pos long, conv_id {kind}, turn long, source_role string, role string, action string, inserted string, cost int, rendered string"
+def _multiplied(fan: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        return pd.DataFrame({"part": [pdf["part"].iloc[0] // fan], "conv": [pdf["conv"].iloc[0]], "cost": [functools.reduce(product, map(list, pdf["cost"]))]})
+
+    return run
+
+
+def _walked(pdf: pd.DataFrame) -> pd.DataFrame:
+    """States of some pieces in a row, from the state that their product enters to the one that it leaves."""
+    pdf = pdf.sort_values("part")
+    ends, leave = bool(pdf["up_ends"].iloc[0]), int(pdf["up_leave"].iloc[0])
+    states = walk([list(c) for c in pdf["cost"]], int(pdf["up_entry"].iloc[0]), None if leave < 0 else leave)
+    last = [False] * (len(pdf) - 1) + [ends]
+    return pd.DataFrame({"part": pdf["part"].to_numpy(), "conv": pdf["conv"].to_numpy(), "entry": [a for a, _ in states], "leave": [b for _, b in states], "ends": last})
+
+
+def resolve(borders: DataFrame, fan: int = FAN) -> DataFrame:
+    """(part, conv, entry, leave, ends) of each border piece of borders(part, conv, cost)."""
+    levels = [borders]
+    while (levels[-1].groupBy("conv").count().agg(F.max("count")).first()[0] or 0) > fan:
+        up = levels[-1].withColumn("up", F.floor(F.col("part") / fan)).groupBy("conv", "up")
+        levels.append(cut(up.applyInPandas(_multiplied(fan), BORDER)))
+    top = levels.pop().select("*", F.lit(START).alias("up_entry"), F.lit(-1).alias("up_leave"), F.lit(True).alias("up_ends"))
+    states = top.groupBy("conv").applyInPandas(_walked, STATES)
+    while levels:
+        above = states.select(F.col("part").alias("up"), "conv", F.col("entry").alias("up_entry"), F.col("leave").alias("up_leave"), F.col("ends").alias("up_ends"))
+        below = levels.pop().withColumn("up", F.floor(F.col("part") / fan)).join(above, ["conv", "up"])
+        states = below.groupBy("conv", "up").applyInPandas(_walked, STATES)
+    return states
+
+
+OUT = "part int, pos long, conv string, turn long, source_role string, role string, action string, inserted string, cost int, rendered string"
 
 
 def format_chats(turns: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
@@ -146,31 +190,35 @@ def format_chats(turns: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     text. Turns are in order of turn, nulls first, then role and text; repeated
     rows are turns of their own. Null and unknown roles have to be relabelled or
     merged; null texts are empty. Rows with a null conv_id are one conversation.
+    A conv_id may be of any type that casts to a string and back. Of equally cheap
+    repairs keeping goes before merging, relabelling and inserting, turn by turn
+    from the end. The start of a mark in a text is escaped.
     `inserted` names the empty turns put before, and after a last turn. Other
     columns are ignored.
     """
-    kind = turns.schema["conv_id"].dataType.simpleString()
+    kind = turns.schema["conv_id"].dataType
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
     parts = max(1, -(-rows.count() // part_rows))
     keys = ["conv", "turn", "role", F.xxhash64("text"), "text", "tie"]
     rows = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    rows = cut(rows.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("pos"), "conv", "conv_id", "turn", "role", "text"))
-    borders = rows.select("part", "pos", "conv", "role").groupBy("part").applyInPandas(_borders, "part int, conv string, cost array<long>").collect()
-    known = turns.sparkSession.sparkContext.broadcast(resolve([(r["part"], r["conv"], list(r["cost"])) for r in borders]))
+    rows = cut(rows.select(F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("pos"), "conv", "turn", "role", "text"))
+    borders = cut(rows.select("part", "pos", "conv", "role").groupBy("part").applyInPandas(_borders, BORDER))
+    states = resolve(borders)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         part, out = int(pdf["part"].iloc[0]), []
+        borders = {c: (e, x, last) for c, e, x, last in zip(known["conv"], known["entry"], known["leave"], known["ends"])}
         for conv, piece in _pieces(pdf):
-            entry, leave, ends = known.value.get((part, conv), (START, None, True))
+            entry, leave, ends = borders.get(conv, (START, None, True))
             plan = trace([role_of(r) for r in piece["role"]], entry, leave)
             for i, (row, m) in enumerate(zip(piece.itertuples(), plan)):
                 last = ends and i == len(plan) - 1
                 added = [NAMES[x] for x in (*m[4], *(CLOSING[m[1]] if last else ()))]
                 cost = m[2] + (INSERT * len(CLOSING[m[1]]) if last else 0)
-                out.append((part, row.pos, row.conv_id, row.turn, row.role, NAMES[m[1]], m[3], ",".join(added), cost, render(row.text, m, last)))
-        got = pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
-        got["turn"] = got["turn"].astype("Int64")
-        return got if kind == "string" else got.astype({"conv_id": "Int64"})
+                out.append((part, row.pos, conv, row.turn, row.role, NAMES[m[1]], m[3], ",".join(added), cost, render(row.text, m, last)))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")]).astype({"turn": "Int64"})
 
-    return rows.groupBy("part").applyInPandas(run, OUT.format(kind=kind))
+    found = rows.groupBy("part").cogroup(states.groupBy("part")).applyInPandas(run, OUT)
+    named = F.when(F.col("conv") != "", F.expr("substring(conv, 2)")).cast(kind).alias("conv_id")
+    return found.select(*(named if c.startswith("conv ") else c.split()[0] for c in OUT.split(", ")))

@@ -5,23 +5,29 @@ of one of them, on diagonals that differ by at most k. Benchmark items are cut
 into overlapping passages; a document is searched for each passage in three steps
 that lose nothing: enough q-grams of any passage in a stretch of the text, enough
 of one passage in a band of diagonals, and a banded alignment within the budget.
+Any quote of PASSAGE + STRIDE - 1 characters holds a whole passage and is found with
+up to EDITS edits. Items of under SHORTEST characters, too short for the lemma, are
+found as they are between other than letters and digits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histoweave.llm.common import cut
+
 #: Characters of a passage and between the starts of two, edits it may have, and characters of a q-gram.
 PASSAGE, STRIDE, EDITS, Q = 120, 40, 6, 12
-#: Shorter items are searched whole if they have this many characters, with edits in proportion.
+#: Items shorter than a passage are searched whole with edits in proportion, and shorter than this without edits.
 SHORTEST = 30
-#: Characters of benchmark text that one pass broadcasts; larger benchmarks take several passes.
+#: Characters of benchmark text that one pass broadcasts; larger benchmarks take several passes, one after another.
 BLOCK_CHARS = 8_000_000
 #: Characters of a document searched at once; blocks overlap by more than a passage.
 SCAN = 1 << 19
@@ -42,6 +48,10 @@ def folded(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return points[keep], np.flatnonzero(keep)
 
 
+def as_text(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def qgrams(points: np.ndarray, q: int) -> np.ndarray:
     """32-bit hashes of the q-grams; two with one hash are told apart by the alignment."""
     n = max(len(points) - q + 1, 0)
@@ -67,13 +77,18 @@ class Passages:
     filter: np.ndarray
     longest: int
     least: int
+    short: dict[str, list[int]] = field(default_factory=dict)
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], passage: int = PASSAGE, stride: int = STRIDE, edits: int = EDITS, q: int = Q) -> Passages:
         points, item, start, keys, owner, place, budget = [], [], [], [], [], [], []
+        short: dict[str, list[int]] = {}
         for i, text in items:
             p, _ = folded(text)
             if len(p) < SHORTEST:
+                plain = as_text(p).strip()
+                if any(c.isalnum() for c in plain):
+                    short.setdefault(plain, []).append(i)
                 continue
             if len(p) <= passage:
                 cuts = [(0, len(p))]
@@ -99,7 +114,26 @@ class Passages:
         length = np.array([len(p) for p in points], np.int64)
         need = np.maximum(length + 1 - q * (budget + 1), 1)
         join = lambda x: np.concatenate(x)[at] if x else np.empty(0, np.int32)
-        return cls(points, item, start, budget, need, key[at], join(owner), join(place), mask, int(length.max() + budget.max()) if points else 0, int(need.min()) if points else 1)
+        return cls(points, item, start, budget, need, key[at], join(owner), join(place), mask, int(length.max() + budget.max()) if points else 0, int(need.min()) if points else 1, short)
+
+    def short_hits(self, points: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, end) of short items among folded code points, where neither side goes on with a letter or digit."""
+        if not self.short:
+            return []
+        if not hasattr(self, "finder"):
+            self.finder = ahocorasick.Automaton()
+            for plain, items in self.short.items():
+                self.finder.add_word(plain, (len(plain), items))
+            self.finder.make_automaton()
+        text, out = as_text(points), []
+        for last, (n, items) in self.finder.iter(text):
+            s, e = last + 1 - n, last + 1
+            if not (s and text[s - 1].isalnum() and text[s].isalnum()) and not (e < len(text) and text[e].isalnum() and text[last].isalnum()):
+                out += [(i, s, e) for i in items]
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "finder"}
 
 
 def align(passage: np.ndarray, region: np.ndarray, shift: int, band: int, most: int) -> tuple[int, int, int] | None:
@@ -147,9 +181,10 @@ def same(passage: np.ndarray, region: np.ndarray) -> tuple[int, int, int] | None
 def search(text: str | None, found: Passages, q: int = Q) -> list[tuple[int, int, int, int, int]]:
     """(item, start, end, edits, passage start) of passages within their budget; places in the text, end exclusive."""
     points, places = folded(text)
+    hits = [(i, int(places[s]), int(places[e - 1]) + 1, 0, 0) for i, s, e in found.short_hits(points)]
     if not found.points or len(points) < q:
-        return []
-    longest, least, hits = found.longest, found.least, []
+        return hits
+    longest, least = found.longest, found.least
     for base in range(0, max(len(points) - q + 1, 1), SCAN - 2 * longest):
         part = points[base : base + SCAN]
         g = qgrams(part, q)
@@ -211,10 +246,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     """doc_id, item_id, start, end, edits and passages of every benchmark stretch in docs(doc_id, text).
 
     benchmark(item_id, text) is searched for in blocks of at most `block_chars`
-    characters, or one item, each broadcast. Letters A-Z and Latin-1 capitals
-    count as lower case and white space as one space. Null and empty texts, and
-    items under SHORTEST characters, match nothing; rows with equal or null ids
-    are searched each. Other columns are ignored. Places are code points of the
+    characters, or one item; each is broadcast and, if there are several, its
+    findings are written before the next one is made, so the driver holds one
+    block. Letters A-Z and Latin-1 capitals count as lower case and white space as
+    one space. Null and empty texts, and items without a letter or digit, match
+    nothing; rows with equal or null ids are searched each, and so are items with
+    equal or null ids. Other columns are ignored. Places are code points of the
     text, end exclusive.
     """
     spark = docs.sparkSession
@@ -233,5 +270,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
                 yield found.astype({"doc_id": "Int64"})
 
         part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, item_id long, start long, end long, edits long, passages long")
+        if blocks > 1:
+            part = cut(part)
+            shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out

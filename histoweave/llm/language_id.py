@@ -1,8 +1,9 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Counts come from the training rows by one Spark aggregation; the log-probability
-matrix, of languages x buckets and so of a fixed size, is broadcast, and batches
-are scored as sparse sums in numpy.
+matrix, of languages x buckets and so of a fixed size, is broadcast. A batch of
+texts is one sparse matrix of counts, texts x buckets in rows of (text, bucket,
+count), whose product with the log-probabilities scores all its texts in numpy.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: The broadcast matrix holds at most so many languages.
 LANGUAGES = 512
-#: Code points featurised at once.
-BLOCK = 1 << 19
+#: Code points featurised at once, and n-grams that are in a sparse matrix at least before it is multiplied.
+BLOCK, MATRIX = 1 << 19, 1 << 20
 UNDETERMINED = "und"
 _STEP = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 
@@ -83,14 +84,41 @@ class LanguageModel:
     log_probability: np.ndarray  # buckets x languages
     log_prior: np.ndarray
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not has_letters(text) or not self.languages:
-            return UNDETERMINED, 0.0
-        total = self.log_prior.copy()
-        for f in features(text):
-            total += self.log_probability[f].sum(0, dtype=np.float64)
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Log-probabilities of texts x languages."""
+        out = np.tile(self.log_prior, (len(texts), 1))
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for f in features(text):
+                held.append((i, f))
+                size += len(f)
+                if size >= MATRIX:
+                    self._add(out, held)
+                    held, size = [], 0
+        self._add(out, held)
+        return out
+
+    def _add(self, out: np.ndarray, held: list[tuple[int, np.ndarray]]) -> None:
+        """Adds the product of the sparse counts of some texts' n-grams with the matrix."""
+        if not held:
+            return
+        cell = np.repeat(np.array([i for i, _ in held], np.int64) * BUCKETS, [len(f) for _, f in held]) + np.concatenate([f for _, f in held])
+        cell, n = np.unique(cell, return_counts=True)
+        text, bucket = cell // BUCKETS, cell % BUCKETS
+        first = np.flatnonzero(np.diff(text, prepend=-1))
+        for at in range(self.log_probability.shape[1]):
+            out[text[first], at] += np.add.reduceat(self.log_probability[bucket, at] * n.astype(np.float64), first)
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = [(UNDETERMINED, 0.0)] * len(texts)
+        some = [i for i, t in enumerate(texts) if has_letters(t)] if self.languages else []
+        if some:
+            total = self.scores([texts[i] for i in some])
+            best = total.argmax(1)
+            score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+            for i, b, x in zip(some, best.tolist(), score.tolist()):
+                out[i] = (self.languages[b], x)
+        return out
 
 
 def fit(docs: DataFrame, train: Column, sample: int = SAMPLE, smoothing: float = 0.1) -> LanguageModel:
@@ -122,8 +150,10 @@ def fit(docs: DataFrame, train: Column, sample: int = SAMPLE, smoothing: float =
 def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns `keep` of docs, then lang_pred and score (the posterior) for every row.
 
-    Null texts and texts without letters give `und` and 0. Kept columns named
-    lang_pred or score are refused.
+    Null texts and texts without letters give `und` and 0; of languages with equal
+    scores the first by name is predicted. Rows with null or equal ids are
+    predicted each. Kept columns named lang_pred or score are refused; keep a
+    struct of them.
     """
     if {"lang_pred", "score"} & set(keep):
         raise ValueError("lang_pred and score are made here")
@@ -132,7 +162,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            found = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
             out = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.string()), (1, pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*keep, "lang_pred", "score"])
 

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from histoweave.sources.written import new_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -57,6 +59,8 @@ RULES = BASE_RULES + MORE_RULES
 
 FINDINGS = "blob binary, rule string, kind string, kind_order int, start long, end long"
 LEDGER = "blob binary, rule string"
+#: Copies of one blob meet its findings in so many parts, and increments in which `scan_documents` scans a table.
+SALTS, INCREMENTS = 16, 2
 
 
 def _pattern(rule: Rule):
@@ -106,6 +110,29 @@ def update(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Ru
     return findings, due.select("blob", F.explode("todo").alias("rule"))
 
 
+def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Findings and ledger of a folder, which is made if there is none."""
+    out = []
+    for name, schema in (("findings", FINDINGS), ("ledger", LEDGER)):
+        empty = spark.range(0).selectExpr(*(f"CAST(NULL AS {kind}) AS {c}" for c, kind in (x.split() for x in schema.split(", "))))
+        empty.write.mode("append").parquet(f"{folder}/{name}")
+        out.append(spark.read.schema(schema).parquet(f"{folder}/{name}"))
+    return out[0].distinct(), out[1].distinct()
+
+
+def scan_increment(versions: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, path: str = "path", content: str = "content") -> None:
+    """Scan what the ledger in a shared folder doesn't hold yet, and append findings and ledger rows there.
+
+    Findings are written first, so a run that is lost between the two is made
+    again by the next one; its findings are then in the folder twice and are read
+    as one.
+    """
+    spark = versions.sparkSession
+    findings, pairs = update(versions, _tables(spark, folder)[1], rules, path, content)
+    findings.write.mode("append").parquet(f"{folder}/findings")
+    pairs.write.mode("append").parquet(f"{folder}/ledger")
+
+
 def _spans(kinds: tuple[str, ...] | None):
     found = F.col("spans") if kinds is None else F.filter("spans", lambda s: s["kind"].isin(list(kinds)))
     return F.concat_ws(",", F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
@@ -116,20 +143,32 @@ def _count(kind: str):
 
 
 def by_path(versions: DataFrame, findings: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """(path, blob, spans) of every version; spans are in order of start, then of the rules, and empty if there are none."""
+    """(path, blob, spans) of every version; spans are in order of start, then of the rules, and null if there are none."""
+    named = blobs(versions, path, content).withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    return named.join(_by_blob(findings), ["blob", "salt"], "left").drop("salt")
+
+
+def _by_blob(findings: DataFrame) -> DataFrame:
+    """(blob, salt, spans): a blob's spans as one array, once for each salt, so that its copies needn't meet in one task."""
     spans = findings.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "kind_order", "kind", "end"))).alias("spans"))
-    return blobs(versions, path, content).join(spans, "blob", "left")
+    return spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id, n_<kind> of the base rules, base_sha256 and spans for every row of docs(doc_id, text), with an empty ledger.
+def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, folder: str | None = None, increments: int = INCREMENTS) -> DataFrame:
+    """doc_id, n_<kind> of the base rules, base_sha256 and spans for every row of docs(doc_id, text).
 
+    The rows are scanned in increments, by a hash of their ids, against the ledger
+    in `folder`, by default a new one in the shared folder: each reads back what
+    the ones before have written and scans only blobs that they haven't seen.
     Null texts are empty; rows with equal or null ids are given each. Offsets are
     code points. A blob's findings are one row, as long as its own list of
     secrets. Other columns are ignored.
     """
-    findings, _ = update(docs, None, rules, "doc_id", "text")
-    every = by_path(docs, findings, "doc_id", "text").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:long,kind_order:int,kind:string,end:long>>")))
+    spark, folder = docs.sparkSession, folder or new_path(docs.sparkSession, "ledger")
+    for i in range(increments):
+        scan_increment(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(increments)) == i), folder, rules, "doc_id", "text")
+    now = F.col("rule").isin([r.name for r in rules])
+    every = by_path(docs, _tables(spark, folder)[0].where(now), "doc_id", "text").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:long,kind_order:int,kind:string,end:long>>")))
     base = tuple(r.kind for r in BASE_RULES)
     counts = [_count(k).alias(f"n_{k}") for k in base]
     return every.select(F.col("path").alias("doc_id"), *counts, F.sha2(_spans(base), 256).alias("base_sha256"), _spans(None).alias("spans"))
@@ -141,8 +180,8 @@ def redact_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
     All columns and rows stay; null texts stay null.
     """
     findings, _ = update(docs, None, rules, "doc_id", "text")
-    spans = findings.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "kind_order", "kind", "end"))).alias("spans"))
-    named = docs.select(F.struct(*docs.columns).alias("d"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("blob")).join(spans, "blob", "left")
+    named = docs.select(F.struct(*docs.columns).alias("d"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("blob"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    named = named.join(_by_blob(findings), ["blob", "salt"], "left")
     text = F.col("d.text").cast("string")
 
     def step(done, s):

@@ -22,8 +22,8 @@ NAMES = {NONE: "none", LZW: "lzw", DEFLATE: "deflate", OLD_DEFLATE: "deflate", P
 #: Bytes of a value by TIFF field type.
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4}
 _CODES = {1: "B", 3: "H", 4: "I", 13: "I", 6: "b", 8: "h", 9: "i"}
-#: A page holds at most so many rows of samples.
-PAGE_ROWS = 16_384
+#: Rows of samples of a page that texts are stored in, and bytes of samples that a page may have to be read.
+PAGE_ROWS, PAGE_BYTES = 512, 1 << 31
 CLEAR, END = 256, 257
 
 
@@ -59,9 +59,10 @@ def packbits_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def packbits_decode(data: bytes) -> bytes:
+def packbits_decode(data: bytes, most: int = PAGE_BYTES) -> bytes:
+    """Up to about `most` bytes of it, as the other decoders."""
     out, i, n = bytearray(), 0, len(data)
-    while i < n:
+    while i < n and len(out) < most:
         h = data[i]
         if h < 128:
             out += data[i + 1 : i + 2 + h]
@@ -117,9 +118,9 @@ def lzw_encode(data: bytes) -> bytes:
 _SINGLE = [bytes((i,)) for i in range(256)] + [b"", b""]
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int = PAGE_BYTES) -> bytes:
     out, strings, width, old = [], list(_SINGLE), 9, b""
-    acc = have = 0
+    acc = have = size = 0
     for byte in data:
         acc = (acc << 8) | byte
         have += 8
@@ -140,7 +141,10 @@ def lzw_decode(data: bytes) -> bytes:
         else:
             raise BadTiff(f"LZW code {code} is not known yet")
         out.append(now)
-        if old:
+        size += len(now)
+        if size >= most:
+            break
+        if old and len(strings) < 4096:
             strings.append(old + now[:1])
             if len(strings) + 1 >= (1 << width) and width < 12:
                 width += 1
@@ -149,7 +153,15 @@ def lzw_decode(data: bytes) -> bytes:
 
 
 ENCODERS = {NONE: bytes, LZW: lzw_encode, DEFLATE: lambda b: zlib.compress(b, 6), PACKBITS: packbits_encode}
-DECODERS = {NONE: bytes, LZW: lzw_decode, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress, PACKBITS: packbits_decode}
+
+
+def _inflate(data: bytes, most: int) -> bytes:
+    return zlib.decompressobj().decompress(data, max(most, 1))
+
+
+DECODERS = {NONE: lambda data, most: data, LZW: lzw_decode, DEFLATE: _inflate, OLD_DEFLATE: _inflate, PACKBITS: packbits_decode}
+#: Bytes with their bits in reverse order, for files whose fill order is 2.
+_REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
 
 
 def _predict(block: np.ndarray) -> np.ndarray:
@@ -241,18 +253,25 @@ def decode_page(data: bytes, order: str, f: dict[int, tuple]) -> np.ndarray:
         tiled = 324 in f
         offsets, counts = (f[324], f[325]) if tiled else (f[273], f.get(279) or (len(data) - f[273][0],))
         bw, bh = (f[322][0], f[323][0]) if tiled else (w, min(f.get(278, (h,))[0], h))
+        fill = f.get(266, (1,))[0]
     except (KeyError, IndexError) as e:
         raise BadTiff(f"a field is missing: {e}") from e
-    if depth not in (8, 16, 32) or how not in DECODERS or predictor not in (1, 2):
-        raise BadTiff(f"depth {depth}, compression {how}, predictor {predictor}")
+    if depth not in (8, 16, 32) or how not in DECODERS or predictor not in (1, 2) or planar not in (1, 2) or fill not in (1, 2):
+        raise BadTiff(f"depth {depth}, compression {how}, predictor {predictor}, planes {planar}, fill order {fill}")
+    if min(w, h, n, bw, bh) < 1 or w * h * n * depth // 8 > PAGE_BYTES or bw * bh * n * depth // 8 > PAGE_BYTES:
+        raise BadTiff(f"{w} x {h} pixels of {n} samples in blocks of {bw} x {bh}")
     kind, chunk = np.dtype(f"{order}u{depth // 8}"), n if planar == 1 else 1
     out = np.zeros((h, w, n), kind.newbyteorder("="))
     across, down = -(-w // bw), -(-h // bh)
-    for i, (at, size) in enumerate(zip(offsets, counts)):
+    blocks = across * down * (n if planar == 2 else 1)
+    if min(len(offsets), len(counts)) < blocks:
+        raise BadTiff(f"{min(len(offsets), len(counts))} of {blocks} strips or tiles")
+    for i, (at, size) in enumerate(zip(offsets[:blocks], counts)):
         plane, k = divmod(i, across * down)
         y, x = k // across * bh, k % across * bw
         rows = bh if tiled else min(bh, h - y)
-        raw = DECODERS[how](data[at : at + size])
+        coded = data[at : at + size]
+        raw = DECODERS[how](coded.translate(_REVERSED) if fill == 2 else coded, rows * bw * chunk * kind.itemsize)
         if len(raw) < rows * bw * chunk * kind.itemsize:
             raise BadTiff("a strip or tile is too short")
         block = np.frombuffer(raw, kind, rows * bw * chunk).reshape(rows, bw, chunk)
@@ -278,7 +297,9 @@ def pages(media: DataFrame, key: str, content: str) -> DataFrame:
     """One row per page of a binary TIFF column, after the key.
 
     A null content gives no row; broken files give the pages before the fault and
-    then one row with `error` set and the other fields null.
+    then one row with `error` set and the other fields null. Pages without pixels,
+    of more than PAGE_BYTES, or with too few strips or tiles are faults; surplus
+    strips are ignored. Rows with null or equal keys are read each.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,7 +313,7 @@ def pages(media: DataFrame, key: str, content: str) -> DataFrame:
                     for a, f in read(bytes(data)):
                         rows.append((n, a.shape[1], a.shape[0], a.shape[2], NAMES[f.get(259, (NONE,))[0]], f.get(317, (1,))[0], "tiles" if 324 in f else "strips", float(a.mean()) if a.size else None, int(a.min()) if a.size else None, int(a.max()) if a.size else None, a.tobytes(), None))
                         n += 1
-                except (BadTiff, struct.error, zlib.error) as e:
+                except (BadTiff, struct.error, zlib.error, OverflowError) as e:
                     rows.append((n, *[None] * 10, str(e)))
                 out = pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("width", "height", "samples", "predictor", "low", "high")})
                 out.insert(0, "key", k)
