@@ -42,11 +42,6 @@ def _(t: Tables) -> DataFrame:
     return fit.principal_components(stats.covariance(t.pixels, "vec_id", "k", "v"))
 
 
-@query("ag-11")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(kernels.otsu_by_skew(a.ravel()),)], "threshold double")
-
-
 @query("im-01")
 def _(t: Tables) -> DataFrame:
     def shift(a: np.ndarray) -> list[tuple]:
@@ -57,58 +52,12 @@ def _(t: Tables) -> DataFrame:
     return kernels.per_image(t.pixels, shift, "dx double, dy double, exit int, covxx double, covxy double, covyy double")
 
 
-@query("im-03")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(i, float(v)) for i, v in enumerate(kernels.smooth(a, 1.0).ravel())], "pixel int, v double")
-
-
-@query("im-05")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(int((kernels.blur_score(a) < 0.5).sum()),)], "blurred int")
-
-
-@query("im-09")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(i, int(v)) for i, v in enumerate(kernels.label(a > 0).ravel()) if v], "pixel int, region int")
-
-
-@query("im-11")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(int(i),) for i in np.flatnonzero(kernels.trim_tails(a > 0))], "pixel int")
-
-
-@query("im-12")
-def _(t: Tables) -> DataFrame:
-    """Bounding boxes and areas of the regions of each image."""
-
-    def boxes(a: np.ndarray) -> list[tuple]:
-        found = kernels.label(a > 0)
-        return [(k, int(x.min()), int(y.min()), int(np.ptp(x)) + 1, int(np.ptp(y)) + 1, len(x)) for k in range(1, int(found.max()) + 1) for y, x in [np.nonzero(found == k)]]
-
-    return kernels.per_image(t.pixels, boxes, "region int, x int, y int, w int, h int, area int")
-
-
-@query("im-02")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(i, float(v)) for i, v in enumerate(kernels.fourier_shift(a, 0.5, -0.25).ravel())], "pixel int, v double")
-
-
-@query("im-17")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(i, float(v)) for i, v in enumerate(kernels.remap(a.astype(float), *kernels.radial_warp(a.shape, 0.05)).ravel())], "pixel int, v double")
-
-
 @query("im-18")
 def _(t: Tables) -> DataFrame:
     turns = [-20.0, -10.0, 0.0, 10.0, 20.0]
     return kernels.per_image(t.pixels, lambda a: [kernels.best_rotation(a.astype(float), np.roll(a.astype(float), 1, 0), turns)], "degrees double, dx double, dy double")
 
 
-@query("im-20")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(int(i),) for i in np.flatnonzero(kernels.close_mask(a > 0))], "pixel int")
-
-
 @query("im-14", "WITH m AS (SELECT layer, avg(CASE WHEN v>0 THEN v END) AS level FROM pixels GROUP BY layer) SELECT vec_id, p.layer, pixel, CAST(floor(least(255e0, greatest(0e0, v/level*100))) AS BIGINT) AS grey FROM pixels p JOIN m ON m.layer=p.layer")
 def _(t: Tables) -> DataFrame:
     """Pixels over their layer's mean level in tissue, clipped to 8 bits; the levels are one row a layer."""
@@ -124,26 +73,6 @@ def _(t: Tables) -> DataFrame:
     return kernels.per_image(t.pixels, rings, "region int, depth int, parent int, vid int, x int, y int")
 
 
-@query("sp-11")
-def _(t: Tables) -> DataFrame:
-    """Each image row by row as a line of its values, simplified."""
-    return kernels.per_image(t.pixels, lambda a: [(float(x), float(y)) for x, y in kernels.simplify(list(enumerate(a.ravel().tolist())), 100.0)], "x double, y double")
-
-
-@query("sp-16")
-def _(t: Tables) -> DataFrame:
-    def ring(a: np.ndarray) -> list[tuple]:
-        angle = 2 * np.pi * np.arange(a.size) / a.size
-        return [kernels.fit_circle((1000 + a.ravel()) * np.cos(angle), (1000 + a.ravel()) * np.sin(angle))]
-
-    return kernels.per_image(t.pixels, ring, "cx double, cy double, radius double")
-
-
-@query("wn-05")
-def _(t: Tables) -> DataFrame:
-    return kernels.per_image(t.pixels, lambda a: [(kernels.robust_intercept(a.ravel().astype(float), 3.0),)], "intercept double")
-
-
 @query("sp-15")
 def _(t: Tables) -> DataFrame:
     """A warp with a step where the first field's column passes the middle, besides the linear terms."""

@@ -22,6 +22,7 @@ FIXTURES: dict[str, str] = {
         CAST(CASE WHEN (p1*p2)%17=0 THEN 1 ELSE 0 END AS INT) AS exit, CAST((669-abs(x1-x2))*(500-abs(y1-y2)) AS BIGINT) AS npix, 1.0+(p1*p2)%13 AS mse FROM overlap""",
     "pixels": """SELECT vec_id, label, CAST(k-1 AS INT) AS k, CAST((k-1)%4 AS INT) AS layer, CAST(floor((k-1)/4e0) AS INT) AS pixel, CAST(floor(CAST(embedding[k] AS DOUBLE)*1000) AS BIGINT) AS v
         FROM (SELECT vec_id, label, embedding, unnest(generate_series(1, len(embedding))) AS k FROM embeddings) e""",
+    "img": "SELECT vec_id, layer, pixel%4 AS x, CAST(floor(pixel/4e0) AS INT) AS y, v FROM pixels",
     "cell": """SELECT CAST(l_orderkey AS BIGINT) AS slide_id, CAST(l_partkey%100+1 AS BIGINT) AS field, CASE WHEN l_linestatus='F' THEN 0 ELSE 2 END AS ctype, l_linenumber AS n,
         CAST((l_partkey*37)%669 AS BIGINT) AS x, CAST((l_suppkey*53)%500 AS BIGINT) AS y, CAST(1+max(l_quantity)%20 AS BIGINT) AS w, CAST(1+max(l_suppkey)%15 AS BIGINT) AS h
         FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_linestatus""",
@@ -91,6 +92,10 @@ class Tables:
         e = self.embeddings.select("vec_id", "label", F.posexplode("embedding").alias("k", "e"))
         return e.select("vec_id", "label", "k", (F.col("k") % 4).alias("layer"), F.floor(F.col("k") / 4).cast("int").alias("pixel"), F.floor(F.col("e").cast("double") * 1000).alias("v"))
 
+    @property
+    def img(self) -> DataFrame:
+        return self.pixels.select("vec_id", "layer", (F.col("pixel") % 4).alias("x"), F.floor(F.col("pixel") / 4).cast("int").alias("y"), "v")
+
     @property
     def cell(self) -> DataFrame:
         g = self.lineitem.groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus").agg(F.max("l_quantity").alias("q"))

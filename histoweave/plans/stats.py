@@ -199,25 +199,6 @@ def _(t: Tables) -> DataFrame:
     return t.pixels.where("v >= 250").select("vec_id", "layer", "pixel")
 
 
-_RUNS = "WITH o AS (SELECT vec_id, layer, pixel, pixel-row_number() OVER (PARTITION BY vec_id, layer ORDER BY pixel) AS g FROM pixels WHERE v>0), c AS (SELECT vec_id, layer, g, min(pixel) AS first_pixel, count(*) AS n FROM o GROUP BY vec_id, layer, g)"
-
-
-def _runs(t: Tables) -> DataFrame:
-    w = Window.partitionBy("vec_id", "layer").orderBy("pixel")
-    on = t.pixels.where("v > 0").withColumn("g", C("pixel") - F.row_number().over(w))
-    return on.groupBy("vec_id", "layer", "g").agg(F.min("pixel").alias("first_pixel"), F.count("*").alias("n")).drop("g")
-
-
-@query("im-07", _RUNS + " SELECT vec_id, layer, first_pixel, n FROM c")
-def _(t: Tables) -> DataFrame:
-    return _runs(t)
-
-
-@query("im-08", _RUNS + " SELECT vec_id, layer, first_pixel, n FROM c WHERE n>=3")
-def _(t: Tables) -> DataFrame:
-    return _runs(t).where("n >= 3")
-
-
 @query("im-13", "SELECT layer, pixel, v FROM (SELECT layer, pixel, v, row_number() OVER (PARTITION BY layer, pixel ORDER BY vec_id DESC) AS r FROM pixels WHERE v>0) x WHERE r=1")
 def _(t: Tables) -> DataFrame:
     return t.pixels.where("v > 0").groupBy("layer", "pixel").agg(F.max_by("v", "vec_id").alias("v"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from histoweave.functions import polygons as P
 from histoweave.operators import components, fit, graph, kernels, relational, spatial, workflow
+import plain_images
 from histoweave.sources import tables as S
 from histoweave.streaming import status
 
@@ -129,10 +130,10 @@ def test_dense_kernels():
     assert np.allclose(kernels.fourier_shift(a, 2, 3), np.roll(a, (3, 2), (0, 1)))
     y, x = np.mgrid[:12, :12].astype(float)
     assert np.allclose(kernels.remap(a, x, y), a) and np.allclose(kernels.remap(3 * x + y, x * 0.5, y * 0.5), 1.5 * x + 0.5 * y)
-    assert kernels.simplify([(0, 0), (1, 0.1), (2, 0), (3, 5), (4, 0)], 0.5) == [(0, 0), (2, 0), (3, 5), (4, 0)]
+    assert plain_images.simplify([(0, 0), (1, 0.1), (2, 0), (3, 5), (4, 0)], 0.5) == [(0, 0), (2, 0), (3, 5), (4, 0)]
     t = np.linspace(0, 6, 40)
-    assert np.allclose(kernels.fit_circle(3 + 2 * np.cos(t), -1 + 2 * np.sin(t)), (3, -1, 2))
-    assert kernels.robust_intercept(np.array([1.0, 1.1, 0.9, 1.0, 50.0, 51.0]), 10) == 1.0
+    assert np.allclose(plain_images.fit_circle(3 + 2 * np.cos(t), -1 + 2 * np.sin(t)), (3, -1, 2))
+    assert plain_images.robust_intercept(np.array([1.0, 1.1, 0.9, 1.0, 50.0, 51.0]), 10) == 1.0
 
 
 @pytest.mark.parametrize("seed", range(8))
@@ -181,7 +182,7 @@ def test_contour_query_has_every_region(spark):
 
 def test_shift_covariance_grows_with_noise():
     rng = np.random.default_rng(3)
-    a = kernels.smooth(rng.normal(size=(32, 32)), 1.5)
+    a = plain_images.smooth(rng.normal(size=(32, 32)), 1.5)
     cov = []
     for noise in (0.0, 0.02, 0.1):
         b = np.roll(a, (2, -3), (0, 1)) + noise * rng.normal(size=a.shape)
