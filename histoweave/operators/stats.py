@@ -63,11 +63,31 @@ def moment(hist: DataFrame, order: int, *by: str) -> DataFrame:
 
 
 def index_quantiles(df: DataFrame, value: str, by: str, low: float, high: float) -> DataFrame:
-    """Values at places floor(q n) of the sorted values, and their distance over the sum."""
+    """(by, low, high): the values at places floor(q n) of the sorted values, from running sums of a histogram."""
     w = Window.partitionBy(by)
-    ranked = df.select(by, value, F.row_number().over(w.orderBy(value)).alias("r"), F.count("*").over(w).alias("n"))
-    at = lambda q: F.max(F.when(F.col("r") == F.floor(F.col("n") * q) + 1, F.col(value)))
-    return ranked.groupBy(by).agg(at(low).alias("low"), at(high).alias("high"))
+    hist = df.groupBy(by, value).agg(F.count("*").alias("times"))
+    run = hist.select(by, value, F.sum("times").over(w.orderBy(value)).alias("upto"), F.sum("times").over(w).alias("n"))
+    at = lambda q: F.min(F.when(F.col("upto") > F.floor(F.col("n") * q), F.col(value)))
+    return run.groupBy(by).agg(at(low).alias("low"), at(high).alias("high"))
+
+
+def spreads(pixels: DataFrame, central: Column, by: str) -> DataFrame:
+    """5 to 95 % spread and deviation over the mean of the whole image, of all of it and of its central part."""
+    whole = pixels.groupBy(by).agg(F.avg("v").alias("level"), F.stddev_pop("v").alias("std"), F.stddev_pop(F.when(central, F.col("v"))).alias("central_std"))
+    q = index_quantiles(pixels, "v", by, 0.05, 0.95).withColumnsRenamed({"low": "a", "high": "b"})
+    c = index_quantiles(pixels.where(central), "v", by, 0.05, 0.95).withColumnsRenamed({"low": "ca", "high": "cb"})
+    over = lambda x: F.try_divide(x, F.col("level"))
+    return whole.join(q, by).join(c, by, "left").select(by, over(F.col("b") - F.col("a")).alias("spread"), over(F.col("std")).alias("std"), over(F.col("cb") - F.col("ca")).alias("central_spread"), over(F.col("central_std")).alias("central_std"))
+
+
+def extents(weights: DataFrame, by: str, place: str, weight: str, tail: float = 0.005) -> DataFrame:
+    """(by, centre, low, high): rounded centroid, and how far it is to the last place before which less than the tail lies, and to the first up to which more than all but the tail does."""
+    sums = weights.groupBy(by, place).agg(F.sum(weight).cast("double").alias("w"))
+    full = Window.partitionBy(by)
+    run = sums.select(by, place, F.sum("w").over(full.orderBy(place)).alias("upto"), F.sum("w").over(full).alias("total"), F.sum(F.col("w") * F.col(place)).over(full).alias("moment"))
+    edge = run.groupBy(by).agg(F.first("total").alias("total"), F.first("moment").alias("moment"), F.max(F.when(F.col("upto") < tail * F.col("total"), F.col(place))).alias("a"), F.min(F.when(F.col("upto") > (1 - tail) * F.col("total"), F.col(place))).alias("b"))
+    centre = F.rint(F.try_divide(F.col("moment"), F.col("total"))).cast("long")
+    return edge.select(by, centre.alias("centre"), (centre - F.col("a")).alias("low"), (F.col("b") - centre).alias("high"))
 
 
 def regression(df: DataFrame, by: str, y: str, x1: str, x2: str, weight: Column) -> DataFrame:
@@ -100,8 +120,23 @@ def covariance(pixels: DataFrame, key: str, column: str, value: str) -> DataFram
     return a.join(b, key).where("i <= j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("product"), F.sum("a").alias("si"), F.sum("b").alias("sj"), F.count("*").alias("n"))
 
 
-def shrink_levels(pixels: DataFrame, levels: int) -> DataFrame:
-    """Mean of the pixels that fall together at each zoom level."""
+def pyramid(pixels: DataFrame, by: list[str], levels: int) -> DataFrame:
+    """Mean of the pixels that fall together at each zoom level, by halves in both directions."""
     zoomed = pixels.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
-    step = F.expr("shiftleft(1, level)")
-    return zoomed.groupBy("vec_id", "layer", "level", F.floor(F.col("pixel") / step).alias("at")).agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+    half = lambda c: F.floor(F.col(c) / F.expr("shiftleft(1, level)")).alias(c)
+    return zoomed.groupBy(*by, "level", half("x"), half("y")).agg(F.avg("v").alias("v"))
+
+
+def tiles(zoomed: DataFrame, by: list[str], side: int) -> DataFrame:
+    """Tiles of a pyramid that have a pixel over 0, with the number of their pixels and of those that pad them to the full side."""
+    at = lambda c: F.floor(F.col(c) / side).alias(f"t{c}")
+    found = zoomed.groupBy(*by, "level", at("x"), at("y")).agg(F.max("v").alias("top"), F.count("*").alias("filled"))
+    return found.where("top > 0").select(*by, "level", "tx", "ty", "filled", (side * side - F.col("filled")).alias("padded"))
+
+
+def cut_regression(df: DataFrame, by: str, y: str, x1: str, x2: str, weight: Column, most: float) -> DataFrame:
+    """The regression of the rows whose residual in a first one of all rows is at most `most`, with their number."""
+    first = regression(df, by, y, x1, x2, weight)
+    fitted = F.col("constant") + F.col("slope1") * F.col(x1) + F.col("slope2") * F.col(x2)
+    kept = df.join(first, by).where(F.abs(F.col(y) - fitted) <= most)
+    return regression(kept, by, y, x1, x2, weight).join(kept.groupBy(by).agg(F.count("*").alias("rows")), by)

@@ -133,9 +133,12 @@ def _(t: Tables) -> DataFrame:
     return t.part.where(C("p_type").rlike("(?i)^econ")).select("p_partkey")
 
 
-@query("sc-22", "SELECT page_id, sha256(html) AS sha FROM pages")
+@query("sc-22", "SELECT page_id, sha256(html) AS sha, page_id%11=0 AS mismatch FROM pages")
 def _(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.sha2("html", 256).alias("sha"))
+    """Hashes held against those that were noted, of which every eleventh is of another text."""
+    noted = t.pages.select("page_id", F.sha2(F.when(C("page_id") % 11 == 0, F.concat("html", F.lit(" "))).otherwise(C("html")), 256).alias("noted"))
+    found = t.pages.select("page_id", F.sha2("html", 256).alias("sha")).join(noted, "page_id")
+    return found.select("page_id", "sha", (C("sha") != C("noted")).alias("mismatch"))
 
 
 @query("wn-06", "SELECT id, k, CASE WHEN k%2=1 THEN wd ELSE ht END AS length FROM poly, (SELECT unnest(generate_series(1, 4)) AS k) e")
@@ -175,9 +178,9 @@ def _rasterised(poly: DataFrame) -> DataFrame:
     return grid.where(inside("outer") & ~inside("hole")).groupBy("id").agg(F.count("*").alias("pixels"))
 
 
-@query("sp-09", "SELECT id, CAST(wd*ht-(wd-4)*(ht-4) AS BIGINT) AS pixels FROM poly WHERE id%10=0")
+@query("sp-09", "SELECT id, CAST(wd*ht-(wd-4)*(ht-4) AS BIGINT) AS pixels FROM poly")
 def _(t: Tables) -> DataFrame:
-    return _rasterised(t.poly.where("id % 10 = 0"))
+    return _rasterised(t.poly)
 
 
 @query("sp-09-all", "SELECT id, CAST(wd*ht-(wd-4)*(ht-4) AS BIGINT) AS pixels FROM poly")

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histoweave.operators import raster
+from histoweave.operators import raster, stats
 from histoweave.plans.registry import Tables, query
 
 C = F.col
@@ -174,3 +174,38 @@ def _(t: Tables) -> DataFrame:
     """Each image row by row as a line of its values, simplified."""
     line = t.pixels.select(*BY, "pixel", C("pixel").cast("double").alias("x"), C("v").cast("double").alias("y"))
     return raster.simplify(line, BY, "pixel", 100.0)
+
+
+_TISSUE = f"v0 AS (SELECT vec_id, 0 AS layer, x, y, CAST(count(*) FILTER (v>0)>=2 AS INT) AS v FROM img GROUP BY vec_id, x, y), v1 AS ({_near('v0', 'min')}), v2 AS ({_near('v1', 'max')}), v3 AS ({_near('v2', 'max')}), v4 AS ({_near('v3', 'min')})"
+
+
+@query("im-04", f"WITH RECURSIVE {_TISSUE}, on4 AS (SELECT * FROM v4 WHERE v=1), reach AS (SELECT vec_id, x, y, y*4+x AS c FROM on4 UNION SELECT b.vec_id, b.x, b.y, a.c FROM reach a JOIN on4 b ON a.vec_id=b.vec_id AND abs(a.x-b.x)<2 AND abs(a.y-b.y)<2), least AS (SELECT vec_id, x, y, min(c) AS c FROM reach GROUP BY ALL), big AS (SELECT vec_id, c FROM least GROUP BY ALL HAVING count(*)>=6) SELECT vec_id, x, y FROM least JOIN big USING (vec_id, c)")
+def _(t: Tables) -> DataFrame:
+    """Pixels that are bright in two layers at least, opened and closed, in regions of at least six."""
+    votes = t.img.groupBy("vec_id", "x", "y").agg((F.count_if(C("v") > 0) >= 2).cast("int").alias("v"))
+    mask = raster.open_close(votes, ["vec_id"], SIDE, SIDE).where("v = 1")
+    found = raster.regions(mask, ["vec_id"], SIDE, SIDE)
+    big = found.groupBy("vec_id", "region").count().where("count >= 6").drop("count")
+    return found.join(big, ["vec_id", "region"], "left_semi").select("vec_id", "x", "y")
+
+
+@query("im-14-assembled", "WITH p AS (SELECT layer, (vec_id%20)*3+x AS x, CAST(floor(vec_id/20e0) AS BIGINT)*3+y AS y, vec_id, v FROM img), l AS (SELECT layer, x, y, v, row_number() OVER (PARTITION BY layer, x, y ORDER BY vec_id DESC) AS r FROM p) SELECT layer, x, y, CAST(least(255, greatest(0, v)) AS BIGINT) AS grey FROM l WHERE r=1")
+def _(t: Tables) -> DataFrame:
+    """All images as fields of one slide, 20 in a row and overlapping by a pixel; the last field's pixel is seen, clipped to 8 bits."""
+    placed = t.img.select("layer", (C("vec_id") % 20 * 3 + C("x")).alias("x"), (F.floor(C("vec_id") / 20) * 3 + C("y")).alias("y"), "vec_id", "v")
+    seen = placed.groupBy("layer", "x", "y").agg(F.max_by("v", "vec_id").alias("v"))
+    return seen.select("layer", "x", "y", F.least(F.lit(255), F.greatest(F.lit(0), C("v"))).cast("long").alias("grey"))
+
+
+_FLAT = "CAST(greatest(0e0, least(65535e0, round_even((CASE WHEN v>10 THEN greatest(0e0, least(65535e0, round_even(10+30e0/(20+layer)*(v-10), 0))) ELSE CAST(v AS DOUBLE) END)/(0.9+0.05*layer), 0))) AS DOUBLE)"
+
+
+@query("im-23-warped", f"""WITH i AS (SELECT vec_id, layer, x, y, {_FLAT} AS v FROM img), g AS (SELECT vec_id, layer, x AS tx, y AS ty, least(greatest(1.5+(x-1.5)*(1+0.05*((x-1.5)*(x-1.5)+(y-1.5)*(y-1.5))/4), 0), 3) AS mx, least(greatest(1.5+(y-1.5)*(1+0.05*((x-1.5)*(x-1.5)+(y-1.5)*(y-1.5))/4), 0), 3) AS my FROM img),
+ c AS (SELECT *, least(floor(mx), 2) AS sx, least(floor(my), 2) AS sy FROM g), a AS (SELECT vec_id, layer, tx, ty, sx+i AS x, sy+j AS y, (CASE WHEN i=1 THEN mx-sx ELSE 1-(mx-sx) END)*(CASE WHEN j=1 THEN my-sy ELSE 1-(my-sy) END) AS w FROM c, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) o(i, j))
+ SELECT a.vec_id, a.layer, tx AS x, ty AS y, round(sum(b.v*w), 3) AS v FROM a JOIN i b ON a.vec_id=b.vec_id AND a.layer=b.layer AND a.x=b.x AND a.y=b.y GROUP BY a.vec_id, a.layer, tx, ty""")
+def _(t: Tables) -> DataFrame:
+    """Exposure, flat field and warp corrected one after the other."""
+    e = stats.correct_exposure(C("v"), C("layer") + 20, F.lit(30.0), F.lit(10))
+    flat = F.greatest(F.lit(0.0), F.least(F.lit(65535.0), F.rint(e / (F.lit(0.9) + F.lit(0.05) * C("layer")))))
+    found = raster.remap(t.img.withColumn("v", flat), BY, SIDE, SIDE, *raster.radial_places(SIDE, SIDE, 0.05))
+    return found.select(*BY, "x", "y", _r(C("v"), 3).alias("v"))

@@ -270,10 +270,11 @@ def _(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.array_except(wanted, F.collect_set("o_orderpriority"))), ",").alias("missing"))
 
 
-@query("se-08", "SELECT n_regionkey, max(n_nationkey) AS kept FROM nation GROUP BY n_regionkey")
+@query("se-08", "SELECT n_regionkey, max(n_nationkey) AS kept, count(*)-1 AS dropped, count(DISTINCT length(n_name))>1 AS conflict FROM nation GROUP BY n_regionkey")
 def _(t: Tables) -> DataFrame:
-    last = F.row_number().over(Window.partitionBy("n_regionkey").orderBy(F.desc("n_nationkey")))
-    return t.nation.withColumn("r", last).where("r = 1").select("n_regionkey", C("n_nationkey").alias("kept"))
+    """Of rows at one place the last stays; those that differ in what should be equal are reported as a conflict."""
+    at = t.nation.groupBy("n_regionkey").agg(F.max("n_nationkey").alias("kept"), (F.count("*") - 1).alias("dropped"), F.count_distinct(F.length("n_name")).alias("different"))
+    return at.select("n_regionkey", "kept", "dropped", (C("different") > 1).alias("conflict"))
 
 
 @query("se-09", "SELECT name, file FROM (SELECT regexp_replace(f, '_M2$', '') AS name, f AS file, row_number() OVER (PARTITION BY regexp_replace(f, '_M2$', '') ORDER BY CASE WHEN f LIKE '%_M2' THEN 0 ELSE 1 END) AS r FROM (SELECT n_name AS f FROM nation UNION ALL SELECT n_name||'_M2' FROM nation WHERE n_regionkey=0) x) y WHERE r=1")
@@ -368,11 +369,13 @@ def _(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", (1000 * layer + F.row_number().over(Window.partitionBy(layer).orderBy("p_partkey"))).cast("long").alias("regionid"))
 
 
-@query("wn-10", "SELECT c_nationkey, count(*) AS rows FROM customer GROUP BY c_nationkey")
+@query("wn-10", """WITH k AS (SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey)+CASE WHEN c_nationkey%3=0 AND c_acctbal<0 THEN 1 ELSE 0 END AS k FROM customer)
+ SELECT c_nationkey, count(*) AS rows, min(k)=1 AND max(k)=count(*) AND count(DISTINCT k)=count(*) AS consecutive FROM k GROUP BY c_nationkey""")
 def _(t: Tables) -> DataFrame:
-    number = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
-    checked = t.customer.select("c_nationkey", number.alias("k")).groupBy("c_nationkey").agg(F.count("*").alias("rows"), F.max("k").alias("top"))
-    return checked.where(F.assert_true(C("rows") == C("top")).isNull()).select("c_nationkey", "rows")
+    """Whether each nation's numbers are 1 to k; in every third nation those of customers in debt are one too high."""
+    number = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) + F.when((C("c_nationkey") % 3 == 0) & (C("c_acctbal") < 0), 1).otherwise(0)
+    checked = t.customer.select("c_nationkey", number.alias("k")).groupBy("c_nationkey").agg(F.count("*").alias("rows"), F.min("k").alias("low"), F.max("k").alias("top"), F.count_distinct("k").alias("different"))
+    return checked.select("c_nationkey", "rows", ((C("low") == 1) & (C("top") == C("rows")) & (C("different") == C("rows"))).alias("consecutive"))
 
 
 @query("wn-11", "SELECT k AS layer, coalesce(s.n, 'empty') AS name FROM (SELECT unnest(generate_series(0, 30)) AS k) g LEFT JOIN (SELECT n_nationkey AS k, n_name AS n FROM nation WHERE n_nationkey%4<>1) s USING (k)")

@@ -31,13 +31,17 @@ def _(t: Tables) -> DataFrame:
     return S.read_csv(t.spark, _csv(t, t.part.select("p_partkey", "p_name", "p_size", "p_retailprice"), header=False), _PART, header=False)
 
 
-@query("src-03", "SELECT 'p_partkey,p_name' AS header, CAST(0 AS BIGINT) AS bad_lines")
+@query("src-03", "SELECT * FROM (SELECT 'crlf' AS kind, true AS ordered, count(*) AS lines, CAST(0 AS BIGINT) AS bare FROM part UNION ALL SELECT 'mixed', false, count(*), count(*) FILTER (p_partkey%3=0) FROM part) x")
 def _(t: Tables) -> DataFrame:
-    path = _csv(t, t.part.select("p_partkey", "p_name"))
-    lines = t.spark.read.option("lineSep", "\n").text(path)
-    head = lines.where(C("value").startswith("p_partkey")).select(F.regexp_replace("value", "\r", "").alias("header")).distinct()
-    bad = lines.agg(F.count_if(~F.endswith("value", F.lit("\r"))).alias("bad_lines"))
-    return head.crossJoin(F.broadcast(bad))  # one row
+    """Column order and line ends of a file as it should be, and of one with the columns turned and some line ends bare."""
+    names = ["p_partkey", "p_name"]
+    good = S.line_report(t.spark, _csv(t, t.part.select(*names)), names).withColumn("kind", F.lit("crlf"))
+    path = new_path(t.spark, "csv")
+    line = F.concat_ws(",", "p_name", "p_partkey", F.when(C("p_partkey") % 3 != 0, "\r"))
+    turned = t.part.select(F.regexp_replace(line, ",\r$", "\r").alias("value"))
+    turned.write.text(path)
+    t.spark.range(1, numPartitions=1).select(F.lit("p_name,p_partkey\r").alias("value")).write.mode("append").text(path)
+    return good.unionByName(S.line_report(t.spark, path, names).withColumn("kind", F.lit("mixed")))
 
 
 @query("src-04", "SELECT o_orderkey AS REDCapID, strftime(o_orderdate, '%Y-%m-%d') AS DateCollected, o_orderpriority AS Note FROM orders")
@@ -137,13 +141,13 @@ def _(t: Tables) -> DataFrame:
     return files.where(C("source").rlike("[05]$")).groupBy("source").agg(F.lit(1).cast("long").alias("n"))
 
 
-@query("src-19", "SELECT CAST(r_regionkey AS INT) AS r_regionkey, 1 AS layer FROM region")
+@query("src-19", "SELECT n_nationkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS layer FROM nation")
 def _(t: Tables) -> DataFrame:
+    """A file for each region, whose rows are numbered as layers."""
     path = new_path(t.spark, "csv")
-    t.region.select("r_regionkey").repartition(5, "r_regionkey").sortWithinPartitions("r_regionkey").write.option("header", True).csv(path)
-    first = S.union_numbered(t.spark, path, "r_regionkey int").groupBy("file").agg(F.count("*").alias("n"), F.max("layer").alias("top"))
-    whole = S.union_numbered(t.spark, path, "r_regionkey int").join(first.where("n = top"), "file")
-    return whole.select("r_regionkey", F.lit(1).alias("layer"))
+    rows = t.nation.select("n_nationkey", "n_regionkey").repartition(5, "n_regionkey").sortWithinPartitions("n_regionkey", "n_nationkey")
+    rows.write.partitionBy("n_regionkey").option("header", True).csv(path)
+    return S.union_numbered(t.spark, path, "n_nationkey int").select("n_nationkey", C("layer").cast("long").alias("layer"))
 
 
 @query("src-20", "SELECT count(*) AS nrows FROM part")

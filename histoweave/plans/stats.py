@@ -74,10 +74,15 @@ def _(t: Tables) -> DataFrame:
     return A.moment(A.histogram(t.pixels, "layer"), 3, "layer").select("layer", _r(C("moment")).alias("skew"))
 
 
-@query("ag-12", """WITH r AS (SELECT layer, v, row_number() OVER (PARTITION BY layer ORDER BY v) AS r, count(*) OVER (PARTITION BY layer) AS n FROM pixels)
- SELECT layer, max(CASE WHEN r=CAST(floor(n*0.05) AS BIGINT)+1 THEN v END) AS low, max(CASE WHEN r=CAST(floor(n*0.95) AS BIGINT)+1 THEN v END) AS high FROM r GROUP BY layer""")
+@query("ag-12", """WITH p AS (SELECT layer, v, pixel%4 IN (1, 2) AND pixel BETWEEN 4 AND 11 AS c FROM pixels), m AS (SELECT layer, avg(v) AS level, stddev_pop(v) AS s, stddev_pop(CASE WHEN c THEN v END) AS cs FROM p GROUP BY layer),
+ r AS (SELECT layer, v, row_number() OVER (PARTITION BY layer ORDER BY v) AS r, count(*) OVER (PARTITION BY layer) AS n FROM p), q AS (SELECT layer, max(CASE WHEN r=CAST(floor(n*0.95) AS BIGINT)+1 THEN v END)-max(CASE WHEN r=CAST(floor(n*0.05) AS BIGINT)+1 THEN v END) AS d FROM r GROUP BY layer),
+ k AS (SELECT layer, v, row_number() OVER (PARTITION BY layer ORDER BY v) AS r, count(*) OVER (PARTITION BY layer) AS n FROM p WHERE c), cq AS (SELECT layer, max(CASE WHEN r=CAST(floor(n*0.95) AS BIGINT)+1 THEN v END)-max(CASE WHEN r=CAST(floor(n*0.05) AS BIGINT)+1 THEN v END) AS d FROM k GROUP BY layer)
+ SELECT layer, round(q.d/level, 4) AS spread, round(s/level, 4) AS std, round(cq.d/level, 4) AS central_spread, round(cs/level, 4) AS central_std FROM m JOIN q USING (layer) JOIN cq USING (layer)""")
 def _(t: Tables) -> DataFrame:
-    return A.index_quantiles(t.pixels, "v", "layer", 0.05, 0.95)
+    """The central part of 4 x 4 pixels is its inner 2 x 2."""
+    central = (C("pixel") % 4).isin(1, 2) & C("pixel").between(4, 11)
+    found = A.spreads(t.pixels, central, "layer")
+    return found.select("layer", *(_r(C(c), 4).alias(c) for c in found.columns if c != "layer"))
 
 
 _DELTA = "WITH m AS (SELECT layer, pixel, avg(v) FILTER (label%2=0) AS a, avg(v) FILTER (label%2=1) AS b, stddev_pop(v) AS sd FROM pixels GROUP BY layer, pixel), d AS (SELECT layer, stddev_pop(CASE WHEN (a-b)/sd<>0 THEN (a-b)/sd END) AS s FROM m GROUP BY layer)"
@@ -172,10 +177,17 @@ def _(t: Tables) -> DataFrame:
     return t.documents.groupBy("source").agg(F.count("*").alias("files"), (F.max("n_chars") - F.min("n_chars")).alias("spread"))
 
 
-@query("ag-39", "SELECT slide_id, round(regr_slope(dx, p1), 5) AS slope FROM measured WHERE exit=0 GROUP BY slide_id")
+_CRAMER = """s AS (SELECT slide_id, sum(w) AS aa, sum(w*p1) AS ab, sum(w*p2) AS ac, sum(w*p1*p1) AS bb, sum(w*p1*p2) AS bc, sum(w*p2*p2) AS cc, sum(w*dx) AS ay, sum(w*p1*dx) AS b_y, sum(w*p2*dx) AS cy, count(*) AS n FROM {0} GROUP BY slide_id),
+ {1} AS (SELECT slide_id, n, (ay*(bb*cc-bc*bc)-ab*(b_y*cc-bc*cy)+ac*(b_y*bc-bb*cy))/d AS k, (aa*(b_y*cc-bc*cy)-ay*(ab*cc-bc*ac)+ac*(ab*cy-b_y*ac))/d AS s1, (aa*(bb*cy-b_y*bc)-ab*(ab*cy-b_y*ac)+ay*(ab*bc-bb*ac))/d AS s2
+ FROM (SELECT *, CASE WHEN abs(aa*(bb*cc-bc*bc)-ab*(ab*cc-bc*ac)+ac*(ab*bc-bb*ac))>1e-9 THEN aa*(bb*cc-bc*bc)-ab*(ab*cc-bc*ac)+ac*(ab*bc-bb*ac) END AS d FROM s) z)"""
+
+
+@query("ag-39", "WITH m AS (SELECT slide_id, dx, p1, p2, 1/covxx AS w FROM measured WHERE exit=0), " + _CRAMER.format("m", "f") + ", kept AS (SELECT m.* FROM m JOIN f USING (slide_id) WHERE abs(dx-(k+s1*p1+s2*p2))<=4), " + _CRAMER.format("kept", "g").replace("s AS (", "s2nd AS (", 1).replace("FROM s)", "FROM s2nd)") + " SELECT slide_id, round(k, 4) AS constant, round(s1, 5) AS slope1, round(s2, 5) AS slope2, n AS rows FROM g")
 def _(t: Tables) -> DataFrame:
-    m = t.measured.where("exit = 0")
-    return m.groupBy("slide_id").agg(_r(F.regr_slope("dx", "p1"), 5).alias("slope"))
+    """Shifts on both fields' numbers, weighted, with rows of residuals over 4 left out."""
+    m = t.measured.where("exit = 0").select("slide_id", "dx", "p1", "p2", "covxx")
+    found = A.cut_regression(m, "slide_id", "dx", "p1", "p2", 1 / C("covxx"), 4.0)
+    return found.select("slide_id", _r(C("constant"), 4).alias("constant"), _r(C("slope1"), 5).alias("slope1"), _r(C("slope2"), 5).alias("slope2"), "rows")
 
 
 @query("ag-39-weighted")
@@ -184,19 +196,21 @@ def _(t: Tables) -> DataFrame:
     return A.regression(m, "slide_id", "dx", "p1", "p2", 1 / C("covxx"))
 
 
-@query("ag-41", "SELECT layer, round(sum(CAST(pixel AS DOUBLE)*abs(v))/sum(abs(v)), 6) AS centre FROM pixels GROUP BY layer")
+@query("ag-41", """WITH w AS (SELECT layer, vec_id%200 AS place, sum(abs(v))::DOUBLE AS w FROM pixels GROUP BY 1, 2), r AS (SELECT layer, place, sum(w) OVER (PARTITION BY layer ORDER BY place) AS upto, sum(w) OVER (PARTITION BY layer) AS total, sum(w*place) OVER (PARTITION BY layer) AS moment FROM w),
+ e AS (SELECT layer, CAST(round_even(max(moment)/max(total), 0) AS BIGINT) AS centre, max(CASE WHEN upto<0.005*total THEN place END) AS a, min(CASE WHEN upto>0.995*total THEN place END) AS b FROM r GROUP BY layer) SELECT layer, centre, centre-a AS low, b-centre AS high FROM e""")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.groupBy("layer").agg(_r(A.weighted_mean(C("pixel").cast("double"), F.abs("v"))).alias("centre"))
+    """Of each layer's brightness along its images, of which 200 make a row."""
+    return A.extents(t.pixels.select("layer", (C("vec_id") % 200).alias("place"), F.abs("v").alias("w")), "layer", "place", "w")
 
 
-@query("im-04", "SELECT vec_id, pixel, CAST(sum(CASE WHEN v>0 THEN 1 ELSE 0 END)>=3 AS INT) AS tissue FROM pixels GROUP BY vec_id, pixel")
-def _(t: Tables) -> DataFrame:
-    return t.pixels.groupBy("vec_id", "pixel").agg((F.count_if(C("v") > 0) >= 3).cast("int").alias("tissue"))
+_FULL = "CASE WHEN layer<2 THEN 200 ELSE 250 END"
 
 
-@query("im-06", "SELECT vec_id, layer, pixel FROM pixels WHERE v>=250")
+@query("im-06", f"WITH g AS (SELECT vec_id, pixel, CAST(floor(layer/2e0) AS BIGINT) AS grp, count(*) FILTER (v>={_FULL}) AS n FROM pixels GROUP BY 1, 2, 3) SELECT vec_id, pixel, grp, n>=1 AS saturated FROM g")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.where("v >= 250").select("vec_id", "layer", "pixel")
+    """Pixels that are saturated in a layer of a group; the groups, of two layers each, have their own limits."""
+    full = C("v") >= F.when(C("layer") < 2, 200).otherwise(250)
+    return t.pixels.groupBy("vec_id", "pixel", F.floor(C("layer") / 2).alias("grp")).agg((F.count_if(full) >= 1).alias("saturated"))
 
 
 @query("im-13", "SELECT layer, pixel, v FROM (SELECT layer, pixel, v, row_number() OVER (PARTITION BY layer, pixel ORDER BY vec_id DESC) AS r FROM pixels WHERE v>0) x WHERE r=1")
@@ -210,9 +224,12 @@ def _(t: Tables) -> DataFrame:
     return t.pixels.groupBy("vec_id", "pixel").agg(_r(F.sum(C("v") * weight((0.5, 1.0, 1.5, 2.0)))).alias("red"), _r(F.sum(C("v") * weight((1.0, 0.75, 0.5, 0.25)))).alias("green"))
 
 
-@query("im-16", "SELECT vec_id, layer, CAST(level AS INT) AS level, CAST(floor(pixel/pow(2, level)) AS BIGINT) AS at, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM pixels, (SELECT unnest(generate_series(0, 3)) AS level) k GROUP BY vec_id, layer, level, 4")
+@query("im-16", """WITH l AS (SELECT unnest(generate_series(0, 2)) AS level), p AS (SELECT vec_id, layer, CAST(level AS INT) AS level, CAST(floor(pixel%4/pow(2, level)) AS BIGINT) AS x, CAST(floor(floor(pixel/4e0)/pow(2, level)) AS BIGINT) AS y, v FROM pixels, l),
+ q AS (SELECT vec_id, layer, level, x, y, round(avg(v), 4) AS v FROM p GROUP BY ALL), t AS (SELECT vec_id, layer, level, CAST(floor(x/2e0) AS BIGINT) AS tx, CAST(floor(y/2e0) AS BIGINT) AS ty, max(v) AS top, count(*) AS filled FROM q GROUP BY ALL)
+ SELECT vec_id, layer, level, tx, ty, filled, 4-filled AS padded FROM t WHERE top>0""")
 def _(t: Tables) -> DataFrame:
-    return A.shrink_levels(t.pixels, 4)
+    """Three zoom levels in tiles of 2 x 2: what a tile has less than four pixels is padding, and tiles without a bright pixel are left out."""
+    return A.tiles(A.pyramid(t.pixels.select("vec_id", "layer", (C("pixel") % 4).alias("x"), F.floor(C("pixel") / 4).alias("y"), "v"), ["vec_id", "layer"], 3), ["vec_id", "layer"], 2)
 
 
 @query("im-21", "SELECT p.vec_id, p.k, p.v*10+e.label AS relabelled FROM pixels p JOIN embeddings e USING (vec_id) WHERE p.v>0")
@@ -221,9 +238,12 @@ def _(t: Tables) -> DataFrame:
     return t.pixels.where("v > 0").join(ids, "vec_id").select("vec_id", "k", (C("v") * 10 + C("id")).alias("relabelled"))
 
 
-@query("im-22", "SELECT label, layer, median(v) AS median FROM pixels GROUP BY label, layer")
+@query("im-22", "WITH m AS (SELECT label, layer, v>0 AS region, median(v) AS median FROM pixels GROUP BY ALL) SELECT vec_id, p.layer, pixel, m.median AS v FROM pixels p JOIN m ON m.label=p.label AND m.layer=p.layer AND m.region=(p.v>0)")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.groupBy("label", "layer").agg(F.median("v").alias("median"))
+    """Every pixel as the median of its region, the bright or the dark part of its class of images."""
+    region = t.pixels.withColumn("region", C("v") > 0)
+    median = region.groupBy("label", "layer", "region").agg(F.median("v").alias("median"))
+    return region.join(median, ["label", "layer", "region"]).select("vec_id", "layer", "pixel", C("median").alias("v"))
 
 
 _EXP = "CASE WHEN v>10 THEN greatest(0e0, least(65535e0, round_even(10+30e0/(20+layer)*(v-10), 0))) ELSE CAST(v AS DOUBLE) END"
@@ -245,9 +265,12 @@ def _(t: Tables) -> DataFrame:
     return first.select("vec_id", "k", F.greatest(F.lit(0.0), F.least(F.lit(65535.0), F.rint(C("e") / (F.lit(0.9) + F.lit(0.05) * C("layer"))))).alias("corrected"))
 
 
-@query("im-24", "SELECT vec_id, pixel, v FROM pixels WHERE layer=1")
+@query("im-24", "SELECT vec_id, count(*) FILTER (layer=1) AS pixels, count(*) FILTER (layer=1 AND vec_id%7=0 AND pixel%5=0) AS differing FROM pixels GROUP BY vec_id")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.where("layer = 1").select("vec_id", "pixel", "v")
+    """The first layer extracted from all, held against a file of it in which some images have other pixels."""
+    own = t.pixels.where("layer = 1").select("vec_id", "pixel", "v")
+    kept = own.select("vec_id", "pixel", F.when((C("vec_id") % 7 == 0) & (C("pixel") % 5 == 0), C("v") + 1).otherwise(C("v")).alias("other"))
+    return own.join(kept, ["vec_id", "pixel"], "full").groupBy("vec_id").agg(F.count("v").alias("pixels"), F.count_if(~C("v").eqNullSafe(C("other"))).alias("differing"))
 
 
 @query("ag-34-covariance", "SELECT a.k AS i, b.k AS j, CAST(sum(a.v*b.v) AS BIGINT) AS product, CAST(sum(a.v) AS BIGINT) AS si, CAST(sum(b.v) AS BIGINT) AS sj, count(*) AS n FROM pixels a JOIN pixels b ON a.vec_id=b.vec_id AND a.k<=b.k GROUP BY a.k, b.k")

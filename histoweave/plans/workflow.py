@@ -21,23 +21,33 @@ def _(t: Tables) -> DataFrame:
     return W.last_lines(t.runlog)
 
 
-@query("st-06", _STATE)
+@query("st-06", f"WITH s AS ({_STATE}), m AS (SELECT slide_id, isgood, 'align' AS module, NULL AS need FROM sampledef UNION ALL SELECT slide_id, isgood, 'warp', 'align' FROM sampledef) SELECT m.slide_id, m.module, CASE WHEN isgood=0 THEN 'NA' WHEN coalesce(s.status, 'WAITING')='WAITING' AND (m.need IS NULL OR b.status='FINISHED') THEN 'READY' ELSE coalesce(s.status, 'WAITING') END AS status FROM m LEFT JOIN s ON s.slide_id=m.slide_id AND s.module=m.module LEFT JOIN s b ON b.slide_id=m.slide_id AND b.module=m.need")
 def _(t: Tables) -> DataFrame:
-    return W.run_status(t.runlog)
+    return W.module_status(t.runlog, t.sampledef, {"align": None, "warp": "align"})
 
 
 _RUNS = """WITH r AS (SELECT *, sum(CASE WHEN message='START' THEN 1 ELSE 0 END) OVER (PARTITION BY slide_id, module ORDER BY pos) AS run FROM runlog)
  SELECT slide_id, module, CAST(run AS BIGINT) AS run, count(*) AS lines, count(*) FILTER (message='ERROR') AS errors, count(*) FILTER (message='FINISH') AS finishes FROM r GROUP BY slide_id, module, run"""
 
 
-@query("wn-13", _RUNS)
+_HISTORY = """WITH r AS (SELECT *, CAST(sum(CASE WHEN message='START' THEN 1 ELSE 0 END) OVER (PARTITION BY slide_id, module ORDER BY pos) AS BIGINT) AS run FROM runlog),
+ g AS (SELECT slide_id, module, run, count(*) AS lines, CASE WHEN coalesce(max(CASE WHEN message='FINISH' THEN pos END), -1)>coalesce(max(CASE WHEN message='ERROR' THEN pos END), -1) THEN 'FINISHED' WHEN max(CASE WHEN message='ERROR' THEN pos END) IS NOT NULL THEN 'ERROR' ELSE 'OPEN' END AS ended, max(CASE WHEN message='INFO' THEN 1 ELSE 0 END) AS clean FROM r WHERE run>0 GROUP BY slide_id, module, run)
+ SELECT slide_id, module, run, lines, ended, lag(ended) OVER w AS previous, max(CASE WHEN clean=1 OR run=1 THEN run END) OVER w AS clean_since FROM g WINDOW w AS (PARTITION BY slide_id, module ORDER BY run)"""
+
+
+@query("wn-13", _HISTORY)
 def _(t: Tables) -> DataFrame:
-    return W.runs(t.runlog)
+    """Runs with the end of the one before; notes in the log mark what was cleaned up."""
+    return W.run_history(t.runlog, C("message") == "INFO")
 
 
-@query("st-13", f"SELECT slide_id, module, max(run) AS last_run, CAST(sum(errors) AS BIGINT) AS errors FROM ({_RUNS}) x GROUP BY slide_id, module")
+@query("st-13", f"WITH h AS ({_HISTORY}), e AS (SELECT slide_id, module, nxt AS continued FROM (SELECT *, lead(message) OVER (PARTITION BY slide_id, module ORDER BY pos) AS nxt FROM runlog) x WHERE message='ERROR' QUALIFY row_number() OVER (PARTITION BY slide_id, module ORDER BY pos DESC)=1) SELECT h.slide_id, h.module, max(run) AS last_run, max_by(ended, run) AS ended, max_by(clean_since, run) AS clean_since, count(*) FILTER (previous IN ('FINISHED', 'ERROR')) AS reruns, max(e.continued) AS continued FROM h LEFT JOIN e ON e.slide_id=h.slide_id AND e.module=h.module GROUP BY h.slide_id, h.module")
 def _(t: Tables) -> DataFrame:
-    return W.runs(t.runlog).groupBy("slide_id", "module").agg(F.max("run").alias("last_run"), F.sum("errors").alias("errors"))
+    """The log folded to its last run, with reruns, the last clean start and the line that follows the last error."""
+    last = W.run_history(t.runlog, C("message") == "INFO").groupBy("slide_id", "module").agg(F.max("run").alias("last_run"), F.max_by("ended", "run").alias("ended"), F.max_by("clean_since", "run").alias("clean_since"), F.count_if(C("previous").isin("FINISHED", "ERROR")).alias("reruns"))
+    follows = F.lead("message").over(Window.partitionBy("slide_id", "module").orderBy("pos"))
+    errors = t.runlog.withColumn("next", follows).where("message = 'ERROR'").groupBy("slide_id", "module").agg(F.max_by("next", "pos").alias("continued"))
+    return last.join(errors, ["slide_id", "module"], "left")
 
 
 @query("flt-05", f"SELECT a.slide_id, CASE WHEN NOT coalesce(b.status='FINISHED', false) THEN 'dependency' WHEN a.status='FINISHED' THEN 'done' WHEN a.status='RUNNING' THEN 'busy' ELSE 'run' END AS decision FROM (SELECT * FROM ({_STATE}) x WHERE module='warp') a LEFT JOIN (SELECT * FROM ({_STATE}) x WHERE module='align') b ON a.slide_id=b.slide_id")
@@ -76,9 +86,15 @@ def _(t: Tables) -> DataFrame:
     return t.sampledef.join(s, "slide_id", "left").groupBy("batch").agg(F.bool_and(F.coalesce("status", F.lit("WAITING")) == "FINISHED").alias("ready"))
 
 
-@query("st-10", "WITH l AS (SELECT slide_id, ts, message, CASE WHEN ts-lag(ts) OVER (PARTITION BY slide_id ORDER BY ts, pos)<INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new FROM runlog), s AS (SELECT *, sum(new) OVER (PARTITION BY slide_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM l) SELECT slide_id, count(*) AS lines, max(CASE WHEN message='FINISH' THEN 1 ELSE 0 END) AS done FROM s GROUP BY slide_id, g")
+@query("st-10", """WITH l AS (SELECT slide_id, ts, pos, message, CASE WHEN ts-lag(ts) OVER (PARTITION BY slide_id ORDER BY ts, pos)<INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new FROM runlog), s AS (SELECT *, sum(new) OVER (PARTITION BY slide_id ORDER BY ts, pos ROWS UNBOUNDED PRECEDING) AS g FROM l),
+ g AS (SELECT slide_id, count(*) AS lines, max(CASE WHEN message='FINISH' THEN 1 ELSE 0 END) AS done, max(ts) AS until FROM s GROUP BY slide_id, g) SELECT slide_id, lines, CASE WHEN done=1 THEN 'DONE' WHEN until<(SELECT max(ts) FROM runlog)-INTERVAL 10 MINUTE THEN 'ORPHAN' ELSE 'ALIVE' END AS state FROM g""")
 def _(t: Tables) -> DataFrame:
-    return T.heartbeat_gaps(t.runlog.withColumn("ts", C("ts").cast("timestamp")), "10 minutes").select("slide_id", "lines", "done")
+    """Jobs as sessions of a slide's lines: without a last line they are orphans once the log has gone on for longer than the timeout."""
+    log = t.runlog.withColumn("ts", C("ts").cast("timestamp"))
+    jobs = T.heartbeat_gaps(log, "10 minutes")
+    now = F.broadcast(log.agg(F.max("ts").alias("now")))  # one row
+    state = F.when(C("done") == 1, "DONE").when(C("until") < C("now") - F.expr("INTERVAL 10 MINUTES"), "ORPHAN").otherwise("ALIVE")
+    return jobs.join(now).select("slide_id", "lines", state.alias("state"))
 
 
 def _replayed(t: Tables, stream, mode: str) -> DataFrame:
@@ -117,3 +133,14 @@ def _(t: Tables) -> DataFrame:
     t.cell.write.parquet(f"{out}/cells")
     cells = spark.read.parquet(f"{out}/cells").groupBy("slide_id", C("field").alias("n")).agg(F.count("*").alias("cells"), F.sum(C("w") * C("h")).alias("area"))
     return spark.read.parquet(f"{out}/fields").join(cells, ["slide_id", "n"], "left").select("slide_id", "n", F.coalesce("cells", F.lit(0)).cast("long").alias("cells"), F.coalesce("area", F.lit(0)).cast("long").alias("area"))
+
+
+@query("st-01-changes", """WITH a AS (SELECT doc_id AS file, md5(text) AS h FROM documents WHERE doc_id%10<>0), b AS (SELECT CASE WHEN doc_id%9=0 THEN doc_id+1000000000 ELSE doc_id END AS file, md5(CASE WHEN doc_id%7=0 THEN text||'x' ELSE text END) AS h FROM documents WHERE doc_id%10<>1),
+ gone AS (SELECT * FROM a WHERE file NOT IN (SELECT file FROM b)), new AS (SELECT * FROM b WHERE file NOT IN (SELECT file FROM a)), moved AS (SELECT n.file, max(g.file) AS was FROM new n JOIN gone g ON g.h=n.h GROUP BY n.file)
+ SELECT b.file, 'Changed' AS event, CAST(NULL AS BIGINT) AS was FROM a JOIN b ON a.file=b.file AND a.h<>b.h UNION ALL SELECT file, 'Renamed', was FROM moved UNION ALL SELECT file, 'Created', NULL FROM new WHERE file NOT IN (SELECT file FROM moved) UNION ALL SELECT file, 'Deleted', NULL FROM gone WHERE h NOT IN (SELECT h FROM new)""")
+def _(t: Tables) -> DataFrame:
+    """Two listings of files with their hashes as events; a new name for a hash whose old name is gone is a renaming."""
+    a = t.documents.where("doc_id % 10 <> 0").select(C("doc_id").alias("file"), F.md5("text").alias("h"))
+    name = F.when(C("doc_id") % 9 == 0, C("doc_id") + 1_000_000_000).otherwise(C("doc_id"))
+    b = t.documents.where("doc_id % 10 <> 1").select(name.alias("file"), F.md5(F.when(C("doc_id") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(C("text"))).alias("h"))
+    return W.file_events(a, b)

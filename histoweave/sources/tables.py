@@ -32,6 +32,15 @@ def check_newlines(spark: SparkSession, path: str) -> int:
     return spark.read.option("lineSep", "\n").text(path).where(~F.endswith("value", F.lit("\r"))).count()
 
 
+def line_report(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """One row: whether every header line has these columns in this order, the lines that aren't headers, and how many of them don't end with CRLF."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    text = F.regexp_replace("value", "\r$", "")
+    head = F.array_sort(F.split(text, ",")) == F.array_sort(F.array(*[F.lit(n) for n in names]))
+    bare = ~F.endswith("value", F.lit("\r"))
+    return lines.agg(F.bool_and(F.when(head, text == ",".join(names))).alias("ordered"), F.count_if(~head).alias("lines"), F.count_if(~head & bare).alias("bare"))
+
+
 def read_clinical(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose types follow from its column names: spaces go, the ids and ages are integers, dates are month/day/year."""
     ints = {"REDCapID", "AgeAtCollection", "PackYears"}
@@ -64,7 +73,7 @@ def union_numbered(spark: SparkSession, path: str, schema: str) -> DataFrame:
     from pyspark.sql import Window
 
     rows = spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
-    rows = rows.withColumn("file", F.regexp_extract(F.input_file_name(), r"[^/]*$", 0)).withColumn("at", F.monotonically_increasing_id())
+    rows = rows.withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
     return rows.withColumn("layer", F.row_number().over(Window.partitionBy("file").orderBy("at"))).drop("at")
 
 

@@ -58,4 +58,4 @@ def windowed_counts(events: DataFrame, time: str, width: str, slide: str, late:
 def heartbeat_gaps(log: DataFrame, gap: str) -> DataFrame:
     """Sessions of a slide's lines; a job whose session has closed without FINISH is an orphan."""
     w = F.session_window("ts", gap)
-    return log.groupBy("slide_id", w.alias("w")).agg(F.count("*").alias("lines"), F.max((F.col("message") == "FINISH").cast("int")).alias("done"))
+    return log.groupBy("slide_id", w.alias("w")).agg(F.count("*").alias("lines"), F.max((F.col("message") == "FINISH").cast("int")).alias("done"), F.max("ts").alias("until"))
