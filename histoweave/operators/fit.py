@@ -42,6 +42,91 @@ def stitch(rects: DataFrame, shifts: DataFrame, tie: float = 1e-4) -> DataFrame:
     return rects.select("slide_id", "n", "cx", "cy").groupBy("slide_id").cogroup(sums.groupBy("slide_id")).applyInPandas(solve, "slide_id long, n long, px double, py double")
 
 
+#: Fields of a slide that are solved together: a dense system of twice as many unknowns.
+MOST_FIELDS = 4_000
+
+
+def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3) -> DataFrame:
+    """(slide_id, n, px, py, cov_xx, cov_xy, cov_yy, txx, txy, tyx, tyy): positions of fields and the affine matrix of their grid, fitted together.
+
+    A measured shift adds the squared difference of its two positions from the
+    nominal one plus the shift, in its covariance; a field adds that of its
+    position from the affine grid through the slide's smallest one, in the shifts'
+    own root mean square. A pair counts once, by its direction with p2 < p1 where
+    both have exit 0. If all shifts lie along one axis the matrix's other column
+    is fixed, and with too few equations its diagonal too. Fields without shifts
+    lie on the grid; a slide without shifts keeps its nominal places, with null
+    covariances. Slides of more than MOST_FIELDS fields are refused.
+    """
+    good = shifts.where("exit = 0").select("slide_id", "p1", "p2", "dx", "dy", "covxx", "covxy", "covyy")
+    back = good.where("p2 < p1").select("slide_id", F.col("p2").alias("p1"), F.col("p1").alias("p2"))
+    once = good.where("p2 < p1").unionByName(good.where("p2 > p1").join(back, ["slide_id", "p1", "p2"], "left_anti"))
+
+    def solve(places: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        places = places.sort_values("n")
+        n, size = len(places), 2 * len(places) + 4
+        if n > MOST_FIELDS:
+            raise ValueError(f"a slide of {n} fields; {MOST_FIELDS} are solved together")
+        at = {k: i for i, k in enumerate(places["n"])}
+        nominal = places[["cx", "cy"]].to_numpy(np.float64)
+        pairs = pairs[pairs["p1"].isin(at) & pairs["p2"].isin(at)]
+        out = places[["slide_id", "n"]].copy()
+        if pairs.empty:
+            return out.assign(px=nominal[:, 0], py=nominal[:, 1], cov_xx=np.nan, cov_xy=np.nan, cov_yy=np.nan, txx=1.0, txy=0.0, tyx=0.0, tyy=1.0)
+        i, j = pairs["p1"].map(at).to_numpy(), pairs["p2"].map(at).to_numpy()
+        d = pairs[["dx", "dy"]].to_numpy(np.float64)
+        cov = np.empty((len(pairs), 2, 2))
+        cov[:, 0, 0], cov[:, 1, 1] = pairs["covxx"], pairs["covyy"]
+        cov[:, 0, 1] = cov[:, 1, 0] = pairs["covxy"]
+        weight, target = np.linalg.inv(cov), d + nominal[i] - nominal[j]
+        a, b = np.zeros((size, size)), np.zeros(size)
+        pull = np.einsum("kab,kb->ka", weight, target)
+        for r in (0, 1):
+            np.add.at(b, 2 * i + r, pull[:, r])
+            np.add.at(b, 2 * j + r, -pull[:, r])
+            for c in (0, 1):
+                for rows, columns, sign in ((i, i, 1), (j, j, 1), (i, j, -1), (j, i, -1)):
+                    np.add.at(a, (2 * rows + r, 2 * columns + c), sign * weight[:, r, c])
+        origin = nominal.min(0)
+        away = nominal - origin
+        every = np.arange(n)
+        for axis, var in ((0, "covxx"), (1, "covyy")):
+            w = 1 / pairs[var].to_numpy()
+            jitter = 1 / max((w * d[:, axis] ** 2).sum() / w.sum(), 1e-12)
+            mine = 2 * every + axis
+            t = 2 * n + 2 * axis + np.arange(2)  # the matrix's row of this axis
+            a[mine, mine] += jitter
+            b[mine] += jitter * origin[axis]
+            a[np.ix_(mine, t)] -= jitter * away
+            a[np.ix_(t, mine)] -= jitter * away.T
+            a[np.ix_(t, t)] += jitter * away.T @ away
+            b[t] -= jitter * origin[axis] * away.sum(0)
+        fixed: dict[int, float] = {}
+        step = nominal[i] - nominal[j]
+        if not step[:, 0].any():
+            fixed |= {2 * n: 1.0, 2 * n + 2: 0.0}
+        if not step[:, 1].any():
+            fixed |= {2 * n + 1: 0.0, 2 * n + 3: 1.0}
+        equations = 2 * len(pairs) + 2 * n
+        for more in ({2 * n + 1: 0.0, 2 * n + 2: 0.0}, {2 * n: 1.0, 2 * n + 3: 1.0}):
+            if equations < size - len(fixed):
+                fixed |= more
+        free = np.array([k for k in range(size) if k not in fixed])
+        held, value = np.array(sorted(fixed), np.int64), np.array([fixed[k] for k in sorted(fixed)])
+        inverse = np.linalg.inv(a[np.ix_(free, free)])
+        found, covariance = np.zeros(size), np.zeros((size, size))
+        found[held] = value
+        found[free] = inverse @ (b[free] - a[np.ix_(free, held)] @ value)
+        covariance[np.ix_(free, free)] = inverse
+        covariance[held, held] = fixed_error**2
+        x, y = 2 * every, 2 * every + 1
+        t = found[2 * n :]
+        return out.assign(px=found[x], py=found[y], cov_xx=covariance[x, x], cov_xy=covariance[x, y], cov_yy=covariance[y, y], txx=t[0], txy=t[1], tyx=t[2], tyy=t[3])
+
+    columns = ", ".join(f"{c} double" for c in ("px", "py", "cov_xx", "cov_xy", "cov_yy", "txx", "txy", "tyx", "tyy"))
+    return rects.select("slide_id", "n", "cx", "cy").groupBy("slide_id").cogroup(once.groupBy("slide_id")).applyInPandas(solve, f"slide_id long, n long, {columns}")
+
+
 #: Sums for a quadratic surface: powers of x and y of its six terms.
 SURFACE = ((0, 0), (1, 0), (0, 1), (2, 0), (1, 1), (0, 2))
 
@@ -85,10 +170,16 @@ def refit_without_outliers(df: DataFrame, by: str, y: str, terms: dict[str, F.Co
     return fit
 
 
+#: Columns of which the covariance is solved on the driver.
+MOST_COLUMNS = 2_000
+
+
 def principal_components(sums: DataFrame, most: int = 3) -> DataFrame:
-    """Leading components of a covariance given as sums by column pair; one row a column pair, so of a fixed size."""
+    """Leading components of a covariance given as sums by column pair; its size is checked before it is collected."""
+    n = (sums.agg(F.max("j")).first()[0] or 0) + 1
+    if n > MOST_COLUMNS:
+        raise ValueError(f"{n} columns; the covariance of at most {MOST_COLUMNS} is solved on the driver")
     pdf = sums.toPandas()
-    n = int(max(pdf["i"].max(), pdf["j"].max())) + 1
     c = np.zeros((n, n))
     cov = pdf["product"] / pdf["n"] - pdf["si"] / pdf["n"] * pdf["sj"] / pdf["n"]
     c[pdf["i"], pdf["j"]] = cov

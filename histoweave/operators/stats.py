@@ -114,10 +114,15 @@ def correct_exposure(value: Column, exposure: Column, median: Column, offset: Co
 
 
 def covariance(pixels: DataFrame, key: str, column: str, value: str) -> DataFrame:
-    """Sums for a covariance of pixel columns over keys: (i, j, sum of products, count)."""
-    a = pixels.select(key, F.col(column).alias("i"), F.col(value).alias("a"))
-    b = pixels.select(key, F.col(column).alias("j"), F.col(value).alias("b"))
-    return a.join(b, key).where("i <= j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("product"), F.sum("a").alias("si"), F.sum("b").alias("sj"), F.count("*").alias("n"))
+    """Sums for a covariance of pixel columns over keys: (i, j, sum of products, count).
+
+    A key's values are one array in order of the columns, of which the pairs with
+    i <= j are made in place and summed in part in each task.
+    """
+    row = F.sort_array(F.collect_list(F.struct(F.col(column).alias("c"), F.col(value).alias("x"))))
+    rows = pixels.groupBy(key).agg(row.alias("r")).select(F.posexplode("r").alias("p", "a"), "r")
+    pairs = rows.select(F.col("a.c").alias("i"), F.col("a.x").alias("a"), F.explode(F.slice("r", F.col("p") + 1, F.size("r"))).alias("b"))
+    return pairs.groupBy("i", F.col("b.c").alias("j")).agg(F.sum(F.col("a") * F.col("b.x")).alias("product"), F.sum("a").alias("si"), F.sum("b.x").alias("sj"), F.count("*").alias("n"))
 
 
 def pyramid(pixels: DataFrame, by: list[str], levels: int) -> DataFrame:

@@ -14,7 +14,7 @@ C = F.col
 
 @query("la-01")
 def _(t: Tables) -> DataFrame:
-    return fit.stitch(t.rect, t.measured)
+    return fit.stitch_affine(t.rect, t.measured)
 
 
 @query("la-03")

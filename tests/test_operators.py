@@ -97,6 +97,114 @@ def test_filter_chain_names_first_or_all_reasons(spark):
     assert [r.reason for r in relational.filter_chain(df, checks, every=True).collect()] == ["", "a,b", "a"]
 
 
+def plain_stitch(places, pairs):
+    """The same fit as whitened rows of one least-squares problem."""
+    n, rows, right = len(places), [], []
+    at = {k: i for i, k in enumerate(places)}
+    nominal = np.array(list(places.values()), float)
+    origin = nominal.min(0)
+    for p1, p2, dx, dy, cxx, cxy, cyy in pairs:
+        half = np.linalg.cholesky(np.linalg.inv([[cxx, cxy], [cxy, cyy]])).T
+        m = np.zeros((2, 2 * n + 4))
+        m[:, 2 * at[p1] : 2 * at[p1] + 2], m[:, 2 * at[p2] : 2 * at[p2] + 2] = half, -half
+        rows.append(m)
+        right.append(half @ (np.array([dx, dy]) + nominal[at[p1]] - nominal[at[p2]]))
+    for axis, k in ((0, 4), (1, 6)):
+        w = np.array([1 / p[k] for p in pairs])
+        sigma = np.sqrt((w * np.array([p[2 + axis] for p in pairs]) ** 2).sum() / w.sum())
+        for i in range(n):
+            m = np.zeros((1, 2 * n + 4))
+            m[0, 2 * i + axis] = 1 / sigma
+            m[0, 2 * n + 2 * axis : 2 * n + 2 * axis + 2] = -(nominal[i] - origin) / sigma
+            rows.append(m)
+            right.append([origin[axis] / sigma])
+    return np.concatenate(rows), np.concatenate(right)
+
+
+def test_stitching_with_the_affine_grid(spark):
+    rng = np.random.default_rng(23)
+    grid = {10 * x + y + 1: (535.0 * x, 400.0 * y) for x in range(4) for y in range(3)}
+    pairs = [(a, b, *rng.normal(0, 3, 2).tolist(), 0.5, 0.1, 0.8) for a in grid for b in grid if b < a and abs(grid[a][0] - grid[b][0]) < 600 and abs(grid[a][1] - grid[b][1]) < 450]
+    line = {k: (535.0 * k, 0.0) for k in range(1, 5)}
+    row = [(k + 1, k, *rng.normal(0, 3, 2).tolist(), 0.5, 0.0, 0.8) for k in range(1, 4)]
+    rects = spark.createDataFrame([(1, k, *v) for k, v in grid.items()] + [(2, k, *v) for k, v in line.items()] + [(3, 1, 5.0, 6.0)], "slide_id long, n long, cx double, cy double")
+    both = [(1, *p, 0) for p in pairs] + [(1, p[1], p[0], -p[2] + 9, *p[3:], 0) for p in pairs[:5]] + [(2, *p, 0) for p in row] + [(2, 4, 1, 99.0, 99.0, 1.0, 0.0, 1.0, 3)]
+    shifts = spark.createDataFrame(both, "slide_id long, p1 long, p2 long, dx double, dy double, covxx double, covxy double, covyy double, exit int")
+    got = fit.stitch_affine(rects, shifts).toPandas().sort_values(["slide_id", "n"])
+    m, r = plain_stitch(grid, pairs)
+    want, cov = np.linalg.lstsq(m, r, rcond=None)[0], np.linalg.inv(m.T @ m)
+    one = got[got.slide_id == 1]
+    assert np.allclose(one[["px", "py"]].to_numpy().ravel(), want[:-4]) and np.allclose(one[["txx", "txy", "tyx", "tyy"]].to_numpy()[0], want[-4:])
+    assert np.allclose(one.cov_xy, [cov[2 * i, 2 * i + 1] for i in range(12)]) and np.allclose(one.cov_yy, np.diag(cov)[1:24:2])
+    m, r = plain_stitch(line, row)
+    held = m[:, [-3, -1]] @ [0.0, 1.0]
+    want = np.linalg.lstsq(np.delete(m, [8 + 1, 8 + 3], 1), r - held, rcond=None)[0]
+    two = got[got.slide_id == 2]
+    assert np.allclose(two[["px", "py"]].to_numpy().ravel(), want[:8]) and (two.txy == 0).all() and (two.tyy == 1).all()
+    three = got[got.slide_id == 3].iloc[0]
+    assert (three.px, three.py) == (5.0, 6.0) and np.isnan(three.cov_xx)
+
+
+def test_fits_of_the_queries_against_numpy(spark):
+    from histoweave.plans import QUERIES
+    from histoweave.plans.registry import Tables
+
+    sf = "/root/testdata/sf0.001"
+    t = Tables(spark, sf)
+    m = t.measured.where("exit = 0").toPandas()
+    wide = lambda key, by: QUERIES[key](spark, sf).toPandas().pivot(index=by, columns="term", values="value")
+
+    def solved(g, columns, y, w):
+        a = np.column_stack(columns)
+        return np.linalg.lstsq(a.T @ (a * w[:, None]), a.T @ (w * y), rcond=None)[0]
+
+    found = QUERIES["la-03"](spark, sf).toPandas()
+    for slide, g in m.groupby("slide_id"):
+        one = np.ones(len(g))
+        x = [one, (g.p1 * 535) % 1400 / 1400, (g.p2 * 400) % 2100 / 2100, g.p1 % 7, g.p2 % 5]
+        for axis, var in (("dx", "covxx"), ("dy", "covyy")):
+            mine = found[(found.slide_id == slide) & (found.axis == axis)].set_index("term").value
+            assert np.allclose([mine[k] for k in ("one", "rx", "ry", "ix", "iy")], solved(g, x, g[axis].to_numpy(), 1 / g[var].to_numpy()), atol=1e-6)
+    found = wide("sp-15", "slide_id")
+    for slide, g in m.groupby("slide_id"):
+        x = [np.ones(len(g)), g.p1 % 10, (g.p1 % 10 >= 5).astype(float)]
+        assert np.allclose(found.loc[slide, ["one", "x", "step"]], solved(g, x, g.dx.to_numpy(), 1 / g.covxx.to_numpy()), atol=1e-6)
+    found = wide("la-04", "slide_id")
+    for slide, g in m.groupby("slide_id"):
+        while True:
+            x = np.column_stack([np.ones(len(g)), g.p1, g.p2])
+            k = np.linalg.lstsq(x, g.dx, rcond=None)[0]
+            keep = np.abs(g.dx - x @ k) / (g.covxx * 0.5) <= 5
+            if keep.all():
+                break
+            g = g[keep]
+        assert np.allclose(found.loc[slide, ["one", "p1", "p2"]], k, atol=1e-6)
+    p = t.pixels.toPandas()
+    found = wide("ag-42", "layer")
+    for layer, g in p.groupby("layer"):
+        x, y = g.pixel % 4, g.pixel // 4
+        k = np.linalg.lstsq(np.column_stack([np.ones(len(g)), x, y, x * x, x * y, y * y]), g.v, rcond=None)[0]
+        assert np.allclose(found.loc[layer, ["x0y0", "x1y0", "x0y1", "x2y0", "x1y1", "x0y2"]], k)
+    c = np.cov(p.pivot(index="vec_id", columns="k", values="v").to_numpy(float).T, bias=True)
+    values, vectors = np.linalg.eigh(c)
+    for r in QUERIES["ag-34"](spark, sf).toPandas().itertuples():
+        v = vectors[:, -1 - r.component]
+        assert np.isclose(r.variance, values[-1 - r.component]) and np.isclose(abs(r.weight), abs(v[r.i]), atol=1e-6)
+
+
+def test_array_kernels_of_the_queries(spark):
+    from histoweave.plans import QUERIES
+
+    y, x = np.mgrid[:16, :16].astype(float)
+    blob = np.exp(-((x - 7) ** 2) / 50 - (y - 6) ** 2 / 3)
+    turned = kernels.remap(blob, 7.5 + (x - 7.5) * np.cos(0.2) + (y - 7.5) * np.sin(0.2), 7.5 - (x - 7.5) * np.sin(0.2) + (y - 7.5) * np.cos(0.2))
+    assert abs(kernels.best_rotation(blob, turned, [np.rad2deg(a) for a in (-0.4, -0.2, 0.0, 0.2, 0.4)])[0] - np.rad2deg(0.2)) < 1e-9
+    shifts = QUERIES["im-01"](spark, "/root/testdata/sf0.001").toPandas()
+    assert (shifts.dx - shifts.dx.round()).abs().max() <= 0.5 and set(shifts.exit) <= {0, 1, 3}
+    clear = shifts[(shifts.exit == 0) & shifts.dx.between(-1.2, -0.8)]  # images are turned by one pixel
+    assert len(clear) > 0 and len(QUERIES["im-18"](spark, "/root/testdata/sf0.001").toPandas()) == len(shifts)
+
+
 def test_dependency_cycles_are_refused(spark):
     s = spark.createDataFrame([(1, "a", "FINISHED")], "slide_id long, module string, status string")
     with pytest.raises(ValueError):
