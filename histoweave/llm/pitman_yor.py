@@ -44,7 +44,7 @@ TRIES = 4
 #: Dishes are seated again in so many blocks, between which all totals of a place are brought up to date.
 BLOCKS = 4
 #: Tokens of a place, and text bytes that are counted together before they are dealt to places.
-PLACE_TOKENS, BATCH_BYTES = 1_500_000, 4_000_000
+PLACE_TOKENS, BATCH_BYTES = 1_000_000, 4_000_000
 #: Words with a larger share of a part's tokens than this can be dealt to several places; so at most 2^20 words are.
 HOT_SHARE = 2.0**-20
 _KEY = np.uint64(2**48 - 1)
@@ -90,13 +90,18 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts, and where each text's words end."""
+    parts = [text_bytes(t).tobytes() for t in texts]
+    start, _, h = spans(np.frombuffer(b" ".join(parts), np.uint8))
+    return h, np.searchsorted(start, np.cumsum([len(p) + 1 for p in parts]))
+
+
 class Tokens:
     """Tokens of several texts: words and an end for each, with the class and context of every one."""
 
     def __init__(self, texts: list[str | None]):
-        parts = [text_bytes(t).tobytes() for t in texts]
-        start, _, h = spans(np.frombuffer(b" ".join(parts), np.uint8))
-        last = np.searchsorted(start, np.cumsum([len(p) + 1 for p in parts]))
+        h, last = words_of(texts)
         sizes = np.diff(last, prepend=0)
         self.size = sizes + 1
         self.word = np.insert(h, last, TEXT_END)
@@ -134,7 +139,8 @@ def _frequent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A part's number of tokens (key -1) and counts of the words that have a share above HOT_SHARE of them."""
     keys, counts, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
     for pdf in _batches(frames):
-        k, n = np.unique(Tokens(pdf["text"].tolist()).word, return_counts=True)
+        h, last = words_of(pdf["text"].tolist())
+        k, n = np.unique(mix(np.append(h, np.full(len(last), TEXT_END))) & _KEY, return_counts=True)
         total += int(n.sum())
         both, at = np.unique(np.concatenate((keys, k)), return_inverse=True)
         keys, counts = both, np.bincount(at, np.concatenate((counts, n)), len(both)).astype(np.int64)
