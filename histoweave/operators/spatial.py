@@ -61,6 +61,68 @@ def region_boundaries(rects: DataFrame, axis: str, size: str, tolerance: float)
     return means.select("slide_id", "g", "start", ((F.lead("start").over(Window.partitionBy("slide_id").orderBy("g")) + F.col("stop")) / 2).alias("boundary"))
 
 
+def axis_regions(fields: DataFrame, by: list[str], place: str, at: str, size: str, offset: str, jump: float = 100.0) -> DataFrame:
+    """(by, n, g, last, low, high): on one axis, each field's grid line of all lines of its group, and the borders of its primary region.
+
+    Lines are the distinct nominal coordinates in `place`; `at` is where fields
+    really lie. Between two lines the border is the middle of the mean end and the
+    mean start. The outer borders come from a line through the inner ones: its
+    slope is the mean of their differences within one deviation of the mean, its
+    intercept at each end that of the borders before the first one that lies more
+    than `jump` standard errors off. With one inner border the outer ones are
+    `offset` away, without any half of it to both sides of the fields' middle.
+    """
+    lines = Window.partitionBy(*by).orderBy(place)
+    f = fields.withColumn("g", F.dense_rank().over(lines).cast("long"))
+    mean = f.groupBy(*by, "g").agg(F.avg(at).alias("a"), F.max(size).alias("size"), F.max(offset).alias("offset"))
+    full, w = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("g")
+    b = (F.col("a") + F.col("size") + F.lead("a").over(w)) / 2
+    mean = mean.withColumn("last", F.max("g").over(full)).withColumn("b", b).withColumn("d", F.lead("b").over(w) - F.col("b"))
+    near = F.abs(F.col("d") - F.avg("d").over(full)) <= F.stddev_pop("d").over(full)
+    mean = mean.withColumn("near", near).withColumn("m", F.avg(F.when(F.col("near"), F.col("d"))).over(full)).withColumn("r", F.col("b") - F.col("m") * F.col("g"))
+    for name, order in (("up", F.col("g")), ("down", F.desc("g"))):
+        before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        n, error = F.count("r").over(before), F.stddev_pop("r").over(before)
+        off = F.abs(F.col("r") - F.avg("r").over(before))
+        mean = mean.withColumn(name, F.col("b").isNotNull() & (n >= 2) & (off * F.sqrt(n) > jump * error))
+    first = F.min(F.when(F.col("up"), F.col("g"))).over(full)
+    end = F.max(F.when(F.col("down"), F.col("g"))).over(full)
+    mean = mean.withColumn("from", F.coalesce(first, F.col("last"))).withColumn("to", F.coalesce(end, F.lit(0)))
+    left = F.avg(F.when(F.col("g") < F.col("from"), F.col("r"))).over(full)
+    right = F.avg(F.when(F.col("g") > F.col("to"), F.col("r"))).over(full)
+    only = F.max("b").over(full)
+    middle = F.col("a") + F.col("size") / 2
+    low = F.when(F.col("last") > 2, left).when(F.col("last") == 2, only - F.col("offset")).otherwise(middle - F.col("offset") / 2)
+    high = F.when(F.col("last") > 2, right + F.col("m") * F.col("last")).when(F.col("last") == 2, only + F.col("offset")).otherwise(middle + F.col("offset") / 2)
+    mean = mean.withColumn("outer_low", low).withColumn("outer_high", high)
+    borders = mean.select(*by, "g", "last", F.coalesce(F.lag("b").over(w), "outer_low").alias("low"), F.coalesce("b", "outer_high").alias("high"))
+    return f.select(*by, "n", "g").join(borders, [*by, "g"])
+
+
+def primary_regions(fields: DataFrame, overlaps: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n, mx1, mx2, my1, my2) of fields(by, n, cx, cy, px, py, w, h, offset_x, offset_y).
+
+    Where a field has no neighbour on a side its own border counts, and so it does
+    at a group's outermost line if the region would go beyond it. overlaps(by, p2,
+    tag) names each field's neighbours by direction.
+    """
+    tags = overlaps.groupBy(*by, F.col("p2").alias("n")).agg(F.collect_set("tag").alias("tags"))
+    x = axis_regions(fields, by, "cx", "px", "w", "offset_x").withColumnsRenamed({"g": "gx", "last": "lx", "low": "mx1", "high": "mx2"})
+    y = axis_regions(fields, by, "cy", "py", "h", "offset_y").withColumnsRenamed({"g": "gy", "last": "ly", "low": "my1", "high": "my2"})
+    r = fields.join(x, [*by, "n"]).join(y, [*by, "n"]).join(tags, [*by, "n"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<int>")))
+
+    def side(border: str, own: Column, outermost: Column, beyond: Column, *near: int) -> Column:
+        alone = ~F.arrays_overlap("tags", F.array(*[F.lit(t) for t in near]))
+        return F.when(alone | (outermost & beyond), own).otherwise(F.col(border)).alias(border)
+
+    right, bottom = F.col("px") + F.col("w"), F.col("py") + F.col("h")
+    return r.select(
+        *by, "n",
+        side("mx1", F.col("px"), F.col("gx") == 1, F.col("mx1") < F.col("px"), 1, 4, 7), side("mx2", right, F.col("gx") == F.col("lx"), F.col("mx2") > right, 3, 6, 9),
+        side("my1", F.col("py"), F.col("gy") == 1, F.col("my1") < F.col("py"), 1, 2, 3), side("my2", bottom, F.col("gy") == F.col("ly"), F.col("my2") > bottom, 7, 8, 9),
+    )
+
+
 def common_area(dx: Column, dy: Column, w: Column, h: Column, clip: int = 8) -> Column:
     """Pixels that two fields share, without `clip` pixels at each border; 0 if nothing is left."""
     side = lambda size, d: F.greatest(F.lit(0), F.floor(size - F.abs(d)) - 2 * clip)

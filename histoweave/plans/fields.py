@@ -83,12 +83,41 @@ def _(t: Tables) -> DataFrame:
     return spatial.region_boundaries(t.rect, "cx", "w", 1.0)
 
 
-@query("sp-02", _LINES + ", b AS (SELECT slide_id, g, (lead(start) OVER (PARTITION BY slide_id ORDER BY g)+stop)/2 AS hi, (lag(stop) OVER (PARTITION BY slide_id ORDER BY g)+start)/2 AS lo FROM m) SELECT d.slide_id, r.n, coalesce(b.lo, r.cx) AS mx1, coalesce(b.hi, r.cx+r.w) AS mx2 FROM rect r JOIN (SELECT DISTINCT slide_id, cx, g FROM d) d ON d.slide_id=r.slide_id AND d.cx=r.cx JOIN b ON b.slide_id=d.slide_id AND b.g=d.g")
-def _(t: Tables) -> DataFrame:
-    lines = spatial.region_boundaries(t.rect, "cx", "w", 1.0)
-    lines = lines.withColumn("low", F.lag("boundary").over(Window.partitionBy("slide_id").orderBy("g")))
-    r = t.rect.join(spatial.grid_index(t.rect, "cx", 1.0), ["slide_id", "cx"]).join(lines, ["slide_id", "g"])
-    return r.select("slide_id", "n", F.coalesce("low", F.col("cx").cast("double")).alias("mx1"), F.coalesce("boundary", (F.col("cx") + F.col("w")).cast("double")).alias("mx2"))
+def _axis(name: str, place: str, at: str, size: str, offset: int) -> str:
+    """DuckDB text of `axis_regions`, as common tables whose last one is `name`."""
+    n = name
+    return f"""{n}_g AS (SELECT *, dense_rank() OVER (PARTITION BY slide_id, island ORDER BY {place}) AS g FROM fld),
+ {n}_a AS (SELECT slide_id, island, g, avg({at}) AS a, max({size}) AS size FROM {n}_g GROUP BY slide_id, island, g),
+ {n}_b AS (SELECT *, max(g) OVER (PARTITION BY slide_id, island) AS last, (a+size+lead(a) OVER (PARTITION BY slide_id, island ORDER BY g))/2 AS b FROM {n}_a),
+ {n}_d AS (SELECT *, lead(b) OVER (PARTITION BY slide_id, island ORDER BY g)-b AS d FROM {n}_b),
+ {n}_m AS (SELECT slide_id, island, avg(CASE WHEN abs(d-md)<=sd THEN d END) AS m FROM (SELECT *, avg(d) OVER f AS md, stddev_pop(d) OVER f AS sd FROM {n}_d WINDOW f AS (PARTITION BY slide_id, island)) z GROUP BY slide_id, island),
+ {n}_r AS (SELECT *, b-m*g AS r FROM {n}_d JOIN {n}_m USING (slide_id, island)),
+ {n}_j AS (SELECT *, b IS NOT NULL AND count(r) OVER u>=2 AND abs(r-avg(r) OVER u)*sqrt(count(r) OVER u)>100*stddev_pop(r) OVER u AS up, b IS NOT NULL AND count(r) OVER v>=2 AND abs(r-avg(r) OVER v)*sqrt(count(r) OVER v)>100*stddev_pop(r) OVER v AS down FROM {n}_r
+ WINDOW u AS (PARTITION BY slide_id, island ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), v AS (PARTITION BY slide_id, island ORDER BY g DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ {n}_e AS (SELECT slide_id, island, coalesce(min(g) FILTER (up), max(last)) AS lo, coalesce(max(g) FILTER (down), 0) AS hi FROM {n}_j GROUP BY slide_id, island),
+ {n}_o AS (SELECT slide_id, island, avg(r) FILTER (g<lo) AS lft, avg(r) FILTER (g>hi) AS rgt, max(b) AS one, max(a+size/2e0) AS mid FROM {n}_j JOIN {n}_e USING (slide_id, island) GROUP BY slide_id, island),
+ {n} AS (SELECT x.slide_id, x.n, x.g, j.last, coalesce(lag_b, CASE WHEN j.last>2 THEN lft WHEN j.last=2 THEN one-{offset} ELSE mid-{offset}/2e0 END) AS low, coalesce(j.b, CASE WHEN j.last>2 THEN rgt+j.m*j.last WHEN j.last=2 THEN one+{offset} ELSE mid+{offset}/2e0 END) AS high
+ FROM {n}_g x JOIN (SELECT *, lag(b) OVER (PARTITION BY slide_id, island ORDER BY g) AS lag_b FROM {n}_j) j ON j.slide_id=x.slide_id AND j.island=x.island AND j.g=x.g JOIN {n}_o o ON o.slide_id=x.slide_id AND o.island=x.island)"""
+
+
+_FIELDS = _ISLANDS.format(edges="overlap") + ", fld AS (SELECT r.slide_id, isl.island, r.n, r.cx, r.cy, r.w, r.h, r.cx+((r.n*7)%5-2)*0.5+CASE WHEN r.cx>3000 THEN 40 ELSE 0 END AS px, r.cy+((r.n*3)%7-3)*0.5 AS py FROM rect r JOIN isl USING (slide_id, n))"
+
+
+def _regions(t: Tables) -> DataFrame:
+    c, n = F.col, F.col("n")
+    px = c("cx") + (n * 7 % 5 - 2) * 0.5 + F.when(c("cx") > 3000, 40).otherwise(0)
+    fields = t.rect.join(graph.islands(t.rect, t.overlap), ["slide_id", "n"]).select("slide_id", "island", "n", "cx", "cy", "w", "h", px.alias("px"), (c("cy") + (n * 3 % 7 - 3) * 0.5).alias("py"), F.lit(535).alias("offset_x"), F.lit(400).alias("offset_y"))
+    near = t.overlap.join(fields.select("slide_id", "island", n.alias("p2")), ["slide_id", "p2"])
+    return spatial.primary_regions(fields, near, ["slide_id", "island"])
+
+
+@query("sp-02", f"""{_FIELDS}, {_axis('ax', 'cx', 'px', 'w', 535)}, {_axis('ay', 'cy', 'py', 'h', 400)}, tag AS (SELECT slide_id, p2 AS n, bool_or(tag IN (1, 4, 7)) AS l, bool_or(tag IN (3, 6, 9)) AS r, bool_or(tag IN (1, 2, 3)) AS u, bool_or(tag IN (7, 8, 9)) AS d FROM overlap GROUP BY slide_id, p2)
+ SELECT f.slide_id, f.island, f.n, round(CASE WHEN NOT coalesce(l, false) OR (ax.g=1 AND ax.low<px) THEN px ELSE ax.low END, 6) AS mx1, round(CASE WHEN NOT coalesce(r, false) OR (ax.g=ax.last AND ax.high>px+w) THEN px+w ELSE ax.high END, 6) AS mx2,
+ round(CASE WHEN NOT coalesce(u, false) OR (ay.g=1 AND ay.low<py) THEN py ELSE ay.low END, 6) AS my1, round(CASE WHEN NOT coalesce(d, false) OR (ay.g=ay.last AND ay.high>py+h) THEN py+h ELSE ay.high END, 6) AS my2
+ FROM fld f JOIN ax ON ax.slide_id=f.slide_id AND ax.n=f.n JOIN ay ON ay.slide_id=f.slide_id AND ay.n=f.n LEFT JOIN tag ON tag.slide_id=f.slide_id AND tag.n=f.n""")
+def _(t: Tables) -> DataFrame:
+    """Primary regions of fields that lie a little off the grid, with a jump of the stage in the middle."""
+    return _regions(t).select("slide_id", "island", "n", *(F.round(c, 6).alias(c) for c in ("mx1", "mx2", "my1", "my2")))
 
 
 @query("wn-01", "SELECT slide_id, n, row_number() OVER (PARTITION BY slide_id ORDER BY t, n) AS number FROM rect")
