@@ -62,16 +62,31 @@ def renumber_duplicates(df: DataFrame, key: str, order: str) -> DataFrame:
     return marked.where("_rank = 1").select(*df.columns).unionByName(moved.select(*df.columns))
 
 
-def number_rows(df: DataFrame, order: list[str], name: str = "number", parts: int = 64) -> DataFrame:
-    """Numbers rows from 1 in a total order, by ranges: each range is sorted by itself and starts after the ones before."""
+#: Rows of a range that is numbered by itself.
+RANGE_ROWS = 1_000_000
+
+
+def number_rows(df: DataFrame, order: list[str], name: str = "number", by: tuple[str, ...] = (), parts: int | None = None) -> DataFrame:
+    """Numbers rows from 1 in a total order, each group of `by` by itself, by ranges: each is sorted by itself and starts after the ones before.
+
+    Ranges are in order of the groups, so only a range's first group can have begun
+    before; the driver gets the counts of the first and the last group of each.
+    """
     from histoweave.sources.written import cut
 
-    ranged = cut(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # one row a range
-    start, offsets = 0, []
-    for p in sorted(sizes):
-        offsets += [F.lit(p), F.lit(start)]
-        start += sizes[p]
-    base = F.create_map(*offsets)[F.col("_part")] if offsets else F.lit(0)
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    parts = parts or max(8, -(-df.count() // RANGE_ROWS))
+    ranged = cut(df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id()))
+    group = F.struct(*by) if by else F.lit(0)
+    sizes = ranged.groupBy("_part", group.alias("g")).agg(F.count("*").alias("n"))
+    borders = sizes.groupBy("_part").agg(F.min(F.struct("g", "n")).alias("first"), F.max(F.struct("g", "n")).alias("last")).collect()  # one row a range
+    offsets, before = [], (None, 0)
+    for r in sorted(borders, key=lambda r: r["_part"]):
+        start = before[1] if r["first"]["g"] == before[0] else 0
+        offsets += [F.lit(r["_part"]), F.lit(start)]
+        before = (r["last"]["g"], r["last"]["n"] + (start if r["first"]["g"] == r["last"]["g"] else 0))
+    inside = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order))
+    if not offsets:
+        return ranged.withColumn(name, inside.cast("long")).drop("_part")
+    first = F.dense_rank().over(Window.partitionBy("_part").orderBy(*by)) == 1 if by else F.lit(True)
+    base = F.when(first, F.create_map(*offsets)[F.col("_part")]).otherwise(0)
     return ranged.withColumn(name, (base + inside).cast("long")).drop("_part")

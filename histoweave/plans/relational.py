@@ -306,12 +306,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("so-04", "SELECT vec_id, layer, pixel, row_number() OVER (PARTITION BY layer ORDER BY vec_id, pixel) AS pos FROM pixels")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.select("vec_id", "layer", "pixel", F.row_number().over(Window.partitionBy("layer").orderBy("vec_id", "pixel")).cast("long").alias("pos"))
+    return R.number_rows(t.pixels.select("vec_id", "layer", "pixel"), ["vec_id", "pixel"], "pos", ("layer",))
 
 
 @query("so-05", "SELECT slide_id, row_number() OVER (PARTITION BY project, cohort ORDER BY batch, slide_id) AS pos FROM sampledef")
 def _(t: Tables) -> DataFrame:
-    return t.sampledef.select("slide_id", F.row_number().over(Window.partitionBy("project", "cohort").orderBy("batch", "slide_id")).cast("long").alias("pos"))
+    return R.number_rows(t.sampledef, ["batch", "slide_id"], "pos", ("project", "cohort")).select("slide_id", "pos")
 
 
 @query("so-06", "SELECT vec_id, layer, n FROM (SELECT vec_id, layer, count(*) FILTER (v>0) AS n FROM pixels GROUP BY vec_id, layer) x ORDER BY n DESC, vec_id, layer LIMIT 20")
@@ -326,7 +326,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("so-08", "SELECT s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY CAST(s_suppkey AS VARCHAR)) AS ncore FROM supplier")
 def _(t: Tables) -> DataFrame:
-    return t.supplier.select("s_suppkey", F.row_number().over(Window.partitionBy("s_nationkey").orderBy(C("s_suppkey").cast("string"))).cast("long").alias("ncore"))
+    named = t.supplier.select("s_suppkey", "s_nationkey", C("s_suppkey").cast("string").alias("name"))
+    return R.number_rows(named, ["name"], "ncore", ("s_nationkey",)).select("s_suppkey", "ncore")
 
 
 @query("so-09", "SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS subindex FROM part")
@@ -337,7 +338,7 @@ def _(t: Tables) -> DataFrame:
 @query("so-10", "SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE c_mktsegment WHEN 'MACHINERY' THEN 0 WHEN 'BUILDING' THEN 1 ELSE 2 END, c_custkey) AS pos FROM customer")
 def _(t: Tables) -> DataFrame:
     first = F.when(C("c_mktsegment") == "MACHINERY", 0).when(C("c_mktsegment") == "BUILDING", 1).otherwise(2)
-    return t.customer.select("c_custkey", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(first, "c_custkey")).cast("long").alias("pos"))
+    return R.number_rows(t.customer.select("c_custkey", "c_nationkey", first.alias("first")), ["first", "c_custkey"], "pos", ("c_nationkey",)).select("c_custkey", "pos")
 
 
 @query("so-11", "SELECT slide_id, n FROM (SELECT slide_id, n, row_number() OVER (PARTITION BY slide_id ORDER BY md5(slide_id||':'||n||':7'), n) AS r FROM rect) x WHERE r<=10")
@@ -365,8 +366,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("wn-09", "SELECT p_partkey, 1000*(p_size%10)+row_number() OVER (PARTITION BY p_size%10 ORDER BY p_partkey) AS regionid FROM part")
 def _(t: Tables) -> DataFrame:
-    layer = C("p_size") % 10
-    return t.part.select("p_partkey", (1000 * layer + F.row_number().over(Window.partitionBy(layer).orderBy("p_partkey"))).cast("long").alias("regionid"))
+    numbered = R.number_rows(t.part.select("p_partkey", (C("p_size") % 10).alias("layer")), ["p_partkey"], "m", ("layer",))
+    return numbered.select("p_partkey", (1000 * C("layer") + C("m")).cast("long").alias("regionid"))
 
 
 @query("wn-10", """WITH k AS (SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey)+CASE WHEN c_nationkey%3=0 AND c_acctbal<0 THEN 1 ELSE 0 END AS k FROM customer)

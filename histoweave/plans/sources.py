@@ -95,21 +95,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("src-10", "SELECT vec_id, layer, CAST(sum(v) AS BIGINT) AS total FROM pixels WHERE layer IN (1, 2) GROUP BY vec_id, layer")
 def _(t: Tables) -> DataFrame:
-    """Pixels stored as raw little-endian blocks and read back by layer in numpy."""
-    import numpy as np
-    import pandas as pd
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values("k")
-        return pd.DataFrame({"vec_id": [p["vec_id"].iloc[0]], "raw": [p["v"].to_numpy("<i4").tobytes()]})
-
-    def unpack(frames):
-        for pdf in frames:
-            rows = [(i, k, int(np.frombuffer(raw, "<i4").reshape(-1, 4)[:, k].sum())) for i, raw in zip(pdf["vec_id"], pdf["raw"]) for k in (1, 2)]
-            yield pd.DataFrame(rows, columns=["vec_id", "layer", "total"])
-
-    raw = t.pixels.select("vec_id", "k", "v").groupBy("vec_id").applyInPandas(pack, "vec_id long, raw binary")
-    return raw.mapInPandas(unpack, "vec_id long, layer int, total long")
+    """Pixels stored as raw little-endian blocks of a file and read back by layer."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda p: p["v"])
+    path = new_path(t.spark, "raw")
+    t.pixels.groupBy("vec_id").agg(S.pack_int32(ordered).alias("raw")).write.parquet(path)
+    back = t.spark.read.parquet(path).select("vec_id", F.posexplode(S.unpack_int32(C("raw"))).alias("k", "v"))
+    return back.where((C("k") % 4).isin(1, 2)).groupBy("vec_id", (C("k") % 4).alias("layer")).agg(F.sum("v").alias("total"))
 
 
 @query("src-13", "SELECT vec_id, count(*) FILTER (v>0) AS n FROM pixels GROUP BY vec_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,3 +88,22 @@ def annotation_rows(xml: DataFrame, key: str, column: str) -> tuple[DataFrame, D
     regions = r.select(key, "layer", (1000 * F.col("layer") + F.col("m") + 1).alias("regionid"), F.col("r._Neg").alias("neg"), F.size("r.V").alias("nvert"))
     vertices = r.select(key, (1000 * F.col("layer") + F.col("m") + 1).alias("regionid"), F.posexplode("r.V").alias("vid", "v"))
     return annotations, regions, vertices.select(key, "regionid", "vid", F.col("v._X").alias("x"), F.col("v._Y").alias("y"))
+
+
+def pack_int32(values: Column) -> Column:
+    """An array of integers as a block of little-endian 32-bit ones."""
+    word = lambda v: F.lpad(F.hex(F.pmod(v.cast("long"), F.lit(2**32))), 8, "0")
+    turned = F.transform(values, lambda v: F.concat(*[F.substring(word(v), k, 2) for k in (7, 5, 3, 1)]))
+    return F.unhex(F.array_join(turned, ""))
+
+
+def unpack_int32(block: Column) -> Column:
+    """The array of a block of little-endian 32-bit integers."""
+    digits, n = F.hex(block), F.floor(F.octet_length(block) / 4).cast("int")
+
+    def value(i: Column) -> Column:
+        word = F.concat(*[digits.substr(8 * i + k, F.lit(2)) for k in (7, 5, 3, 1)])
+        v = F.conv(word, 16, 10).cast("long")
+        return F.when(v >= 2**31, v - 2**32).otherwise(v)
+
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), value)).otherwise(F.array().cast("array<bigint>"))

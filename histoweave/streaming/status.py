@@ -2,47 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-LOG = "slide_id long, module string, pos long, ts timestamp, message string"
-OUT = "slide_id long, module string, status string, pos long"
-STATE = "start long, finish long, error long"
-
-
-def decide(start: int | None, finish: int | None, error: int | None) -> str:
-    """State from the last places; as in the batch form, an error counts from the start on up to the finish."""
-    if start is None:
-        return "WAITING"
-    if error is not None and error >= start and (finish is None or finish < start or error <= finish):
-        return "ERROR"
-    return "FINISHED" if finish is not None and finish > start else "RUNNING"
-
 
-def _fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    known = [None if v is None or v < 0 else v for v in state.get] if state.exists else [None, None, None]
-    top = -1
-    for pdf in frames:
-        for i, m in enumerate(("START", "FINISH", "ERROR")):
-            at = pdf.loc[pdf["message"] == m, "pos"]
-            if len(at):
-                known[i] = max(int(at.max()), -1 if known[i] is None else known[i])
-        top = max(top, int(pdf["pos"].max()))
-    state.update(tuple(-1 if v is None else v for v in known))
-    yield pd.DataFrame([(*key, decide(*known), top)], columns=["slide_id", "module", "status", "pos"])
+from histoweave.operators.workflow import state
 
 
 def status_stream(log: DataFrame) -> DataFrame:
     """An update of (slide_id, module, status, pos) for every key of each micro-batch.
 
-    State is three places a key, whatever the length of the log; lines may come
-    in any order, since only the largest places count.
+    State is the largest place of each kind of line, four numbers a key whatever
+    the length of the log; lines may come in any order.
     """
-    return log.groupBy("slide_id", "module").applyInPandasWithState(_fold, OUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    at = lambda m: F.max(F.when(F.col("message") == m, F.col("pos"))).alias(m.lower())
+    places = log.groupBy("slide_id", "module").agg(at("START"), at("FINISH"), at("ERROR"), F.max("pos").alias("pos"))
+    return places.select("slide_id", "module", state(F.col("start"), F.col("finish"), F.col("error")).alias("status"), "pos")
 
 
 def distinct_events(events: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
