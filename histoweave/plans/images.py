@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from histoweave.operators import raster, stats
 from histoweave.plans.registry import Tables, query
+from histoweave.sources import tiff
+from histoweave.sources.written import new_path
 
 C = F.col
 BY, SIDE = ["vec_id", "layer"], 4
@@ -209,3 +211,49 @@ def _(t: Tables) -> DataFrame:
     flat = F.greatest(F.lit(0.0), F.least(F.lit(65535.0), F.rint(e / (F.lit(0.9) + F.lit(0.05) * C("layer")))))
     found = raster.remap(t.img.withColumn("v", flat), BY, SIDE, SIDE, *raster.radial_places(SIDE, SIDE, 0.05))
     return found.select(*BY, "x", "y", _r(C("v"), 3).alias("v"))
+
+
+_GREY = "CAST(least(255, greatest(0, v)) AS INT)"
+
+
+def _stored(t: Tables, levels: int) -> DataFrame:
+    """Each image as the content of a TIFF: its layers as pages, and these again at half the size for each further level; in a table like those of a scan of files."""
+    grey = t.img.withColumn("v", F.least(F.lit(255), F.greatest(F.lit(0), C("v"))))
+    zoomed = stats.pyramid(grey, BY, levels).withColumn("v", F.floor("v"))
+    samples = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
+    pages = zoomed.groupBy(*BY, "level").agg(samples.alias("samples"), (F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+    every = F.transform(F.sort_array(F.collect_list(F.struct("level", "layer", F.struct("width", "height", "samples").alias("p")))), lambda p: p["p"])
+    files = pages.groupBy("vec_id").agg(tiff.write_pages(every).alias("content")).select(F.concat(F.col("vec_id").cast("string"), F.lit(".tif")).alias("path"), "content")
+    out = new_path(t.spark, "tiff")
+    files.write.parquet(out)
+    return t.spark.read.parquet(out)
+
+
+@query("src-11", f"SELECT vec_id::VARCHAR||'.tif' AS path, CAST(layer AS INT) AS page, CAST(sum({_GREY}) AS BIGINT) AS total, true AS ok FROM img WHERE layer IN (1, 3) GROUP BY vec_id, layer")
+def _(t: Tables) -> DataFrame:
+    """Two layers of component images of two groups of two layers, which the number of pages is held against."""
+    pages = tiff.read_pages(_stored(t, 1), {1, 3})
+    found = pages.where("samples is not null").select("path", "page", F.explode("samples").alias("v")).groupBy("path", "page").agg(F.sum("v").alias("total"))
+    return found.join(tiff.layer_groups(pages, [2, 2]).select("path", "ok"), "path")
+
+
+@query("src-12", "SELECT DISTINCT vec_id::VARCHAR||'.tif' AS path, CAST(zoom AS INT) AS zoom, CAST(4/zoom AS INT) AS width, CAST(4/zoom AS INT) AS height, CAST(4 AS BIGINT) AS pages FROM img, (VALUES (1), (2), (4)) z(zoom)")
+def _(t: Tables) -> DataFrame:
+    """Zoom levels of pyramids of three sizes."""
+    return tiff.zoom_levels(tiff.read_pages(_stored(t, 3), set()))
+
+
+@query("snk-06", f"WITH l AS (SELECT unnest(generate_series(0, 1)) AS level), p AS (SELECT vec_id, layer, level, CAST(floor(x/pow(2, level)) AS INT) AS x, CAST(floor(y/pow(2, level)) AS INT) AS y, CAST(floor(avg({_GREY})) AS INT) AS v FROM img, l GROUP BY ALL) SELECT vec_id::VARCHAR||'.tif' AS path, CAST(level*4+layer AS INT) AS page, string_agg(v::VARCHAR, ' ' ORDER BY y, x) AS samples FROM p GROUP BY vec_id, layer, level")
+def _(t: Tables) -> DataFrame:
+    """Images written as TIFF pages of two sizes and read back sample by sample."""
+    return tiff.read_pages(_stored(t, 2)).select("path", "page", F.array_join(C("samples").cast("array<string>"), " ").alias("samples"))
+
+
+@query("snk-10", "SELECT route, slide_id, count(*) AS lines FROM (SELECT 'main' AS route, slide_id FROM runlog UNION ALL SELECT 'sample', slide_id FROM runlog WHERE message<>'INFO' UNION ALL SELECT 'image', slide_id FROM runlog WHERE message='ERROR') x GROUP BY ALL")
+def _(t: Tables) -> DataFrame:
+    """Log lines written to the main log, those that matter to the sample's and errors to the image's, and read back."""
+    routes = F.array_compact(F.array(F.lit("main"), F.when(C("message") != "INFO", F.lit("sample")), F.when(C("message") == "ERROR", F.lit("image"))))
+    path = new_path(t.spark, "log")
+    t.runlog.select(F.explode(routes).alias("route"), F.concat_ws(";", "module", "slide_id", "message", C("ts").cast("string")).alias("line")).write.partitionBy("route").text(path)
+    back = t.spark.read.schema("value string, route string").text(path)
+    return back.groupBy("route", F.split("value", ";")[1].cast("long").alias("slide_id")).agg(F.count("*").alias("lines"))

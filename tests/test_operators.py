@@ -246,6 +246,21 @@ def test_csv_reader_refuses_bad_rows_and_order(spark, tmp_path):
     assert S.check_newlines(spark, str(tmp_path / "a.csv")) == 0
 
 
+def test_tiff_pages_of_other_byte_orders_and_depths(spark):
+    import struct
+
+    from histoweave.sources import tiff
+
+    data = struct.pack(">4H", 1, 300, 65535, 7)
+    fields = [(256, 3, 1, struct.pack(">HH", 2, 0)), (257, 3, 1, struct.pack(">HH", 2, 0)), (258, 3, 1, struct.pack(">HH", 16, 0)), (270, 2, 6, struct.pack(">I", 200)), (273, 4, 1, struct.pack(">I", 8)), (279, 4, 1, struct.pack(">I", 8)), (282, 5, 1, struct.pack(">I", 208))]
+    whole = b"MM\0*" + struct.pack(">I", 16) + data + struct.pack(">H", len(fields)) + b"".join(struct.pack(">HHI", t, k, n) + v for t, k, n, v in fields) + bytes(4)
+    whole = whole.ljust(200, b"\0") + b"hello\0".ljust(8, b"\0") + struct.pack(">II", 20000, 2)
+    row = tiff.read_pages(spark.createDataFrame([("a", bytearray(whole))], "path string, content binary")).first()
+    assert (row.width, row.height, row.bits, row.description, row.x_resolution, row.y_resolution, row.samples) == (2, 2, 16, "hello", 10000.0, None, [1, 300, 65535, 7])
+    with pytest.raises(Exception):
+        tiff.read_pages(spark.createDataFrame([("a", bytearray(b"no picture"))], "path string, content binary")).collect()
+
+
 def test_dense_kernels():
     a = np.random.default_rng(3).normal(size=(12, 12))
     assert np.allclose(kernels.fourier_shift(a, 2, 3), np.roll(a, (3, 2), (0, 1)))
