@@ -131,8 +131,12 @@ def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3
 SURFACE = ((0, 0), (1, 0), (0, 1), (2, 0), (1, 1), (0, 2))
 
 
-def least_squares(df: DataFrame, by: str, y: str, terms: dict[str, F.Column], weight: F.Column | None = None) -> DataFrame:
-    """(by, term, value) of weighted least squares; normal equations are sums, solved per group."""
+def least_squares(df: DataFrame, by: str, y: str, terms: dict[str, F.Column], weight: F.Column | None = None, expected: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """(by, term, value) of weighted least squares; normal equations are sums, solved per group.
+
+    `expected` constrains terms: each adds the squared difference of its value from
+    a mean in units of an error, and an error of 0 fixes the term.
+    """
     w, names = F.lit(1.0) if weight is None else weight, list(terms)
     sums = [F.sum(w * terms[a] * terms[b]).alias(f"m{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
     sums += [F.sum(w * terms[a] * F.col(y)).alias(f"r{i}") for i, a in enumerate(names)]
@@ -141,15 +145,30 @@ def least_squares(df: DataFrame, by: str, y: str, terms: dict[str, F.Column], we
     def solve(frames):
         for pdf in frames:
             rows = []
+            held = {names.index(n): (mean, error) for n, (mean, error) in (expected or {}).items()}
             for row in pdf.itertuples(index=False):
                 m = np.array([[getattr(row, f"m{min(i, j)}_{max(i, j)}") for j in range(len(names))] for i in range(len(names))])
                 r = np.array([getattr(row, f"r{i}") for i in range(len(names))])
-                rows += [(getattr(row, by), n, v) for n, v in zip(names, np.linalg.lstsq(m, r, rcond=None)[0])]
+                value = np.zeros(len(names))
+                for k, (mean, error) in held.items():
+                    if error:
+                        m[k, k] += 1 / error**2
+                        r[k] += mean / error**2
+                    else:
+                        value[k] = mean
+                free = [k for k in range(len(names)) if k not in held or held[k][1]]
+                value[free] = np.linalg.lstsq(m[np.ix_(free, free)], (r - m @ value)[free], rcond=None)[0]
+                rows += [(getattr(row, by), n, v) for n, v in zip(names, value)]
             yield pd.DataFrame(rows, columns=[by, "term", "value"])
 
     return table.mapInPandas(solve, f"{by} {df.schema[by].dataType.simpleString()}, term string, value double")
 
 
+def step_terms(column: F.Column, places: list[float]) -> dict[str, F.Column]:
+    """A term for each jump: 1 from its place on, 0 before. Jumps may be any number."""
+    return {f"step{k}": (column >= at).cast("double") for k, at in enumerate(sorted(places))}
+
+
 def quadratic_surface(df: DataFrame, by: str, x: str, y: str, value: str) -> DataFrame:
     return least_squares(df, by, value, {f"x{i}y{j}": F.pow(x, F.lit(i)) * F.pow(y, F.lit(j)) for i, j in SURFACE})
 

@@ -19,10 +19,11 @@ def _(t: Tables) -> DataFrame:
 
 @query("la-03")
 def _(t: Tables) -> DataFrame:
-    """Ten parameters: a matrix on the place in a tile, one on the tile's number, and a constant, for both directions."""
+    """Ten parameters: a matrix on the place in a tile, one on the tile's number, both expected to be small, and a constant, for both directions."""
     m = t.measured.where("exit = 0").withColumns({"rx": (C("p1") * 535) % 1400 / 1400, "ry": (C("p2") * 400) % 2100 / 2100, "ix": C("p1") % 7, "iy": C("p2") % 5})
     terms = {"one": F.lit(1.0), "rx": C("rx"), "ry": C("ry"), "ix": C("ix").cast("double"), "iy": C("iy").cast("double")}
-    both = [fit.least_squares(m, "slide_id", d, terms, 1 / C(v)).withColumn("axis", F.lit(d)) for d, v in (("dx", "covxx"), ("dy", "covyy"))]
+    expected = {"rx": (0.0, 2.0), "ry": (0.0, 2.0), "ix": (0.0, 0.05), "iy": (0.0, 0.05)}
+    both = [fit.least_squares(m, "slide_id", d, terms, 1 / C(v), expected).withColumn("axis", F.lit(d)) for d, v in (("dx", "covxx"), ("dy", "covyy"))]
     return both[0].unionByName(both[1])
 
 
@@ -75,10 +76,11 @@ def _(t: Tables) -> DataFrame:
 
 @query("sp-15")
 def _(t: Tables) -> DataFrame:
-    """A warp with a step where the first field's column passes the middle, besides the linear terms."""
+    """A warp with steps where the first field's column passes the stage's jumps, besides the linear terms; the first step is known."""
     m = t.measured.where("exit = 0")
-    terms = {"one": F.lit(1.0), "x": (C("p1") % 10).cast("double"), "step": (C("p1") % 10 >= 5).cast("double")}
-    return fit.least_squares(m, "slide_id", "dx", terms, 1 / C("covxx"))
+    column = (C("p1") % 10).cast("double")
+    terms = {"one": F.lit(1.0), "x": column} | fit.step_terms(column, [3, 5, 8])
+    return fit.least_squares(m, "slide_id", "dx", terms, 1 / C("covxx"), {"step0": (0.25, 0.0), "step1": (0.0, 1.0), "step2": (0.0, 1.0)})
 
 
 @query("so-13", "SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY v DESC) AS place FROM (SELECT label, layer, CAST(sum(v*v) AS BIGINT) AS v FROM pixels GROUP BY label, layer) x")

@@ -154,9 +154,10 @@ def test_fits_of_the_queries_against_numpy(spark):
     m = t.measured.where("exit = 0").toPandas()
     wide = lambda key, by: QUERIES[key](spark, sf).toPandas().pivot(index=by, columns="term", values="value")
 
-    def solved(g, columns, y, w):
-        a = np.column_stack(columns)
-        return np.linalg.lstsq(a.T @ (a * w[:, None]), a.T @ (w * y), rcond=None)[0]
+    def solved(columns, y, w, errors):
+        """Constraints to 0 are further rows."""
+        a = np.concatenate([np.column_stack(columns) * np.sqrt(w)[:, None], np.diag([1 / e if e else 0 for e in errors])])
+        return np.linalg.lstsq(a, np.concatenate([np.sqrt(w) * y, np.zeros(len(errors))]), rcond=None)[0]
 
     found = QUERIES["la-03"](spark, sf).toPandas()
     for slide, g in m.groupby("slide_id"):
@@ -164,11 +165,12 @@ def test_fits_of_the_queries_against_numpy(spark):
         x = [one, (g.p1 * 535) % 1400 / 1400, (g.p2 * 400) % 2100 / 2100, g.p1 % 7, g.p2 % 5]
         for axis, var in (("dx", "covxx"), ("dy", "covyy")):
             mine = found[(found.slide_id == slide) & (found.axis == axis)].set_index("term").value
-            assert np.allclose([mine[k] for k in ("one", "rx", "ry", "ix", "iy")], solved(g, x, g[axis].to_numpy(), 1 / g[var].to_numpy()), atol=1e-6)
+            assert np.allclose([mine[k] for k in ("one", "rx", "ry", "ix", "iy")], solved(x, g[axis].to_numpy(), 1 / g[var].to_numpy(), (0, 2, 2, 0.05, 0.05)), atol=1e-6)
     found = wide("sp-15", "slide_id")
     for slide, g in m.groupby("slide_id"):
-        x = [np.ones(len(g)), g.p1 % 10, (g.p1 % 10 >= 5).astype(float)]
-        assert np.allclose(found.loc[slide, ["one", "x", "step"]], solved(g, x, g.dx.to_numpy(), 1 / g.covxx.to_numpy()), atol=1e-6)
+        k = g.p1 % 10
+        x = [np.ones(len(g)), k, (k >= 5).astype(float), (k >= 8).astype(float)]
+        assert np.allclose(found.loc[slide, ["one", "x", "step1", "step2"]], solved(x, (g.dx - 0.25 * (k >= 3)).to_numpy(), 1 / g.covxx.to_numpy(), (0, 0, 1, 1)), atol=1e-6) and found.loc[slide, "step0"] == 0.25
     found = wide("la-04", "slide_id")
     for slide, g in m.groupby("slide_id"):
         while True:
