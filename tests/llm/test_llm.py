@@ -500,6 +500,43 @@ def test_op7_separates_planted_words_and_handles_missing_classes(spark, edge, em
     assert b"".join(toxicity.windows("é " * 300 + "x" * 500)) == ("é " * 300 + "x" * 500).encode()
 
 
+def test_op7_distances_scores_and_thresholds_by_brute_force():
+    import zstandard
+
+    model = toxicity.ToxicityModel(b"some ordinary words that are often there " * 20, b"vorkash grimbalt ", 1.0, -2.0, 1.5)
+    text = "Ordinary words and GRIMBALT with vorkash, " * 5 + "others that are often there é" * 9
+    low = text.lower().encode()
+    ends = [0]
+    while ends[-1] < len(low):
+        at = ends[-1]
+        space = [k for k in range(at + 1, min(at + toxicity.WINDOW, len(low))) if low[k : k + 1] == b" "]
+        ends.append(len(low) if len(low) - at <= toxicity.WINDOW else space[-1] if space else at + toxicity.WINDOW)
+    lengths = []
+    for content in (model.ordinary, model.ordinary + model.toxic):
+        kind = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters.from_level(toxicity.LEVEL, source_size=128, dict_size=len(content), format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+        lengths.append([len(zstandard.ZstdCompressor(dict_data=kind, compression_params=how).compress(low[a:b])) for a, b in zip(ends, ends[1:])])
+    want = np.subtract(*lengths)
+    assert model.distances(text).tolist() == want.tolist() and want.max() > 2
+    total = sum(max(d - 1.0, 0) for d in want) / math.sqrt(len(want))
+    assert abs(model.score(text) - 1 / (1 + math.exp(2.0 - 1.5 * total))) < 1e-12 and model.score(None) == model.score("")
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        x, y = rng.integers(0, 6, 12) / 2, rng.integers(0, 2, 12)
+        if 0 < y.sum() < 12:
+            weight = rng.random(12)
+            errors, cut, _ = toxicity.calibrate(x, y, weight)
+            wrong = lambda c: weight[(x >= c) != (y > 0)].sum()  # noqa: B023, E731
+            assert abs(errors - wrong(cut)) < 1e-12 and errors <= min(wrong(c) for c in np.arange(-1, 5, 0.25)) + 1e-12
+
+
+def test_op7_takes_odd_and_empty_tables(spark, edge, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (7, 0, 1), (5, 0, 1), (None, 1, 1), (9, 1, None)], "doc_id long, quality int, toxic int")
+    for docs, n in ((edge, len(EDGE)), (empty, 0)):
+        for some in (labels, labels.limit(0)):
+            assert toxicity.score(docs, toxicity.fit(docs, some, F.lit(True))).count() == n
+
+
 def test_op8_spans_coverage_and_near_templates(spark):
     mit = license_scan.TEMPLATES["mit"].split()
     near = " ".join([*mit[:20], "oddly", *mit[22:]])
