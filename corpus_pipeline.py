@@ -25,11 +25,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null, empty and letterless texts have none; rows with null or repeated ids are
     judged each, and other columns, whatever their names, stay as they are.
     """
-    row = own_column(docs)
     model = language_id.fit(docs, F.coalesce(fold("doc_id", 4) != 2, F.lit(True)))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), "text")
-    found = language_id.identify(rows, model, (row,)).where(F.col("lang_pred") != language_id.UNDETERMINED)
-    return found.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(f"{row}.`{c}`").alias(c) for c in docs.columns))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    found = language_id.identify(docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), model, tuple(names.values()), names["text"])
+    kept = found.where(F.col("lang_pred") != language_id.UNDETERMINED)
+    return kept.select(*(F.col("lang_pred" if c == "lang" else n).alias(c) for c, n in names.items()))
 
 
 #: Share of common shingles, in hundredths, from which documents are near duplicates, and the coordinates of 48 that must agree; a link at exactly 0.80 is missed with probability 1.3e-5.

@@ -147,24 +147,26 @@ def fit(docs: DataFrame, train: Column, sample: int = SAMPLE, smoothing: float =
     return LanguageModel(languages, np.log(p).astype(np.float32), prior)
 
 
-def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns `keep` of docs, then lang_pred and score (the posterior) for every row.
+def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = (), text: str = "text") -> DataFrame:
+    """The columns `keep` of docs, then lang_pred and score (the posterior) for every row; `text` names the column of texts.
 
     Null texts and texts without letters give `und` and 0; of languages with equal
     scores the first by name is predicted. Rows with null or equal ids are
-    predicted each. Kept columns named lang_pred or score are refused; keep a
-    struct of them.
+    predicted each. Kept columns named lang_pred or score are refused; rename
+    them.
     """
     if {"lang_pred", "score"} & set(keep):
         raise ValueError("lang_pred and score are made here")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
+    sent = keep if text in keep else (*keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.predict(batch.column(batch.num_columns - 1).to_pylist())
+            found = shared.value.predict(batch.column(sent.index(text)).to_pylist())
             out = [pa.array([x[i] for x in found], kind) for i, kind in ((0, pa.string()), (1, pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *out], names=[*keep, "lang_pred", "score"])
 
+    docs = docs.select(*(F.col(c).cast("string").alias(c) if c == text else c for c in sent))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
