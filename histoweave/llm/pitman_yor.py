@@ -344,7 +344,9 @@ class State:
     """Seating of a place, with the totals that it shares with others."""
 
     def __init__(self, found: dict, shared: dict, seats: bytes | None):
-        self.at, self.c, per, self.kind, self.family, self.hot_word = get(found["ngrams"][0])
+        if "arrays" not in found:  # the same for all samples
+            found["arrays"] = (get(found["ngrams"][0]), np.concatenate([get(found["cu"][h])[0] for h in sorted(found["cu"])]))
+        (self.at, self.c, per, self.kind, self.family, self.hot_word), self.cu = found["arrays"]
         self.line = np.repeat(np.arange(len(per)), per)
         self.root = np.repeat(np.arange(len(self.family)), np.diff(np.append(self.family, len(per))))
         word = self.hot_word[self.root]
@@ -369,7 +371,6 @@ class State:
         hot = np.flatnonzero(self.hot_word)
         self.rc[hot] = [shared["words"][w] for w in self.hot_word[hot].tolist()]
         self.roots = shared["roots"]
-        self.cu = np.concatenate([get(found["cu"][h])[0] for h in sorted(found["cu"])])
         self.tu = None
 
     def with_tables(self, told: dict[int, bytes]) -> State:
