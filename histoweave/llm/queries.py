@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histoweave.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
+from histoweave.llm import chat_format, cost_packing, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold, table
 
 
@@ -54,7 +54,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs, ~F.col("held_out")), ("doc_id", "held_out"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id)}
+def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cost_packing.pack_balanced(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id, op11_cost_packing)}
 
 OP1_SQL = """
 WITH RECURSIVE w AS (
