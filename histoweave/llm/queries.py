@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histoweave.llm import chat_format, cost_packing, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
+from histoweave.llm import chat_format, cost_packing, decontamination, hard_negatives, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold, table
 
 
@@ -58,7 +58,11 @@ def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack_balanced(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id, op11_cost_packing)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id, op11_cost_packing, op13_hard_negatives)}
 
 OP1_SQL = """
 WITH RECURSIVE w AS (
@@ -102,4 +106,23 @@ FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": OP1_SQL, "op2_secret_ledger": _op2_sql()}
+OP13_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.k AS ak, a.vec_id AS anchor_id, b.k AS bk, b.vec_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS s
+  FROM e a JOIN e b ON a.vec_id % 100 = 0),
+p AS (
+  SELECT ak, slot, vec_id AS positive_id, s AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY ak ORDER BY s DESC, vec_id NULLS LAST) AS slot FROM s WHERE same AND ak <> bk) x WHERE slot <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s AS negative_score,
+         row_number() OVER (PARTITION BY ak, slot ORDER BY s DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s USING (ak) WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": OP1_SQL, "op2_secret_ledger": _op2_sql(), "op13_hard_negatives": OP13_SQL}

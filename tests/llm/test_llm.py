@@ -104,7 +104,7 @@ def test_op1_large_clusters_are_split_into_blocks(spark, monkeypatch):
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
 def test_sql_agrees(spark, key):
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings", "conversations"):
         c.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.QUERIES[key](spark, SF).toPandas(), c.sql(queries.ORACLE_SQL[key]).df()
     cols = sorted(want.columns)
