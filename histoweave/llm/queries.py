@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histoweave.llm import chat_format, cost_packing, decontamination, hard_negatives, language_id, license_scan, minhash_dedup, packing, pitman_yor, secret_ledger, tiff, toxicity
+from histoweave.llm import chat_format, cost_packing, decontamination, hard_negatives, language_id, license_scan, minhash_dedup, packing, pitman_yor, prefix_trie, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold, table
 
 
@@ -58,11 +58,15 @@ def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack_balanced(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id, op11_cost_packing, op13_hard_negatives)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_dedup, op2_secret_ledger, op3_tiff_media, op4_pitman_yor, op5_best_fit_packing, op6_decontamination, op7_toxicity, op8_license_scan, op9_chat_format, op10_language_id, op11_cost_packing, op12_prefix_trie, op13_hard_negatives)}
 
 OP1_SQL = """
 WITH RECURSIVE w AS (
@@ -106,6 +110,31 @@ FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
 """
 
 
+#: DuckDB has no crc32, so `z` and `h` spell it out: a table of bytes, and a fold over the digits.
+OP12_SQL = """
+WITH z AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END, i)) AS z),
+t AS (
+  SELECT conv_id, md5(length(r) || ':' || r || x) AS m, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL) y),
+l AS (SELECT conv_id AS c, list({'m': m, 'w': w} ORDER BY n) AS own FROM t GROUP BY 1),
+h AS (
+  SELECT c, own, xor(4294967295, list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: ascii(d)),
+         lambda a, d: xor(z[1 + xor(a & 255, d)], a >> 8), 4294967295)) % 4 AS h FROM l, z),
+r AS (SELECT h.c, list_concat(coalesce(b.own[1:h], []), h.own[h + 1:]) AS s FROM h LEFT JOIN l b ON b.c = h.c - h.c % 20),
+p AS (
+  SELECT c, d, len(s) AS total, array_to_string(list_transform(s[1:d], lambda x: x.m), ',') AS k, array_to_string(list_transform(s[1:d - 1], lambda x: x.m), ',') AS up, coalesce(s[d].w, 0) AS w, s
+  FROM (SELECT c, s, unnest(generate_series(0, len(s))) AS d FROM r) x),
+n AS (
+  SELECT d, k, min(up) AS up, min(w) AS w, min(c) AS rep, count(*) AS n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = total), '') AS ends, min(list_transform(s[1:d], lambda x: x.m)) AS path
+  FROM p GROUP BY d, k),
+g AS (SELECT d, up, count(*) AS children FROM n WHERE d > 0 GROUP BY d, up),
+f AS (SELECT n.*, coalesce(g.children, 0) AS children FROM n LEFT JOIN g ON g.d = n.d + 1 AND g.up = n.k),
+u AS (SELECT a AS d, array_to_string(path[1:a], ',') AS k, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * w) AS saved FROM (SELECT f.*, unnest(generate_series(0, d)) AS a FROM f) x GROUP BY 1, 2)
+SELECT f.rep AS conv_id, f.d AS depth, q.rep AS parent_conv_id, f.n AS n_convs, f.children AS n_children, CAST(u.leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN u USING (d, k) LEFT JOIN n q ON q.d = f.d - 1 AND q.k = f.up
+"""
+
 OP13_SQL = """
 WITH e AS (
   SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -125,4 +154,4 @@ n AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": OP1_SQL, "op2_secret_ledger": _op2_sql(), "op13_hard_negatives": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_minhash_dedup": OP1_SQL, "op2_secret_ledger": _op2_sql(), "op12_prefix_trie": OP12_SQL, "op13_hard_negatives": OP13_SQL}
