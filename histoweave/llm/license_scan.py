@@ -44,8 +44,12 @@ TEMPLATES = {
     "cc-by-4.0-notice": "Licensed under CC BY 4.0",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0",
     "cc-by-sa-4.0-notice": "Licensed under CC BY-SA 4.0",
+    "gpl-2.0-abbreviated": "Licensed under the GNU GPL version 2",
     "gpl-2.0-notice": "This work is licensed under the GNU General Public License, version 2",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3",
+    "gpl-2.0-short-notice": "Licensed under the GNU General Public License, version 2",
+    "gpl-3.0-abbreviated": "Licensed under the GNU GPL version 3",
+    "gpl-3.0-short-notice": "Licensed under the GNU General Public License, version 3",
     "gpl-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "isc-notice": "Licensed under the ISC License",
@@ -112,6 +116,7 @@ class Templates:
     words: list[np.ndarray]
     weight: list[np.ndarray]
     needed: list[np.ndarray]
+    ends_plainly: list[bool]
     indexes: list[Index]
 
     @classmethod
@@ -135,7 +140,13 @@ class Templates:
                     if same.sum() >= coverage * len(w):
                         must |= ~same
             needed.append(must)
-        return cls(names, words, weight, needed, indexes)
+        plain = [not np.isin(w[-1], w[max(0, len(w) - 3) : -1]) for w in words]
+        return cls(names, words, weight, needed, plain, indexes)
+
+    def accepts(self, owner: int, which: np.ndarray, coverage: float) -> bool:
+        """Whether some of a template's words are enough: by number, by weight, and those that have to match."""
+        weight = self.weight[owner]
+        return bool(which.sum() >= coverage * len(which) and weight[which].sum() >= coverage * weight.sum() and which[self.needed[owner]].all())
 
     @classmethod
     def of_table(cls, table: DataFrame, coverage: float = COVERAGE) -> Templates:
@@ -188,7 +199,8 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAN
     turn = last - len(template)  # of both, so a shift s becomes turn - s
     back = common(template[::-1], part[:last][::-1], turn - high, turn - low)[-1]
     first = last - int(np.searchsorted(back, n))
-    return n, lo + first, lo + last, matched(template, part[first:last], low - first, high - first)
+    which = np.ones(len(template), bool) if n == len(template) else matched(template, part[first:last], low - first, high - first)
+    return n, lo + first, lo + last, which
 
 
 def scan_text(text: str | None, templates: Templates, coverage: float = COVERAGE, band: int = BAND) -> list[tuple[str, float, int, int, int]]:
@@ -202,7 +214,9 @@ def scan_text(text: str | None, templates: Templates, coverage: float = COVERAGE
     owners, places, diagonals = (np.concatenate(x) for x in zip(*(i.hits(h) for i in templates.indexes)))
     found = []
     for owner in np.unique(owners).tolist():
-        words, weight = templates.words[owner], templates.weight[owner]
+        words = templates.words[owner]
+        if not templates.accepts(owner, np.isin(words, h), coverage):
+            continue  # the text lacks too many of the words
         mine = owners == owner
         at, diagonal = places[mine], diagonals[mine]
         edits = len(words) - math.ceil(coverage * len(words))
@@ -214,9 +228,16 @@ def scan_text(text: str | None, templates: Templates, coverage: float = COVERAGE
         for p, d in sorted(zip(at[near >= least].tolist(), diagonal[near >= least].tolist())):
             if p < done or d in failed:
                 continue  # in the match before, or on a diagonal that has none
+            if templates.ends_plainly[owner] and d >= 0 and np.array_equal(h[d : d + len(words)], words):
+                found.append((len(words), 1.0, owner, d, d + len(words)))  # what an alignment near d would find
+                done = max(done, d + len(words))
+                continue
+            if not templates.accepts(owner, np.isin(words, h[max(0, d - band) : max(0, d + len(words) + band)]), coverage):
+                failed.add(d)
+                continue
             for width in (2, band):  # an unchanged copy is found at its own place though others are near
                 n, s, e, which = align(words, h, d, width)
-                if n >= coverage * len(words) and weight[which].sum() >= coverage * weight.sum() and which[templates.needed[owner]].all():
+                if n and templates.accepts(owner, which, coverage):
                     found.append((n, n / len(words), owner, s, e))
                     done = max(done, e)
                     break
@@ -238,9 +259,13 @@ def scan(docs: DataFrame, texts: dict[str, str] | DataFrame | None = None, cover
 
     Templates are a dictionary, or a table (name, text) of a checked size; they
     travel with the tasks. Null and empty texts match nothing; rows with equal or
-    null ids are scanned each. Other columns are ignored. A short template is found
-    if at most the share 1 - coverage of its words is changed, left out or added; a
-    longer one if a run of `WINDOW + K - 1` words is left.
+    null ids are scanned each; other columns are ignored. A match has the share
+    `coverage` of the template's words, also by weight (a word of few templates
+    weighs more, so losing a rare one can refuse a match that the number of words
+    allows), and all words by which the template differs from one that is nearly the
+    same. It is looked for where a short template shares word pairs enough, or a
+    longer one a run of `WINDOW + K - 1` words. A template of one word raises
+    ValueError.
     """
     templates = Templates.of_table(texts, coverage) if isinstance(texts, DataFrame) else Templates.of(TEMPLATES if texts is None else texts, coverage)
     shared = docs.sparkSession.sparkContext.broadcast(templates)
