@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from histoweave.functions import polygons as P
 from histoweave.functions import scalars as S
+from histoweave.operators import rings
 from histoweave.plans.registry import Tables, query
 
 C = F.col
@@ -170,6 +171,48 @@ def _(t: Tables) -> DataFrame:
     return d.select("id", C("depth").cast("long").alias("depth"), F.when(C("depth") % 2 == 0, "outer").otherwise("hole").alias("kind"))
 
 
+@query("sp-07-nested", """WITH r AS (SELECT id, 1+id%5 AS n, unnest(generate_series(0, CAST(id%5 AS BIGINT))) AS ring FROM poly),
+ d AS (SELECT id, n, ring, CASE WHEN id%2=1 THEN n-1-ring ELSE ring END AS depth FROM r),
+ e AS (SELECT id, ring, depth, CASE WHEN depth=0 THEN NULL WHEN id%2=1 THEN ring+1 ELSE ring-1 END AS parent FROM d UNION ALL SELECT id, 9, 0, NULL FROM poly)
+ SELECT id, CAST(ring AS INT) AS ring, CAST(depth AS BIGINT) AS depth, CAST(parent AS INT) AS parent, CAST(CASE WHEN depth%2=0 THEN ring ELSE parent END AS INT) AS polygon, CASE WHEN depth%2=0 THEN 'outer' ELSE 'hole' END AS kind FROM e""")
+def _(t: Tables) -> DataFrame:
+    """Up to five rings in one another, outermost first or last, and one beside them."""
+    x, y, w, h, n = (C(c).cast("long") for c in ("x0", "y0", "wd", "ht", "n"))
+    level = t.poly.withColumn("n", 1 + C("id") % 5).select("*", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("ring"))
+    inset = F.when(C("id") % 2 == 1, n - 1 - C("ring")).otherwise(C("ring"))
+    level = level.select("id", "ring", (2 * x + inset).alias("l"), (2 * y + inset).alias("b"), (2 * (x + w) - inset).alias("r"), (2 * (y + h) - inset).alias("t"))
+    beside = t.poly.select("id", F.lit(9).cast("long").alias("ring"), (2 * (x + w) + 2).alias("l"), (2 * y).alias("b"), (2 * (x + w) + 4).alias("r"), (2 * y + 2).alias("t"))
+    corners = F.array(*(F.struct(C(a).alias("x"), C(b).alias("y")) for a, b in (("l", "b"), ("r", "b"), ("r", "t"), ("l", "t"))))
+    vertices = level.unionByName(beside).select("id", C("ring").cast("int").alias("ring"), F.posexplode(corners).alias("vid", "p")).select("id", "ring", "vid", "p.x", "p.y")
+    return rings.nesting(vertices, ["id"])
+
+
+def _faulty(poly: DataFrame) -> DataFrame:
+    """(id, ring, vid, x, y) of a box that is plain, crosses itself, has a spike, a hole that touches it once, repeated and nested rings, or a hole that parts it, by the id."""
+    w, h, mw, mh = 2 * C("wd"), 2 * C("ht"), C("wd"), C("ht")
+    zero, box = F.lit(0.0), ((0, 0), (w, 0), (w, h), (0, h))
+    inset = lambda k: ((k, k), (w - k, k), (w - k, h - k), (k, h - k))
+    shapes = [[box], [((0, 0), (w, h), (w, 0), (0, h))], [((0, 0), (w, 0), (w, h), (w, h + 7), (w, h), (0, h))], [box, ((0, mh), (2, mh - 1), (2, mh + 1))], [box, box, box, inset(1), inset(2)], [box, ((0, mh), (mw, mh + 1), (w, mh), (mw, mh - 1))]]
+    points = lambda rs: F.array(*(F.struct(F.lit(r).alias("ring"), F.lit(v).alias("vid"), (C("x0") + zero + x).alias("x"), (C("y0") + zero + y).alias("y")) for r, ring in enumerate(rs) for v, (x, y) in enumerate(ring)))
+    chosen = points(shapes[0])
+    for k, rs in enumerate(shapes[1:], 1):
+        chosen = F.when(C("id") % len(shapes) == k, points(rs)).otherwise(chosen)
+    return poly.select("id", F.explode(chosen).alias("p")).select("id", "p.*")
+
+
+@query("sp-08", """WITH s AS (SELECT id, id%6 AS k, 2*wd AS w, 2*ht AS h FROM poly),
+ e AS (SELECT id, w*h AS area, 0 AS holes, 4 AS points FROM s WHERE k IN (0, 2)
+  UNION ALL SELECT id, w*h/4, 0, 3 FROM s, (VALUES (1), (2)) v(i) WHERE k=1
+  UNION ALL SELECT id, w*h-2, 1, 8 FROM s WHERE k=3
+  UNION ALL SELECT id, w*h-(w-2)*(h-2), 1, 8 FROM s WHERE k=4 UNION ALL SELECT id, (w-4)*(h-4), 0, 4 FROM s WHERE k=4
+  UNION ALL SELECT id, (w*h-w)/2, 0, 5 FROM s, (VALUES (1), (2)) v(i) WHERE k=5)
+ SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY area DESC) AS INT) AS polygon, area, CAST(holes AS BIGINT) AS holes, CAST(points AS BIGINT) AS points FROM e""")
+def _(t: Tables) -> DataFrame:
+    """Area, holes and vertices of the valid polygons that invalid ones fall into."""
+    valid = rings.make_valid(_faulty(t.poly), ["id"], scale=4)
+    return valid.groupBy("id", "polygon").agg(F.max("area").alias("area"), F.max("ring").cast("long").alias("holes"), F.count("*").alias("points"))
+
+
 def _rasterised(poly: DataFrame) -> DataFrame:
     """Pixels whose centre lies in each polygon and not in its hole."""
     p = poly.select("id", "x0", "y0", "wd", "ht", _box().alias("outer"), _hole().alias("hole"))
