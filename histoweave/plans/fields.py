@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histoweave.operators import graph, spatial
+from histoweave.operators import conflicts, graph, spatial
 from histoweave.plans.registry import Tables, query
 
 
@@ -242,6 +242,37 @@ def _(t: Tables) -> DataFrame:
     return m.groupBy("slide_id", "i").agg(F.round(F.sum(F.cos(a)), 6).alias("c"), F.round(F.sum(F.sin(a)), 6).alias("s"), F.round(F.sqrt(F.avg(F.col("dx") ** 2 + F.col("dy") ** 2)), 6).alias("rms"))
 
 
+#: Columns and rows of 535 x 400 in two islands, moved onto each other: below it, to the right, or at its corner.
+_CROSSING = """c AS (SELECT slide_id, n, CAST(floor(cx/535e0) AS BIGINT) AS i, CAST(floor(cy/400e0) AS BIGINT) AS j, slide_id%3 AS k FROM rect),
+ f AS (SELECT slide_id, n, i, j, k, CASE WHEN k=0 THEN CASE WHEN j<5 THEN 1 ELSE 2 END WHEN k=1 THEN CASE WHEN i<5 THEN 1 WHEN i>6 THEN 2 END WHEN i<5 AND j<5 THEN 1 WHEN i>6 AND j>6 THEN 2 END AS island FROM c),
+ g AS (SELECT slide_id, n, i, j, k, CAST(island AS INT) AS island, i*535.0::DOUBLE+CASE WHEN island=1 THEN 0 WHEN k=0 THEN 200 WHEN k=1 THEN -1110 ELSE -1100 END AS x, j*400.0::DOUBLE+CASE WHEN island=1 THEN 0 WHEN k=0 THEN -30 WHEN k=1 THEN 130 ELSE -820 END AS y FROM f WHERE island IS NOT NULL)"""
+
+
+def _crossing(t: Tables) -> DataFrame:
+    i, j, k = F.floor(F.col("cx") / 535), F.floor(F.col("cy") / 400), F.col("slide_id") % 3
+    island = F.when(k == 0, F.when(j < 5, 1).otherwise(2)).when(k == 1, F.when(i < 5, 1).when(i > 6, 2)).otherwise(F.when((i < 5) & (j < 5), 1).when((i > 6) & (j > 6), 2))
+    second = F.col("island") == 2
+    x = i * 535.0 + F.when(second, F.when(k == 0, 200).when(k == 1, -1110).otherwise(-1100)).otherwise(0)
+    y = j * 400.0 + F.when(second, F.when(k == 0, -30).when(k == 1, 130).otherwise(-820)).otherwise(0)
+    f = t.rect.withColumn("island", island).where("island is not null").withColumn("mx1", x).withColumn("my1", y)
+    return f.select("slide_id", "island", "n", "mx1", (F.col("mx1") + 535).alias("mx2"), "my1", (F.col("my1") + 400).alias("my2"), F.lit(False).alias("orphan"), F.lit(535.0).alias("offset_x"), F.lit(400.0).alias("offset_y"))
+
+
+@query("sp-03", f"""WITH {_CROSSING} SELECT slide_id, island, n,
+ x+CASE WHEN island=2 AND i=7 AND (k=1 OR (k=2 AND j=7)) THEN CASE WHEN k=1 THEN 20 ELSE 15 END ELSE 0 END AS mx1, x+535-CASE WHEN island=1 AND i=4 AND (k=1 OR (k=2 AND j=4)) THEN CASE WHEN k=1 THEN 20 ELSE 15 END ELSE 0 END AS mx2,
+ y+CASE WHEN k=0 AND j=5 AND island=2 AND EXISTS (SELECT 1 FROM g o WHERE o.slide_id=g.slide_id AND o.island=1 AND o.j=4 AND o.x<g.x+535 AND g.x<o.x+535) THEN 15 ELSE 0 END AS my1,
+ y+400-CASE WHEN k=0 AND j=4 AND island=1 AND EXISTS (SELECT 1 FROM g o WHERE o.slide_id=g.slide_id AND o.island=2 AND o.j=5 AND o.x<g.x+535 AND g.x<o.x+535) THEN 15 ELSE 0 END AS my2 FROM g""")
+def _(t: Tables) -> DataFrame:
+    """Regions of two islands moved onto each other, cut where they share area."""
+    return conflicts.resolve(_crossing(t)).select("slide_id", "island", "n", "mx1", "mx2", "my1", "my2")
+
+
+@query("sp-03-pairs", f"""WITH {_CROSSING} SELECT a.slide_id, a.n AS p1, b.n AS p2 FROM g a JOIN g b ON a.slide_id=b.slide_id AND a.island<b.island AND a.x<b.x+535 AND b.x<a.x+535 AND a.y<b.y+400 AND b.y<a.y+400""")
+def _(t: Tables) -> DataFrame:
+    """Fields of different islands whose regions share area."""
+    return conflicts.region_overlaps(_crossing(t)).select("slide_id", F.col("a.n").alias("p1"), F.col("b.n").alias("p2"))
+
+
 @query("sp-01", "SELECT slide_id, p1, p2, greatest(0, 669-abs(x1-x2)-16)*greatest(0, 500-abs(y1-y2)-16) AS area FROM overlap")
 def _(t: Tables) -> DataFrame:
     o = t.overlap
