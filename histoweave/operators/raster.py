@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoweave.operators.components import components
+from histoweave.operators.relational import number_rows
 from histoweave.sources.written import cut
 
 NEAR = tuple((i, j) for j in (-1, 0, 1) for i in (-1, 0, 1))
@@ -88,11 +89,12 @@ def blur_score(pixels: DataFrame, by: list[str], width: int, height: int, sigma:
 def regions(mask: DataFrame, by: list[str], width: int, height: int, diagonal: bool = True) -> DataFrame:
     """(by, x, y, region): connected regions of the rows of a mask, numbered from 1 in each image in order of their first pixel.
 
-    Keys must be integers; an image's pixels are told apart by a hash of the keys and the place.
+    Images are numbered, so that a pixel's number, its image's times the pixels of one and its place, is no other's.
     """
     at = F.col("y") * width + F.col("x")
+    images = number_rows(mask.select(*by).distinct(), list(by), "_image")
     steps = ((1, 0), (0, 1), (1, 1), (-1, 1)) if diagonal else ((1, 0), (0, 1))
-    on = cut(mask.select(*by, "x", "y", at.alias("first"), F.xxhash64(*by, at).alias("id")))
+    on = cut(mask.join(images, by).select(*by, "x", "y", at.alias("first"), (F.col("_image") * (width * height) + at).alias("id")))
     sent = on.select(*by, "x", "y", F.col("id").alias("a"), _offsets(steps).alias("o")).select(*by, (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"), "a")
     pairs = sent.join(on.select(*by, "x", "y", F.col("id").alias("b")), [*by, "x", "y"]).select("a", "b")
     found = components(pairs.unionByName(on.select(F.col("id").alias("a"), F.col("id").alias("b"))))

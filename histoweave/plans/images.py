@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histoweave.operators import raster, stats
+from histoweave.operators import outlines, raster, stats
 from histoweave.plans.registry import Tables, query
 from histoweave.sources import tiff
 from histoweave.sources.written import new_path
@@ -74,6 +74,45 @@ def _(t: Tables) -> DataFrame:
     return raster.boxes(raster.regions(t.img.where("v > 0"), BY, SIDE, SIDE), BY)
 
 
+#: Border edges with the set pixel to the right, followed from each of them; a ring is known by its first edge, and lies in those with an odd number of edges above its first pixel.
+_RINGS = """RECURSIVE m AS MATERIALIZED (SELECT vec_id, layer, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y FROM img WHERE v>0),
+ e AS MATERIALIZED (SELECT vec_id, layer, y+b AS y0, x+a AS x0, y+d AS y1, x+c AS x1 FROM m, (VALUES (0, 0, 1, 0, 0, -1), (1, 0, 1, 1, 1, 0), (1, 1, 0, 1, 0, 1), (0, 1, 0, 0, -1, 0)) s(a, b, c, d, i, j) WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.vec_id=m.vec_id AND o.layer=m.layer AND o.x=m.x+i AND o.y=m.y+j)),
+ s AS MATERIALIZED (SELECT e.vec_id, e.layer, e.y0*512+e.x0*64+e.y1*8+e.x1 AS e, n.y0*512+n.x0*64+n.y1*8+n.x1 AS nx FROM e JOIN e n ON n.vec_id=e.vec_id AND n.layer=e.layer AND n.y0=e.y1 AND n.x0=e.x1
+  QUALIFY row_number() OVER (PARTITION BY e.vec_id, e.layer, e.y0, e.x0, e.y1, e.x1 ORDER BY (e.x1-e.x0)*(n.y1-n.y0)-(e.y1-e.y0)*(n.x1-n.x0))=1),
+ w AS (SELECT vec_id, layer, e AS start, e AS cur, CAST(0 AS BIGINT) AS k FROM s UNION ALL SELECT w.vec_id, w.layer, start, s.nx, k+1 FROM w JOIN s ON s.vec_id=w.vec_id AND s.layer=w.layer AND s.e=w.cur WHERE s.nx<>start),
+ r AS MATERIALIZED (SELECT *, min(cur) OVER (PARTITION BY vec_id, layer, start) AS ring FROM w),
+ p AS MATERIALIZED (SELECT vec_id, layer, ring, k, cur, CAST(floor(cur/512e0) AS BIGINT)%8 AS y0, CAST(floor(cur/64e0) AS BIGINT)%8 AS x0, CAST(floor(cur/8e0) AS BIGINT)%8 AS y1, cur%8 AS x1 FROM r WHERE start=ring),
+ g AS MATERIALIZED (SELECT vec_id, layer, ring, sum(x0*y1-x1*y0)/2 AS signed, count(*) AS perimeter, CAST(floor(ring/64e0) AS BIGINT)%8 AS x, CAST(floor(ring/512e0) AS BIGINT)%8 AS y FROM p GROUP BY vec_id, layer, ring),
+ h AS MATERIALIZED (SELECT g.vec_id, g.layer, g.ring, o.ring AS around FROM g JOIN p o ON o.vec_id=g.vec_id AND o.layer=g.layer AND o.ring<>g.ring AND o.y0=o.y1 AND least(o.x0, o.x1)=g.x AND o.y0<g.y GROUP BY g.vec_id, g.layer, g.ring, o.ring HAVING count(*)%2=1),
+ d AS MATERIALIZED (SELECT vec_id, layer, g.ring, count(around) AS depth FROM g LEFT JOIN h USING (vec_id, layer, ring) GROUP BY vec_id, layer, g.ring),
+ u AS MATERIALIZED (SELECT h.vec_id, h.layer, h.ring, max_by(h.around, d.depth) AS parent FROM h JOIN d ON d.vec_id=h.vec_id AND d.layer=h.layer AND d.ring=h.around GROUP BY h.vec_id, h.layer, h.ring),
+ z AS MATERIALIZED (SELECT vec_id, layer, ring, row_number() OVER (PARTITION BY vec_id, layer ORDER BY signed<0, y, x) AS region, signed<0 AS hole, perimeter, abs(signed) AS area FROM g),
+ q AS MATERIALIZED (SELECT z.vec_id, z.layer, z.ring, z.region, z.hole, d.depth, coalesce(o.region, 0) AS parent, z.area, z.perimeter FROM z JOIN d ON d.vec_id=z.vec_id AND d.layer=z.layer AND d.ring=z.ring LEFT JOIN u ON u.vec_id=z.vec_id AND u.layer=z.layer AND u.ring=z.ring LEFT JOIN z o ON o.vec_id=u.vec_id AND o.layer=u.layer AND o.ring=u.parent)"""
+
+
+def _contours(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return outlines.contours(t.img.where("v > 0"), BY)
+
+
+@query("sp-10", f"""WITH {_RINGS}, c AS (SELECT vec_id, layer, ring, CASE WHEN hole THEN (perimeter-k)%perimeter ELSE k END AS spot, x0 AS x, y0 AS y, region, depth, parent
+  FROM (SELECT p.*, q.hole, q.perimeter, q.region, q.depth, q.parent, x1-x0 AS dx, y1-y0 AS dy, lag(x1-x0) OVER o AS bx, lag(y1-y0) OVER o AS b_y, last_value(x1-x0) OVER a AS lx, last_value(y1-y0) OVER a AS ly FROM p JOIN q USING (vec_id, layer, ring)
+  WINDOW o AS (PARTITION BY vec_id, layer, ring ORDER BY k), a AS (PARTITION BY vec_id, layer, ring ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) i WHERE dx<>coalesce(bx, lx) OR dy<>coalesce(b_y, ly))
+ SELECT vec_id, layer, region, depth, parent, row_number() OVER (PARTITION BY vec_id, layer, region ORDER BY spot)-1 AS vid, x, y FROM c""")
+def _(t: Tables) -> DataFrame:
+    """Outlines of all regions and holes of each image, as corners in order, with depth and parent."""
+    found, corners = _contours(t)
+    number = [C(c).cast("long").alias(c) for c in ("region", "depth", "parent", "vid", "x", "y")]
+    return corners.join(found, [*BY, "ring"]).withColumnRenamed("ring", "region").select(*BY, *number)
+
+
+@query("im-12-polygons", f"""WITH {_LABEL}, a AS (SELECT vec_id, layer, region, CAST(count(*) AS BIGINT) AS area, CAST(sum((SELECT 4-count(*) FROM lab o WHERE o.vec_id=lab.vec_id AND o.layer=lab.layer AND abs(o.x-lab.x)+abs(o.y-lab.y)=1)) AS BIGINT) AS perimeter FROM lab GROUP BY vec_id, layer, region) SELECT * FROM a""")
+def _(t: Tables) -> DataFrame:
+    """Each region's polygon: its area without its holes' and the length of all its rings."""
+    found, _ = _contours(t)
+    region = F.when(C("hole"), C("parent")).otherwise(C("ring")).alias("region")
+    return found.groupBy(*BY, region).agg(F.sum(F.when(C("hole"), -C("area")).otherwise(C("area"))).alias("area"), F.sum("perimeter").alias("perimeter"))
+
+
 @query("im-07", f"WITH {_LABEL} SELECT vec_id, layer, region, min(y*4+x) AS first_pixel, count(*) AS n FROM lab GROUP BY vec_id, layer, region")
 def _(t: Tables) -> DataFrame:
     """A mask as its connected regions, each with its first pixel and size."""

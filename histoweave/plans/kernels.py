@@ -67,13 +67,6 @@ def _(t: Tables) -> DataFrame:
     return t.pixels.join(F.broadcast(level), "layer").select("vec_id", "layer", "pixel", grey.alias("grey"))
 
 
-@query("sp-10")
-def _(t: Tables) -> DataFrame:
-    """Outlines of all regions and holes of each image, as points in order, with depth and parent."""
-    rings = lambda a: [(k, depth, parent, i, int(x), int(y)) for k, depth, parent, points in kernels.contours(a > 0) for i, (x, y) in enumerate(points)]
-    return kernels.per_image(t.pixels, rings, "region int, depth int, parent int, vid int, x int, y int")
-
-
 @query("sp-15")
 def _(t: Tables) -> DataFrame:
     """A warp with steps where the first field's column passes the stage's jumps, besides the linear terms; the first step is known."""
