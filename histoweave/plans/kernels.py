@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histoweave.operators import fit, kernels, stats
+from histoweave.operators import fit, registration, stats
 from histoweave.plans.registry import Tables, query
 
 C = F.col
@@ -43,20 +42,44 @@ def _(t: Tables) -> DataFrame:
     return fit.principal_components(stats.covariance(t.pixels, "vec_id", "k", "v"))
 
 
+_PAIRS = """a AS (SELECT vec_id, layer, x, y, v FROM img WHERE vec_id%2=0), b AS (SELECT vec_id-1 AS vec_id, layer, x, y, v FROM img WHERE vec_id%2=1)"""
+
+
+def _pairs(t: Tables) -> DataFrame:
+    """Each image of an even number as `a`, and that of the next number as `b`."""
+    b = t.img.where("vec_id % 2 = 1").select((C("vec_id") - 1).alias("vec_id"), "layer", "x", "y", C("v").alias("b"))
+    return t.img.where("vec_id % 2 = 0").withColumnRenamed("v", "a").join(b, ["vec_id", "layer", "x", "y"])
+
+
 @query("im-01")
 def _(t: Tables) -> DataFrame:
-    def shift(a: np.ndarray) -> list[tuple]:
-        a, b = a.astype(float), np.roll(a.astype(float), 1, axis=1)
-        dx, dy, leave = kernels.compute_shift(a, b)
-        return [(dx, dy, leave, *kernels.shift_covariance(a, b, dx, dy))]
+    """Shifts between two images, with their covariances."""
+    return registration.shifts(_pairs(t), ["vec_id", "layer"], 4, 4)
+
 
-    return kernels.per_image(t.pixels, shift, "dx double, dy double, exit int, covxx double, covxy double, covyy double")
+@query("im-01-peak", f"""WITH {_PAIRS}, z AS (SELECT a.vec_id, a.layer, (a.x-b.x+4)%4 AS sx, (a.y-b.y+4)%4 AS sy, sum(a.v*b.v) AS z FROM a JOIN b ON b.vec_id=a.vec_id AND b.layer=a.layer GROUP BY ALL)
+ SELECT vec_id, layer, CAST(sx AS INT) AS sx, CAST(sy AS INT) AS sy, CAST(z AS BIGINT) AS z FROM z QUALIFY row_number() OVER (PARTITION BY vec_id, layer ORDER BY abs(z) DESC, sy, sx)=1""")
+def _(t: Tables) -> DataFrame:
+    """The whole shift at which two images correlate most."""
+    keys = ["vec_id", "layer"]
+    return registration.peak(registration.correlation(_pairs(t), keys, 4, 4), keys, 3).withColumn("z", F.round("z").cast("long"))
 
 
 @query("im-18")
 def _(t: Tables) -> DataFrame:
-    turns = [-20.0, -10.0, 0.0, 10.0, 20.0]
-    return kernels.per_image(t.pixels, lambda a: [kernels.best_rotation(a.astype(float), np.roll(a.astype(float), 1, 0), turns)], "degrees double, dx double, dy double")
+    """The turn and the shift between two images."""
+    return registration.register(_pairs(t), ["vec_id", "layer"], 4, 4, [-20.0, -10.0, 0.0, 10.0, 20.0], 2)
+
+
+_W = "CASE WHEN abs({t})<=1 THEN (1.25*abs({t})-2.25)*{t}*{t}+1 WHEN abs({t})<2 THEN ((abs({t})-5)*abs({t})+8)*abs({t})*-0.75+3 ELSE 0 END"
+
+
+@query("im-02-bicubic", f"""WITH s AS (SELECT a.vec_id, a.layer, a.x, a.y, b.v, a.x-b.x-(a.vec_id%5-2)*0.2937::DOUBLE AS dx, a.y-b.y-(a.layer-1.5::DOUBLE)*0.4713::DOUBLE AS dy FROM img a JOIN img b ON b.vec_id=a.vec_id AND b.layer=a.layer)
+ SELECT vec_id, layer, x, y, round(sum(v*({_W.format(t='dx')})*({_W.format(t='dy')})), 4) AS v FROM s GROUP BY vec_id, layer, x, y""")
+def _(t: Tables) -> DataFrame:
+    """Images moved by a part of a pixel by cubic convolution, each by its own shift."""
+    moves = t.img.select("vec_id", "layer").distinct().select("vec_id", "layer", ((C("vec_id") % 5 - 2) * 0.2937).alias("dx_v"), ((C("layer") - 1.5) * 0.4713).alias("dy_v"))
+    return registration.cubic_shift(t.img, ["vec_id", "layer"], 4, 4, moves).select("vec_id", "layer", "x", "y", F.round("v", 4).alias("v"))
 
 
 @query("im-14", "WITH m AS (SELECT layer, avg(CASE WHEN v>0 THEN v END) AS level FROM pixels GROUP BY layer) SELECT vec_id, p.layer, pixel, CAST(floor(least(255e0, greatest(0e0, v/level*100))) AS BIGINT) AS grey FROM pixels p JOIN m ON m.layer=p.layer")

@@ -1,10 +1,6 @@
-"""Dense image kernels on numpy arrays; Spark deals the images, a task sees one image or pair at a time."""
-
-from __future__ import annotations
+"""Plain numpy versions of image kernels, which the Spark ones are held against."""
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
 
 
 def compute_shift(a: np.ndarray, b: np.ndarray) -> tuple[float, float, int]:
@@ -69,21 +65,6 @@ def label(mask: np.ndarray, diagonal: bool = True) -> np.ndarray:
     return np.searchsorted(np.unique(out[out > 0]), out) + (out > 0) if mask.any() else out
 
 
-def per_image(pixels: DataFrame, kernel, schema: str, side: int = 4) -> DataFrame:
-    """Applies kernel(image) -> list of tuples to each (vec_id, layer) as a square array; schema names the tuples' columns."""
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values("layer")
-        rows = []
-        for layer, g in p.groupby("layer"):
-            image = g.sort_values("pixel")["v"].to_numpy().reshape(side, side)
-            rows += [(int(g["vec_id"].iloc[0]), int(layer), *r) for r in kernel(image)]
-        return pd.DataFrame(rows, columns=["vec_id", "layer", *names])
-
-    return pixels.select("vec_id", "layer", "pixel", "v").groupBy("vec_id").applyInPandas(run, f"vec_id long, layer int, {schema}")
-
-
 def fourier_shift(a: np.ndarray, dx: float, dy: float) -> np.ndarray:
     """The image moved by a part of a pixel, periodic at its borders."""
     h, w = a.shape

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from histoweave.functions import polygons as P
-from histoweave.operators import components, fit, graph, kernels, relational, spatial, workflow
+from histoweave.operators import components, fit, graph, relational, spatial, workflow
 import plain_images
+import plain_kernels as kernels
 from histoweave.sources import tables as S
 from histoweave.streaming import status
 
@@ -194,19 +195,6 @@ def test_fits_of_the_queries_against_numpy(spark):
         assert np.isclose(r.variance, values[-1 - r.component]) and np.isclose(abs(r.weight), abs(v[r.i]), atol=1e-6)
 
 
-def test_array_kernels_of_the_queries(spark):
-    from histoweave.plans import QUERIES
-
-    y, x = np.mgrid[:16, :16].astype(float)
-    blob = np.exp(-((x - 7) ** 2) / 50 - (y - 6) ** 2 / 3)
-    turned = kernels.remap(blob, 7.5 + (x - 7.5) * np.cos(0.2) + (y - 7.5) * np.sin(0.2), 7.5 - (x - 7.5) * np.sin(0.2) + (y - 7.5) * np.cos(0.2))
-    assert abs(kernels.best_rotation(blob, turned, [np.rad2deg(a) for a in (-0.4, -0.2, 0.0, 0.2, 0.4)])[0] - np.rad2deg(0.2)) < 1e-9
-    shifts = QUERIES["im-01"](spark, "/root/testdata/sf0.001").toPandas()
-    assert (shifts.dx - shifts.dx.round()).abs().max() <= 0.5 and set(shifts.exit) <= {0, 1, 3}
-    clear = shifts[(shifts.exit == 0) & shifts.dx.between(-1.2, -0.8)]  # images are turned by one pixel
-    assert len(clear) > 0 and len(QUERIES["im-18"](spark, "/root/testdata/sf0.001").toPandas()) == len(shifts)
-
-
 def test_numbering_by_ranges_and_groups(spark):
     import random
 

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from histoweave.operators import kernels, outlines
+import plain_kernels as kernels
+from histoweave.operators import outlines
 
 SPIRAL = [[1, 1, 1, 1, 1, 1, 1], [1, 0, 0, 0, 0, 0, 1], [1, 0, 1, 1, 1, 0, 1], [1, 0, 1, 0, 1, 0, 1], [1, 0, 1, 1, 1, 0, 1], [1, 0, 0, 0, 0, 0, 1], [1, 1, 1, 1, 1, 1, 1]]
 

@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from histoweave.operators import kernels, raster
+from histoweave.operators import raster
 import plain_images as plain
+import plain_kernels as kernels
 
 W, H, BY = 9, 7, ["img", "layer"]
 
