@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histoweave.operators import outlines, raster, stats
 from histoweave.plans.registry import Tables, query
-from histoweave.sources import tiff
+from histoweave.sources import slides, tiff
 from histoweave.sources.written import new_path
 
 C = F.col
@@ -282,6 +284,42 @@ def _(t: Tables) -> DataFrame:
     return tiff.zoom_levels(tiff.read_pages(_stored(t, 3), set()))
 
 
+def _deflated(t: Tables) -> DataFrame:
+    """As `_stored` with two levels, deflated with differences: full size in tiles of two by two, half size in strips of a row."""
+    grey = t.img.withColumn("v", F.least(F.lit(255), F.greatest(F.lit(0), C("v"))))
+    zoomed = stats.pyramid(grey, BY, 2).withColumn("v", F.floor("v").cast("int"))
+    samples = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
+    each = zoomed.groupBy(*BY, "level").agg(samples.alias("samples"), (F.max("x") + 1).alias("width"))
+    every = F.sort_array(F.collect_list(F.struct("level", "layer", "width", "samples")))
+
+    @F.pandas_udf("binary")
+    def written(width: pd.Series, samples: pd.Series) -> pd.Series:
+        how = lambda a: {"compression": 8, "predictor": 2} | ({"tile": 2} if a.shape[1] == SIDE else {"rows": 1})
+        sheets = [[np.array(v, np.uint8).reshape(-1, w) for w, v in zip(ws, vs)] for ws, vs in zip(width, samples)]
+        return pd.Series([slides.encoded([(a, how(a)) for a in file]) for file in sheets])
+
+    files = each.groupBy("vec_id").agg(every.alias("p")).select(F.concat(C("vec_id").cast("string"), F.lit(".tif")).alias("path"), written("p.width", "p.samples").alias("content"))
+    out = new_path(t.spark, "tiff")
+    files.write.parquet(out)
+    return t.spark.read.parquet(out)
+
+
+@query("src-11-compressed", f"SELECT vec_id::VARCHAR||'.tif' AS path, CAST(layer AS INT) AS page, CAST(sum({_GREY}) AS BIGINT) AS total, layer<>3 AS ok FROM img WHERE layer IN (1, 3) GROUP BY vec_id, layer")
+def _(t: Tables) -> DataFrame:
+    """Two layers of deflated, tiled component images; the last one is asked for together with one of another group."""
+    files = _deflated(t)
+    total = slides.pixels(files, {1, 3}).groupBy("path", "page").agg(F.sum("v").cast("long").alias("total"))
+    found = slides.pages(files)
+    ok = [slides.layer_groups(found, [4, 4], layers).select("path", F.lit(page).alias("page"), "ok") for page, layers in ((1, [2]), (3, [4, 5]))]
+    return total.join(ok[0].unionByName(ok[1]), ["path", "page"])
+
+
+@query("src-12-compressed", "SELECT DISTINCT vec_id::VARCHAR||'.tif' AS path, CAST(zoom AS INT) AS zoom, CAST(4/zoom AS BIGINT) AS width, CAST(4/zoom AS BIGINT) AS height, CAST(4 AS BIGINT) AS pages FROM img, (VALUES (1), (2)) z(zoom)")
+def _(t: Tables) -> DataFrame:
+    """Zoom levels of deflated pyramids of two sizes."""
+    return tiff.zoom_levels(slides.pages(_deflated(t)))
+
+
 @query("snk-06", f"WITH l AS (SELECT unnest(generate_series(0, 1)) AS level), p AS (SELECT vec_id, layer, level, CAST(floor(x/pow(2, level)) AS INT) AS x, CAST(floor(y/pow(2, level)) AS INT) AS y, CAST(floor(avg({_GREY})) AS INT) AS v FROM img, l GROUP BY ALL) SELECT vec_id::VARCHAR||'.tif' AS path, CAST(level*4+layer AS INT) AS page, string_agg(v::VARCHAR, ' ' ORDER BY y, x) AS samples FROM p GROUP BY vec_id, layer, level")
 def _(t: Tables) -> DataFrame:
     """Images written as TIFF pages of two sizes and read back sample by sample."""
