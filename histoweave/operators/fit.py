@@ -46,7 +46,13 @@ def stitch(rects: DataFrame, shifts: DataFrame, tie: float = 1e-4) -> DataFrame:
 MOST_FIELDS = 4_000
 
 
-def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3) -> DataFrame:
+#: Tags of overlaps along an edge of a field; the others meet at a corner.
+EDGES = (2, 4, 6, 8)
+
+
+def stitch_affine(
+    rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3, scale_overlap: float = 1.0, scale_jitter: float = 1.0, scale_edges: float = 1.0, scale_corners: float = 1.0, fixed_point: str | tuple[float, float] = "origin"
+) -> DataFrame:
     """(slide_id, n, px, py, cov_xx, cov_xy, cov_yy, txx, txy, tyx, tyy): positions of fields and the affine matrix of their grid, fitted together.
 
     A measured shift adds the squared difference of its two positions from the
@@ -56,9 +62,14 @@ def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3
     both have exit 0. If all shifts lie along one axis the matrix's other column
     is fixed, and with too few equations its diagonal too. Fields without shifts
     lie on the grid; a slide without shifts keeps its nominal places, with null
-    covariances. Slides of more than MOST_FIELDS fields are refused.
+    covariances. `scale_overlap` multiplies the shifts' errors and `scale_jitter` that
+    of the grid; `scale_edges` and `scale_corners` multiply the weights of overlaps by
+    their tag, a column of shifts that is needed if they differ. The grid's fixed
+    point is the slide's smallest place ("origin"), the mean of its places
+    ("center"), or a given one. Slides of more than MOST_FIELDS fields are refused.
     """
-    good = shifts.where("exit = 0").select("slide_id", "p1", "p2", "dx", "dy", "covxx", "covxy", "covyy")
+    edge = F.col("tag").isin(*EDGES) if scale_edges != scale_corners else F.lit(True)
+    good = shifts.where("exit = 0").select("slide_id", "p1", "p2", "dx", "dy", "covxx", "covxy", "covyy", F.when(edge, scale_edges).otherwise(scale_corners).alias("scale"))
     back = good.where("p2 < p1").select("slide_id", F.col("p2").alias("p1"), F.col("p1").alias("p2"))
     once = good.where("p2 < p1").unionByName(good.where("p2 > p1").join(back, ["slide_id", "p1", "p2"], "left_anti"))
 
@@ -78,7 +89,7 @@ def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3
         cov = np.empty((len(pairs), 2, 2))
         cov[:, 0, 0], cov[:, 1, 1] = pairs["covxx"], pairs["covyy"]
         cov[:, 0, 1] = cov[:, 1, 0] = pairs["covxy"]
-        weight, target = np.linalg.inv(cov), d + nominal[i] - nominal[j]
+        weight, target = np.linalg.inv(cov) * (pairs["scale"].to_numpy() / scale_overlap**2)[:, None, None], d + nominal[i] - nominal[j]
         a, b = np.zeros((size, size)), np.zeros(size)
         pull = np.einsum("kab,kb->ka", weight, target)
         for r in (0, 1):
@@ -87,12 +98,12 @@ def stitch_affine(rects: DataFrame, shifts: DataFrame, fixed_error: float = 1e-3
             for c in (0, 1):
                 for rows, columns, sign in ((i, i, 1), (j, j, 1), (i, j, -1), (j, i, -1)):
                     np.add.at(a, (2 * rows + r, 2 * columns + c), sign * weight[:, r, c])
-        origin = nominal.min(0)
+        origin = nominal.min(0) if fixed_point == "origin" else nominal.mean(0) if fixed_point == "center" else np.array(fixed_point, np.float64)
         away = nominal - origin
         every = np.arange(n)
         for axis, var in ((0, "covxx"), (1, "covyy")):
             w = 1 / pairs[var].to_numpy()
-            jitter = 1 / max((w * d[:, axis] ** 2).sum() / w.sum(), 1e-12)
+            jitter = 1 / max((w * d[:, axis] ** 2).sum() / w.sum() * scale_jitter**2, 1e-12)
             mine = 2 * every + axis
             t = 2 * n + 2 * axis + np.arange(2)  # the matrix's row of this axis
             a[mine, mine] += jitter
@@ -210,3 +221,52 @@ def principal_components(sums: DataFrame, most: int = 3) -> DataFrame:
         v = v * np.sign(v[np.abs(v).argmax()])
         rows += [(k, float(values[-1 - k]), i, float(x)) for i, x in enumerate(v)]
     return sums.sparkSession.createDataFrame(pd.DataFrame(rows, columns=["component", "variance", "i", "weight"]))
+
+
+def pca_state(values: DataFrame, key: list[str], state: DataFrame | None = None) -> DataFrame:
+    """(i, j, n, si, sj, product): sums over the keys of values(key, i, x) by pairs of columns i <= j, added to those of earlier batches.
+
+    A key without a value in some column adds to the pairs of its other columns
+    alone. Masks are filters of the rows; nulls and NaN are no values.
+    """
+    row = F.sort_array(F.collect_list(F.struct("i", "x")))  # the columns of one key
+    rows = values.where("x is not null and not isnan(x)").groupBy(*key).agg(row.alias("r")).select(F.posexplode("r").alias("p", "a"), "r")
+    pairs = rows.select("a", F.explode(F.slice("r", F.col("p") + 1, F.size("r"))).alias("b"))
+    x, y = F.col("a.x").cast("double"), F.col("b.x").cast("double")
+    new = pairs.groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(F.count("*").alias("n"), F.sum(x).alias("si"), F.sum(y).alias("sj"), F.sum(x * y).alias("product"))
+    if state is None:
+        return new
+    return state.unionByName(new).groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "si", "sj", "product")))
+
+
+def pca_components(state: DataFrame, most: int = 3) -> DataFrame:
+    """(component, variance, i, mean, weight) of the leading components of the sums of `pca_state`.
+
+    The sums of at most MOST_COLUMNS columns, which is checked, are one matrix in one
+    task, whatever the number of pixels. The largest weight of a component is positive.
+    """
+    n = state.agg(F.count_distinct("i")).first()[0]
+    if n > MOST_COLUMNS:
+        raise ValueError(f"{n} columns; the covariance of at most {MOST_COLUMNS} is one matrix")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = np.unique(pdf["i"].to_numpy())
+        a, b = np.searchsorted(names, pdf["i"]), np.searchsorted(names, pdf["j"])
+        c, mean = np.zeros((len(names), len(names))), np.zeros(len(names))
+        c[a, b] = c[b, a] = pdf["product"] / pdf["n"] - pdf["si"] / pdf["n"] * (pdf["sj"] / pdf["n"])
+        mean[a[a == b]] = (pdf["si"] / pdf["n"]).to_numpy()[a == b]
+        values, vectors = np.linalg.eigh(c)
+        out = []
+        for k in range(min(most, len(names))):
+            v = vectors[:, -1 - k]
+            v = v * np.sign(v[np.abs(v).argmax()])
+            out.append(pd.DataFrame({"component": k, "variance": values[-1 - k], "i": names, "mean": mean, "weight": v}))
+        return pd.concat(out)
+
+    return state.groupBy().applyInPandas(solve, f"component int, variance double, i {dict(state.dtypes)['i']}, mean double, weight double")
+
+
+def pca_scores(values: DataFrame, key: list[str], components: DataFrame) -> DataFrame:
+    """(key, component, score): each key's values less the means, along each component; the components are a bounded table."""
+    met = values.where("x is not null").join(F.broadcast(components.select("component", "i", "mean", "weight")), "i")
+    return met.groupBy(*key, "component").agg(F.sum((F.col("x") - F.col("mean")) * F.col("weight")).alias("score"))

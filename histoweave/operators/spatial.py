@@ -61,19 +61,23 @@ def region_boundaries(rects: DataFrame, axis: str, size: str, tolerance: float)
     return means.select("slide_id", "g", "start", ((F.lead("start").over(Window.partitionBy("slide_id").orderBy("g")) + F.col("stop")) / 2).alias("boundary"))
 
 
-def axis_regions(fields: DataFrame, by: list[str], place: str, at: str, size: str, offset: str, jump: float = 100.0) -> DataFrame:
+def axis_regions(fields: DataFrame, by: list[str], place: str, at: str, size: str, offset: str, jump: float = 100.0, tolerance: float = 0.0) -> DataFrame:
     """(by, n, g, last, low, high): on one axis, each field's grid line of all lines of its group, and the borders of its primary region.
 
-    Lines are the distinct nominal coordinates in `place`; `at` is where fields
-    really lie. Between two lines the border is the middle of the mean end and the
+    Lines are the distinct nominal coordinates in `place`, those within `tolerance`
+    of the one before being one line; a field further than that from its line's
+    first one is an error. `at` is where fields really lie. Between two lines the border is the middle of the mean end and the
     mean start. The outer borders come from a line through the inner ones: its
     slope is the mean of their differences within one deviation of the mean, its
     intercept at each end that of the borders before the first one that lies more
     than `jump` standard errors off. With one inner border the outer ones are
     `offset` away, without any half of it to both sides of the fields' middle.
     """
-    lines = Window.partitionBy(*by).orderBy(place)
-    f = fields.withColumn("g", F.dense_rank().over(lines).cast("long"))
+    lines = Window.partitionBy(*by).orderBy(place, "n")
+    new = F.coalesce((F.col(place) - F.lag(place).over(lines) > tolerance).cast("long"), F.lit(0))
+    f = fields.withColumn("_new", new).withColumn("g", F.sum("_new").over(lines.rowsBetween(Window.unboundedPreceding, 0)) + 1).drop("_new")
+    off = F.col(place) - F.min(place).over(Window.partitionBy(*by, "g"))
+    f = f.withColumn("g", F.when(off > tolerance, F.raise_error(F.concat(F.lit(f"fields lie off the grid by more than {tolerance} in {place}: "), off.cast("string"))).cast("long")).otherwise(F.col("g")))
     mean = f.groupBy(*by, "g").agg(F.avg(at).alias("a"), F.max(size).alias("size"), F.max(offset).alias("offset"))
     full, w = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("g")
     b = (F.col("a") + F.col("size") + F.lead("a").over(w)) / 2
@@ -99,16 +103,16 @@ def axis_regions(fields: DataFrame, by: list[str], place: str, at: str, size: st
     return f.select(*by, "n", "g").join(borders, [*by, "g"])
 
 
-def primary_regions(fields: DataFrame, overlaps: DataFrame, by: list[str]) -> DataFrame:
+def primary_regions(fields: DataFrame, overlaps: DataFrame, by: list[str], tolerance: float = 0.0) -> DataFrame:
     """(by, n, mx1, mx2, my1, my2) of fields(by, n, cx, cy, px, py, w, h, offset_x, offset_y).
 
     Where a field has no neighbour on a side its own border counts, and so it does
     at a group's outermost line if the region would go beyond it. overlaps(by, p2,
-    tag) names each field's neighbours by direction.
+    tag) names each field's neighbours by direction; `tolerance` is that of grid lines.
     """
     tags = overlaps.groupBy(*by, F.col("p2").alias("n")).agg(F.collect_set("tag").alias("tags"))
-    x = axis_regions(fields, by, "cx", "px", "w", "offset_x").withColumnsRenamed({"g": "gx", "last": "lx", "low": "mx1", "high": "mx2"})
-    y = axis_regions(fields, by, "cy", "py", "h", "offset_y").withColumnsRenamed({"g": "gy", "last": "ly", "low": "my1", "high": "my2"})
+    x = axis_regions(fields, by, "cx", "px", "w", "offset_x", tolerance=tolerance).withColumnsRenamed({"g": "gx", "last": "lx", "low": "mx1", "high": "mx2"})
+    y = axis_regions(fields, by, "cy", "py", "h", "offset_y", tolerance=tolerance).withColumnsRenamed({"g": "gy", "last": "ly", "low": "my1", "high": "my2"})
     r = fields.join(x, [*by, "n"]).join(y, [*by, "n"]).join(tags, [*by, "n"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<int>")))
 
     def side(border: str, own: Column, outermost: Column, beyond: Column, *near: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from histoweave.operators import fit, selection
 from histoweave.operators import stats as A
 from histoweave.plans.registry import Tables, query
 
@@ -47,12 +48,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("ag-06", "SELECT l_linenumber AS layer, median(l_quantity) AS exposure FROM lineitem GROUP BY l_linenumber")
 def _(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy(C("l_linenumber").alias("layer")).agg(F.median("l_quantity").alias("exposure"))
+    return selection.medians(t.lineitem.select(C("l_linenumber").alias("layer"), "l_quantity"), ["layer"], "l_quantity", "exposure")
 
 
 @query("ag-07", "SELECT layer, coalesce(median(CASE WHEN v<>0 THEN v END), 0) AS threshold FROM pixels GROUP BY layer")
 def _(t: Tables) -> DataFrame:
-    return t.pixels.groupBy("layer").agg(F.coalesce(F.median(F.when(C("v") != 0, C("v"))), F.lit(0.0)).alias("threshold"))
+    return selection.medians(t.pixels.select("layer", F.when(C("v") != 0, C("v")).alias("v")), ["layer"], "v").select("layer", F.coalesce("median", F.lit(0.0)).alias("threshold"))
 
 
 @query("ag-08", "SELECT layer, v, count(*) AS n FROM pixels GROUP BY layer, v")
@@ -135,7 +136,9 @@ def _(t: Tables) -> DataFrame:
 
 @query("ag-24", "SELECT l_suppkey%9 AS batch, l_linenumber AS marker, round(avg(l_extendedprice), 4) AS mean, median(l_extendedprice) AS median FROM lineitem WHERE l_discount>0.02 GROUP BY 1, 2")
 def _(t: Tables) -> DataFrame:
-    return t.lineitem.where("l_discount > 0.02").groupBy((C("l_suppkey") % 9).alias("batch"), C("l_linenumber").alias("marker")).agg(_r(F.avg("l_extendedprice"), 4).alias("mean"), F.median("l_extendedprice").alias("median"))
+    rows = t.lineitem.where("l_discount > 0.02").select((C("l_suppkey") % 9).alias("batch"), C("l_linenumber").alias("marker"), "l_extendedprice")
+    mean = rows.groupBy("batch", "marker").agg(_r(F.avg("l_extendedprice"), 4).alias("mean"))
+    return mean.join(selection.medians(rows, ["batch", "marker"], "l_extendedprice"), ["batch", "marker"])
 
 
 @query("ag-25", """WITH b AS (SELECT l_linenumber AS marker, CAST(floor(ln(l_extendedprice+sqrt(l_extendedprice*l_extendedprice+1))*30) AS BIGINT) AS bin, count(*) AS n FROM lineitem GROUP BY 1, 2),
@@ -242,10 +245,35 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Every pixel as the median of its region, the bright or the dark part of its class of images."""
     region = t.pixels.withColumn("region", C("v") > 0)
-    median = region.groupBy("label", "layer", "region").agg(F.median("v").alias("median"))
+    median = selection.medians(region, ["label", "layer", "region"], "v")
     return region.join(median, ["label", "layer", "region"]).select("vec_id", "layer", "pixel", C("median").alias("v"))
 
 
+def _components(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Masked pixels (vec_id, pixel, i, x) of four layers, and the components that two batches of them give."""
+    rows = t.pixels.select("vec_id", "pixel", C("layer").alias("i"), C("v").cast("double").alias("x"), (C("pixel") % 5 != 0).alias("on"))
+    key = ["vec_id", "pixel"]
+    state = fit.pca_state(rows.where("on and vec_id % 3 = 0"), key)
+    return rows, fit.pca_components(fit.pca_state(rows.where("on and vec_id % 3 <> 0"), key, state), 2)
+
+
+@query("ag-34-sums", "SELECT a.layer AS i, b.layer AS j, CAST(count(*) AS BIGINT) AS n, sum(a.v)::DOUBLE AS si, sum(b.v)::DOUBLE AS sj, sum(a.v*b.v)::DOUBLE AS product FROM pixels a JOIN pixels b ON a.vec_id=b.vec_id AND a.pixel=b.pixel AND a.layer<=b.layer WHERE a.pixel%5<>0 GROUP BY ALL")
+def _(t: Tables) -> DataFrame:
+    """Sums of masked pixels by pairs of layers, of three batches one after another."""
+    rows = t.pixels.where("pixel % 5 <> 0").select("vec_id", "pixel", C("layer").alias("i"), C("v").cast("double").alias("x"))
+    state = None
+    for k in range(3):
+        state = fit.pca_state(rows.where(C("vec_id") % 3 == k), ["vec_id", "pixel"], state)
+    return state
+
+
+@query("im-22-pca")
+def _(t: Tables) -> DataFrame:
+    """Every pixel's place along the first two components of the masked ones."""
+    rows, components = _components(t)
+    return fit.pca_scores(rows, ["vec_id", "pixel"], components)
+
+
 _EXP = "CASE WHEN v>10 THEN greatest(0e0, least(65535e0, round_even(10+30e0/(20+layer)*(v-10), 0))) ELSE CAST(v AS DOUBLE) END"
 
 

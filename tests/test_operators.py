@@ -98,21 +98,21 @@ def test_filter_chain_names_first_or_all_reasons(spark):
     assert [r.reason for r in relational.filter_chain(df, checks, every=True).collect()] == ["", "a,b", "a"]
 
 
-def plain_stitch(places, pairs):
+def plain_stitch(places, pairs, overlap=1.0, jitter=1.0, scales=None, at_point=None):
     """The same fit as whitened rows of one least-squares problem."""
     n, rows, right = len(places), [], []
     at = {k: i for i, k in enumerate(places)}
     nominal = np.array(list(places.values()), float)
-    origin = nominal.min(0)
-    for p1, p2, dx, dy, cxx, cxy, cyy in pairs:
-        half = np.linalg.cholesky(np.linalg.inv([[cxx, cxy], [cxy, cyy]])).T
+    origin = nominal.min(0) if at_point is None else np.array(at_point)
+    for k, (p1, p2, dx, dy, cxx, cxy, cyy) in enumerate(pairs):
+        half = np.linalg.cholesky(np.linalg.inv([[cxx, cxy], [cxy, cyy]])).T / overlap * np.sqrt(scales[k] if scales else 1.0)
         m = np.zeros((2, 2 * n + 4))
         m[:, 2 * at[p1] : 2 * at[p1] + 2], m[:, 2 * at[p2] : 2 * at[p2] + 2] = half, -half
         rows.append(m)
         right.append(half @ (np.array([dx, dy]) + nominal[at[p1]] - nominal[at[p2]]))
     for axis, k in ((0, 4), (1, 6)):
         w = np.array([1 / p[k] for p in pairs])
-        sigma = np.sqrt((w * np.array([p[2 + axis] for p in pairs]) ** 2).sum() / w.sum())
+        sigma = np.sqrt((w * np.array([p[2 + axis] for p in pairs]) ** 2).sum() / w.sum()) * jitter
         for i in range(n):
             m = np.zeros((1, 2 * n + 4))
             m[0, 2 * i + axis] = 1 / sigma
@@ -146,6 +146,75 @@ def test_stitching_with_the_affine_grid(spark):
     assert (three.px, three.py) == (5.0, 6.0) and np.isnan(three.cov_xx)
 
 
+@pytest.mark.parametrize("fixed", ["origin", "center", (100.0, -30.0)])
+def test_stitching_with_weights_by_tag_and_another_fixed_point(spark, fixed):
+    rng = np.random.default_rng(29)
+    grid = {10 * x + y + 1: (535.0 * x, 400.0 * y) for x in range(3) for y in range(3)}
+    pairs = [(a, b, *rng.normal(0, 3, 2).tolist(), 0.5, 0.1, 0.8) for a in grid for b in grid if b < a and abs(grid[a][0] - grid[b][0]) < 600 and abs(grid[a][1] - grid[b][1]) < 450]
+    tags = [int(np.sign(grid[a][0] - grid[b][0]) + 3 * np.sign(grid[a][1] - grid[b][1]) + 5) for a, b, *_ in pairs]
+    rects = spark.createDataFrame([(1, k, *v) for k, v in grid.items()], "slide_id long, n long, cx double, cy double")
+    shifts = spark.createDataFrame([(1, *p, t, 0) for p, t in zip(pairs, tags)], "slide_id long, p1 long, p2 long, dx double, dy double, covxx double, covxy double, covyy double, tag int, exit int")
+    got = fit.stitch_affine(rects, shifts, scale_overlap=0.5, scale_jitter=3.0, scale_edges=2.0, scale_corners=0.25, fixed_point=fixed).toPandas().sort_values("n")
+    point = {"origin": None, "center": np.mean(list(grid.values()), 0)}.get(fixed, fixed) if isinstance(fixed, str) else fixed
+    m, r = plain_stitch(grid, pairs, 0.5, 3.0, [2.0 if t in (2, 4, 6, 8) else 0.25 for t in tags], point)
+    want, cov = np.linalg.lstsq(m, r, rcond=None)[0], np.linalg.inv(m.T @ m)
+    assert np.allclose(got[["px", "py"]].to_numpy().ravel(), want[:-4]) and np.allclose(got.cov_xx, np.diag(cov)[0:18:2]) and np.allclose(got[["txx", "txy", "tyx", "tyy"]].to_numpy()[0], want[-4:])
+
+
+def test_grid_lines_within_a_tolerance(spark):
+    fields = [(1, 1, 0.0), (1, 2, 0.4), (1, 3, 100.0), (1, 4, 100.3), (1, 5, 201.0), (2, 1, 5.0)]
+    df = spark.createDataFrame([(s, n, x, 10.0, 100.0, 95.0) for s, n, x in fields], "slide_id long, n long, cx double, w double, o double, at double").withColumn("px", F.col("cx"))
+    lines = lambda tolerance: {(r.slide_id, r.n): r.g for r in spatial.axis_regions(df, ["slide_id"], "cx", "px", "w", "o", tolerance=tolerance).collect()}
+    assert lines(0.5) == {(1, 1): 1, (1, 2): 1, (1, 3): 2, (1, 4): 2, (1, 5): 3, (2, 1): 1}
+    assert lines(0.0)[1, 5] == 5
+    chain = spark.createDataFrame([(1, n, 0.4 * n, 10.0, 100.0, 0.4 * n) for n in range(4)], "slide_id long, n long, cx double, w double, o double, px double")
+    with pytest.raises(Exception, match="off the grid"):
+        spatial.axis_regions(chain, ["slide_id"], "cx", "px", "w", "o", tolerance=0.5).collect()
+
+
+@pytest.mark.parametrize("few", [3, 10_000])
+def test_medians_match_the_plain_ones(spark, monkeypatch, few):
+    from histoweave.operators import selection
+
+    monkeypatch.setattr(selection, "FEW", few)
+    rng = random.Random(4)
+    rows = [(g, rng.choice([rng.random(), float(rng.randrange(4)), rng.expovariate(0.001), -1e300, 5e-324])) for g in (1, 2, None) for _ in range(rng.randrange(150, 400))]
+    rows += [(7, None), (8, 2.5), (9, 1.0), (9, 2.0), (9, None)] + [(10, 4.0)] * 50 + [(10, float(k)) for k in range(40)]
+    got = {r.g: r.m for r in selection.medians(spark.createDataFrame(rows, "g int, v double"), ["g"], "v", "m").collect()}
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).extend([] if v is None else [v])
+    assert got == {g: float(np.median(v)) if v else None for g, v in groups.items()}
+
+
+def test_a_median_of_a_million_distinct_values(spark):
+    from histoweave.operators import selection
+
+    df = spark.range(1_000_001).select(F.lit(1).alias("g"), (F.col("id") * 7919 % 1_000_003).cast("double").alias("v"))
+    assert selection.medians(df, ["g"], "v").first()["median"] == df.agg(F.expr("median(v)")).first()[0]
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_components_of_batches_are_those_of_all(spark, batches):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 5)) @ rng.normal(size=(5, 5)) + 30
+    on = rng.random(200) < 0.7
+    rows = spark.createDataFrame([(k, 10 * i, float(x[k, i])) for k in range(200) if on[k] for i in range(5)] + [(900, 0, None), (901, 10, float("nan"))], "k int, i int, x double")
+    state = None
+    for b in range(batches):
+        state = fit.pca_state(rows.where(F.col("k") % batches == b), ["k"], state)
+    values, vectors = np.linalg.eigh(np.cov(x[on].T, bias=True))
+    components = fit.pca_components(state, 3)
+    found = components.toPandas()
+    for c, g in found.groupby("component"):
+        v = vectors[:, -1 - c]
+        v = v * np.sign(v[np.abs(v).argmax()])
+        assert np.isclose(g.variance.iloc[0], values[-1 - c], rtol=1e-6) and np.allclose(g.sort_values("i").weight, v, atol=1e-6) and np.allclose(g.sort_values("i")["mean"], x[on].mean(0))
+    scores = fit.pca_scores(rows, ["k"], components).where("component = 0 and k < 900").toPandas().set_index("k").score
+    v = vectors[:, -1] * np.sign(vectors[np.abs(vectors[:, -1]).argmax(), -1])
+    assert np.allclose(scores[np.flatnonzero(on)], (x[on] - x[on].mean(0)) @ v)
+
+
 def test_fits_of_the_queries_against_numpy(spark):
     from histoweave.plans import QUERIES
     from histoweave.plans.registry import Tables
