@@ -242,3 +242,50 @@ def simplify(lines: DataFrame, by: list[str], order: str, tolerance: float, most
         now = cut(left.unionByName(right).drop("cut"))
     kept = now.where((F.col(order) == F.col("lo")) | (F.col(order) == F.col("hi")))
     return kept.select(*by, order, "x", "y").distinct()
+
+
+def smooth_errors(pixels: DataFrame, by: list[str], width: int, height: int, sigma: float) -> DataFrame:
+    """(by, x, y, v, error) of pixels(by, x, y, v, error): Gaussian smoothing, and the error of the sum if the pixels' errors are independent."""
+    taps, at = gaussian(sigma), [*by, "x", "y"]
+    squares = _squared(_squared(pixels.withColumn("v", F.col("error") * F.col("error")), by, "y", height, taps), by, "x", width, taps)
+    return smooth(pixels, by, width, height, sigma).join(squares.select(*at, F.sqrt("v").alias("error")), at)
+
+
+def _squared(squares: DataFrame, by: list[str], axis: str, size: int, taps: dict[int, float]) -> DataFrame:
+    """One pass of squared errors; a pixel that comes in several times, by mirroring, comes in with the square of its whole weight."""
+    other, whole = "y" if axis == "x" else "x", [dict[int, float]() for _ in range(size)]
+    for goal in range(size):
+        for o, w in taps.items():
+            m = (goal + o) % (2 * size)
+            source = m if m < size else 2 * size - 1 - m
+            whole[source][goal] = whole[source].get(goal, 0.0) + w
+    rows = F.array(*(F.array(*(F.struct(F.lit(g).alias("at"), F.lit(w * w).alias("w")) for g, w in sorted(goals.items()))) for goals in whole))
+    sent = squares.select(*by, other, "v", F.explode(F.element_at(rows, F.col(axis).cast("int") + 1)).alias("g"))
+    return sent.groupBy(*by, F.col("g.at").alias(axis), other).agg(F.sum(F.col("v") * F.col("g.w")).alias("v"))
+
+
+def size_filter(mask: DataFrame, by: list[str], width: int, height: int, least: int, values: tuple[int, ...] = (1, 0), diagonal: bool = True) -> DataFrame:
+    """A mask of 0 and 1, every pixel a row, without the connected regions of fewer than `least` pixels, first those of ones and then those of zeros; they take the other value."""
+    at = [*by, "x", "y"]
+    for value in values:
+        found = regions(mask.where(F.col("v") == value), by, width, height, diagonal)
+        small = found.groupBy(*by, "region").agg(F.count("*").alias("n")).where(F.col("n") < least)
+        turned = found.join(small, [*by, "region"], "left_semi").select(*at, F.lit(True).alias("small"))
+        mask = cut(mask.join(turned, at, "left").select(*at, F.when(F.col("small"), 1 - F.lit(value)).otherwise(F.col("v")).cast("int").alias("v")))
+    return mask
+
+
+def group_votes(layers: DataFrame, by: list[str], groups: dict[str, tuple[int, int]], nuclear: str, share: float = 0.6) -> DataFrame:
+    """(by, x, y, v): the tissue mask that layer masks (by, layer, x, y, v of 0 and 1) agree on, by groups of layers from a first to a last one.
+
+    A group sees tissue where all its layers but one at most are set, and background where
+    fewer than half are. What the nuclear group and another one see counts; elsewhere
+    a pixel is tissue if over `share` of all layers are set.
+    """
+    count = sum(b - a + 1 for a, b in groups.values())
+    sums = {name: F.sum(F.when(F.col("layer").between(a, b), F.col("v")).otherwise(0)) for name, (a, b) in groups.items()}
+    votes = layers.groupBy(*by, "x", "y").agg(*(s.alias(f"g{k}") for k, s in enumerate(sums.values())))
+    weigh = lambda test: sum((F.when(test(F.col(f"g{k}"), b - a + 1), 10 if name == nuclear else 1).otherwise(0) for k, (name, (a, b)) in enumerate(groups.items())), F.lit(0))
+    tissue, background = weigh(lambda g, n: g > n - 2) > 10, weigh(lambda g, n: g < n / 2) > 10
+    total = sum((F.col(f"g{k}") for k in range(len(groups))), F.lit(0))
+    return votes.select(*by, "x", "y", F.when(background, 0).when(tissue, 1).otherwise((total > share * count).cast("int")).alias("v"))

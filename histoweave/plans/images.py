@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from histoweave.operators import outlines, raster, stats
 from histoweave.plans.registry import Tables, query
-from histoweave.sources import slides, tiff
+from histoweave.sources import png, slides, tiff
 from histoweave.sources.written import new_path
 
 C = F.col
@@ -232,6 +232,59 @@ def _(t: Tables) -> DataFrame:
     return found.join(big, ["vec_id", "region"], "left_semi").select("vec_id", "x", "y")
 
 
+def _sized(source: str, name: str, value: int, least: int) -> str:
+    """Common tables that end in `name`: the mask `source` (vec_id, x, y, v) without its regions of `value` of fewer than `least` pixels."""
+    near = "a.vec_id=b.vec_id AND abs(a.x-b.x)<2 AND abs(a.y-b.y)<2"
+    return f"""{name}_r AS (SELECT vec_id, x, y, y*4+x AS c FROM {source} WHERE v={value} UNION SELECT b.vec_id, b.x, b.y, a.c FROM {name}_r a JOIN {source} b ON {near} WHERE b.v={value}),
+ {name}_l AS (SELECT vec_id, x, y, min(c) AS c FROM {name}_r GROUP BY ALL), {name}_s AS (SELECT vec_id, x, y FROM {name}_l JOIN (SELECT vec_id, c FROM {name}_l GROUP BY ALL HAVING count(*)<{least}) k USING (vec_id, c)),
+ {name} AS (SELECT m.vec_id, m.x, m.y, CASE WHEN s.x IS NULL THEN m.v ELSE 1-m.v END AS v FROM {source} m LEFT JOIN {name}_s s ON s.vec_id=m.vec_id AND s.x=m.x AND s.y=m.y)"""
+
+
+_GROUPS = """g AS (SELECT vec_id, x, y, count(*) FILTER (v>0 AND layer<2) AS a, count(*) FILTER (v>0 AND layer>=2) AS b FROM img GROUP BY vec_id, x, y),
+ t AS (SELECT vec_id, x, y, CASE WHEN a<1 AND b<1 THEN 0 WHEN a>0 AND b>0 THEN 1 ELSE CAST(a+b>2.4 AS INT) END AS v FROM g)"""
+
+
+@query("im-04-groups", f"WITH RECURSIVE {_GROUPS}, {_sized('t', 'one', 1, 3)}, {_sized('one', 'two', 0, 3)} SELECT vec_id, x, y, CAST(v AS INT) AS v FROM two")
+def _(t: Tables) -> DataFrame:
+    """The tissue mask of two groups of two layers, without islands or gaps of fewer than three pixels."""
+    masks = t.img.withColumn("v", (C("v") > 0).cast("int"))
+    votes = raster.group_votes(masks, ["vec_id"], {"nuclear": (0, 1), "other": (2, 3)}, "nuclear")
+    return raster.size_filter(votes, ["vec_id"], SIDE, SIDE, 3).select("vec_id", "x", "y", "v")
+
+
+@query("im-20-open", f"WITH RECURSIVE m0 AS (SELECT vec_id, 0 AS layer, x, y, CAST(count(*) FILTER (v>0)>=2 AS INT) AS v FROM img GROUP BY vec_id, x, y), m1 AS ({_near('m0', 'min')}), m2 AS ({_near('m1', 'max')}), m3 AS ({_near('m2', 'max')}), m4 AS ({_near('m3', 'min')}), {_sized('m4', 'o', 1, 5)} SELECT vec_id, x, y FROM o WHERE v=1")
+def _(t: Tables) -> DataFrame:
+    """A mask opened and closed, and then its regions of at least five pixels."""
+    mask = t.img.groupBy("vec_id", "x", "y").agg((F.count_if(C("v") > 0) >= 2).cast("int").alias("v"))
+    done = raster.open_close(mask, ["vec_id"], SIDE, SIDE)
+    return raster.size_filter(done, ["vec_id"], SIDE, SIDE, 5, values=(1,)).where("v = 1").select("vec_id", "x", "y")
+
+
+def _weights(axis: str) -> str:
+    """DuckDB text of the whole weight w with which a pixel at f comes into the one at t along an axis."""
+    return f"SELECT t, f, sum(w) AS w FROM (SELECT t, {_mirrored('t+k.o')} AS f, k.w FROM (SELECT unnest(generate_series(0, 3)) AS t) a, {_taps(raster.gaussian(1.0))}) z GROUP BY t, f"
+
+
+@query("im-03-errors", f"""WITH {_smooth('img', 's')}, w AS ({_weights('x')}), e AS (SELECT vec_id, layer, x, y, (abs(v)%7+1)::DOUBLE AS error FROM img),
+ q AS (SELECT e.vec_id, e.layer, wx.t AS x, wy.t AS y, sqrt(sum(error*error*wx.w*wx.w*wy.w*wy.w)) AS error FROM e JOIN w wx ON wx.f=e.x JOIN w wy ON wy.f=e.y GROUP BY ALL)
+ SELECT vec_id, layer, x, y, round(s.v, 6) AS v, round(q.error, 6) AS error FROM s JOIN q USING (vec_id, layer, x, y)""")
+def _(t: Tables) -> DataFrame:
+    """Smoothed images with the errors that their pixels' errors give."""
+    noisy = t.img.withColumn("error", (F.abs("v") % 7 + 1).cast("double"))
+    return raster.smooth_errors(noisy, BY, SIDE, SIDE, 1.0).select(*BY, "x", "y", _r(C("v")).alias("v"), _r(C("error")).alias("error"))
+
+
+@query("snk-06-png", f"SELECT vec_id::VARCHAR||'-'||layer||'.png' AS path, CAST(4 AS INT) AS width, CAST(4 AS INT) AS height, string_agg(CAST(least(65535, greatest(0, v)) AS VARCHAR), ' ' ORDER BY y, x) AS samples FROM img GROUP BY vec_id, layer")
+def _(t: Tables) -> DataFrame:
+    """Images written as PNG files of 16 bits and read back."""
+    samples = F.transform(F.sort_array(F.collect_list(F.struct("y", "x", "v"))), lambda p: p["v"])
+    name = F.concat_ws("", C("vec_id").cast("string"), F.lit("-"), C("layer").cast("string"), F.lit(".png"))
+    files = t.img.groupBy(*BY).agg(samples.alias("s")).select(name.alias("path"), png.write(F.lit(SIDE), C("s"), 16).alias("content"))
+    out = new_path(t.spark, "png")
+    files.write.parquet(out)
+    return png.read(t.spark.read.parquet(out)).select("path", "width", "height", F.array_join(C("samples").cast("array<string>"), " ").alias("samples"))
+
+
 @query("im-14-assembled", "WITH p AS (SELECT layer, (vec_id%20)*3+x AS x, CAST(floor(vec_id/20e0) AS BIGINT)*3+y AS y, vec_id, v FROM img), l AS (SELECT layer, x, y, v, row_number() OVER (PARTITION BY layer, x, y ORDER BY vec_id DESC) AS r FROM p) SELECT layer, x, y, CAST(least(255, greatest(0, v)) AS BIGINT) AS grey FROM l WHERE r=1")
 def _(t: Tables) -> DataFrame:
     """All images as fields of one slide, 20 in a row and overlapping by a pixel; the last field's pixel is seen, clipped to 8 bits."""
