@@ -5,8 +5,9 @@ of one of them, on diagonals that differ by at most k. Benchmark items are cut
 into overlapping passages; a document is searched for each passage in three steps
 that lose nothing: enough q-grams of any passage in a stretch of the text, enough
 of one passage in a band of diagonals, and a banded alignment within the budget.
-Any quote of PASSAGE + STRIDE - 1 characters holds a whole passage and is found with
-up to EDITS edits. Items of under SHORTEST characters, too short for the lemma, are
+Any quote of PASSAGE + STRIDE - 1 characters, 59, holds a whole passage and is found
+with up to EDITS edits there; one of 119 holds two that don't overlap, so up to
+2 * EDITS + 1 edits are found wherever they are. Items of under SHORTEST characters, too short for the lemma, are
 found as they are between other than letters and digits.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from histoweave.llm.common import cut
 
 #: Characters of a passage and between the starts of two, edits it may have, and characters of a q-gram.
-PASSAGE, STRIDE, EDITS, Q = 120, 40, 6, 12
+PASSAGE, STRIDE, EDITS, Q = 48, 12, 3, 10
 #: Items shorter than a passage are searched whole with edits in proportion, and shorter than this without edits.
 SHORTEST = 30
 #: Characters of benchmark text that one pass broadcasts; larger benchmarks take several passes, one after another.

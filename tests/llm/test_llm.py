@@ -452,6 +452,25 @@ def test_op6_leaks_are_those_of_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want and 5 < len(want) < 40
 
 
+def test_op6_recall_of_quotes_by_length_and_edits():
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 8)))
+    item = " ".join(word() for _ in range(60))
+    found = decontamination.Passages.of([(1, item)])
+    clean = " ".join(word() for _ in range(300))
+    holds = lambda quote: any(h[0] == 1 for h in decontamination.search(clean[:700] + quote + clean[700:], found))
+    assert not holds("")
+    sure = decontamination.PASSAGE + decontamination.STRIDE - 1
+    assert all(holds(item[a : a + sure]) for a in range(len(item) - sure + 1))
+    shorter = [holds(item[a : a + 50]) for a in range(len(item) - 50)]
+    assert sum(shorter) > len(shorter) / 10  # those that hold a passage, or one with its missing ends as edits
+    for a in range(0, len(item) - 120, 5):
+        quote = list(item[a : a + 120])
+        for k in rng.sample(range(120), 6):
+            quote[k] = rng.choice(["", "#", quote[k] + "#"])
+        assert holds("".join(quote))
+
+
 def edit_distance_infix(p, t):
     cost = [0] * (len(t) + 1)
     for i in range(1, len(p) + 1):
