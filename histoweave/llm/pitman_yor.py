@@ -11,9 +11,9 @@ model spreads its mass over the same V + 1 events.
 
 Words are dealt to places by their hash, frequent ones to several places by their
 context, so that a word's tables in all restaurants of its line lie together. A
-sweep goes through all restaurants: the customers of a dish leave, and are seated
-again one after another given the current tables of all others and the current
-probabilities of the parent. What places share is small: after every sweep the
+sweep goes through all restaurants: the customers of a dish leave, and its number of
+tables is drawn anew from its distribution given the current tables of all others and
+the current probabilities of the parent. What places share is small: after every sweep the
 tables of each context are summed over the places by Spark, and those of the
 classes and of split words on the driver, whose number is bounded by parameters.
 
@@ -33,14 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histoweave.llm.common import cut, fold
+from histoweave.llm.seating import draw_tables
 from histoweave.llm.words import mix, spans, text_bytes
 from histoweave.sources.written import discard
 
 CLASSES = 32
 BURN_IN, SAMPLES = 2, 4
 STRENGTH = 0.5
-#: Seatings drawn for a dish, of which one is kept by its importance weight.
-TRIES = 4
 #: Dishes are seated again in so many blocks, between which all totals of a place are brought up to date.
 BLOCKS = 4
 #: Tokens of a place, and text bytes that are counted together before they are dealt to places.
@@ -307,39 +306,6 @@ def _sum_tables(place: int, found: dict) -> list[tuple]:
     return [(o, "tu", place, 0, put(total[i])) for o, i in zip(origins, index)]
 
 
-def reseat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, theta: float, rng: np.random.Generator, tries: int = TRIES) -> np.ndarray:
-    """Tables of dishes with c customers seated one after another, beside `others` tables and with the parents' probabilities.
-
-    Where n sit, the next n // 8, one at least, are seated together. Of `tries`
-    seatings one is kept with its importance weight, which corrects for seating a
-    customer without knowing that later ones will eat the same.
-    """
-    t = np.minimum(c, 1)
-    order = np.argsort(-c, kind="stable")
-    order = order[: int((c > 1).sum())]
-    if not len(order):
-        return t
-    high = c[order]
-    a, b = ((theta + d * others[order]) * parent[order])[:, None], (d * parent[order])[:, None]
-    seats, weight = np.ones((len(order), tries), np.int64), np.zeros((len(order), tries))
-    n = 1
-    while True:
-        k = int(np.searchsorted(-high, -n, "left"))  # dishes with more than n customers
-        if not k:
-            break
-        step = max(n // 8, 1)
-        new = a[:k] + b[:k] * seats[:k]
-        sure = new + (n - d * seats[:k])
-        size = np.minimum(step, high[:k] - n)[:, None]
-        weight[:k] += size * np.log(sure + (size - 1) / 2)
-        seats[:k] += rng.random((k, tries)) < new / sure if step == 1 else rng.binomial(size, new / sure)
-        n += step
-    share = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
-    kept = (share < rng.random(len(order))[:, None] * share[:, -1:]).sum(1)
-    t[order] = seats[np.arange(len(order)), np.minimum(kept, tries - 1)]
-    return t
-
-
 class State:
     """Seating of a place, with the totals that it shares with others."""
 
@@ -393,7 +359,7 @@ class State:
             i = todo[block::BLOCKS]
             k, r, t = self.kind[i], self.root[i], self.up[i]
             base = self.p_root(self.rc[r] - t + 1, self.roots)
-            new = reseat(self.pc[i], self.tables[k] - t, base, self.d[1], self.theta, rng)
+            new = draw_tables(self.pc[i], self.tables[k] - t, base, self.d[1], self.theta, rng)
             self.up[i] = new
             np.add.at(self.rc, r, new - t)
             self.roots += int((new - t).sum())
@@ -405,7 +371,7 @@ class State:
             line, u, t = self.line[i], self.at[i], self.t[i]
             pc = self.pc[line] - t + 1  # the first customer's table is there in any case
             parent = self.p_line(line, pc, np.minimum(self.up[line], pc))
-            new = reseat(self.c[i], self.tu[u] - t, parent, self.d[2], self.theta, rng)
+            new = draw_tables(self.c[i], self.tu[u] - t, parent, self.d[2], self.theta, rng)
             self.t[i] = new
             np.add.at(self.pc, line, new - t)
             np.add.at(self.tu, u, new - t)
@@ -514,7 +480,7 @@ def _together(n: dict, tables: dict[int, int] | None, d: list[float], theta: flo
         every = totals["tables"] + np.bincount(kind, t, CLASSES).astype(np.int64)
         rc = np.bincount(at, t)
         base = np.maximum(rc[at] - t + 1 - d[0], 1 - d[0]) / (theta + every.sum())
-        new = reseat(c, (every[kind] - t).astype(np.float64), base, d[1], theta, rng)
+        new = draw_tables(c, (every[kind] - t).astype(np.float64), base, d[1], theta, rng)
         lines = {k: (int(a), int(b)) for k, a, b in zip(keys.tolist(), c, new)}
     words: dict[int, int] = {}
     for k, (c, t) in lines.items():

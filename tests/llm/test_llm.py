@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from histoweave.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, queries, secret_ledger, tiff, toxicity
+from histoweave.llm import chat_format, decontamination, language_id, license_scan, minhash_dedup, packing, pitman_yor, queries, seating, secret_ledger, tiff, toxicity
 from histoweave.llm.common import fold
 from histoweave.llm.words import shingle_set, spans, text_bytes
 
@@ -330,27 +330,39 @@ def test_op4_probabilities_of_a_context_sum_to_one():
     assert (state.t >= (state.c > 0)).all() and (state.t <= state.c).all() and (state.up <= np.maximum(state.pc, state.up)).all()
 
 
-def stirling(d, most):
-    out = np.zeros((most + 1, most + 1))
-    out[0, 0] = 1
-    for n in range(most):
-        for m in range(1, n + 2):
-            out[n + 1, m] = out[n, m - 1] + (n - m * d) * out[n, m]
-    return out
+def log_weights(d, theta, others, parent, c):
+    """Of 1 to c tables, by the recursion over customers."""
+    row = np.full(c + 1, -np.inf)
+    row[0] = 0
+    for n in range(c):
+        t = np.arange(1, c + 1)
+        left = np.log(np.maximum(n - d * t, 1e-300)) + row[1:]
+        row = np.concatenate(([-np.inf], np.logaddexp(row[:-1], np.where(n - d * t > 0, left, -np.inf))))
+    m = np.arange(1, c + 1)
+    return row[1:] + np.cumsum(np.log((theta + d * (others + m - 1)) * parent))
+
+
+@pytest.mark.parametrize("c", [2, 3, 14, 40, 100, 1000, 1500, 4000])
+def test_op4_seatings_follow_their_exact_distribution(c):
+    theta, n = pitman_yor.STRENGTH, 40_000 if c <= 1024 else 4_000
+    for d, others, parent in ((0.6, 3.0, 0.15), (0.3, 200.0, 0.01), (0.85, 40.0, 0.001)):
+        exact = log_weights(d, theta, others, parent, c)
+        exact = np.exp(exact - exact.max())
+        exact /= exact.sum()
+        t = seating.draw_tables(np.full(n, c), np.full(n, others), np.full(n, parent), d, theta, np.random.default_rng(c))
+        found = np.bincount(t, minlength=c + 1)[1:] / n
+        noise = np.sqrt(exact * (1 - exact) / n).sum() / 2
+        assert np.abs(found - exact).sum() / 2 < 2 * noise + 0.002, (c, d)
+        m = np.arange(1, c + 1)
+        spread = np.sqrt((exact * m * m).sum() - (exact * m).sum() ** 2)
+        assert abs(t.mean() - (exact * m).sum()) < 5 * spread / np.sqrt(n)
 
 
-def test_op4_seatings_follow_their_exact_distribution():
-    d, theta, others, parent = 0.6, 0.5, 3.0, 0.15
-    s = stirling(d, 14)
-    for c in (2, 3, 6, 14):
-        m = np.arange(1, c + 1)
-        exact = s[c, 1 : c + 1] * np.cumprod(theta + d * (others + m - 1)) * parent**m
-        exact /= exact.sum()
-        t = pitman_yor.reseat(np.full(40_000, c), np.full(40_000, others), np.full(40_000, parent), d, theta, np.random.default_rng(c), tries=32)
-        found = np.bincount(t, minlength=c + 1)[1:] / len(t)
-        assert np.abs(found - exact).max() < 0.015, (c, found, exact)
-    big = pitman_yor.reseat(np.array([0, 1, 10**6]), np.full(3, 1000.0), np.full(3, 0.1), d, theta, np.random.default_rng(0))
-    assert big[0] == 0 and big[1] == 1 and 1 < big[2] < 10**5
+def test_op4_seatings_of_mixed_sizes():
+    c = np.array([0, 1, 10**6, 2, 5000, 1, 700])
+    t = seating.draw_tables(c, np.full(7, 1000.0), np.full(7, 0.1), 0.6, 0.5, np.random.default_rng(0))
+    assert t[0] == 0 and t[1] == t[5] == 1 and 1 < t[2] < 10**5 and (t <= c).all() and (t[c > 0] > 0).all()
+    assert len(seating.draw_tables(c[:0], c[:0], c[:0], 0.6, 0.5, np.random.default_rng(0))) == 0
 
 
 def test_op4_arrays_and_places():
