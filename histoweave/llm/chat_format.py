@@ -35,7 +35,8 @@ RELABEL, MERGE, INSERT = 2, 1, 2
 CLOSING = {START: (), SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,), ASSISTANT: ()}
 #: What begins a mark, and what stands for it inside a text.
 ESCAPE = ("<|", "<\\|")
-PART_ROWS = 50_000
+#: Rows of a part, and bytes of text; a part is dealt with as one group of rows.
+PART_ROWS, PART_BYTES = 50_000, 64 << 20
 #: Pieces of one conversation that are joined in one task.
 FAN = 1_000
 _FAR = 10**15
@@ -183,7 +184,7 @@ def resolve(borders: DataFrame, fan: int = FAN) -> DataFrame:
 OUT = "part int, pos long, conv string, turn long, source_role string, role string, action string, inserted string, cost int, rendered string"
 
 
-def format_chats(turns: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def format_chats(turns: DataFrame, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per row of turns(conv_id, turn, role, text), with its repair and what it adds to the conversation.
 
     In order of part and pos the `rendered` of a conversation are its formatted
@@ -194,12 +195,14 @@ def format_chats(turns: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     repairs keeping goes before merging, relabelling and inserting, turn by turn
     from the end. The start of a mark in a text is escaped.
     `inserted` names the empty turns put before, and after a last turn. Other
-    columns are ignored.
+    columns are ignored. There are so many parts that one has `part_rows` rows and
+    `part_bytes` bytes of text on average; a text longer than that is still one row.
     """
     kind = turns.schema["conv_id"].dataType
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("conv", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
-    parts = max(1, -(-rows.count() // part_rows))
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // part_rows), -(-size // part_bytes))
     keys = ["conv", "turn", "role", F.xxhash64("text"), "text", "tie"]
     rows = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     rows = cut(rows.select(F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("pos"), "conv", "turn", "role", "text"))

@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -243,6 +245,16 @@ def merged(hits: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, i
     return [(i, s, e, d, len(p)) for i, s, e, d, p in out]
 
 
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[Broadcast[Passages], bool]]:
+    """Broadcast passages of benchmark(item_id, text) in blocks, and whether a block is the last one."""
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // (block_chars // 2)))
+    for b in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield benchmark.sparkSession.sparkContext.broadcast(Passages.of([(r["item_id"], r["text"]) for r in block.collect()])), b == blocks - 1
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, start, end, edits and passages of every benchmark stretch in docs(doc_id, text).
 
@@ -255,14 +267,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
     equal or null ids. Other columns are ignored. Places are code points of the
     text, end exclusive.
     """
-    spark = docs.sparkSession
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // (block_chars // 2)))
     out = None
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast(Passages.of([(r["item_id"], r["text"]) for r in block.collect()]))
+    for shared, last in _blocks(benchmark, block_chars):
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for pdf in batches:
@@ -271,8 +277,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS)
                 yield found.astype({"doc_id": "Int64"})
 
         part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, item_id long, start long, end long, edits long, passages long")
-        if blocks > 1:
+        if not last or out is not None:
             part = cut(part)
             shared.destroy()
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs, with all columns, whose `text` holds no benchmark stretch; each row is judged by itself where it is read.
+
+    Columns may have any names and types, ids may be null or repeated, and null texts
+    stay. Blocks of the benchmark are as in `leaks`.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    out = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    at = docs.columns.index("text")
+    for shared, last in _blocks(benchmark, block_chars):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array([not search(t.as_py(), shared.value) for t in batch.column(at)], pa.bool_()))
+
+        out = out.mapInArrow(run, out.schema)
+        if not last:
+            out = cut(out)
+            shared.destroy()
+    return out.select(*(F.col(n).alias(c) for c, n in names.items()))

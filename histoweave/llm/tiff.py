@@ -293,13 +293,30 @@ def read(data: bytes) -> Iterator[tuple[np.ndarray, dict[int, tuple]]]:
 PAGE = "page int, width int, height int, samples int, compression string, predictor int, layout string, mean double, low int, high int, pixels binary, error string"
 
 
+def _page_rows(data: bytes) -> Iterator[tuple]:
+    n = 0
+    try:
+        for a, f in read(data):
+            yield n, a.shape[1], a.shape[0], a.shape[2], NAMES[f.get(259, (NONE,))[0]], f.get(317, (1,))[0], "tiles" if 324 in f else "strips", float(a.mean()) if a.size else None, int(a.min()) if a.size else None, int(a.max()) if a.size else None, a.tobytes(), None
+            n += 1
+    except (BadTiff, struct.error, zlib.error, OverflowError) as e:
+        yield n, *[None] * 10, str(e)
+
+
+def _page_frame(key, row: tuple, names: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame([row], columns=names).astype({c: "Int64" for c in ("width", "height", "samples", "predictor", "low", "high")})
+    out.insert(0, "key", key)
+    return out
+
+
 def pages(media: DataFrame, key: str, content: str) -> DataFrame:
     """One row per page of a binary TIFF column, after the key.
 
     A null content gives no row; broken files give the pages before the fault and
     then one row with `error` set and the other fields null. Pages without pixels,
     of more than PAGE_BYTES, or with too few strips or tiles are faults; surplus
-    strips are ignored. Rows with null or equal keys are read each.
+    strips are ignored. Rows with null or equal keys are read each. A task holds one page
+    at a time, besides its file.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -308,16 +325,7 @@ def pages(media: DataFrame, key: str, content: str) -> DataFrame:
             for k, data in zip(pdf["key"], pdf["content"]):
                 if data is None:
                     continue
-                rows, n = [], 0
-                try:
-                    for a, f in read(bytes(data)):
-                        rows.append((n, a.shape[1], a.shape[0], a.shape[2], NAMES[f.get(259, (NONE,))[0]], f.get(317, (1,))[0], "tiles" if 324 in f else "strips", float(a.mean()) if a.size else None, int(a.min()) if a.size else None, int(a.max()) if a.size else None, a.tobytes(), None))
-                        n += 1
-                except (BadTiff, struct.error, zlib.error, OverflowError) as e:
-                    rows.append((n, *[None] * 10, str(e)))
-                out = pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("width", "height", "samples", "predictor", "low", "high")})
-                out.insert(0, "key", k)
-                yield out
+                yield from (_page_frame(k, row, names) for row in _page_rows(bytes(data)))
 
     return media.select(F.col(key).alias("key"), F.col(content).cast("binary").alias("content")).mapInPandas(run, f"key {media.schema[key].dataType.simpleString()}, {PAGE}")
 

@@ -464,6 +464,21 @@ def test_op6_leaks_are_those_of_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want and 5 < len(want) < 40
 
 
+def test_op6_rows_without_leaks_are_those_that_leaks_does_not_name(spark):
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghi") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    items = [(i, text(30)) for i in range(9)] + [(None, None)]
+    docs = [(i, text(40) + (items[i % 9][1][20:110] if i % 3 == 0 else "")) for i in range(40)]
+    docs += [(None, docs[0][1]), (None, docs[1][1]), (1, docs[3][1]), (50, None), (51, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = spark.createDataFrame([(*r, k, "q") for k, r in enumerate(docs)], "doc_id long, text string, c0 int, start string")
+    for chars in (10**6, 400):
+        named = {r.doc_id for r in decontamination.leaks(rows.select(F.col("c0").alias("doc_id"), "text"), bench, chars).collect()}
+        kept = decontamination.without_leaks(rows, bench, chars)
+        assert kept.columns == rows.columns and {r.c0 for r in kept.collect()} == set(range(len(docs))) - named and len(named) == 16
+        assert decontamination.without_leaks(rows.where("false"), bench, chars).count() == 0
+
+
 def test_op6_recall_of_quotes_by_length_and_edits():
     rng = random.Random(19)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 8)))
