@@ -47,11 +47,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark passage within the edit budget; equal texts go together, so rows are known by their text's hash."""
-    row = own_column(docs)
-    texts = docs.withColumn(row, F.xxhash64(F.col("text").cast("string")))
-    leaked = decontamination.leaks(texts.select(F.col(row).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(row)).distinct()
-    return texts.join(leaked, row, "left_anti").select(*docs.columns)
+    """Drop documents that hold a benchmark passage within the edit budget; each row is judged where it is read."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
