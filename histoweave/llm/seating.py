@@ -17,6 +17,10 @@ import numpy as np
 
 #: Customers up to which the numbers are tabled, and weights that are held at once.
 TABLED, CELLS = 1024, 1 << 20
+#: Customers up to which weights are products instead of sums of logarithms.
+SMALL = 32
+#: Weights of a larger dish that are made at first, and the logarithm, below the largest one's, from which they are negligible.
+FIRST, NEGLIGIBLE = 48, -40.0
 #: Seatings of a larger dish, of which one is kept, and the share of its customers that are seated together.
 TRIES, STEP = 64, 1 / 64
 
@@ -33,16 +37,52 @@ def log_stirling(d: float, most: int = TABLED) -> np.ndarray:
     return out
 
 
+@functools.lru_cache(maxsize=8)
+def scaled(d: float) -> np.ndarray:
+    """S(c, t) / (c - 1)! for c and t up to SMALL, by t and c."""
+    falling = np.concatenate(([0.0, 0.0], np.cumsum(np.log(np.arange(1, SMALL)))))
+    return np.ascontiguousarray(np.exp(log_stirling(d)[: SMALL + 1, : SMALL + 1] - falling[:, None]).T)
+
+
+@functools.lru_cache(maxsize=8)
+def _by_tables(d: float) -> np.ndarray:
+    return np.ascontiguousarray(log_stirling(d).T)
+
+
+def _drawn(share: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A number of tables for each column of weights."""
+    np.cumsum(share, axis=0, out=share)
+    return 1 + (share < rng.random(share.shape[1]) * share[-1]).sum(0).clip(max=len(share) - 1)
+
+
 def _few(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, theta: float, rng: np.random.Generator) -> np.ndarray:
-    table, out, at = log_stirling(d), np.empty(len(c), np.int64), 0
-    while at < len(c):  # in descending order of c
+    """Dishes in descending order of c; a column of weights each.
+
+    Weights rise to one maximum and fall, so of a larger dish only the first FIRST are
+    made, and more if the last of them isn't negligible yet.
+    """
+    out, first, more = np.empty(len(c), np.int64), (theta + d * others) * parent, d * parent
+    at = large = int(np.searchsorted(-c, -SMALL, "left"))
+    while at < len(c):
         wide = int(c[at])
-        to = min(len(c), at + max(1, CELLS // wide))
-        steps = np.arange(wide)
-        weight = np.cumsum(np.log((theta + d * (others[at:to, None] + steps)) * parent[at:to, None]), axis=1) + table[c[at:to], 1 : wide + 1]
-        share = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
-        out[at:to] = 1 + (share < rng.random(to - at)[:, None] * share[:, -1:]).sum(1).clip(max=wide - 1)
+        to = min(at + CELLS // wide, int(np.searchsorted(-c, -(wide // 2), "left")))  # so that columns are not much longer than they need to be
+        share = np.cumprod(first[at:to] + more[at:to] * np.arange(wide)[:, None], axis=0)
+        share *= scaled(d)[1 : wide + 1, c[at:to]]
+        out[at:to] = _drawn(share, rng)
         at = to
+    todo, wide = np.arange(large), FIRST
+    while len(todo):
+        left = []
+        for lo in range(0, len(todo), CELLS // wide):
+            i = todo[lo : lo + CELLS // wide]
+            w = min(wide, int(c[i[0]]))
+            share = np.cumsum(np.log(first[i] + more[i] * np.arange(w)[:, None]), axis=0)
+            share += _by_tables(d)[1 : w + 1, c[i]]
+            share -= share.max(0)
+            whole = (c[i] <= w) | (share[-1] < NEGLIGIBLE)
+            left.append(i[~whole])
+            out[i[whole]] = _drawn(np.exp(share[:, whole]), rng)
+        todo, wide = np.concatenate(left), 4 * wide
     return out
 
 
