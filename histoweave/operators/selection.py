@@ -24,8 +24,10 @@ def medians(df: DataFrame, by: list[str], value: str, name: str = "median") -> D
     counted = cut(keyed.groupBy("g", "v").agg(F.count("v").alias("n")))
     total = counted.groupBy("g").agg(F.sum("n").alias("total"))
     now = counted.where("v is not null").join(total, "g")
-    now = cut(now.select("g", "v", "n", F.floor((C("total") + 1) / 2).alias("first"), (F.floor(C("total") / 2) + 1).alias("last")))
-    while True:
+    now = now.select("g", "v", "n", F.floor((C("total") + 1) / 2).alias("first"), (F.floor(C("total") / 2) + 1).alias("last"))
+    most = counted.where("v is not null").groupBy("g").count().agg(F.max("count")).first()[0] or 0
+    now = cut(now) if most > FEW else now
+    while most > FEW:
         large = cut(now.groupBy("g").agg(F.count("*").alias("k"), F.percentile_approx("v", [i / PARTS for i in range(1, PARTS)], 1000).alias("at")).where(C("k") > FEW))
         if large.isEmpty():
             discard(large)
