@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from histoweave.operators.relational import merged
 from histoweave.sources.written import cut, discard
 
 #: A node with more edges than this, and than this share of them, is looked up in a broadcast; so that has at most 1 / SHARE rows.
@@ -26,12 +27,12 @@ def _looked_up(edges: DataFrame, key: str, least: DataFrame, n: int) -> DataFram
     """
     most = max(DEGREE, int(n * SHARE))
     hubs = edges.groupBy(F.col(key).alias("node")).agg(F.count("*").alias("d")).where(F.col("d") > most).select("node")
-    found = [(r["node"], r["m"]) for r in hubs.join(least, "node", "left").collect()]  # at most 1 / SHARE rows
+    found = [(r["node"], r["m"]) for r in hubs.join(merged(least), "node", "left").collect()]  # at most 1 / SHARE rows
     least = least.withColumnRenamed("node", key)
     if not found:
-        return edges.join(least, key, "left")
+        return edges.join(merged(least), key, "left")
     of_hubs = F.broadcast(edges.sparkSession.createDataFrame(found, "node long, hub_m long").withColumnRenamed("node", key))
-    far = edges.join(of_hubs.select(key), key, "left_anti").join(least, key, "left")
+    far = edges.join(of_hubs.select(key), key, "left_anti").join(merged(least), key, "left")
     return far.unionByName(edges.join(of_hubs, key).withColumnRenamed("hub_m", "m"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histoweave.operators.relational import merged
 from histoweave.sources.written import cut, discard
 
 #: Overlap, as a share of the distance between fields, up to which a border is moved; islands of at most two fields allow more.
@@ -24,14 +25,14 @@ def region_overlaps(regions: DataFrame, by: str = "slide_id") -> DataFrame:
     """
     size = regions.groupBy(by).agg(F.max(C("mx2") - C("mx1")).alias("cw"), F.max(C("my2") - C("my1")).alias("ch"))
     island = regions.groupBy(by, "island").agg(F.count("*").alias("fields"), F.min("mx1").alias("left"))
-    r = regions.where(~C("orphan") & (C("mx2") > C("mx1")) & (C("my2") > C("my1"))).join(size, by).join(island, [by, "island"])
+    r = regions.where(~C("orphan") & (C("mx2") > C("mx1")) & (C("my2") > C("my1"))).join(size, by).join(merged(island), [by, "island"])
     cells = lambda low, high, size: F.explode(F.sequence(F.floor(C(low) / C(size)), F.floor(C(high) / C(size))))
     r = r.withColumn("gx", cells("mx1", "mx2", "cw")).withColumn("gy", cells("my1", "my2", "ch"))
     row = F.struct("island", "n", "mx1", "mx2", "my1", "my2", "fields", "left")
     a, b = r.select(by, "gx", "gy", "cw", "ch", row.alias("a")), r.select(by, "gx", "gy", row.alias("b"))
     first = lambda c, size: F.floor(F.greatest(C(f"a.{c}1"), C(f"b.{c}1")) / C(size))
     shared = lambda c: F.least(C(f"a.{c}2"), C(f"b.{c}2")) - F.greatest(C(f"a.{c}1"), C(f"b.{c}1")) > TOLERANCE * F.abs("a.left")
-    pairs = a.join(b, [by, "gx", "gy"]).where((C("a.island") < C("b.island")) & shared("mx") & shared("my"))
+    pairs = a.join(merged(b), [by, "gx", "gy"]).where((C("a.island") < C("b.island")) & shared("mx") & shared("my"))
     return pairs.where((C("gx") == first("mx", "cw")) & (C("gy") == first("my", "ch"))).select(by, "a", "b")
 
 
@@ -92,9 +93,9 @@ def resolve(regions: DataFrame, by: str = "slide_id", most: int = 100) -> DataFr
         first = both.select(by, "p", F.explode(F.array("p.i", "p.j")).alias("island")).groupBy(by, "island").agg(F.min("p").alias("p"))
         chosen = first.groupBy(by, "p").agg(F.count("*").alias("k")).where("k = 2").select(by, "p")
         offsets = now.groupBy(by).agg(F.max("offset_x").alias("offset_x"), F.max("offset_y").alias("offset_y"))
-        turn = pairs.withColumn("p", key).join(chosen, [by, "p"], "left_semi").join(offsets, by)
+        turn = pairs.withColumn("p", key).join(merged(chosen), [by, "p"], "left_semi").join(offsets, by)
         to = _moves(turn, by).groupBy(by, "n").agg(*(F.max(F.when(C("border") == s, C("at"))).alias(f"_{s}") if s[-1] == "1" else F.min(F.when(C("border") == s, C("at"))).alias(f"_{s}") for s in sides))
-        moved = now.join(to, [by, "n"], "left").withColumns({s: F.coalesce(f"_{s}", s) for s in sides})
+        moved = now.join(merged(to), [by, "n"], "left").withColumns({s: F.coalesce(f"_{s}", s) for s in sides})
         moved = moved.withColumns({f"m{a}2": F.greatest(f"m{a}1", f"m{a}2") for a in "xy"})
         new = cut(moved.select(*now.columns))
         discard(pairs)

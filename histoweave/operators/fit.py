@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histoweave.operators.relational import merged
+
 
 def stitch(rects: DataFrame, shifts: DataFrame, tie: float = 1e-4) -> DataFrame:
     """(slide_id, n, px, py): positions that fit the measured shifts between overlapping fields best.
@@ -71,7 +73,7 @@ def stitch_affine(
     edge = F.col("tag").isin(*EDGES) if scale_edges != scale_corners else F.lit(True)
     good = shifts.where("exit = 0").select("slide_id", "p1", "p2", "dx", "dy", "covxx", "covxy", "covyy", F.when(edge, scale_edges).otherwise(scale_corners).alias("scale"))
     back = good.where("p2 < p1").select("slide_id", F.col("p2").alias("p1"), F.col("p1").alias("p2"))
-    once = good.where("p2 < p1").unionByName(good.where("p2 > p1").join(back, ["slide_id", "p1", "p2"], "left_anti"))
+    once = good.where("p2 < p1").unionByName(good.where("p2 > p1").join(merged(back), ["slide_id", "p1", "p2"], "left_anti"))
 
     def solve(places: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
         places = places.sort_values("n")
@@ -193,7 +195,7 @@ def refit_without_outliers(df: DataFrame, by: str, y: str, terms: dict[str, F.Co
         fit = least_squares(now, by, y, terms)
         wide = cut(fit.groupBy(by).pivot("term", list(terms)).agg(F.first("value")).withColumnsRenamed({n: f"_{n}" for n in terms}))
         pull = F.abs(F.col(y) - sum((F.col(f"_{n}") * c for n, c in terms.items()), F.lit(0.0))) / F.col(sigma)
-        kept = cut(now.join(wide, by).where(pull <= cutoff).select(*df.columns))
+        kept = cut(now.join(merged(wide), by).where(pull <= cutoff).select(*df.columns))
         if kept.count() == now.count():
             break
         now = kept

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histoweave.operators.components import components
+from histoweave.operators.relational import merged
 
 
 def _node(slide: str, n: str, most: int) -> Column:
@@ -33,7 +34,7 @@ def sized_islands(found: DataFrame, least: int, fallback: int) -> DataFrame:
     sizes = island_sizes(found)
     best = sizes.groupBy("slide_id").agg(F.max("members").alias("m"))
     cut = F.when(F.col("m") >= least, least).when(F.col("m") >= fallback, fallback).otherwise(1)
-    return sizes.join(best, "slide_id").where(F.col("members") >= cut).select("slide_id", "island", "members")
+    return sizes.join(merged(best), "slide_id").where(F.col("members") >= cut).select("slide_id", "island", "members")
 
 
 def neighbours_by_tag(overlaps: DataFrame) -> DataFrame:
@@ -43,9 +44,9 @@ def neighbours_by_tag(overlaps: DataFrame) -> DataFrame:
 
 def propagate_flags(flagged: DataFrame, edges: DataFrame, share: float = 0.5) -> DataFrame:
     """One step: a field is flagged if it was, or if over `share` of its neighbours are; flagged(slide_id, n, flag)."""
-    near = edges.select("slide_id", F.col("p1").alias("n"), F.col("p2").alias("m")).join(flagged.select("slide_id", F.col("n").alias("m"), F.col("flag").alias("f")), ["slide_id", "m"])
+    near = edges.select("slide_id", F.col("p1").alias("n"), F.col("p2").alias("m")).join(merged(flagged.select("slide_id", F.col("n").alias("m"), F.col("flag").alias("f"))), ["slide_id", "m"])
     part = near.groupBy("slide_id", "n").agg(F.avg("f").alias("share"))
-    return flagged.join(part, ["slide_id", "n"], "left").select("slide_id", "n", F.when((F.col("flag") == 1) | (F.coalesce("share", F.lit(0.0)) > share), 1).otherwise(0).alias("flag"))
+    return flagged.join(merged(part), ["slide_id", "n"], "left").select("slide_id", "n", F.when((F.col("flag") == 1) | (F.coalesce("share", F.lit(0.0)) > share), 1).otherwise(0).alias("flag"))
 
 
 def flag_closure(flagged: DataFrame, edges: DataFrame, share: float = 0.5, most: int = 100) -> DataFrame:

@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """The table as a side of a join that grows with the input: it is sorted and merged, never broadcast.
+
+    Sizes are planned from compressed files and before rows are repeated, so a table
+    that is planned at a few MB can fill the driver.
+    """
+    return df.hint("merge")
+
+
 def filter_chain(df: DataFrame, checks: list[tuple[str, Column]], every: bool = False) -> DataFrame:
     """Adds `reason`: the first check that fails, or all of them, comma-separated; empty if none does. Null counts as failed."""
     failed = [(name, ~F.coalesce(ok, F.lit(False))) for name, ok in checks]
@@ -20,7 +29,7 @@ def filter_chain(df: DataFrame, checks: list[tuple[str, Column]], every: bool =
 def fill_from(left: DataFrame, right: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
     """Left rows with null columns filled from the matching right row."""
     other = right.select(*on, *[F.col(c).alias(f"_{c}") for c in columns])
-    out = left.join(other, on, "left")
+    out = left.join(merged(other), on, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in columns else F.col(c) for c in left.columns])
 
 
@@ -28,7 +37,7 @@ def inner_merge(*tables: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in all tables; a key that one lacks goes."""
     out = tables[0]
     for t in tables[1:]:
-        out = out.join(t, on)
+        out = out.join(merged(t), on)
     return out
 
 
@@ -39,7 +48,7 @@ def side_indicator(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def coalesce_queues(main: DataFrame, local: DataFrame, on: list[str]) -> DataFrame:
     """Main rows, then local rows that main lacks, each with its origin."""
-    new = local.join(main.select(*on), on, "left_anti")
+    new = local.join(merged(main.select(*on)), on, "left_anti")
     return main.withColumn("origin", F.lit("main")).unionByName(new.withColumn("origin", F.lit("local")))
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histoweave.operators.relational import merged
+
 
 def box_overlaps(rects: DataFrame, by: str = "slide_id") -> DataFrame:
     """Ordered pairs of different rectangles of a slide whose corners differ by less than the first one's size.
 
     Rectangles are dealt to grid cells as large as the slide's largest one; one
     side is repeated in the 3 x 3 cells around its own, so the join is an equi
-    join on (slide, cell) whatever the number of rectangles. `tag` is the
+    join on (slide, cell) whatever the number of rectangles, and a merge. `tag` is the
     direction of the first as seen from the second, 1 for up-left to 9, 5 for the
     same corner.
     """
@@ -23,14 +25,14 @@ def box_overlaps(rects: DataFrame, by: str = "slide_id") -> DataFrame:
     two = r.select(by, F.col("n").alias("p2"), F.col("cx").alias("x2"), F.col("cy").alias("y2"), gx.alias("ox"), gy.alias("oy"))
     two = two.withColumn("i", F.explode(near)).withColumn("j", F.explode(near)).select(by, "p2", "x2", "y2", (F.col("ox") + F.col("i")).alias("gx"), (F.col("oy") + F.col("j")).alias("gy"))
     dx, dy = F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")
-    pairs = one.join(two, [by, "gx", "gy"]).where((F.col("p1") != F.col("p2")) & (F.abs(dx) < F.col("w")) & (F.abs(dy) < F.col("h")))
+    pairs = one.join(merged(two), [by, "gx", "gy"]).where((F.col("p1") != F.col("p2")) & (F.abs(dx) < F.col("w")) & (F.abs(dy) < F.col("h")))
     return pairs.select(by, "p1", "p2", "x1", "y1", "x2", "y2", (F.sign(dx) + 3 * F.sign(dy) + 5).cast("int").alias("tag"))
 
 
 def degrees(rects: DataFrame, overlaps: DataFrame) -> DataFrame:
     """Every rectangle with its number of outgoing overlaps, 0 included."""
     out = overlaps.groupBy("slide_id", F.col("p1").alias("n")).agg(F.count("*").alias("degree"))
-    return rects.join(out, ["slide_id", "n"], "left").withColumn("degree", F.coalesce("degree", F.lit(0)).cast("long"))
+    return rects.join(merged(out), ["slide_id", "n"], "left").withColumn("degree", F.coalesce("degree", F.lit(0)).cast("long"))
 
 
 def edge_and_bulk(rects: DataFrame, overlaps: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def hpf_offset(rects: DataFrame, axis: str) -> DataFrame:
     other = {"cx": "cy", "cy": "cx"}[axis]
     places = rects.select("slide_id", other, axis)
     nexts = places.distinct().withColumn("gap", F.lead(axis).over(Window.partitionBy("slide_id", other).orderBy(axis)) - F.col(axis)).where("gap is not null")
-    gaps = places.join(nexts, ["slide_id", other, axis]).groupBy("slide_id", "gap").agg(F.count("*").alias("c"))
+    gaps = places.join(merged(nexts), ["slide_id", other, axis]).groupBy("slide_id", "gap").agg(F.count("*").alias("c"))
     return gaps.groupBy("slide_id").agg(F.max(F.struct("c", (-F.col("gap")).alias("g"))).alias("m")).select("slide_id", (-F.col("m.g")).alias("gap"), F.col("m.c").alias("times"))
 
 
@@ -57,7 +59,7 @@ def grid_index(rects: DataFrame, axis: str, tolerance: float) -> DataFrame:
 
 def region_boundaries(rects: DataFrame, axis: str, size: str, tolerance: float) -> DataFrame:
     """Middle between the mean end of a grid line's fields and the mean start of the next line's."""
-    means = rects.join(grid_index(rects, axis, tolerance), ["slide_id", axis]).groupBy("slide_id", "g").agg(F.avg(axis).alias("start"), F.avg(F.col(axis) + F.col(size)).alias("stop"))
+    means = rects.join(merged(grid_index(rects, axis, tolerance)), ["slide_id", axis]).groupBy("slide_id", "g").agg(F.avg(axis).alias("start"), F.avg(F.col(axis) + F.col(size)).alias("stop"))
     return means.select("slide_id", "g", "start", ((F.lead("start").over(Window.partitionBy("slide_id").orderBy("g")) + F.col("stop")) / 2).alias("boundary"))
 
 
@@ -100,7 +102,7 @@ def axis_regions(fields: DataFrame, by: list[str], place: str, at: str, size: st
     high = F.when(F.col("last") > 2, right + F.col("m") * F.col("last")).when(F.col("last") == 2, only + F.col("offset")).otherwise(middle + F.col("offset") / 2)
     mean = mean.withColumn("outer_low", low).withColumn("outer_high", high)
     borders = mean.select(*by, "g", "last", F.coalesce(F.lag("b").over(w), "outer_low").alias("low"), F.coalesce("b", "outer_high").alias("high"))
-    return f.select(*by, "n", "g").join(borders, [*by, "g"])
+    return f.select(*by, "n", "g").join(merged(borders), [*by, "g"])
 
 
 def primary_regions(fields: DataFrame, overlaps: DataFrame, by: list[str], tolerance: float = 0.0) -> DataFrame:
@@ -113,7 +115,7 @@ def primary_regions(fields: DataFrame, overlaps: DataFrame, by: list[str], toler
     tags = overlaps.groupBy(*by, F.col("p2").alias("n")).agg(F.collect_set("tag").alias("tags"))
     x = axis_regions(fields, by, "cx", "px", "w", "offset_x", tolerance=tolerance).withColumnsRenamed({"g": "gx", "last": "lx", "low": "mx1", "high": "mx2"})
     y = axis_regions(fields, by, "cy", "py", "h", "offset_y", tolerance=tolerance).withColumnsRenamed({"g": "gy", "last": "ly", "low": "my1", "high": "my2"})
-    r = fields.join(x, [*by, "n"]).join(y, [*by, "n"]).join(tags, [*by, "n"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<int>")))
+    r = fields.join(merged(x), [*by, "n"]).join(merged(y), [*by, "n"]).join(merged(tags), [*by, "n"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<int>")))
 
     def side(border: str, own: Column, outermost: Column, beyond: Column, *near: int) -> Column:
         alone = ~F.arrays_overlap("tags", F.array(*[F.lit(t) for t in near]))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histoweave.operators.relational import merged
+
 
 def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
@@ -143,5 +145,5 @@ def cut_regression(df: DataFrame, by: str, y: str, x1: str, x2: str, weight: Col
     """The regression of the rows whose residual in a first one of all rows is at most `most`, with their number."""
     first = regression(df, by, y, x1, x2, weight)
     fitted = F.col("constant") + F.col("slope1") * F.col(x1) + F.col("slope2") * F.col(x2)
-    kept = df.join(first, by).where(F.abs(F.col(y) - fitted) <= most)
-    return regression(kept, by, y, x1, x2, weight).join(kept.groupBy(by).agg(F.count("*").alias("rows")), by)
+    kept = df.join(merged(first), by).where(F.abs(F.col(y) - fitted) <= most)
+    return regression(kept, by, y, x1, x2, weight).join(merged(kept.groupBy(by).agg(F.count("*").alias("rows"))), by)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoweave.operators import conflicts, graph, spatial
+from histoweave.operators.relational import merged
 from histoweave.plans.registry import Tables, query
 
 
@@ -54,7 +55,7 @@ def _(t: Tables) -> DataFrame:
  SELECT i.slide_id, i.n, CASE WHEN members=1 THEN 0 ELSE i.island END AS gc FROM isl i JOIN sz USING (slide_id, island)""")
 def _(t: Tables) -> DataFrame:
     found = graph.islands(t.rect, t.measured.where("exit = 0 and tag in (4, 6)"))
-    return found.join(graph.island_sizes(found), ["slide_id", "island"]).select("slide_id", "n", F.when(F.col("members") == 1, 0).otherwise(F.col("island")).alias("gc"))
+    return found.join(merged(graph.island_sizes(found)), ["slide_id", "island"]).select("slide_id", "n", F.when(F.col("members") == 1, 0).otherwise(F.col("island")).alias("gc"))
 
 
 @query("gr-06", "SELECT slide_id, p1, p2, tag FROM overlap WHERE (x1=x2 OR abs(x1-x2)=535) AND (y1=y2 OR abs(y1-y2)=400)")
@@ -106,8 +107,8 @@ _FIELDS = _ISLANDS.format(edges="overlap") + ", fld AS (SELECT r.slide_id, isl.i
 def _regions(t: Tables) -> DataFrame:
     c, n = F.col, F.col("n")
     px = c("cx") + (n * 7 % 5 - 2) * 0.5 + F.when(c("cx") > 3000, 40).otherwise(0)
-    fields = t.rect.join(graph.islands(t.rect, t.overlap), ["slide_id", "n"]).select("slide_id", "island", "n", "cx", "cy", "w", "h", px.alias("px"), (c("cy") + (n * 3 % 7 - 3) * 0.5).alias("py"), F.lit(535).alias("offset_x"), F.lit(400).alias("offset_y"))
-    near = t.overlap.join(fields.select("slide_id", "island", n.alias("p2")), ["slide_id", "p2"])
+    fields = t.rect.join(merged(graph.islands(t.rect, t.overlap)), ["slide_id", "n"]).select("slide_id", "island", "n", "cx", "cy", "w", "h", px.alias("px"), (c("cy") + (n * 3 % 7 - 3) * 0.5).alias("py"), F.lit(535).alias("offset_x"), F.lit(400).alias("offset_y"))
+    near = t.overlap.join(merged(fields.select("slide_id", "island", n.alias("p2"))), ["slide_id", "p2"])
     return spatial.primary_regions(fields, near, ["slide_id", "island"])
 
 
@@ -133,13 +134,13 @@ def _(t: Tables) -> DataFrame:
 @query("jn-02", "SELECT o.slide_id, o.p1, o.p2, a.file AS file1, b.file AS file2 FROM overlap o JOIN rect a ON a.slide_id=o.slide_id AND a.n=o.p1 JOIN rect b ON b.slide_id=o.slide_id AND b.n=o.p2")
 def _(t: Tables) -> DataFrame:
     name = lambda p, f: t.rect.select("slide_id", F.col("n").alias(p), F.col("file").alias(f))
-    return t.overlap.select("slide_id", "p1", "p2").join(name("p1", "file1"), ["slide_id", "p1"]).join(name("p2", "file2"), ["slide_id", "p2"]).select("slide_id", "p1", "p2", "file1", "file2")
+    return t.overlap.select("slide_id", "p1", "p2").join(merged(name("p1", "file1")), ["slide_id", "p1"]).join(merged(name("p2", "file2")), ["slide_id", "p2"]).select("slide_id", "p1", "p2", "file1", "file2")
 
 
 @query("jn-03", "SELECT slide_id, p1, p2, tag FROM overlap WHERE p1%3<>0 AND p2%3<>0")
 def _(t: Tables) -> DataFrame:
     chosen = t.rect.where("n % 3 <> 0").select("slide_id", "n")
-    both = t.overlap.join(chosen.withColumnRenamed("n", "p1"), ["slide_id", "p1"], "left_semi").join(chosen.withColumnRenamed("n", "p2"), ["slide_id", "p2"], "left_semi")
+    both = t.overlap.join(merged(chosen.withColumnRenamed("n", "p1")), ["slide_id", "p1"], "left_semi").join(merged(chosen.withColumnRenamed("n", "p2")), ["slide_id", "p2"], "left_semi")
     return both.select("slide_id", "p1", "p2", "tag")
 
 
@@ -147,33 +148,33 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     bad = t.measured.where("exit = 1")
     ends = bad.select("slide_id", F.col("p1").alias("n")).union(bad.select("slide_id", "p2"))
-    return t.rect.select("slide_id", "n").join(ends, ["slide_id", "n"], "left_semi")
+    return t.rect.select("slide_id", "n").join(merged(ends), ["slide_id", "n"], "left_semi")
 
 
 @query("jn-05", "SELECT a.slide_id, a.p1, a.p2, a.dx AS dx, -b.dx AS mirrored FROM measured a JOIN measured b ON a.slide_id=b.slide_id AND a.p1=b.p2 AND a.p2=b.p1")
 def _(t: Tables) -> DataFrame:
     m = t.measured
     back = m.select("slide_id", F.col("p2").alias("p1"), F.col("p1").alias("p2"), (-F.col("dx")).alias("mirrored"))
-    return m.select("slide_id", "p1", "p2", "dx").join(back, ["slide_id", "p1", "p2"])
+    return m.select("slide_id", "p1", "p2", "dx").join(merged(back), ["slide_id", "p1", "p2"])
 
 
 @query("jn-06", "SELECT o.slide_id, o.p1, o.p2, m.dx FROM overlap o LEFT JOIN (SELECT * FROM measured WHERE exit=0) m ON m.slide_id=o.slide_id AND m.p1=o.p1 AND m.p2=o.p2")
 def _(t: Tables) -> DataFrame:
     good = t.measured.where("exit = 0").select("slide_id", "p1", "p2", "dx")
-    return t.overlap.select("slide_id", "p1", "p2").join(good, ["slide_id", "p1", "p2"], "left")
+    return t.overlap.select("slide_id", "p1", "p2").join(merged(good), ["slide_id", "p1", "p2"], "left")
 
 
 @query("jn-07", "SELECT r.slide_id, r.n, f.file FROM rect r JOIN (SELECT slide_id, cx, cy, file FROM rect WHERE n%7<>0) f ON f.slide_id=r.slide_id AND f.cx=r.cx AND f.cy=r.cy")
 def _(t: Tables) -> DataFrame:
     files = t.rect.where("n % 7 <> 0").select("slide_id", "cx", "cy", "file")
-    return t.rect.select("slide_id", "n", "cx", "cy").join(files, ["slide_id", "cx", "cy"]).select("slide_id", "n", "file")
+    return t.rect.select("slide_id", "n", "cx", "cy").join(merged(files), ["slide_id", "cx", "cy"]).select("slide_id", "n", "file")
 
 
 @query("jn-17", "SELECT r.slide_id, r.n, e.layer, e.exp FROM rect r JOIN (SELECT CAST(floor(l_partkey/100e0) AS BIGINT) AS slide_id, l_partkey%100+1 AS n, l_linenumber AS layer, max(l_quantity) AS exp FROM lineitem GROUP BY 1,2,3) e ON e.slide_id=r.slide_id AND e.n=r.n")
 def _(t: Tables) -> DataFrame:
     k = F.col("l_partkey")
     e = t.lineitem.groupBy(F.floor(k / 100).alias("slide_id"), (k % 100 + 1).alias("n"), F.col("l_linenumber").alias("layer")).agg(F.max("l_quantity").alias("exp"))
-    return t.rect.select("slide_id", "n").join(e, ["slide_id", "n"])
+    return t.rect.select("slide_id", "n").join(merged(e), ["slide_id", "n"])
 
 
 @query("jn-19", "SELECT r.slide_id, r.n, x.tx, y.ty FROM rect r, (SELECT unnest(generate_series(0, 9)) AS tx) x, (SELECT unnest(generate_series(0, 9)) AS ty) y WHERE r.cx < (tx+1)*1024 AND r.cx+r.w > tx*1024 AND r.cy < (ty+1)*1024 AND r.cy+r.h > ty*1024")
@@ -191,7 +192,7 @@ def _(t: Tables) -> DataFrame:
     a = t.rect.select("slide_id", F.col("n").alias("p1"), ((F.col("n") - 1) % 10).alias("ix"), F.floor((F.col("n") - 1) / 10).alias("iy"))
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((1, 0), (-1, 0), (0, 1), (0, -1))])
     b = a.withColumn("s", F.explode(steps)).select("slide_id", F.col("p1").alias("p2"), (F.col("ix") + F.col("s.i")).alias("ix"), (F.col("iy") + F.col("s.j")).alias("iy"))
-    return a.join(b, ["slide_id", "ix", "iy"]).select("slide_id", "p1", "p2")
+    return a.join(merged(b), ["slide_id", "ix", "iy"]).select("slide_id", "p1", "p2")
 
 
 _OCTETS = "SELECT slide_id, p1, count(*) AS good FROM measured WHERE exit=0 GROUP BY slide_id, p1 HAVING count(*)=8"
@@ -209,7 +210,7 @@ def _(t: Tables) -> DataFrame:
     m = t.measured.where("exit = 0")
     octets = m.groupBy("slide_id", "p1").agg(F.count("*").alias("good")).where("good = 8")
     files = t.rect.select("slide_id", F.col("n").alias("p2"), "file")
-    joined = m.select("slide_id", "p1", "p2").join(octets, ["slide_id", "p1"], "left_semi").join(files, ["slide_id", "p2"])
+    joined = m.select("slide_id", "p1", "p2").join(merged(octets), ["slide_id", "p1"], "left_semi").join(merged(files), ["slide_id", "p2"])
     return joined.groupBy("slide_id", "p1").agg(F.countDistinct("file").alias("files"), F.min("file").alias("first_file"))
 
 
