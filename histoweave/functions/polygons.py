@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, not wherever f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def ring(*points: tuple[Column, Column]) -> Column:
     return F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in points])
 
@@ -17,17 +25,26 @@ def box(x: Column, y: Column, w: Column, h: Column) -> Column:
 
 def shifted(points: Column) -> Column:
     """Each point's successor."""
-    return F.concat(F.slice(points, F.lit(2), F.size(points)), F.slice(points, 1, 1))
+    return _once(points, lambda p: F.concat(F.slice(p, F.lit(2), F.size(p)), F.slice(p, 1, 1)))
 
 
 def signed_area(points: Column) -> Column:
     """Shoelace sum; positive for counter-clockwise rings."""
-    return F.aggregate(F.zip_with(points, shifted(points), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]), F.lit(0.0), lambda s, v: s + v) / 2
+    cross = lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]
+
+    def along(p: Column) -> Column:
+        """The last point and the sum so far; the way back to the first one ends it."""
+        first = F.get(p, F.lit(0))
+        start = F.struct(first["x"].alias("x"), first["y"].alias("y"), F.lit(0.0).alias("s"))
+        step = lambda a, b: F.struct(b["x"].alias("x"), b["y"].alias("y"), (a["s"] + cross(a, b)).alias("s"))
+        return F.aggregate(p, start, step, lambda a: a["s"] + F.coalesce(cross(a, first), F.lit(0.0)))
+
+    return _once(points, along) / 2
 
 
 def perimeter(points: Column) -> Column:
     side = lambda a, b: F.sqrt((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2)
-    return F.aggregate(F.zip_with(points, shifted(points), side), F.lit(0.0), lambda s, v: s + v)
+    return _once(points, lambda p: F.aggregate(F.zip_with(p, shifted(p), side), F.lit(0.0), lambda s, v: s + v))
 
 
 def nested_area(rings: Column) -> Column:
@@ -40,15 +57,14 @@ def nested_perimeter(rings: Column) -> Column:
 
 
 def counter_clockwise(points: Column) -> Column:
-    return F.when(signed_area(points) < 0, F.reverse(points)).otherwise(points)
+    return _once(points, lambda p: F.when(signed_area(p) < 0, F.reverse(p)).otherwise(p))
 
 
 def normalised(points: Column) -> Column:
     """Counter-clockwise, from the point with the smallest y and of these the smallest x."""
-    p = counter_clockwise(points)
-    low = F.array_min(F.transform(p, lambda a: F.struct(a["y"].alias("y"), a["x"].alias("x"))))
-    at = F.array_position(F.transform(p, lambda a: F.struct(a["y"].alias("y"), a["x"].alias("x"))), low).cast("int")
-    return F.concat(F.slice(p, at, F.size(p)), F.slice(p, F.lit(1), at - 1))
+    place = lambda p: _once(F.transform(p, lambda a: F.struct(a["y"].alias("y"), a["x"].alias("x"))), lambda q: F.array_position(q, F.array_min(q)).cast("int"))
+    turned = lambda p: _once(place(p), lambda at: F.concat(F.slice(p, at, F.size(p)), F.slice(p, F.lit(1), at - 1)))
+    return _once(counter_clockwise(points), turned)
 
 
 def to_wkt(rings: Column) -> Column:
@@ -71,7 +87,7 @@ def from_wkt(text: Column) -> Column:
 def contains(points: Column, x: Column, y: Column) -> Column:
     """Crossing-number test for a point that is on no edge."""
     hit = lambda a, b: ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
-    crossings = F.aggregate(F.zip_with(points, shifted(points), lambda a, b: F.coalesce(hit(a, b), F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v)
+    crossings = _once(points, lambda p: F.aggregate(F.zip_with(p, shifted(p), lambda a, b: F.coalesce(hit(a, b), F.lit(False)).cast("int")), F.lit(0), lambda s, v: s + v))
     return crossings % 2 == 1
 
 
@@ -81,9 +97,10 @@ def round_to_grid(points: Column, pixel: float, eps: float = 1e-10) -> Column:
 
 
 def circle(x: Column, y: Column, radius: Column, angles: int) -> Column:
-    step = lambda i: 2 * 3.141592653589793 * i / angles
-    return F.transform(F.sequence(F.lit(0), F.lit(angles - 1)), lambda i: F.struct((x + radius * F.cos(step(i))).alias("x"), (y + radius * F.sin(step(i))).alias("y")))
+    turns = [2 * math.pi * i / angles for i in range(angles)]
+    unit = F.array(*(F.struct(F.lit(math.cos(t)).alias("x"), F.lit(math.sin(t)).alias("y")) for t in turns))
+    return F.transform(unit, lambda u: F.struct((x + radius * u["x"]).alias("x"), (y + radius * u["y"]).alias("y")))
 
 
 def edge_lengths(points: Column) -> Column:
-    return F.zip_with(points, shifted(points), lambda a, b: F.sqrt((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2))
+    return _once(points, lambda p: F.zip_with(p, shifted(p), lambda a, b: F.sqrt((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2)))

@@ -15,6 +15,11 @@ def merged(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to four tasks a core, where work on a row outweighs reading it: a small file is read by few tasks."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def filter_chain(df: DataFrame, checks: list[tuple[str, Column]], every: bool = False) -> DataFrame:
     """Adds `reason`: the first check that fails, or all of them, comma-separated; empty if none does. Null counts as failed."""
     failed = [(name, ~F.coalesce(ok, F.lit(False))) for name, ok in checks]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from histoweave.functions import polygons as P
 from histoweave.functions import scalars as S
 from histoweave.operators import rings
+from histoweave.operators.relational import dealt
 from histoweave.plans.registry import Tables, query
 
 C = F.col
@@ -91,7 +92,7 @@ def _(t: Tables) -> DataFrame:
 @query("sc-12", "SELECT id, x0 AS first_x, y0 AS first_y, wd*ht AS area FROM poly")
 def _(t: Tables) -> DataFrame:
     turned = F.reverse(P.shifted(P.shifted(_box())))
-    n = t.poly.select("id", P.normalised(turned).alias("p"))
+    n = dealt(t.poly, "id").select("id", P.normalised(turned).alias("p"))
     return n.select("id", C("p")[0]["x"].alias("first_x"), C("p")[0]["y"].alias("first_y"), P.signed_area(C("p")).alias("area"))
 
 
@@ -250,7 +251,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("sp-17", "SELECT id, round(64*wd*wd*sin(2*pi()/128), 4) AS area FROM poly")
 def _(t: Tables) -> DataFrame:
-    return t.poly.select("id", _r(P.signed_area(P.circle(C("x0"), C("y0"), C("wd"), 128)), 4).alias("area"))
+    return dealt(t.poly, "id").select("id", _r(P.signed_area(P.circle(C("x0"), C("y0"), C("wd"), 128)), 4).alias("area"))
 
 
 @query("sp-18", "SELECT slide_id, field, ctype, n FROM cell WHERE x>=67 AND x+w<=602 AND y>=50 AND y+h<=450")
