@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histoweave.operators.components import components
-from histoweave.operators.relational import number_rows
-from histoweave.sources.written import cut
+from histoweave.operators.relational import merged, number_rows
+from histoweave.sources.written import cut, discard
 
 NEAR = tuple((i, j) for j in (-1, 0, 1) for i in (-1, 0, 1))
 
@@ -52,21 +52,41 @@ def gaussian(sigma: float, reach: float = 4.0) -> dict[int, float]:
     return {o: w / sum(k.values()) for o, w in k.items()}
 
 
-def convolve(pixels: DataFrame, by: list[str], axis: str, size: int, taps: dict[int, float], value: str = "v") -> DataFrame:
-    """One pass along an axis; the image goes on mirrored at its borders, the edge pixel counting twice."""
-    other = "y" if axis == "x" else "x"
-    s, turn = F.col(axis), range(-(max(taps) // (2 * size)) - 1, max(taps) // (2 * size) + 2)
-    images = F.array(*[place for p in turn for place in (s + 2 * size * p, F.lit(2 * size * p - 1) - s)])
-    kernel = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in taps.items()])
-    goal = F.flatten(F.transform(images, lambda place: F.transform(kernel, lambda k: F.struct((place - k["o"]).cast("int").alias("at"), k["w"].alias("w")))))
-    sent = pixels.select(*by, other, F.col(value).alias("v"), F.explode(F.filter(goal, lambda g: g["at"].between(0, size - 1))).alias("g"))
-    return sent.groupBy(*by, F.col("g.at").alias(axis), other).agg(F.sum(F.col("v") * F.col("g.w")).alias("v"))
+def _dealt_taps(axis: str, size: int, taps: dict[int, float]) -> Column:
+    """Array of (o, w): how far along an axis a pixel is sent, and with which whole weight; the image goes on mirrored at its borders.
+
+    Only the pixels within the kernel's reach of a border differ from those between.
+    """
+    reach, s = max(abs(o) for o in taps), F.col(axis).cast("int")
+    few = size <= 2 * reach + 1
+    rows = []
+    for place in range(size) if few else [*range(reach + 1), *range(size - reach, size)]:
+        whole: dict[int, float] = {}
+        for goal in range(max(0, place - reach), min(size, place + reach + 1)):
+            for o, w in taps.items():
+                m = (goal + o) % (2 * size)
+                if (m if m < size else 2 * size - 1 - m) == place:
+                    whole[goal - place] = whole.get(goal - place, 0.0) + w
+        rows.append(F.array(*(F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in whole.items())))
+    row = s if few else F.least(s, F.lit(reach)) + F.greatest(s - (size - 1 - reach), F.lit(0))
+    return F.element_at(F.array(*rows), row + 1)
+
+
+def convolve(pixels: DataFrame, by: list[str], axis: str, size: int, taps: dict[int, float], *values: str) -> DataFrame:
+    """One pass along an axis over value columns, of v by default; the image goes on mirrored at its borders, the edge pixel counting twice.
+
+    Pixels are dealt by lines, so that they move as they are and not once for each tap.
+    """
+    other, values = "y" if axis == "x" else "x", values or ("v",)
+    lines = pixels.select(*by, axis, other, *values).repartition(*by, other)
+    sent = lines.select(*by, other, *values, F.col(axis).cast("int").alias("_s"), F.explode(_dealt_taps(axis, size, taps)).alias("g"))
+    return sent.groupBy(*by, (F.col("_s") + F.col("g.o")).alias(axis), other).agg(*(F.sum(F.col(v) * F.col("g.w")).alias(v) for v in values))
 
 
-def smooth(pixels: DataFrame, by: list[str], width: int, height: int, sigma: float) -> DataFrame:
+def smooth(pixels: DataFrame, by: list[str], width: int, height: int, sigma: float, *values: str) -> DataFrame:
     """Separable Gaussian."""
     taps = gaussian(sigma)
-    return convolve(convolve(pixels, by, "y", height, taps), by, "x", width, taps)
+    return convolve(convolve(pixels, by, "y", height, taps, *values), by, "x", width, taps, *values)
 
 
 def laplacian(pixels: DataFrame, by: list[str], width: int, height: int) -> DataFrame:
@@ -80,10 +100,9 @@ def blur_score(pixels: DataFrame, by: list[str], width: int, height: int, sigma:
     """Local variance of the Laplacian over the local mean."""
     at = [*by, "x", "y"]
     scale = smooth(pixels, by, width, height, sigma).withColumnRenamed("v", "s")
-    n = laplacian(pixels, by, width, height).join(scale, at).select(*at, (F.col("v") / (F.abs("s") + 1e-9)).alias("v"))
-    mean = smooth(n, by, width, height, sigma).withColumnRenamed("v", "m")
-    square = smooth(n.withColumn("v", F.col("v") * F.col("v")), by, width, height, sigma)
-    return square.join(mean, at).select(*at, F.greatest(F.lit(0.0), F.col("v") - F.col("m") * F.col("m")).alias("v"))
+    n = laplacian(pixels, by, width, height).join(merged(scale), at).select(*at, (F.col("v") / (F.abs("s") + 1e-9)).alias("m"))
+    both = smooth(n.withColumn("q", F.col("m") * F.col("m")), by, width, height, sigma, "m", "q")
+    return both.select(*at, F.greatest(F.lit(0.0), F.col("q") - F.col("m") * F.col("m")).alias("v"))
 
 
 def regions(mask: DataFrame, by: list[str], width: int, height: int, diagonal: bool = True) -> DataFrame:
@@ -94,14 +113,14 @@ def regions(mask: DataFrame, by: list[str], width: int, height: int, diagonal: b
     at = F.col("y") * width + F.col("x")
     images = number_rows(mask.select(*by).distinct(), list(by), "_image")
     steps = ((1, 0), (0, 1), (1, 1), (-1, 1)) if diagonal else ((1, 0), (0, 1))
-    on = cut(mask.join(images, by).select(*by, "x", "y", at.alias("first"), (F.col("_image") * (width * height) + at).alias("id")))
+    on = cut(mask.join(merged(images), by).select(*by, "x", "y", at.alias("first"), (F.col("_image") * (width * height) + at).alias("id")))
     sent = on.select(*by, "x", "y", F.col("id").alias("a"), _offsets(steps).alias("o")).select(*by, (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"), "a")
-    pairs = sent.join(on.select(*by, "x", "y", F.col("id").alias("b")), [*by, "x", "y"]).select("a", "b")
+    pairs = sent.join(merged(on.select(*by, "x", "y", F.col("id").alias("b"))), [*by, "x", "y"]).select("a", "b")
     found = components(pairs.unionByName(on.select(F.col("id").alias("a"), F.col("id").alias("b"))))
-    named = on.join(found.withColumnRenamed("node", "id"), "id")
+    named = on.join(merged(found.withColumnRenamed("node", "id")), "id")
     heads = named.groupBy(*by, "component").agg(F.min("first").alias("first"))
     number = F.row_number().over(Window.partitionBy(*by).orderBy("first")).alias("region")
-    return named.drop("first").join(heads.select(*by, "component", number), [*by, "component"]).select(*by, "x", "y", "region")
+    return named.drop("first").join(merged(heads.select(*by, "component", number)), [*by, "component"]).select(*by, "x", "y", "region")
 
 
 def boxes(labelled: DataFrame, by: list[str]) -> DataFrame:
@@ -112,12 +131,17 @@ def boxes(labelled: DataFrame, by: list[str]) -> DataFrame:
 
 def trim_tails(mask: DataFrame, by: list[str], most: int = 1_000) -> DataFrame:
     """The rows of a mask without pixels of fewer than two neighbours, taken away until none is left."""
-    now = cut(mask.select(*by, "x", "y"))
-    near = tuple(o for o in NEAR if o != (0, 0))
+    now = cut(mask.select(*by, "x", "y").dropna())
+    places = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(1 << k).alias("bit")) for k, (i, j) in enumerate(NEAR)]))
+    own = 1 << NEAR.index((0, 0))
     for _ in range(most):
-        sent = now.select(*by, "x", "y", _offsets(near).alias("o")).select(*by, (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"))
-        before, now = now, cut(now.join(sent.groupBy(*by, "x", "y").count().where("count >= 2").drop("count"), [*by, "x", "y"], "left_semi"))
-        if before.count() == now.count():
+        # a pixel marks itself and its neighbours, each by a bit of its own
+        sent = now.select(*by, "x", "y", places.alias("o")).select(*by, (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"), "o.bit")
+        marks = sent.groupBy(*by, "x", "y").agg(F.bit_or("bit").alias("m"))
+        before, now = now, cut(marks.where((F.col("m").bitwiseAND(own) != 0) & (F.bit_count("m") >= 3)).drop("m"))
+        done = before.count() == now.count()
+        discard(before)
+        if done:
             return now
     raise RuntimeError(f"tails did not end in {most} rounds")
 
@@ -147,7 +171,7 @@ def remap(pixels: DataFrame, by: list[str], width: int, height: int, mx: Column,
     part = lambda i, j: F.struct((F.col("sx") + i).alias("x"), (F.col("sy") + j).alias("y"), ((u if i else 1 - u) * (v if j else 1 - v)).alias("w"))
     asked = goal.select(*by, F.col("x").alias("tx"), F.col("y").alias("ty"), F.explode(F.array(*[part(i, j) for i in (0, 1) for j in (0, 1)])).alias("s"))
     asked = asked.select(*by, "tx", "ty", F.col("s.x").alias("x"), F.col("s.y").alias("y"), F.col("s.w").alias("w"))
-    found = asked.join(pixels.select(*by, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v"), [*by, "x", "y"])
+    found = asked.join(merged(pixels.select(*by, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v")), [*by, "x", "y"])
     return found.groupBy(*by, F.col("tx").alias("x"), F.col("ty").alias("y")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
 
 
@@ -206,7 +230,7 @@ def robust_intercept(pixels: DataFrame, by: list[str], order: str, sigmas: float
 def fit_circle(points: DataFrame, by: list[str]) -> DataFrame:
     """(by, cx, cy, radius): the algebraic least-squares circle of points (x, y), from centred sums alone; null where they lie on a line."""
     mean = points.groupBy(*by).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
-    p = points.join(mean, by).select(*by, "mx", "my", (F.col("x") - F.col("mx")).alias("u"), (F.col("y") - F.col("my")).alias("v"))
+    p = points.join(merged(mean), by).select(*by, "mx", "my", (F.col("x") - F.col("mx")).alias("u"), (F.col("y") - F.col("my")).alias("v"))
     u, v = F.col("u"), F.col("v")
     z = u * u + v * v
     s = p.groupBy(*by).agg(*[F.sum(e).alias(n) for n, e in (("uu", u * u), ("uv", u * v), ("vv", v * v), ("uz", u * z), ("vz", v * z), ("z", z))], F.count("*").alias("n"), F.first("mx").alias("mx"), F.first("my").alias("my"))
@@ -222,13 +246,13 @@ def simplify(lines: DataFrame, by: list[str], order: str, tolerance: float, most
     All chords of a round are dealt with together; of equally far points the first one stays.
     """
     ends = lines.groupBy(*by).agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-    now = cut(lines.select(*by, order, "x", "y").join(ends, by))
+    now = cut(lines.select(*by, order, "x", "y").join(merged(ends), by))
     for _ in range(most):
         end = lambda c: now.where(F.col(order) == F.col(c)).select(*by, F.col("lo").alias("l"), F.col("hi").alias("h"), F.col("x").alias(f"x{c}"), F.col("y").alias(f"y{c}"))  # noqa: B023, E731
         inner = now.where((F.col(order) > F.col("lo")) & (F.col(order) < F.col("hi")))
         # an end that two chords share is a row of each of them
-        chord = end("lo").join(end("hi"), [*by, "l", "h"])
-        far = inner.join(chord.withColumnsRenamed({"l": "lo", "h": "hi"}), [*by, "lo", "hi"])
+        chord = end("lo").join(merged(end("hi")), [*by, "l", "h"])
+        far = inner.join(merged(chord.withColumnsRenamed({"l": "lo", "h": "hi"})), [*by, "lo", "hi"])
         dx, dy, qx, qy = F.col("xhi") - F.col("xlo"), F.col("yhi") - F.col("ylo"), F.col("x") - F.col("xlo"), F.col("y") - F.col("ylo")
         length = F.sqrt(dx * dx + dy * dy)
         distance = F.coalesce(F.try_divide(F.abs(dx * qy - dy * qx), length), F.sqrt(qx * qx + qy * qy))
@@ -236,7 +260,7 @@ def simplify(lines: DataFrame, by: list[str], order: str, tolerance: float, most
         split = cut(split)
         if split.isEmpty():
             break
-        both = now.join(split, [*by, "lo", "hi"], "left")
+        both = now.join(merged(split), [*by, "lo", "hi"], "left")
         left = both.select(*by, order, "x", "y", "lo", F.coalesce("split_at", "hi").alias("hi"), F.col("split_at").alias("cut")).where(F.col("cut").isNull() | (F.col(order) <= F.col("cut")))
         right = both.where("split_at is not null").select(*by, order, "x", "y", F.col("split_at").alias("lo"), "hi", F.col("split_at").alias("cut")).where(F.col(order) >= F.col("cut"))
         now = cut(left.unionByName(right).drop("cut"))
@@ -248,7 +272,7 @@ def smooth_errors(pixels: DataFrame, by: list[str], width: int, height: int, sig
     """(by, x, y, v, error) of pixels(by, x, y, v, error): Gaussian smoothing, and the error of the sum if the pixels' errors are independent."""
     taps, at = gaussian(sigma), [*by, "x", "y"]
     squares = _squared(_squared(pixels.withColumn("v", F.col("error") * F.col("error")), by, "y", height, taps), by, "x", width, taps)
-    return smooth(pixels, by, width, height, sigma).join(squares.select(*at, F.sqrt("v").alias("error")), at)
+    return smooth(pixels, by, width, height, sigma).join(merged(squares.select(*at, F.sqrt("v").alias("error"))), at)
 
 
 def _squared(squares: DataFrame, by: list[str], axis: str, size: int, taps: dict[int, float]) -> DataFrame:
@@ -270,8 +294,8 @@ def size_filter(mask: DataFrame, by: list[str], width: int, height: int, least:
     for value in values:
         found = regions(mask.where(F.col("v") == value), by, width, height, diagonal)
         small = found.groupBy(*by, "region").agg(F.count("*").alias("n")).where(F.col("n") < least)
-        turned = found.join(small, [*by, "region"], "left_semi").select(*at, F.lit(True).alias("small"))
-        mask = cut(mask.join(turned, at, "left").select(*at, F.when(F.col("small"), 1 - F.lit(value)).otherwise(F.col("v")).cast("int").alias("v")))
+        turned = found.join(merged(small), [*by, "region"], "left_semi").select(*at, F.lit(True).alias("small"))
+        mask = cut(mask.join(merged(turned), at, "left").select(*at, F.when(F.col("small"), 1 - F.lit(value)).otherwise(F.col("v")).cast("int").alias("v")))
     return mask
 
 
