@@ -3,20 +3,29 @@
 Coordinates are whole numbers here, units of a grid, so that all tests of side and
 crossing are exact; they must stay below 2^30. A polygon is the rows of one
 combination of the key columns, and no step holds one as a whole: edges meet in
-buckets of a grid over the polygon, and rings are ordered by pointer doubling.
+buckets of a grid over the polygon, and rings are ordered batch by batch, then by
+pointer doubling of what goes on beyond a batch.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from histoweave.operators.relational import merged
 from histoweave.sources.written import cut, discard
 
 #: Rounds of cutting edges at their crossings; a cut edge bends by rounding and can cross another one anew.
 ROUNDS = 12
+#: Side of the tiles, in units of the vertices, by which the edges of rings are dealt.
+TILE = 64
 ENDS = ("x0", "y0", "x1", "y1")
 C = F.col
 
@@ -41,7 +50,7 @@ def _celled(edges: DataFrame, by: list[str]) -> DataFrame:
     """Edges with the side `cell` of their polygon's buckets: its extent over the root of its number of edges."""
     extent = F.greatest(F.max(F.greatest("x0", "x1")) - F.min(F.least("x0", "x1")), F.max(F.greatest("y0", "y1")) - F.min(F.least("y0", "y1")))
     cells = edges.groupBy(*by).agg(F.greatest(F.lit(1), F.ceil(extent / F.sqrt(F.count("*")))).cast("long").alias("cell"))
-    return edges.join(cells, by)
+    return edges.join(merged(cells), by)
 
 
 def _columns(edges: DataFrame) -> DataFrame:
@@ -73,7 +82,7 @@ def _met(edges: DataFrame, by: list[str]) -> DataFrame:
     placed = _bucketed(_celled(edges, by))
     key = lambda t: F.struct(*(C(f"{t}.{c}") for c in ENDS))
     both = functools.reduce(lambda p, c: p & (C(f"a.{c}") == C(f"b.{c}")), [*by, "cx", "cy"], key("a") < key("b"))
-    pairs = placed.alias("a").join(placed.alias("b"), both)
+    pairs = placed.alias("a").join(merged(placed.alias("b")), both)
     within = lambda t, x, y: ((x - C(f"{t}.x0")) * (x - C(f"{t}.x1")) + (y - C(f"{t}.y0")) * (y - C(f"{t}.y1"))) < 0
     cuts = []
     for t, o in (("a", "b"), ("b", "a")):
@@ -110,27 +119,121 @@ def noded(edges: DataFrame, by: list[str]) -> DataFrame:
     raise ValueError(f"edges still cross after {ROUNDS} rounds of cutting them; take a finer grid")
 
 
-def ring_order(steps: DataFrame, by: list[str]) -> DataFrame:
-    """(by, e, next, ring, place) of steps(by, e, next), a permutation of the e: `ring` is the cycle's smallest e, `place` counts from it.
+def _linked(keys: np.ndarray, onto: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows whose keys are `keys` (rows by fields), in groups that begin where `fresh` is: the row whose key is `onto`, -1 if none is, and the rank of each key."""
+    n, group = len(keys), np.cumsum(fresh)
+    both = np.concatenate([np.column_stack([group, keys]), np.column_stack([group, onto])])
+    asks = np.repeat([0, 1], n)
+    order = np.lexsort((asks, *both.T[::-1]))
+    same = (both[order[1:]] == both[order[:-1]]).all(axis=1) & (asks[order[1:]] == 1) & (asks[order[:-1]] == 0)
+    link = np.full(n, -1)
+    link[order[1:][same] - n] = order[:-1][same]
+    rank = np.empty(2 * n, np.int64)
+    rank[order] = np.arange(2 * n)
+    return link, rank[:n]
 
-    Pointer doubling: after k rounds each e knows the smallest of the 2^k next ones
-    and how far it is, so the rounds follow the logarithm of the longest cycle.
+
+def _walked(link: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(head, first, place, span) of each row of the cycles and open chains that `link` makes.
+
+    On a cycle `head` is -1, `first` its row of the smallest rank and `place` counts from
+    that. On a chain `head` is its first row, `first` its row of the smallest rank and
+    `place` counts from the head; `span` is the number of rows of either.
     """
-    state = cut(steps.select(*by, "e", "next", C("next").alias("to"), C("e").alias("ring"), F.lit(0).cast("long").alias("far")))
+    n = len(link)
+    rows, ends = np.arange(n), link < 0
+    back = rows.copy()
+    back[link[~ends]] = rows[~ends]
+    started = back == rows
+    started[rows[~ends & (link == rows)]] = False  # a cycle of one
+    place, low, ahead, far = (back != rows).astype(np.int64), rows.copy(), np.where(ends, rows, link), np.zeros(n, np.int64)
     size = 1
+    while size < 2 * n:
+        place, back = place + place[back], back[back]
+        nearer = rank[low[ahead]] < rank[low]
+        low, far = np.where(nearer, low[ahead], low), np.where(nearer, far[ahead] + size, far)
+        ahead, size = ahead[ahead], 2 * size
+    opened = started[back]
+    head = np.where(opened, back, -1)
+    cycle = np.bincount(low[~opened], minlength=n)
+    chain = np.bincount(back[opened], minlength=n)
+    span = np.where(opened, chain[back], cycle[low])
+    first = np.where(opened, low[back], low)
+    return head, first, np.where(opened, place, -far % np.maximum(span, 1)), span
+
+
+def _chained(by: list[str], k: int):
+    """Arrow batches of (by, e0.., n0..), in order of `by`, with the cycles and chains within each batch; see `ring_order`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            fresh = np.zeros(n, bool)
+            for c in by:
+                v = batch.column(c)
+                fresh[1:] |= pc.not_equal(v.slice(1), v.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            keys, onto = (np.column_stack([batch.column(f"{p}{i}").to_numpy() for i in range(k)]) for p in "en")
+            head, first, place, span = _walked(*_linked(keys, onto, fresh))
+            opened, heads = head >= 0, head == np.arange(n)
+            last = np.zeros(n, np.int64)
+            ending = opened & (place == span - 1)
+            last[head[ending]] = np.flatnonzero(ending)
+            known = ~opened | heads
+            out = [pa.array(keys[first, i], mask=~known) for i in range(k)]
+            out += [pa.array(keys[head, i], mask=~opened) for i in range(k)]
+            out += [pa.array(onto[last, i], mask=~heads) for i in range(k)]
+            out += [pa.array(place), pa.array(place[first], mask=~heads), pa.array(span, mask=~heads)]
+            names = [f"{p}{i}" for p in "rho" for i in range(k)] + ["place", "far", "span"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=[*batch.schema.names, *names])
+
+    return run
+
+
+def ring_order(steps: DataFrame, by: list[str], near: tuple[Column, ...] = ()) -> DataFrame:
+    """(by, e, next, ring, place), written, of steps(by, e, next), a permutation of the e: `ring` is the cycle's smallest e, `place` counts from it.
+
+    Steps are dealt by `near`, expressions of e, and sorted; within each Arrow batch
+    they become cycles, which are done, and chains. Only chains then go on, a row
+    each, by pointer doubling: after k rounds each knows the smallest e of the 2^k next
+    ones and how far it is, so the rounds follow the logarithm of the most chains in a
+    cycle. e is a number or a struct of numbers; nulls drop a step.
+    """
+    kind = steps.schema["e"].dataType
+    fields = [(f".{f.name}", f.name, f.dataType) for f in kind.fields] if isinstance(kind, T.StructType) else [("", "e", kind)]
+    k = len(fields)
+    flat = steps.dropna(subset=[*by, "e", "next"]).repartition(*by, *(near or [C("e")])).sortWithinPartitions(*by, *near, "e")
+    flat = flat.select(*by, *(C(f"{c}{at}").cast("long").alias(f"{c[0]}{i}") for c in ("e", "next") for i, (at, _, _) in enumerate(fields)))
+    more = [f"{p}{i}" for p in "rho" for i in range(k)] + ["place", "far", "span"]
+    found = flat.mapInArrow(_chained(by, k), T.StructType([*flat.schema.fields, *(T.StructField(c, T.LongType()) for c in more)]))
+
+    def whole(p: str) -> Column:
+        parts = [C(f"{p}{i}").cast(t).alias(name) for i, (_, name, t) in enumerate(fields)]
+        return F.when(C(f"{p}0").isNotNull(), F.struct(*parts)) if isinstance(kind, T.StructType) else parts[0]
+
+    done = cut(found.select(*by, whole("e").alias("e"), whole("n").alias("next"), whole("r").alias("ring"), "place", whole("h").alias("head"), whole("o").alias("to"), "far", "span"))
+    closed = done.where("head is null").select(*by, "e", "next", "ring", "place")
+    if done.where("head is not null").isEmpty():
+        closed._written = done._written
+        return closed
+    state = cut(done.where("head is not null and span is not null").select(*by, "head", "to", "ring", "far", "span", C("span").alias("own")))
     while True:
-        other = state.select(*by, C("e").alias("to"), C("to").alias("to2"), C("ring").alias("ring2"), C("far").alias("far2"))
+        other = state.select(*by, C("head").alias("to"), C("to").alias("to2"), C("ring").alias("ring2"), C("far").alias("far2"), C("span").alias("span2"))
         nearer = C("ring2") < C("ring")
-        both = state.join(other, [*by, "to"])
-        new = both.select(*by, "e", "next", C("to2").alias("to"), F.when(nearer, C("ring2")).otherwise(C("ring")).alias("ring"), F.when(nearer, C("far2") + size).otherwise(C("far")).alias("far"), nearer.alias("moved"))
-        new = cut(new)
+        new = state.join(merged(other), [*by, "to"])
+        new = cut(new.select(*by, "head", C("to2").alias("to"), F.when(nearer, C("ring2")).otherwise(C("ring")).alias("ring"), F.when(nearer, C("far2") + C("span")).otherwise(C("far")).alias("far"), (C("span") + C("span2")).alias("span"), "own", nearer.alias("moved")))
         discard(state)
-        state, size = new.drop("moved"), 2 * size
-        state._written = new._written
+        state = new
         if new.where("moved").isEmpty():
             break
-    n = F.count("*").over(Window.partitionBy(*by, "ring"))
-    return state.select(*by, "e", "next", "ring", ((n - C("far")) % n).alias("place"))
+    n = F.sum("own").over(Window.partitionBy(*by, "ring"))
+    chains = state.select(*by, "head", "ring", C("far").alias("off"), n.alias("n"))
+    rest = done.where("head is not null").select(*by, "e", "next", "head", "place").join(merged(chains), [*by, "head"])
+    out = cut(closed.unionByName(rest.select(*by, "e", "next", "ring", F.pmod(C("place") - C("off"), "n").alias("place"))))
+    discard(done)
+    discard(state)
+    return out
 
 
 def _turning(edges: DataFrame, by: list[str]) -> DataFrame:
@@ -155,9 +258,9 @@ def _above(points: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
     """(by, point, ring, n): how many edges(by, ring, e) of each ring lie above points(by, point, e), the middle of an edge that isn't vertical."""
     flat = _celled(edges.select(*by, "ring", "e.*"), by)
     sides = flat.select(*by, "cell").distinct()
-    placed = points.select(*by, "point", (C("e.x0") + C("e.x1")).alias("mx"), (C("e.y0") + C("e.y1")).alias("my")).join(sides, by).withColumn("cx", F.floor(C("mx") / 2 / C("cell"))).drop("cell")
+    placed = points.select(*by, "point", (C("e.x0") + C("e.x1")).alias("mx"), (C("e.y0") + C("e.y1")).alias("my")).join(merged(sides), by).withColumn("cx", F.floor(C("mx") / 2 / C("cell"))).drop("cell")
     low, high = F.least("x0", "x1"), F.greatest("x0", "x1")
-    met = placed.join(_columns(flat.where("x0 <> x1")), [*by, "cx"]).where((2 * low <= C("mx")) & (C("mx") < 2 * high))
+    met = placed.join(merged(_columns(flat.where("x0 <> x1"))), [*by, "cx"]).where((2 * low <= C("mx")) & (C("mx") < 2 * high))
     below = ((C("x1") - C("x0")) * (C("my") - 2 * C("y0")) - (C("y1") - C("y0")) * (C("mx") - 2 * C("x0"))) * F.when(C("x0") < C("x1"), 1).otherwise(-1) < 0
     return met.where(below).groupBy(*by, "point", "ring").agg(F.count("*").alias("n"))
 
@@ -180,37 +283,38 @@ def make_valid(vertices: DataFrame, by: list[str], scale: int = 256) -> DataFram
     """
     whole = vertices.select(*by, "ring", "vid", *(F.round(C(c) * scale).cast("long").alias(c) for c in ("x", "y"))).where("x is not null and y is not null")
     edges = noded(edges_of(whole, by), by)
-    cycles = cut(ring_order(_turning(edges, by), by))
+    tile = [F.floor(C(f"e.{c}") / (TILE * scale)) for c in ("x0", "y0")]
+    cycles = ring_order(_turning(edges, by), by, tuple(tile))
     about = cut(cycles.groupBy(*by, "ring").agg(twice_area().alias("area2"), _flat_edge().alias("e")))
     over = cut(_above(about.select(*by, C("ring").alias("point"), "e"), cycles.select(*by, "ring", "e"), by))
     crossed = over.groupBy(*by, "point").agg((F.sum("n") / 2).cast("long").alias("all"))  # each edge is in two cycles
     rightwards = C("e.x0") < C("e.x1")
-    faces = about.join(crossed.withColumnRenamed("point", "ring"), [*by, "ring"], "left").withColumn("all", F.coalesce("all", F.lit(0)))
+    faces = about.join(merged(crossed.withColumnRenamed("point", "ring")), [*by, "ring"], "left").withColumn("all", F.coalesce("all", F.lit(0)))
     faces = cut(faces.where(F.when(rightwards, C("all") % 2 == 1).otherwise(C("all") % 2 == 0)).select(*by, "ring", "area2"))
     outer = faces.where("area2 > 0").select(*by, C("ring").alias("face"), C("area2").alias("size"))
     apart = faces.where("area2 < 0").select(*by, C("ring").alias("point"))
-    holds = over.where("n % 2 = 1").withColumnRenamed("ring", "face").join(apart, [*by, "point"]).join(outer, [*by, "face"])
+    holds = over.where("n % 2 = 1").withColumnRenamed("ring", "face").join(merged(apart), [*by, "point"]).join(merged(outer), [*by, "face"])
     holder = holds.groupBy(*by, "point").agg(F.min(F.struct("size", "face"))["face"].alias("face")).withColumnRenamed("point", "ring")
     member = outer.select(*by, C("face").alias("ring"), "face").unionByName(holder)
-    inner = cycles.join(member, [*by, "ring"])
+    inner = cycles.join(merged(member), [*by, "ring"])
     visits = Window.partitionBy(*by, "ring", C("next.x0"), C("next.y0"))
     n = F.count("*").over(Window.partitionBy(*by, "ring"))
     along = visits.orderBy((C("place") + 1) % n)
     before = F.coalesce(F.lag("next").over(along), F.last("next").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     inner = cut(inner.select("*", n.alias("size")).select(*by, "face", "e", "ring", "place", before.alias("next"), F.count("*").over(visits).alias("met")))
     touching = inner.groupBy(*by, "ring").agg(F.max("met").alias("met")).where("met > 1").drop("met")
-    simple = inner.join(touching, [*by, "ring"], "left_anti").select(*by, "face", "e", "ring", "place")
-    split = inner.join(touching, [*by, "ring"], "left_semi").select(*by, "face", "e", "next")
+    simple = inner.join(merged(touching), [*by, "ring"], "left_anti").select(*by, "face", "e", "ring", "place")
+    split = inner.join(merged(touching), [*by, "ring"], "left_semi").select(*by, "face", "e", "next")
     if not split.isEmpty():  # the same vertex again: each part between two visits is a ring of its own
-        parts = ring_order(split.select(*by, "e", "next"), by)
-        simple = simple.unionByName(split.select(*by, "face", "e").join(parts.select(*by, "e", "ring", "place"), [*by, "e"]))
+        parts = ring_order(split.select(*by, "e", "next"), by, tuple(tile))
+        simple = simple.unionByName(split.select(*by, "face", "e").join(merged(parts.select(*by, "e", "ring", "place")), [*by, "e"]))
     simple = cut(simple)
     rings = simple.groupBy(*by, "face", "ring").agg(twice_area().alias("area2"))
     sized = rings.select(*by, "face", "ring", "area2", F.sum("area2").over(Window.partitionBy(*by, "face")).alias("total"))
     number = F.dense_rank().over(Window.partitionBy(*by).orderBy(F.desc("total"), "face"))
     place = F.row_number().over(Window.partitionBy(*by, "face").orderBy(C("area2") < 0, "ring")) - 1
     numbered = sized.select(*by, "ring", number.alias("polygon"), place.alias("number"), (C("total") / (2 * scale * scale)).alias("area"))
-    out = simple.join(numbered, [*by, "ring"]).select(*by, "polygon", C("number").alias("ring"), (C("place") + 1).cast("int").alias("vid"), (C("e.x0") / scale).alias("x"), (C("e.y0") / scale).alias("y"), "area")
+    out = simple.join(merged(numbered), [*by, "ring"]).select(*by, "polygon", C("number").alias("ring"), (C("place") + 1).cast("int").alias("vid"), (C("e.x0") / scale).alias("x"), (C("e.y0") / scale).alias("y"), "area")
     for t in (edges, cycles, about, over, faces):
         discard(t)
     return out
@@ -227,10 +331,10 @@ def nesting(vertices: DataFrame, by: list[str]) -> DataFrame:
     whole = vertices.select(*by, "ring", "vid", C("x").cast("long").alias("x"), C("y").cast("long").alias("y"))
     edges = edges_of(whole, by).select(*by, "ring", F.struct(*ENDS).alias("e"))
     rings = edges.groupBy(*by, "ring").agg(F.abs(twice_area()).alias("area2"), _flat_edge().alias("e")).where("area2 > 0")
-    edges = edges.join(rings.select(*by, "ring"), [*by, "ring"], "left_semi")
+    edges = edges.join(merged(rings.select(*by, "ring")), [*by, "ring"], "left_semi")
     around = _above(rings.select(*by, C("ring").alias("point"), "e"), edges, by).where("n % 2 = 1 and ring <> point")
-    sized = around.join(rings.select(*by, "ring", "area2"), [*by, "ring"])
+    sized = around.join(merged(rings.select(*by, "ring", "area2")), [*by, "ring"])
     held = sized.groupBy(*by, "point").agg(F.count("*").alias("depth"), F.min(F.struct("area2", "ring"))["ring"].alias("parent")).withColumnRenamed("point", "ring")
-    out = rings.select(*by, "ring").join(held, [*by, "ring"], "left").withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
+    out = rings.select(*by, "ring").join(merged(held), [*by, "ring"], "left").withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
     even = C("depth") % 2 == 0
     return out.select(*by, "ring", "depth", "parent", F.when(even, C("ring")).otherwise(C("parent")).alias("polygon"), F.when(even, "outer").otherwise("hole").alias("kind"))
