@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histoweave.operators import outlines, raster, stats
+from histoweave.operators.relational import merged
 from histoweave.plans.registry import Tables, query
 from histoweave.sources import png, slides, tiff
 from histoweave.sources.written import new_path
@@ -104,7 +105,7 @@ def _(t: Tables) -> DataFrame:
     """Outlines of all regions and holes of each image, as corners in order, with depth and parent."""
     found, corners = _contours(t)
     number = [C(c).cast("long").alias(c) for c in ("region", "depth", "parent", "vid", "x", "y")]
-    return corners.join(found, [*BY, "ring"]).withColumnRenamed("ring", "region").select(*BY, *number)
+    return corners.join(merged(found), [*BY, "ring"]).withColumnRenamed("ring", "region").select(*BY, *number)
 
 
 @query("im-12-polygons", f"""WITH {_LABEL}, a AS (SELECT vec_id, layer, region, CAST(count(*) AS BIGINT) AS area, CAST(sum((SELECT 4-count(*) FROM lab o WHERE o.vec_id=lab.vec_id AND o.layer=lab.layer AND abs(o.x-lab.x)+abs(o.y-lab.y)=1)) AS BIGINT) AS perimeter FROM lab GROUP BY vec_id, layer, region) SELECT * FROM a""")
