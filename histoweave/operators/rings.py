@@ -24,8 +24,8 @@ from histoweave.sources.written import cut, discard
 
 #: Rounds of cutting edges at their crossings; a cut edge bends by rounding and can cross another one anew.
 ROUNDS = 12
-#: Side of the tiles, in units of the vertices, by which the edges of rings are dealt.
-TILE = 64
+#: Side of the tiles, in units of the vertices, by which the edges of rings are dealt; a ring within one needs no rounds.
+TILE = 4096
 ENDS = ("x0", "y0", "x1", "y1")
 C = F.col
 
@@ -301,10 +301,10 @@ def make_valid(vertices: DataFrame, by: list[str], scale: int = 256) -> DataFram
     n = F.count("*").over(Window.partitionBy(*by, "ring"))
     along = visits.orderBy((C("place") + 1) % n)
     before = F.coalesce(F.lag("next").over(along), F.last("next").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    inner = cut(inner.select("*", n.alias("size")).select(*by, "face", "e", "ring", "place", before.alias("next"), F.count("*").over(visits).alias("met")))
-    touching = inner.groupBy(*by, "ring").agg(F.max("met").alias("met")).where("met > 1").drop("met")
-    simple = inner.join(merged(touching), [*by, "ring"], "left_anti").select(*by, "face", "e", "ring", "place")
-    split = inner.join(merged(touching), [*by, "ring"], "left_semi").select(*by, "face", "e", "next")
+    inner = inner.select("*", n.alias("size")).select(*by, "face", "e", "ring", "place", before.alias("next"), F.count("*").over(visits).alias("met"))
+    inner = cut(inner.select("*", F.max("met").over(Window.partitionBy(*by, "ring")).alias("most")).drop("met"))
+    simple = inner.where("most = 1").select(*by, "face", "e", "ring", "place")
+    split = inner.where("most > 1").select(*by, "face", "e", "next")
     if not split.isEmpty():  # the same vertex again: each part between two visits is a ring of its own
         parts = ring_order(split.select(*by, "e", "next"), by, tuple(tile))
         simple = simple.unionByName(split.select(*by, "face", "e").join(merged(parts.select(*by, "e", "ring", "place")), [*by, "e"]))

@@ -61,3 +61,18 @@ def test_outlines_across_batches_and_tiles(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == {(i, k): (d, p, [(int(x), int(y)) for x, y in ps]) for i, m in masks.items() for k, d, p, ps in kernels.contours(m)}
+
+
+def test_valid_polygons_take_no_rounds_for_long_rings(spark, monkeypatch):
+    written, cut = [], rings.cut
+    monkeypatch.setattr(rings, "cut", lambda df, *by: written.append(df) or cut(df, *by))
+    counts = []
+    for n in (1, 40):  # a box, and a comb of many teeth over hundreds of units
+        comb = [(0, 0), (10 * n, 0), *((10 * k - j, 20 if j < 6 else 5) for k in range(n, 0, -1) for j in (0, 5, 6, 9)), (0, 5)]
+        df = spark.createDataFrame([(1, 0, v, float(x), float(y)) for v, (x, y) in enumerate(comb)], "id long, ring int, vid int, x double, y double")
+        got = rings.make_valid(df, ["id"], 4).select("polygon", "area").distinct().collect()
+        twice = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(comb, comb[1:] + comb[:1]))
+        counts.append(len(written))
+        written.clear()
+        assert [(r.polygon, r.area) for r in got] == [(1, abs(twice) / 2)]
+    assert counts[0] == counts[1]
