@@ -162,17 +162,29 @@ def fourier_shift(pixels: DataFrame, by: list[str], width: int, height: int, dx:
     return sent(one, "y", height, dy).groupBy(*by, "x", "y").agg(F.sum(F.col("re") * F.col("k.re") - F.col("im") * F.col("k.im")).alias("v"))
 
 
-def remap(pixels: DataFrame, by: list[str], width: int, height: int, mx: Column, my: Column) -> DataFrame:
-    """Bilinear samples of images at the places (mx, my), expressions of x and y, clamped to the borders."""
+QUAD = ((0, 0), (1, 0), (0, 1), (1, 1))
+
+
+def quads(pixels: DataFrame, by: list[str], value: str = "v") -> DataFrame:
+    """(by, sx, sy, v00, v10, v01, v11): the values at (sx, sy) and to the right, below and right below of it, null where there is none."""
+    sent = pixels.select(*by, "x", "y", value, _offsets(QUAD).alias("o")).select(*by, (F.col("x").cast("long") - F.col("o.i")).alias("sx"), (F.col("y").cast("long") - F.col("o.j")).alias("sy"), value, "o")
+    corner = lambda i, j: F.sum(F.when((F.col("o.i") == i) & (F.col("o.j") == j), F.col(value))).alias(f"v{i}{j}")
+    return sent.groupBy(*by, "sx", "sy").agg(*(corner(i, j) for i, j in QUAD))
+
+
+def sampled(goals: DataFrame, corners: DataFrame, by: list[str], width: int, height: int, mx: Column, my: Column) -> DataFrame:
+    """`goals` with v, the bilinear sample at the places (mx, my), expressions of their columns, clamped to the borders, of the images of `quads`; goals without a pixel there go."""
     c = lambda m, n: F.least(F.greatest(m, F.lit(0.0)), F.lit(n - 1.0))
-    goal = pixels.select(*by, "x", "y", c(mx, width).alias("mx"), c(my, height).alias("my"))
-    goal = goal.withColumn("sx", F.least(F.floor("mx"), F.lit(width - 2))).withColumn("sy", F.least(F.floor("my"), F.lit(height - 2)))
+    at = goals.withColumns({"mx": c(mx, width), "my": c(my, height)})
+    at = at.withColumns({"sx": F.least(F.floor("mx"), F.lit(width - 2)), "sy": F.least(F.floor("my"), F.lit(height - 2))})
     u, v = F.col("mx") - F.col("sx"), F.col("my") - F.col("sy")
-    part = lambda i, j: F.struct((F.col("sx") + i).alias("x"), (F.col("sy") + j).alias("y"), ((u if i else 1 - u) * (v if j else 1 - v)).alias("w"))
-    asked = goal.select(*by, F.col("x").alias("tx"), F.col("y").alias("ty"), F.explode(F.array(*[part(i, j) for i in (0, 1) for j in (0, 1)])).alias("s"))
-    asked = asked.select(*by, "tx", "ty", F.col("s.x").alias("x"), F.col("s.y").alias("y"), F.col("s.w").alias("w"))
-    found = asked.join(merged(pixels.select(*by, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v")), [*by, "x", "y"])
-    return found.groupBy(*by, F.col("tx").alias("x"), F.col("ty").alias("y")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+    parts = [F.coalesce(F.col(f"v{i}{j}") * ((u if i else 1 - u) * (v if j else 1 - v)), F.lit(0.0)) for i, j in QUAD]
+    return at.join(merged(corners), [*by, "sx", "sy"]).select(*(F.col(k) for k in goals.columns), sum(parts[1:], parts[0]).alias("v"))
+
+
+def remap(pixels: DataFrame, by: list[str], width: int, height: int, mx: Column, my: Column) -> DataFrame:
+    """Bilinear samples of images at the places (mx, my), expressions of x and y, clamped to the borders."""
+    return sampled(pixels.select(*by, "x", "y"), quads(pixels, by), by, width, height, mx, my)
 
 
 def radial_places(width: int, height: int, k: float) -> tuple[Column, Column]:

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from histoweave.operators.raster import remap
+from histoweave.operators.raster import quads, sampled
+from histoweave.operators.relational import merged
 from histoweave.sources.written import cut, discard
 
 C = F.col
@@ -218,16 +219,15 @@ def register(pairs: DataFrame, by: list[str], width: int, height: int, turns: li
     correlations the smaller turn counts.
     """
     mean = pairs.groupBy(*by).agg(F.avg("a").alias("ma"), F.avg("b").alias("mb"))
-    whole = cut(pairs.join(mean, by).select(*by, "x", "y", (C("a") - C("ma")).alias("a"), (C("b") - C("mb")).alias("b")))
+    whole = cut(pairs.join(merged(mean), by).select(*by, "x", "y", (C("a") - C("ma")).alias("a"), (C("b") - C("mb")).alias("b")))
+    corners = cut(quads(whole, by, "b"))  # of the images as they are, for all turns
     near = min((b - a for a, b in zip(sorted(turns), sorted(turns)[1:])), default=10.0)
-    tried = whole.select(*by).distinct().select("*", F.explode(F.array(*(F.lit(float(t)) for t in turns))).alias("degrees"))
+    each = whole.select(*by, "x", "y", "a", F.explode(F.array(*(F.lit(float(t)) for t in turns))).alias("degrees"))
     keys, best, cx, cy = [*by, "degrees"], None, (width - 1) / 2, (height - 1) / 2
     for r in range(rounds):
         t = F.radians("degrees")
         x, y = C("x") - cx, C("y") - cy
-        each = whole.join(tried, by)
-        turned = remap(each.select(*keys, "x", "y", C("b").alias("v")), keys, width, height, cx + x * F.cos(t) - y * F.sin(t), cy + x * F.sin(t) + y * F.cos(t))
-        both = each.select(*keys, "x", "y", "a").join(turned.select(*keys, C("x").cast(dict(each.dtypes)["x"]).alias("x"), C("y").cast(dict(each.dtypes)["y"]).alias("y"), C("v").alias("b")), [*keys, "x", "y"])
+        both = sampled(each, corners, by, width, height, cx + x * F.cos(t) - y * F.sin(t), cy + x * F.sin(t) + y * F.cos(t)).withColumnRenamed("v", "b")
         found = peak(correlation(both, keys, width, height), keys)
         found = found if best is None else found.unionByName(best)
         order = Window.partitionBy(*by).orderBy(F.desc(F.round("z", 6)), "degrees")
@@ -235,4 +235,7 @@ def register(pairs: DataFrame, by: list[str], width: int, height: int, turns: li
         discard(last)
         near /= 3
         tried = best.select(*by, F.explode(F.array(*(C("degrees") + k * near for k in (-2, -1, 1, 2)))).alias("degrees"))
+        each = whole.select(*by, "x", "y", "a").join(merged(tried), by)
+    for d in (whole, corners):
+        discard(d)
     return best.select(*by, "degrees", (-_wrapped(C("sx"), width)).alias("dx"), (-_wrapped(C("sy"), height)).alias("dy"), "z")
