@@ -101,7 +101,7 @@ def fitted_peak(z: DataFrame, at: DataFrame, by: list[str], width: int, height:
     """
     (xl, xh, gx), (yl, yh, gy) = _functionals(width, reach), _functionals(height, reach)
     u, v = _near("sx", "px", width), _near("sy", "py", height)
-    near = z.join(at.select(*by, C("sx").alias("px"), C("sy").alias("py")), by).select(*by, u.alias("u"), v.alias("v"), "z").where(C("u").between(xl, xh) & C("v").between(yl, yh))
+    near = z.join(merged(at.select(*by, C("sx").alias("px"), C("sy").alias("py"))), by).select(*by, u.alias("u"), v.alias("v"), "z").where(C("u").between(xl, xh) & C("v").between(yl, yh))
     weights = lambda g, c, lo: [F.array(*(F.lit(w) for w in line))[(C(c) - lo).cast("int")] for line in g]
     near = near.select(*by, "z", F.array(*weights(gx, "u", xl)).alias("wx"), F.array(*weights(gy, "v", yl)).alias("wy"))
     powers = [(i, j) for i in range(len(gx)) for j in range(len(gy))]
@@ -161,7 +161,7 @@ def cubic_shift(pixels: DataFrame, by: list[str], width: int, height: int, moves
     """Each value column moved by (dx_<column>, dy_<column>) of moves(by, ...), a row for each image, by cubic convolution; outside the image is 0."""
     taps = [_taps(k, C(f"dx_{name}"), C(f"dy_{name}")) for k, name in enumerate(values)]
     images = moves.select(*by, F.filter(F.concat(*taps), lambda t: t["w"] != 0).alias("taps"))
-    sent = pixels.join(images, by).select(*by, "x", "y", F.array(*(C(v).cast("double") for v in values)).alias("v"), F.explode("taps").alias("t"))
+    sent = pixels.join(merged(images), by).select(*by, "x", "y", F.array(*(C(v).cast("double") for v in values)).alias("v"), F.explode("taps").alias("t"))
     sent = sent.select(*by, (C("x") + C("t.ox")).alias("x"), (C("y") + C("t.oy")).alias("y"), C("t.k").alias("k"), (C("v")[C("t.k")] * C("t.w")).alias("v"))
     inside = C("x").between(0, width - 1) & C("y").between(0, height - 1)
     return sent.where(inside).groupBy(*by, "x", "y").agg(*(F.sum(F.when(C("k") == k, C("v")).otherwise(0.0)).alias(n) for k, n in enumerate(values)))
@@ -169,13 +169,13 @@ def cubic_shift(pixels: DataFrame, by: list[str], width: int, height: int, moves
 
 def _other_peaks(z: DataFrame, limits: DataFrame, by: list[str], width: int, height: int, reach: int) -> DataFrame:
     """(by): images whose correlation has another local maximum above the limit, away from the main peak and from the border by `reach`."""
-    at = z.join(limits, by).where(C("z") >= C("limit")).select(*by, _near("sx", "px", width).alias("u"), _near("sy", "py", height).alias("v"), "z")
+    at = z.join(merged(limits), by).where(C("z") >= C("limit")).select(*by, _near("sx", "px", width).alias("u"), _near("sy", "py", height).alias("v"), "z")
     cells = at.withColumn("gu", F.floor(C("u") / reach)).withColumn("gv", F.floor(C("v") / reach))
     around = lambda c: F.explode(F.array(C(c) - 1, C(c), C(c) + 1)).alias(c)
     other = cells.select(*by, C("u").alias("u2"), C("v").alias("v2"), C("z").alias("z2"), around("gu"), "gv").select(*by, "u2", "v2", "z2", "gu", around("gv"))
     inner = C("u").between(reach - width // 2, width - 1 - width // 2 - reach) & C("v").between(reach - height // 2, height - 1 - height // 2 - reach)
     apart = (F.abs("u") >= reach) | (F.abs("v") >= reach)
-    higher = cells.where(inner & apart).join(other, [*by, "gu", "gv"]).where((F.abs(C("u") - C("u2")) <= reach) & (F.abs(C("v") - C("v2")) <= reach))
+    higher = cells.where(inner & apart).join(merged(other), [*by, "gu", "gv"]).where((F.abs(C("u") - C("u2")) <= reach) & (F.abs(C("v") - C("v2")) <= reach))
     return higher.groupBy(*by, "u", "v", "z").agg(F.max("z2").alias("m")).where("z = m").select(*by).distinct()
 
 
@@ -192,20 +192,20 @@ def shifts(pairs: DataFrame, by: list[str], width: int, height: int, reach: int
     """
     z = cut(correlation(pairs, by, width, height))
     top = cut(peak(z, by))
-    fit = top.join(fitted_peak(z, top, by, width, height, reach), by)
+    fit = top.join(merged(fitted_peak(z, top, by, width, height, reach)), by)
     fit = cut(fit.select(*by, C("sx").alias("px"), C("sy").alias("py"), (_wrapped(C("sx"), width) + C("u")).alias("rx"), (_wrapped(C("sy"), height) + C("v")).alias("ry"), C("z").alias("zmax"), "top", "xx", "xy", "yy"))
     half = fit.select(*by, *((sign * C(r) / 2).alias(f"d{axis}_{v}") for v, sign in (("a", -1), ("b", 1)) for axis, r in (("x", "rx"), ("y", "ry"))))
     moved = cubic_shift(pairs, by, width, height, half, ("a", "b"))
     d = C("a") - C("b")
     error = moved.groupBy(*by).agg(F.sqrt(F.sum(d * d * (C("a") * C("a") + C("b") * C("b")))).alias("error"))
-    fit = cut(fit.join(error, by, "left").withColumn("error", F.coalesce("error", F.lit(0.0))))
+    fit = cut(fit.join(merged(error), by, "left").withColumn("error", F.coalesce("error", F.lit(0.0))))
     crowded = _other_peaks(z, fit.select(*by, "px", "py", (C("zmax") - 3 * C("error")).alias("limit")), by, width, height, reach).withColumn("crowded", F.lit(True))
     det = C("xx") * C("yy") - C("xy") * C("xy")
     concave = (C("xx") > 0) & (C("yy") > 0) & (det > 0) & (C("error") > 0)
     far = C("rx") * C("rx") + C("ry") * C("ry") >= float(np.hypot(width, height))
     code = F.when(far, 3).when(~concave, 2).when(C("crowded"), 1).otherwise(0)
     scale = F.try_divide(2 * C("error") * error_factor**2, det)
-    out = fit.join(crowded, by, "left").withColumn("exit", code)
+    out = fit.join(merged(crowded), by, "left").withColumn("exit", code)
     ok = C("exit") == 0
     cov = [F.when(ok, scale * c).alias(n) for n, c in (("covxx", C("yy")), ("covxy", -C("xy")), ("covyy", C("xx")))]
     return out.select(*by, (-C("rx")).alias("dx"), (-C("ry")).alias("dy"), "exit", *cov, C("top").alias("peak"), "error")
