@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histoweave.operators import fit, registration, stats
+from histoweave.operators.relational import merged
 from histoweave.plans.registry import Tables, query
 
 C = F.col
@@ -48,7 +49,7 @@ _PAIRS = """a AS (SELECT vec_id, layer, x, y, v FROM img WHERE vec_id%2=0), b AS
 def _pairs(t: Tables) -> DataFrame:
     """Each image of an even number as `a`, and that of the next number as `b`."""
     b = t.img.where("vec_id % 2 = 1").select((C("vec_id") - 1).alias("vec_id"), "layer", "x", "y", C("v").alias("b"))
-    return t.img.where("vec_id % 2 = 0").withColumnRenamed("v", "a").join(b, ["vec_id", "layer", "x", "y"])
+    return t.img.where("vec_id % 2 = 0").withColumnRenamed("v", "a").join(merged(b), ["vec_id", "layer", "x", "y"])
 
 
 @query("im-01")
