@@ -8,6 +8,7 @@ from histoweave.plans.registry import Tables
 SF = "/root/testdata/sf0.001"
 NAMED = [
     "ag-16",
+    "ag-19",
 ]
 
 
