@@ -9,6 +9,7 @@ SF = "/root/testdata/sf0.001"
 NAMED = [
     "ag-16",
     "ag-19",
+    "ag-23",
 ]
 
 
