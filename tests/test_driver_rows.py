@@ -10,6 +10,7 @@ NAMED = [
     "ag-16",
     "ag-19",
     "ag-23",
+    "ag-39",
 ]
 
 
