@@ -11,6 +11,7 @@ NAMED = [
     "ag-19",
     "ag-23",
     "ag-39",
+    "ag-39-weighted",
 ]
 
 
