@@ -12,6 +12,7 @@ NAMED = [
     "ag-23",
     "ag-39",
     "ag-39-weighted",
+    "ag-40",
 ]
 
 
