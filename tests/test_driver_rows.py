@@ -13,6 +13,7 @@ NAMED = [
     "ag-39",
     "ag-39-weighted",
     "ag-40",
+    "flt-08",
 ]
 
 
