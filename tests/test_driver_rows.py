@@ -14,6 +14,7 @@ NAMED = [
     "ag-39-weighted",
     "ag-40",
     "flt-08",
+    "flt-12",
 ]
 
 
