@@ -15,6 +15,7 @@ NAMED = [
     "ag-40",
     "flt-08",
     "flt-12",
+    "gr-01",
 ]
 
 
