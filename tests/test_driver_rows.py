@@ -16,6 +16,7 @@ NAMED = [
     "flt-08",
     "flt-12",
     "gr-01",
+    "gr-02",
 ]
 
 
