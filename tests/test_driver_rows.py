@@ -17,6 +17,7 @@ NAMED = [
     "flt-12",
     "gr-01",
     "gr-02",
+    "gr-03",
 ]
 
 
