@@ -18,6 +18,7 @@ NAMED = [
     "gr-01",
     "gr-02",
     "gr-03",
+    "gr-04",
 ]
 
 
