@@ -19,6 +19,7 @@ NAMED = [
     "gr-02",
     "gr-03",
     "gr-04",
+    "gr-05",
 ]
 
 
