@@ -20,6 +20,7 @@ NAMED = [
     "gr-03",
     "gr-04",
     "gr-05",
+    "wn-02",
 ]
 
 
