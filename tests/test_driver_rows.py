@@ -21,6 +21,7 @@ NAMED = [
     "gr-04",
     "gr-05",
     "wn-02",
+    "sp-15",
 ]
 
 
