@@ -22,6 +22,7 @@ NAMED = [
     "gr-05",
     "wn-02",
     "sp-15",
+    "jn-20",
 ]
 
 
