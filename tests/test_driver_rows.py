@@ -23,6 +23,7 @@ NAMED = [
     "wn-02",
     "sp-15",
     "jn-20",
+    "jn-25",
 ]
 
 
