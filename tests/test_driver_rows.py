@@ -24,6 +24,7 @@ NAMED = [
     "sp-15",
     "jn-20",
     "jn-25",
+    "la-01",
 ]
 
 
