@@ -25,6 +25,7 @@ NAMED = [
     "jn-20",
     "jn-25",
     "la-01",
+    "la-03",
 ]
 
 
