@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histoweave.operators.components import components
 from histoweave.operators.relational import merged, number_rows
@@ -105,22 +108,86 @@ def blur_score(pixels: DataFrame, by: list[str], width: int, height: int, sigma:
     return both.select(*at, F.greatest(F.lit(0.0), F.col("q") - F.col("m") * F.col("m")).alias("v"))
 
 
+#: Columns and rows of a tile; its pixels are bits of a long, row by row, without the sign.
+WIDE, HIGH = 8, 7
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _parts(masks: pd.Series, diagonal: pd.Series) -> pd.Series:
+    """The connected regions of each tile, as bits, in order of their first pixel."""
+    m, rows = masks.to_numpy("<i8"), np.arange(len(masks))
+    on = np.unpackbits(m.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").reshape(-1, 8, 8).astype(bool)
+    first = np.where(on, np.arange(64, dtype=np.uint8).reshape(8, 8), 64).astype(np.uint8)
+    near = [(i, j) for i, j in NEAR if len(m) == 0 or diagonal.iloc[0] or not i or not j]
+    while True:
+        wide = np.pad(first, ((0, 0), (1, 1), (1, 1)), constant_values=64)
+        low = np.where(on, np.min([wide[:, 1 + j : 9 + j, 1 + i : 9 + i] for i, j in near], axis=0), 64).astype(np.uint8)
+        if (low == first).all():
+            break
+        first = low
+    row, y, x = np.nonzero(on)
+    key = row * 64 + first[row, y, x]
+    order = np.argsort(key, kind="stable")
+    keys, starts = np.unique(key[order], return_index=True)
+    bits = np.bitwise_or.reduceat((np.int64(1) << (y * 8 + x).astype(np.int64))[order], starts) if len(keys) else np.zeros(0, np.int64)
+    return pd.Series(np.split(bits, np.searchsorted(keys // 64, rows[1:])) if len(m) else [], index=masks.index, dtype=object)
+
+
+def _bit(x: str = "x", y: str = "y") -> Column:
+    """The bit of a pixel in its tile."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (F.pmod(F.col(y), F.lit(HIGH)) * WIDE + F.pmod(F.col(x), F.lit(WIDE))).cast("int"))
+
+
+def _tile() -> list[Column]:
+    return [F.floor(F.col("x") / WIDE).alias("tx"), F.floor(F.col("y") / HIGH).alias("ty")]
+
+
+def _pixels(tiles: DataFrame, bits: str, width: int, height: int, like: DataFrame, *keep: str, frame: bool = False) -> DataFrame:
+    """A row for each pixel in a column of bits, with x, y of the types of `like`, its `bit` and some columns; of those at a tile's border only, if asked."""
+    inner = lambda i, j: 0 < i < WIDE - 1 and 0 < j < HIGH - 1
+    places = [(i, j) for j in range(min(HIGH, height)) for i in range(min(WIDE, width)) if not (frame and inner(i, j))]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(1 << (j * WIDE + i)).cast("long").alias("bit")) for i, j in places]))
+    found = tiles.withColumn("_o", each).where(F.col(bits).bitwiseAND(F.col("_o.bit")) != 0)
+    x, y = F.col("tx") * WIDE + F.col("_o.i"), F.col("ty") * HIGH + F.col("_o.j")
+    return found.select(*keep, x.cast(like.schema["x"].dataType).alias("x"), y.cast(like.schema["y"].dataType).alias("y"), F.col("_o.bit").alias("bit"))
+
+
+def _pieces(tiles: DataFrame, by: list[str], width: int, height: int, diagonal: bool, like: DataFrame) -> DataFrame:
+    """(by, tx, ty, r, first): the parts r of regions in tiles(by, tx, ty, m), each with the place of its whole region's first pixel.
+
+    Only pixels at the borders of tiles are linked by components; an image of one tile has none.
+    """
+    parts = tiles.where(F.col("m") != 0).dropna(subset=by).select(*by, "tx", "ty", F.explode(_parts("m", F.lit(diagonal))).alias("r"))
+    place = F.bit_count(F.col("r").bitwiseAND(-F.col("r")) - 1)
+    first = (F.col("ty") * HIGH + F.floor(place / WIDE)) * width + F.col("tx") * WIDE + place % WIDE
+    parts = parts.withColumn("first", first)
+    if width <= WIDE and height <= HIGH:
+        return parts
+    parts = cut(parts)
+    images = number_rows(parts.select(*by).distinct(), list(by), "_image")
+    on = cut(parts.join(merged(images), by).withColumn("id", F.col("_image") * (width * height) + F.col("first")).drop("_image"))
+    frame = _pixels(on, "r", width, height, like, *by, "tx", "ty", "id", frame=True)
+    steps = ((1, 0), (0, 1), (1, 1), (-1, 1)) if diagonal else ((1, 0), (0, 1))
+    sent = frame.select(*by, "tx", "ty", F.col("id").alias("a"), "x", "y", _offsets(steps).alias("o")).withColumns({"x": F.col("x") + F.col("o.i"), "y": F.col("y") + F.col("o.j")})
+    tx, ty = _tile()
+    sent = sent.where((tx != F.col("tx")) | (ty != F.col("ty"))).select(*by, "x", "y", "a")
+    pairs = sent.join(merged(frame.select(*by, "x", "y", F.col("id").alias("b"))), [*by, "x", "y"]).select("a", "b").distinct()
+    found = components(pairs).withColumnRenamed("node", "id")
+    whole = on.join(merged(found), "id", "left").withColumn("first", F.coalesce("component", "id") % (width * height))
+    return whole.select(*by, "tx", "ty", "r", "first")
+
+
 def regions(mask: DataFrame, by: list[str], width: int, height: int, diagonal: bool = True) -> DataFrame:
     """(by, x, y, region): connected regions of the rows of a mask, numbered from 1 in each image in order of their first pixel.
 
-    Images are numbered, so that a pixel's number, its image's times the pixels of one and its place, is no other's.
+    They are found in tiles of 8 x 7 pixels, and those that go on beyond a tile are linked.
     """
-    at = F.col("y") * width + F.col("x")
-    images = number_rows(mask.select(*by).distinct(), list(by), "_image")
-    steps = ((1, 0), (0, 1), (1, 1), (-1, 1)) if diagonal else ((1, 0), (0, 1))
-    on = cut(mask.join(merged(images), by).select(*by, "x", "y", at.alias("first"), (F.col("_image") * (width * height) + at).alias("id")))
-    sent = on.select(*by, "x", "y", F.col("id").alias("a"), _offsets(steps).alias("o")).select(*by, (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"), "a")
-    pairs = sent.join(merged(on.select(*by, "x", "y", F.col("id").alias("b"))), [*by, "x", "y"]).select("a", "b")
-    found = components(pairs.unionByName(on.select(F.col("id").alias("a"), F.col("id").alias("b"))))
-    named = on.join(merged(found.withColumnRenamed("node", "id")), "id")
-    heads = named.groupBy(*by, "component").agg(F.min("first").alias("first"))
+    tiles = mask.groupBy(*by, *_tile()).agg(F.bit_or(_bit()).alias("m"))
+    found = _pieces(tiles, by, width, height, diagonal, mask)
+    heads = found.select(*by, "first").distinct()
     number = F.row_number().over(Window.partitionBy(*by).orderBy("first")).alias("region")
-    return named.drop("first").join(merged(heads.select(*by, "component", number)), [*by, "component"]).select(*by, "x", "y", "region")
+    named = found.join(merged(heads.select(*by, "first", number)), [*by, "first"])
+    return _pixels(named, "r", width, height, mask, *by, "region").select(*by, "x", "y", "region")
 
 
 def boxes(labelled: DataFrame, by: list[str]) -> DataFrame:
@@ -302,13 +369,27 @@ def _squared(squares: DataFrame, by: list[str], axis: str, size: int, taps: dict
 
 def size_filter(mask: DataFrame, by: list[str], width: int, height: int, least: int, values: tuple[int, ...] = (1, 0), diagonal: bool = True) -> DataFrame:
     """A mask of 0 and 1, every pixel a row, without the connected regions of fewer than `least` pixels, first those of ones and then those of zeros; they take the other value."""
-    at = [*by, "x", "y"]
+    at, one_tile = [*by, "tx", "ty"], width <= WIDE and height <= HIGH
+    bits = lambda test: F.coalesce(F.bit_or(F.when(test, _bit())), F.lit(0).cast("long"))
+    tiles = mask.groupBy(*by, *_tile()).agg(F.bit_or(_bit()).alias("all"), bits(F.col("v") == 1).alias("b1"), bits(F.col("v") == 0).alias("b0"))
+    tiles = tiles if one_tile else cut(tiles)
     for value in values:
-        found = regions(mask.where(F.col("v") == value), by, width, height, diagonal)
-        small = found.groupBy(*by, "region").agg(F.count("*").alias("n")).where(F.col("n") < least)
-        turned = found.join(merged(small), [*by, "region"], "left_semi").select(*at, F.lit(True).alias("small"))
-        mask = cut(mask.join(merged(turned), at, "left").select(*at, F.when(F.col("small"), 1 - F.lit(value)).otherwise(F.col("v")).cast("int").alias("v")))
-    return mask
+        own, other = F.col(f"b{value}"), F.col(f"b{1 - value}")
+        if one_tile:
+            small = F.aggregate(F.filter("_parts", lambda r: F.bit_count(r) < least), F.lit(0).cast("long"), lambda a, r: a.bitwiseOR(r))
+            tiles = tiles.withColumn("_parts", _parts(own, F.lit(diagonal))).withColumn("small", small).drop("_parts")
+            for c in by:  # what has no image has no regions
+                tiles = tiles.withColumn("small", F.when(F.col(c).isNotNull(), F.col("small")).otherwise(F.lit(0)))
+        else:
+            found = cut(_pieces(tiles.select(*at, own.alias("m")), by, width, height, diagonal, mask))
+            sizes = found.groupBy(*by, "first").agg(F.sum(F.bit_count("r")).alias("n")).where(F.col("n") < least)
+            turned = found.join(merged(sizes), [*by, "first"], "left_semi").groupBy(*at).agg(F.bit_or("r").alias("small"))
+            tiles = tiles.join(merged(turned), at, "left").withColumn("small", F.coalesce("small", F.lit(0).cast("long")))
+        tiles = tiles.withColumns({f"b{value}": own.bitwiseAND(F.bitwise_not("small")), f"b{1 - value}": other.bitwiseOR(F.col("small"))}).drop("small")
+        tiles = tiles if one_tile else cut(tiles)
+    rows = _pixels(tiles, "all", width, height, mask, *by, "b1", "b0")
+    has = lambda c: F.col(c).bitwiseAND(F.col("bit")) != 0
+    return rows.select(*by, "x", "y", F.when(has("b1"), 1).when(has("b0"), 0).alias("v"))
 
 
 def group_votes(layers: DataFrame, by: list[str], groups: dict[str, tuple[int, int]], nuclear: str, share: float = 0.6) -> DataFrame:
