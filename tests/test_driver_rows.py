@@ -32,11 +32,16 @@ NAMED = [
 def broadcast_rows(spark, run) -> list[int]:
     """Rows of each broadcast of the queries that `run` starts."""
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def ids() -> dict:
+        kept = store.executionsList()  # the last thousand
+        return {e.executionId(): e for e in map(kept.apply, range(kept.size()))}
+
+    before = max(ids(), default=-1)
     run()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    found, executions = [], store.executionsList(before, 1_000)
-    for e in (executions.apply(k) for k in range(executions.size())):
+    found = []
+    for e in (e for k, e in ids().items() if k > before):
         nodes, values = store.planGraph(e.executionId()).allNodes(), store.executionMetrics(e.executionId())
         for node in (nodes.apply(k) for k in range(nodes.size())):
             metrics = node.metrics()
