@@ -91,6 +91,39 @@ def contains(points: Column, x: Column, y: Column) -> Column:
     return crossings % 2 == 1
 
 
+def _first(v: Column) -> Column:
+    """The first pixel, or line of pixels, whose centre v isn't beyond: v - 1/2 rounded up, without the rounding of a difference."""
+    return F.shiftright(F.ceil(v * 2), 1)
+
+
+def crossings(points: Column, mark: int) -> Column:
+    """(y, x, mark) where the ring's edges cross the centres of lines of pixels: line y, and its first pixel that isn't to the left of the crossing.
+
+    A line through a vertex crosses the edges that go on from it to larger y, as in `contains`.
+    """
+
+    def along(a: Column, b: Column) -> Column:
+        low, high = _first(F.least(a["y"], b["y"])), _first(F.greatest(a["y"], b["y"]))
+        x = lambda y: (b["x"] - a["x"]) * (y + 0.5 - a["y"]) / (b["y"] - a["y"]) + a["x"]
+        at = lambda y: F.struct(y.alias("y"), _first(x(y)).alias("x"), F.lit(mark).alias("mark"))
+        return F.transform(F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<long>")), at)
+
+    return _once(points, lambda p: F.flatten(F.zip_with(p, shifted(p), along)))
+
+
+def pixels(outer: Column, hole: Column) -> Column:
+    """How many pixels have their centre in a ring and not in its hole: those that `contains` has in the one and not in the other.
+
+    Runs between crossings are counted line by line, so the work follows the edges'
+    heights and no pixel is a value of its own. Null where a coordinate is.
+    """
+    known = lambda r: F.forall(r, lambda a: (a["x"] + a["y"]).isNotNull())
+    start = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0).alias("within"), F.lit(0).cast("long").alias("n"))
+    run = lambda s, e: F.struct(e["x"].alias("x"), s["within"].bitwiseXOR(e["mark"]).alias("within"), (s["n"] + F.when(s["within"] == 1, e["x"] - s["x"]).otherwise(0)).alias("n"))
+    count = lambda o, h: F.aggregate(F.sort_array(F.concat(crossings(o, 1), crossings(h, 2))), start, run, lambda s: s["n"])
+    return _once(outer, lambda o: _once(hole, lambda h: F.when(known(o) & known(h), count(o, h))))
+
+
 def round_to_grid(points: Column, pixel: float, eps: float = 1e-10) -> Column:
     snap = lambda v: F.floor((v + eps) / pixel) * pixel
     return F.transform(points, lambda a: F.struct(snap(a["x"]).cast("double").alias("x"), snap(a["y"]).cast("double").alias("y")))

@@ -215,11 +215,8 @@ def _(t: Tables) -> DataFrame:
 
 
 def _rasterised(poly: DataFrame) -> DataFrame:
-    """Pixels whose centre lies in each polygon and not in its hole."""
-    p = poly.select("id", "x0", "y0", "wd", "ht", _box().alias("outer"), _hole().alias("hole"))
-    grid = p.withColumn("px", F.explode(F.sequence(C("x0").cast("int"), (C("x0") + C("wd") - 1).cast("int")))).withColumn("py", F.explode(F.sequence(C("y0").cast("int"), (C("y0") + C("ht") - 1).cast("int"))))
-    inside = lambda r: P.contains(C(r), C("px") + 0.5, C("py") + 0.5)
-    return grid.where(inside("outer") & ~inside("hole")).groupBy("id").agg(F.count("*").alias("pixels"))
+    """Pixels whose centre lies in each polygon and not in its hole; a row a polygon, also where ids are repeated or a size is null."""
+    return dealt(poly, "id").select("id", P.pixels(_box(), _hole()).alias("pixels"))
 
 
 @query("sp-09", "SELECT id, CAST(wd*ht-(wd-4)*(ht-4) AS BIGINT) AS pixels FROM poly")
