@@ -50,7 +50,7 @@ def test_a_holed_box_of_the_reference(spark):
     assert row.n == 56 and math.isclose(row.area, 56, rel_tol=1e-3)
 
 
-@pytest.mark.parametrize("key", ["sp-09"])
+@pytest.mark.parametrize("key", ["sp-09", "sp-09-all"])
 def test_rows_are_the_sqls_where_keys_repeat_and_sizes_are_null(spark, key, tmp_path):
     parts = "SELECT * FROM '/root/testdata/sf0.001/part.parquet'"
     duckdb.sql(f"COPY ({parts} UNION ALL ({parts} WHERE p_partkey % 3 = 0) UNION ALL ({parts.replace('*', '* REPLACE (CAST(NULL AS INT) AS p_size)')} WHERE p_partkey < 5)) TO '{tmp_path}/part.parquet' (FORMAT parquet)")
@@ -62,7 +62,11 @@ def test_rows_are_the_sqls_where_keys_repeat_and_sizes_are_null(spark, key, tmp_
     assert sorted(got, key=order) == sorted(want, key=order) and sum(n is None for _, n in got) == 5
 
 
-@pytest.mark.parametrize("key", ["sp-09"])
+@pytest.mark.parametrize("key", ["sp-09", "sp-09-all"])
 def test_no_row_is_made_for_a_pixel(spark, key):
     plan = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_both_queries_deal_polygons_to_all_tasks(spark):
+    assert [QUERIES[key](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() for key in ("sp-09", "sp-09-all")] == [32, 32]
